@@ -74,26 +74,26 @@ class Lexicon:
 
 def sentiment_tokens(cleaned: Column) -> Column:
     """Words without the punctuation around them."""
-    return F.array_remove(F.transform(F.split(cleaned, f"[{T.SPACE}]+"),
-                                      lambda word: F.trim(word, F.lit(".!?,;:"))), "")
+    return F.array_remove(F.split(F.trim(cleaned, F.lit(" .!?,;:")), "[.!?,;:]* [.!?,;:]*"), "")
 
 
-def _valence(word: Column, lexicon: Lexicon) -> Column:
-    """Valence by hash lookups, one per level; words outside the lexicon stop at the first."""
-    levels = defaultdict(list)
-    for listed, value in lexicon.valence.items():
-        if value and listed not in lexicon.stronger and listed not in lexicon.weaker:
-            levels[float(value)].append(listed)
-    inside = sorted(listed for group in levels.values() for listed in group)
-    found = F.when(~word.isin(inside), 0.0)
-    for value, listed in sorted(levels.items()):
-        found = found.when(word.isin(listed), value)
-    return found.otherwise(0.0)
+def _levels(lexicon: Lexicon) -> dict[float, list[str]]:
+    """Words by valence; intensity words carry none themselves."""
+    levels: dict[float, list[str]] = defaultdict(list)
+    for word, value in sorted(lexicon.valence.items()):
+        if value and word not in lexicon.stronger and word not in lexicon.weaker:
+            levels[float(value)].append(word)
+    return dict(sorted(levels.items()))
 
 
-def token_valences(tokens: Column, lexicon: Lexicon) -> Column:
-    """Valence per token after intensity words and negations among the three tokens before it."""
+def token_valence(tokens: Column, token: Column, at: Column, lexicon: Lexicon) -> Column:
+    """Valence of one token after intensity words and negations among the three tokens before it.
+
+    A token outside the lexicon costs one hash lookup.
+    """
     known = sorted(lexicon.valence)
+    levels = _levels(lexicon)
+    base = F.coalesce(*[F.when(token.isin(words), value) for value, words in levels.items()])
 
     def adjusted(valence: Column, before: Column, damping: float) -> Column:
         boost = (F.when(before.isin(list(lexicon.stronger)), BOOST * damping)
@@ -102,17 +102,14 @@ def token_valences(tokens: Column, lexicon: Lexicon) -> Column:
         return (F.when(before.isNull() | before.isin(known), valence)
                 .otherwise((valence + F.signum(valence) * boost) * turn))
 
-    def of(token: Column, at: Column) -> Column:
-        def step(distance: int, valence: Column) -> Column:
-            if distance > len(DAMPING):
-                return valence
-            return let(adjusted(valence, F.get(tokens, at - distance), DAMPING[distance - 1]),
-                       lambda value: step(distance + 1, value))
-
-        return let(_valence(token, lexicon),
-                   lambda value: F.when(value == 0, 0.0).otherwise(step(1, value)))
+    def step(distance: int, valence: Column) -> Column:
+        if distance > len(DAMPING):
+            return valence
+        return let(adjusted(valence, F.get(tokens, at - distance), DAMPING[distance - 1]),
+                   lambda value: step(distance + 1, value))
 
-    return F.transform(tokens, of)
+    inside = sorted(word for words in levels.values() for word in words)
+    return F.when(token.isin(inside), let(base, lambda value: step(1, value))).otherwise(0.0)
 
 
 def compound(cleaned: Column, lexicon: Lexicon | None = None) -> Column:
@@ -120,17 +117,17 @@ def compound(cleaned: Column, lexicon: Lexicon | None = None) -> Column:
     lexicon = lexicon or Lexicon()
 
     def total(tokens: Column) -> Column:
-        contrast = F.array_position(tokens, "but")
+        return let(F.array_position(tokens, "but"), lambda contrast: summed(tokens, contrast))
 
-        def weighted(valence: Column, at: Column) -> Column:
-            place = at + 1
-            return valence * (F.when((contrast > 0) & (place < contrast), 0.5)
-                              .when((contrast > 0) & (place > contrast), 1.5).otherwise(1.0))
+    def summed(tokens: Column, contrast: Column) -> Column:
+        def weight(at: Column) -> Column:
+            return (F.when((contrast > 0) & (at + 1 < contrast), 0.5)
+                    .when((contrast > 0) & (at + 1 > contrast), 1.5).otherwise(1.0))
 
-        return F.aggregate(F.transform(token_valences(tokens, lexicon), weighted), F.lit(0.0), lambda a, b: a + b)
+        valences = F.transform(tokens, lambda token, at: token_valence(tokens, token, at, lexicon) * weight(at))
+        return F.aggregate(valences, F.lit(0.0), lambda a, b: a + b)
 
-    calls = F.length(cleaned) - F.length(F.translate(cleaned, "!", ""))
-    asks = F.length(cleaned) - F.length(F.translate(cleaned, "?", ""))
+    calls, asks = T.occurrences(cleaned, "!"), T.occurrences(cleaned, r"\?")
     emphasis = F.least(calls, F.lit(4)) * 0.292 + F.when(asks > 3, 0.96).when(asks > 1, asks * 0.18).otherwise(0.0)
 
     def score(base: Column) -> Column:

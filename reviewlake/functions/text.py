@@ -36,6 +36,16 @@ EMOTIONS = {
 }
 
 
+def flatten(text: Column) -> Column:
+    """Single blanks between the words, none around them."""
+    return F.trim(F.regexp_replace(text, f"[{SPACE}]+", " "))
+
+
+def split_flat(flat: Column) -> Column:
+    """Words of a flattened text; none for an empty one."""
+    return F.array_remove(F.split(flat, " "), "")
+
+
 def words(text: Column) -> Column:
     """White-space separated words; none for blank text."""
     return F.array_remove(F.split(text, f"[{SPACE}]+"), "")
@@ -45,27 +55,27 @@ def word_count(text: Column) -> Column:
     return F.size(words(text))
 
 
+def occurrences(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern))
+
+
 def avg_word_length(text: Column) -> Column:
     letters = F.length(F.regexp_replace(text, f"[{SPACE}]+", ""))
     return F.when(word_count(text) > 0, letters / word_count(text)).otherwise(0.0)
 
 
-def occurrences(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern))
-
-
 def capital_ratio(text: Column) -> Column:
     return F.when(F.length(text) > 0, occurrences(text, r"\p{Lu}") / F.length(text)).otherwise(0.0)
 
 
 def special_char_count(text: Column) -> Column:
     """Characters that are neither ASCII letters or digits nor white space."""
-    return F.length(F.regexp_replace(text, f"[a-zA-Z0-9{SPACE}]+", ""))
+    return occurrences(text, f"[^a-zA-Z0-9{SPACE}]")
 
 
 def sentence_count(text: Column) -> Column:
     """Number of `.`, `!` and `?`."""
-    return F.length(text) - F.length(F.translate(text, ".!?", ""))
+    return occurrences(text, "[.!?]")
 
 
 def sentence_count_by_boundary(text: Column) -> Column:
@@ -73,45 +83,67 @@ def sentence_count_by_boundary(text: Column) -> Column:
     return F.size(F.sentences(text))
 
 
-def syllable_count(text: Column) -> Column:
+def syllables_of_flat(lower_flat: Column) -> Column:
     """Sum over the words of max(1, vowel groups - 1 if it ends in e).
 
     Counted over the whole text: all vowel groups, less the words ending in e,
     plus one for each word this would leave without a syllable.
     """
-    lower = F.lower(text)
-    start, end = f"(?<![^{SPACE}])", f"(?![^{SPACE}])"
-    bare = f"{start}(?:[^aeiouy{SPACE}]+|[^aeiouy{SPACE}]*[aeiouy]*e){end}"
-    return occurrences(lower, "[aeiouy]+") - occurrences(lower, f"e{end}") + occurrences(lower, bare)
+    padded = F.concat(F.lit(" "), lower_flat, F.lit(" "))
+    bare = " (?:[^aeiouy ]++|[^aeiouy ]*+[aeiouy]*e)(?= )"
+    return occurrences(lower_flat, "[aeiouy]+") - occurrences(padded, "e ") + occurrences(padded, bare)
 
 
-def flesch_reading_ease(text: Column) -> Column:
+def syllable_count(text: Column) -> Column:
+    return syllables_of_flat(F.lower(flatten(text)))
+
+
+def reading_ease(n_words: Column, n_sentences: Column, n_syllables: Column) -> Column:
     """206.835 - 1.015 words/sentence - 84.6 syllables/word, held within 0..100."""
-    n_words, n_sentences = word_count(text), sentence_count(text)
-    score = 206.835 - 1.015 * n_words / n_sentences - 84.6 * syllable_count(text) / n_words
+    score = 206.835 - 1.015 * n_words / n_sentences - 84.6 * n_syllables / n_words
     return F.when((n_words > 0) & (n_sentences > 0),
                   F.greatest(F.lit(0.0), F.least(F.lit(100.0), score))).otherwise(0.0)
 
 
-def unique_word_ratio(text: Column) -> Column:
-    lower = words(F.lower(text))
+def flesch_reading_ease(text: Column) -> Column:
+    return reading_ease(word_count(text), sentence_count(text), syllable_count(text))
+
+
+def unique_ratio(lower: Column) -> Column:
+    """Distinct share of an array of words."""
     return F.when(F.size(lower) > 0, F.size(F.array_distinct(lower)) / F.size(lower)).otherwise(0.0)
 
 
-def stopword_ratio(text: Column) -> Column:
-    lower = words(F.lower(text))
+def stop_ratio(lower: Column) -> Column:
+    """Share of stop words in an array of words."""
     hits = F.size(F.filter(lower, lambda word: word.isin(STOP_WORDS)))
     return F.when(F.size(lower) > 0, hits / F.size(lower)).otherwise(0.0)
 
 
+def unique_word_ratio(text: Column) -> Column:
+    return unique_ratio(words(F.lower(text)))
+
+
+def stopword_ratio(text: Column) -> Column:
+    return stop_ratio(words(F.lower(text)))
+
+
+def _where(text: Column, marks: list[str], pattern: str) -> Column:
+    """Remove a pattern from the texts that hold one of its marks; the others are only searched."""
+    held = F.contains(text, F.lit(marks[0]))
+    for mark in marks[1:]:
+        held = held | F.contains(text, F.lit(mark))
+    return F.when(held, F.regexp_replace(text, pattern, "")).otherwise(text)
+
+
 def clean_text(text: Column) -> Column:
     """Lower case without links, mail addresses and unusual characters, single spaces."""
-    result = F.lower(F.coalesce(text, F.lit("")))
-    result = F.regexp_replace(result, f"(?:http|www)[^{SPACE}]+", "")
+    result = let(F.lower(flatten(F.coalesce(text, F.lit("")))),
+                 lambda low: _where(low, ["http", "www"], "(?:http|www)[^ ]+"))
     # Anchored at the start of a word, so that a long word is scanned only once.
-    result = F.regexp_replace(result, f"(?<![^{SPACE}])[^{SPACE}][^{SPACE}@]*@[^{SPACE}]+", "")
-    result = F.regexp_replace(result, f"[^a-zA-Z0-9{SPACE}.!?,;:]", "")
-    return F.trim(F.regexp_replace(result, f"[{SPACE}]+", " "))
+    result = let(result, lambda low: _where(low, ["@"], "(?<![^ ])[^ ][^ @]*@[^ ]+"))
+    result = F.regexp_replace(result, "[^a-z0-9 .!?,;:]+", "")
+    return F.trim(F.regexp_replace(result, " {2,}", " "))
 
 
 def tidy_text(text: Column) -> Column:
@@ -122,12 +154,12 @@ def tidy_text(text: Column) -> Column:
     return F.nullif(result, F.lit(""))
 
 
-def emotion_counts(text: Column) -> dict[str, Column]:
-    """How often the words of each emotion occur inside the text."""
-    lower = F.lower(text)
-
+def emotion_counts(lower: Column) -> dict[str, Column]:
+    """How often the words of each emotion occur inside a lower-case text."""
     def found(word: str) -> Column:
-        return (F.octet_length(lower) - F.octet_length(F.replace(lower, F.lit(word), F.lit("")))) / len(word)
+        # The cheap search comes first: nearly all words are absent.
+        rest = F.octet_length(F.replace(lower, F.lit(word), F.lit("")))
+        return F.when(F.contains(lower, F.lit(word)), (F.octet_length(lower) - rest) / len(word)).otherwise(0.0)
 
     return {emotion: sum((found(word) for word in listed[1:]), found(listed[0]))
             for emotion, listed in EMOTIONS.items()}
@@ -135,14 +167,15 @@ def emotion_counts(text: Column) -> dict[str, Column]:
 
 def detect_emotions(text: Column) -> Column:
     """Struct of emotion shares; all 0 when no emotion word occurs."""
-    counts = F.struct(*[count.alias(name) for name, count in emotion_counts(text).items()])
-
     def shares(found: Column) -> Column:
         total = sum((found[name] for name in list(EMOTIONS)[1:]), found[next(iter(EMOTIONS))])
         return F.struct(*[F.coalesce(F.try_divide(found[name], total), F.lit(0.0)).alias(name)
                           for name in EMOTIONS])
 
-    return let(counts, shares)
+    def counted(lower: Column) -> Column:
+        return let(F.struct(*[count.alias(name) for name, count in emotion_counts(lower).items()]), shares)
+
+    return F.when(text.isNotNull(), let(F.lower(text), counted))
 
 
 def token_runs(tokens: Column) -> Column:
@@ -169,7 +202,7 @@ def token_runs(tokens: Column) -> Column:
 
 def keyword_tokens(cleaned: Column) -> Column:
     """Words longer than 3 letters that are no stop words, without punctuation."""
-    tokens = F.split(cleaned, f"[{SPACE}.!?,;:]+")
+    tokens = F.split(cleaned, "[ .!?,;:]+")
     return F.filter(tokens, lambda token: (F.length(token) > 3) & ~token.isin(STOP_WORDS))
 
 
@@ -178,9 +211,15 @@ def extract_keywords(cleaned: Column, top_k: int = 10, lemma=None) -> Column:
     tokens = keyword_tokens(cleaned)
     if lemma is not None:
         tokens = F.transform(tokens, lemma)
-    ranked = F.sort_array(F.transform(
-        token_runs(tokens), lambda run: F.struct((-run["n"]).alias("n"), run["first"], run["token"])))
-    return F.transform(F.slice(ranked, 1, top_k), lambda run: run["token"])
+
+    def best(runs: Column) -> Column:
+        # Only runs as frequent as the last one kept have to be ordered.
+        least = F.get(F.sort_array(F.transform(runs, lambda run: run["n"]), False), top_k - 1)
+        return let(F.coalesce(least, F.lit(0)), lambda low: F.sort_array(F.transform(
+            F.filter(runs, lambda run: run["n"] >= low),
+            lambda run: F.struct((-run["n"]).alias("n"), run["first"].alias("first"), run["token"].alias("token")))))
+
+    return F.transform(F.slice(let(token_runs(tokens), best), 1, top_k), lambda run: run["token"])
 
 
 def truncate(text: Column, max_length: int = 100) -> Column:

@@ -33,20 +33,26 @@ class FeatureConfig:
     enable_statistical_features: bool = True
 
 
-def basic_text_features(text: Column) -> dict[str, Column]:
-    return {
-        "text_length": F.length(text), "word_count": T.word_count(text), "sentence_count": T.sentence_count(text),
-        "avg_word_length": T.avg_word_length(text), "exclamation_count": T.occurrences(text, "!"),
-        "question_count": T.occurrences(text, r"\?"), "capital_ratio": T.capital_ratio(text),
-        "digit_count": T.occurrences(text, r"\p{Nd}"), "special_char_count": T.special_char_count(text),
-        "readability_score": T.flesch_reading_ease(text), "unique_word_ratio": T.unique_word_ratio(text),
-        "stopword_ratio": T.stopword_ratio(text),
-    }
-
-
 def extract_basic_text_features(df: DataFrame, text_column: str = "review_text") -> DataFrame:
-    """12 text measures in one projection."""
-    return df.withColumns(basic_text_features(F.col(text_column)))
+    """12 text measures, computed in the scan stage.
+
+    The flattened text, its lower-case form and its words are made once and shared.
+    """
+    text = F.col(text_column)
+    staged = (df.withColumn("_flat", T.flatten(text)).withColumn("_lower", F.lower("_flat"))
+              .withColumn("_words", T.split_flat(F.col("_lower"))))
+    n = F.size("_words")
+    staged = staged.withColumns({
+        "text_length": F.length(text), "word_count": n, "sentence_count": T.sentence_count(text),
+        "_syllables": T.syllables_of_flat(F.col("_lower")),
+        "avg_word_length": F.when(n > 0, (F.length("_flat") - n + 1) / n).otherwise(0.0),
+        "exclamation_count": T.occurrences(text, "!"), "question_count": T.occurrences(text, r"\?"),
+        "capital_ratio": T.capital_ratio(text), "digit_count": T.occurrences(text, r"\p{Nd}"),
+        "special_char_count": T.special_char_count(text),
+        "unique_word_ratio": T.unique_ratio(F.col("_words")), "stopword_ratio": T.stop_ratio(F.col("_words"))})
+    return staged.withColumn("readability_score", T.reading_ease(
+        F.col("word_count"), F.col("sentence_count"), F.col("_syllables"))).drop(
+        "_flat", "_lower", "_words", "_syllables")
 
 
 def extract_temporal_features(df: DataFrame, date_column: str = "created_at") -> DataFrame:

@@ -221,11 +221,11 @@ def hash_rank_split(df: DataFrame, label: str, key: Column, share: float = 0.8,
     cuts = (counts.withColumn("_upto", F.sum("_n").over(ordered))
             .withColumn("_keep", F.ceil(F.round(F.sum("_n").over(whole) * share, 6)))
             .where((F.col("_upto") >= F.col("_keep")) & (F.col("_upto") - F.col("_n") < F.col("_keep")))
-            .select(F.col(label).alias("_label"), F.col("_bucket").alias("_cut"),
+            .select(F.col(label).alias("_cut_label"), F.col("_bucket").alias("_cut"),
                     (F.col("_keep") - F.col("_upto") + F.col("_n")).alias("_rest")))
-    same = hashed[label].eqNullSafe(F.col("_label"))
+    same = hashed[label].eqNullSafe(F.col("_cut_label"))
     # One row per label.
-    joined = hashed.join(F.broadcast(cuts), same, "left").drop("_label")
+    joined = hashed.join(F.broadcast(cuts), same, "left").drop("_cut_label")
     ranked_part = joined.where(F.col("_bucket") == F.col("_cut"))
     rank = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_hash"))
     ranked = ranked_part.withColumn(flag, rank <= F.col("_rest"))

@@ -1,6 +1,6 @@
 """Registered queries and the multi-step plans."""
 
-from reviewlake.plans import table_queries  # noqa: F401
+from reviewlake.plans import quality_queries, table_queries, text_queries  # noqa: F401
 from reviewlake.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -505,7 +505,7 @@ def a22(spark, base):
     return rounded(metrics, *metrics.columns)
 
 
-_RATING_COUNTS = ", ".join(f"count(*) FILTER (rating = {k}) AS rating_{k}" for k in range(1, 8))
+_RATING_COUNTS = ", ".join(f"count(*) FILTER (rating = {k}) AS rating_{k}" for k in range(1, 6))
 
 
 @query("a23_rating_metrics", with_sql("product_ratings") + f"""
@@ -580,7 +580,7 @@ def a29(spark, base):
 
 
 def _pairs_sql(table: str, columns: list[str]) -> str:
-    return " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 4) AS correlation "
+    return " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 8) AS correlation "
                               f"FROM {table}" for at, a in enumerate(columns) for b in columns[at + 1:])
 
 

@@ -65,7 +65,8 @@ def main() -> int:
     from reviewlake import build_session
     args = sys.argv[1:]
     base = args[0] if args else "/root/testdata/sf0.01"
-    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions=8)
+    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions=8,
+                          spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     queries, sql = entry.queries(), entry.oracle_sql()
     names = [name for name in queries if not args[1:] or any(name.startswith(part) for part in args[1:])]
