@@ -15,6 +15,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from reviewlake.operators.cleaning import numeric_columns
 from reviewlake.operators.relational import sample_rows
@@ -119,7 +120,7 @@ def _spectral(matrix: DataFrame, k: int, seed: int, landmarks: int = 48, nearest
                 rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
                 yield batch.assign(_embedding=list(rows))
 
-    schema = plain.schema.add("_embedding", "array<double>")
+    schema = StructType([*plain.schema.fields, StructField("_embedding", ArrayType(DoubleType()))])
     embedded = materialize(plain.mapInPandas(embed, schema), "spectral").withColumns(
         {"features": array_to_vector("features"), "_embedding": array_to_vector("_embedding")})
     model = KMeans(k=k, seed=seed, featuresCol="_embedding").fit(embedded)

@@ -1,6 +1,7 @@
 """Registered queries and the multi-step plans."""
 
-from reviewlake.plans import quality_queries, table_queries, text_queries  # noqa: F401
+from reviewlake.plans import (feature_queries, quality_queries, source_queries, stream_queries, table_queries,
+                              text_queries)
 from reviewlake.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

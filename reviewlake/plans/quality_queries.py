@@ -98,9 +98,14 @@ def q01_counts(spark, base):
     return rounded(profile.missing_values(_dirty(spark, base)), "missing_percentage")
 
 
-@query("q06_consistent_types", """
-SELECT 'mixed' AS "column", false AS consistent FROM orders GROUP BY 1
-UNION ALL SELECT 'o_orderpriority', true UNION ALL SELECT 'o_orderstatus', true""")
+def _kinds_sql(name: str, value: str) -> str:
+    number = f"TRY_CAST(nullif(trim({value}), '') AS DOUBLE) IS NOT NULL"
+    return f"""SELECT '{name}' AS "column", count(DISTINCT {number}) <= 1 AS consistent FROM orders"""
+
+
+@query("q06_consistent_types", " UNION ALL ".join([
+    _kinds_sql("o_orderpriority", "o_orderpriority"), _kinds_sql("o_orderstatus", "o_orderstatus"),
+    _kinds_sql("mixed", "CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE o_orderstatus END")]))
 def q06(spark, base):
     orders = lens.table(spark, base, "orders").select(
         "o_orderpriority", "o_orderstatus",
@@ -314,6 +319,16 @@ def c02(spark, base):
                                "helpful_votes": F.col("helpful_votes").cast("double")})
 
 
+@query("c03_clean_text_columns", """
+SELECT o_orderkey, regexp_replace(o_orderpriority, '[^\\p{L}\\p{N}_\\s.,!?-]', '', 'g') || '-x' AS priority,
+       nullif(regexp_replace(o_orderstatus, 'F', '', 'g'), '') AS status FROM orders""")
+def c03(spark, base):
+    orders = lens.table(spark, base, "orders").select(
+        "o_orderkey", F.concat(F.lit("  "), F.replace("o_orderpriority", F.lit(" "), F.lit(" \t ")), F.lit("-#x@ "))
+        .alias("priority"), F.replace("o_orderstatus", F.lit("F"), F.lit("  ")).alias("status"))
+    return cleaning.clean_text_columns(orders)
+
+
 @query("c04_formats", with_sql("dirty") + """
 SELECT row_key, lower(trim(user_email)) AS user_email, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at FROM dirty""")
 def c04(spark, base):
