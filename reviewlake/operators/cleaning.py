@@ -13,6 +13,7 @@ from reviewlake.functions.expr import to_time
 from reviewlake.functions.text import tidy_text
 from reviewlake.operators.quality import date_columns, email_columns, string_columns
 from reviewlake.operators.ranks import keep_first, quantile_values
+from reviewlake.session import materialize
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -27,15 +28,23 @@ def remove_duplicates(df: DataFrame, subset: Sequence[str] | None = None,
     return keep_first(df, subset, order_by or df.columns)
 
 
-def _statistic(df: DataFrame, name: str, how: str) -> Any:
-    """One number of a column (bounded work on the driver)."""
-    if how == "mean":
-        return df.agg(F.avg(name)).first()[0]
-    if how == "median":
-        return quantile_values(df, [name], [0.5])[name].get(0.5)
+def _mode(df: DataFrame, name: str) -> Any:
+    """Most frequent value, the smallest of several; `Unknown` when there is none."""
     counts = df.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("_n"))
     found = counts.orderBy(F.desc("_n"), F.asc(name)).first()
-    return None if found is None else found[0]
+    return "Unknown" if found is None else found[0]
+
+
+def _statistics(df: DataFrame, wanted: Mapping[str, str]) -> dict[str, Any]:
+    """One number per column: all means in one pass, all medians in another."""
+    means = [name for name, how in wanted.items() if how == "mean"]
+    medians = [name for name, how in wanted.items() if how == "median"]
+    found: dict[str, Any] = {}
+    if means:
+        found |= df.agg(*[F.avg(name).alias(name) for name in means]).first().asDict()
+    if medians:
+        found |= {name: values.get(0.5) for name, values in quantile_values(df, medians, [0.5]).items()}
+    return found | {name: _mode(df, name) for name, how in wanted.items() if how == "mode"}
 
 
 def handle_missing_values(df: DataFrame, strategy: Mapping[str, Any] | None = None) -> DataFrame:
@@ -43,8 +52,8 @@ def handle_missing_values(df: DataFrame, strategy: Mapping[str, Any] | None = No
 
     Per column: `drop`, `mean`, `median`, `mode`, `auto` (median for numbers, else
     `Unknown`) or a value to fill in. Columns are taken in order, so a statistic
-    does not see rows an earlier column dropped. Columns without nulls stay as
-    they are.
+    does not see rows an earlier column dropped; the statistics between two drops
+    are read together. Columns without nulls stay as they are.
     """
     strategy = strategy or {}
     types = dict(df.dtypes)
@@ -52,6 +61,7 @@ def handle_missing_values(df: DataFrame, strategy: Mapping[str, Any] | None = No
     nulls = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in df.columns]).first().asDict()
     result = df
     fills: dict[str, Any] = {}
+    waiting: dict[str, str] = {}
     for name in df.columns:
         if not nulls[name]:
             continue
@@ -59,16 +69,16 @@ def handle_missing_values(df: DataFrame, strategy: Mapping[str, Any] | None = No
         if how == "auto":
             how = "median" if name in numeric else "Unknown"
         if how == "drop":
+            fills |= _statistics(result, waiting)
+            waiting = {}
             result = result.where(F.col(name).isNotNull())
-        elif how in ("mean", "median"):
-            if name not in numeric:
-                raise ValueError(f"{how} needs a numeric column, {name!r} is {types[name]}")
-            fills[name] = _statistic(result, name, how)
-        elif how == "mode":
-            found = _statistic(result, name, how)
-            fills[name] = "Unknown" if found is None else found
+        elif how in ("mean", "median") and name not in numeric:
+            raise ValueError(f"{how} needs a numeric column, {name!r} is {types[name]}")
+        elif how in ("mean", "median", "mode"):
+            waiting[name] = how
         else:
             fills[name] = how
+    fills |= _statistics(result, waiting)
 
     def filled(name: str):
         value = fills[name]
@@ -126,6 +136,9 @@ def clean_dataset(df: DataFrame, config: Mapping[str, Any] | None = None) -> Dat
     if config.get("remove_duplicates", True):
         result = remove_duplicates(result)
     if config.get("handle_missing", True):
+        if config.get("remove_duplicates", True):
+            # Several statistics follow; the duplicates are looked for once.
+            result = materialize(result, "distinct")
         result = handle_missing_values(result, config.get("missing_strategy"))
     if config.get("standardize_formats", True):
         result = standardize_formats(result)

@@ -140,23 +140,21 @@ def change_rule(rules: Sequence[Rule], name: str, **changes) -> tuple[Rule, ...]
     return tuple(replace(rule, **changes) if rule.name == name else rule for rule in rules)
 
 
-def lexical_kinds(column: Column) -> dict[str, Column]:
-    """Which kind of value the text of a cell is (exactly one is true for non-blank text)."""
-    text = F.nullif(F.trim(column), F.lit(""))
-    number = text.try_cast("double").isNotNull()
-    boolean = F.lower(text).isin("true", "false")
-    date = text.rlike(r"^\d{4}-\d{2}-\d{2}") & F.try_to_timestamp(text).isNotNull()
-    return {"number": number, "boolean": boolean, "date": date & ~number,
-            "text": text.isNotNull() & ~number & ~boolean & ~F.coalesce(date, F.lit(False))}
+def lexical_kind(column: Column) -> Column:
+    """What the text of a cell is, as one bit: number 1, boolean 2, date 4, other text 8, blank 0."""
+    text = F.trim(column)
+    return (F.when(text.isNull() | (text == ""), 0)
+            .when(text.try_cast("double").isNotNull(), 1)
+            .when(F.lower(text).isin("true", "false"), 2)
+            .when(text.rlike(r"^\d{4}-\d{2}-\d{2}") & F.try_to_timestamp(text).isNotNull(), 4)
+            .otherwise(8))
 
 
 def _mixed_columns(df: DataFrame, rule: Rule) -> Column:
     """How many string columns hold more than one kind of value (an aggregate)."""
-    mixed = F.lit(0)
-    for name in _chosen(df, rule, string_columns(df)):
-        kinds = [F.max(F.when(kind, 1).otherwise(0)) for kind in lexical_kinds(F.col(name)).values()]
-        mixed = mixed + F.when(sum(kinds[1:], kinds[0]) > 1, 1).otherwise(0)
-    return mixed
+    mixed = [F.when(F.bit_count(F.bit_or(lexical_kind(F.col(name)))) > 1, 1).otherwise(0)
+             for name in _chosen(df, rule, string_columns(df))]
+    return sum(mixed, F.lit(0))
 
 
 def unique_rows(df: DataFrame, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:

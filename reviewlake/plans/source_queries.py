@@ -631,7 +631,8 @@ def z02(spark, base):
 def z03(spark, base):
     config = _config()
     config.enable_sentiment_analysis = config.enable_feature_engineering = False
-    broken = lens.docs(spark, base).select(F.raise_error(F.lit("broken")).alias("review_text"))
+    # A median of text is refused.
+    broken = lens.docs(spark, base).select(F.when(F.col("language") != "en", F.col("language")).alias("rating"))
     found = transform.transform_datasets({"dirty": _dirty(spark, base), "broken": broken}, None, config)
     rows = found["dirty"].data.agg(F.count("*").alias("rows"))
     return rows.select("rows", F.lit(found["dirty"].success).alias("first_succeeded"),

@@ -241,7 +241,7 @@ SELECT event_type AS type, strftime("timestamp", '%Y-%m-%d') AS date, CAST(hour(
 FROM stream_events GROUP BY 1, 2, 3""")
 def x16(spark, base):
     stream = _stream(spark)
-    stream.land_raw(message_source(spark, _land(spark, base))).awaitTermination()
+    stream.land_raw(message_source(spark, _land(spark, base)), hourly=True).awaitTermination()
     raw = spark.read.schema("event_id string, type string, date date, hour int").json(stream.path("raw"))
     return raw.groupBy("type", F.date_format("date", "yyyy-MM-dd").alias("date"), "hour").agg(F.count("*").alias("events"))
 

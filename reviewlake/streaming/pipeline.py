@@ -40,13 +40,14 @@ class EventStream:
 
     # Sinks -------------------------------------------------------------------------------------
 
-    def land_raw(self, messages: DataFrame, available_now: bool = True) -> StreamingQuery:
-        """Every event as it came, in folders by type, date and hour."""
+    def land_raw(self, messages: DataFrame, available_now: bool = True, hourly: bool = False) -> StreamingQuery:
+        """Every event as it came, in folders by type and date, or by type, date and hour."""
         events = parse_messages(messages)
-        stamped = events.withColumns({"type": F.col("event_type"), "date": F.to_date("timestamp"),
-                                      "hour": F.hour("timestamp")})
-        writer = (stamped.writeStream.format("json").option("path", self.path("raw"))
-                  .partitionBy("type", "date", "hour"))
+        stamped = events.withColumns({"type": F.col("event_type"), "date": F.to_date("timestamp")})
+        folders = ["type", "date"]
+        if hourly:
+            stamped, folders = stamped.withColumn("hour", F.hour("timestamp")), [*folders, "hour"]
+        writer = stamped.writeStream.format("json").option("path", self.path("raw")).partitionBy(*folders)
         return self._start(writer, "raw", available_now)
 
     def quarantine(self, messages: DataFrame, available_now: bool = True) -> StreamingQuery:
