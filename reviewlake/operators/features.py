@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from reviewlake.functions import dates, text as T
 from reviewlake.functions.expr import cut, flag, pearson, pick, smoothed_ratio, to_time, whole_days
 from reviewlake.operators.cleaning import numeric_columns
-from reviewlake.operators.ranks import (dense_rank_of_counts, percentile_rank, quantile_values, rolling_rows)
+from reviewlake.operators.ranks import (dense_rank_of_counts, histogram_of_values, percentile_rank, quantile_values,
+                                        rolling_rows)
 from reviewlake.session import attach
 
 INF = float("inf")
@@ -145,11 +146,11 @@ def extract_interaction_features(df: DataFrame) -> DataFrame:
     return df.withColumns(extra)
 
 
-def zscores_and_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def zscores_and_outliers(df: DataFrame, columns: Sequence[str], histogram: DataFrame | None = None) -> DataFrame:
     """z-score (null for a constant column) and 1.5 IQR flag per column; all statistics are read once."""
     moments = df.agg(*[aggregate for name in columns for aggregate in (
         F.avg(name).alias(f"{name}_m"), F.stddev_samp(name).alias(f"{name}_s"))]).first()
-    quartiles = quantile_values(df, columns, [0.25, 0.75])
+    quartiles = quantile_values(df, columns, [0.25, 0.75], histogram)
     extra: dict[str, Column] = {}
     for name in columns:
         mean, std = moments[f"{name}_m"], moments[f"{name}_s"]
@@ -171,9 +172,11 @@ def extract_statistical_features(df: DataFrame, columns: Sequence[str] | None =
     """
     if columns is None:
         columns = [name for name in numeric_columns(df) if not name.endswith("_id") and name != "rating"]
-    result = zscores_and_outliers(df, columns) if columns else df
+    result = df
     if columns:
-        result = percentile_rank(result, columns)
+        histogram = histogram_of_values(df, columns)
+        result = zscores_and_outliers(df, columns, histogram)
+        result = percentile_rank(result, columns, histogram=histogram)
     if {"created_at", "rating"} <= set(df.columns):
         result = rolling_rows(result, "rating", order or ["created_at"], 7)
     return result

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.session import BROADCAST_BYTES, attach, materialize, shuffle_partitions, size_in_bytes
+from reviewlake.session import BROADCAST_BYTES, attach, materialize, shuffle_partitions, size_in_bytes, spread
 
 #: Histograms up to this size are summed up by one `percentile` aggregate per column.
 SMALL_HISTOGRAM_BYTES = 16 * 1024 * 1024
@@ -28,16 +28,30 @@ def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
 
 
 def histogram_of_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., name, value, n): how often each distinct value occurs, pre-aggregated before the shuffle."""
-    return long_form(df, columns, by).groupBy(*by, "name", "value").agg(F.count("*").alias("n"))
+    """(by..., name, value, n): how often each distinct value occurs, pre-aggregated before the shuffle.
 
+    Written out, because its size decides how the work goes on.
+    """
+    rows = long_form(spread(df.select(*dict.fromkeys([*by, *columns]))), columns, by)
+    return materialize(rows.groupBy(*by, "name", "value").agg(F.count("*").alias("n")), "histogram")
+
+
+def _small(histogram: DataFrame, limit: int) -> bool:
+    return size_in_bytes(histogram) <= limit
 
-def running_totals(histogram: DataFrame, by: Sequence[str], order: str, weight: str) -> DataFrame:
+
+def running_totals(histogram: DataFrame, by: Sequence[str], order: str, weight: str,
+                   small_bytes: int = SMALL_HISTOGRAM_BYTES) -> DataFrame:
     """Add `upto` (sum of `weight` up to and including the row in its group) and `total`.
 
-    Range partitions cut across the groups, so that one group of any size is
-    summed up by many tasks.
+    A stored histogram below `small_bytes` needs one window per group. Beyond that,
+    range partitions cut across the groups, so that one group of any size is summed
+    up by many tasks.
     """
+    if _small(histogram, small_bytes):
+        group = Window.partitionBy(*by)
+        upto = group.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return histogram.withColumns({"upto": F.sum(weight).over(upto), "total": F.sum(weight).over(group)})
     ranged = (histogram.repartitionByRange(shuffle_partitions(histogram), *by, order)
               .withColumn("_part", F.spark_partition_id()))
     stored = materialize(ranged, "ranged")
@@ -53,21 +67,20 @@ def running_totals(histogram: DataFrame, by: Sequence[str], order: str, weight:
             .drop("_part", "_before", "_within"))
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-              by: Sequence[str] = (), small_bytes: int = SMALL_HISTOGRAM_BYTES) -> DataFrame:
-    """Exact quantiles with linear interpolation: (by..., name, p, value).
+def quantiles_of(histogram: DataFrame, probabilities: Sequence[float], by: Sequence[str] = (),
+                 small_bytes: int = SMALL_HISTOGRAM_BYTES) -> DataFrame:
+    """Exact quantiles with linear interpolation from a stored histogram: (by..., name, p, value).
 
-    One histogram for all columns. A small one is finished by `percentile` with
-    frequencies; a large one by running totals over range partitions.
+    A small histogram is finished by `percentile` with frequencies, a large one by
+    running totals over range partitions.
     """
-    histogram = materialize(histogram_of_values(df, columns, by), "histogram")
     levels = [float(p) for p in probabilities]
-    if size_in_bytes(histogram) <= small_bytes:
+    if _small(histogram, small_bytes):
         array = F.array(*[F.lit(p) for p in levels])
         summed = histogram.groupBy(*by, "name").agg(F.percentile("value", array, F.col("n")).alias("_q"))
         return (summed.select(*by, "name", F.posexplode("_q").alias("_i", "value"))
                 .select(*by, "name", F.get(array, F.col("_i")).alias("p"), "value"))
-    totals = running_totals(histogram, [*by, "name"], "value", "n")
+    totals = running_totals(histogram, [*by, "name"], "value", "n", small_bytes)
     # 0-based positions held by a value: upto - n .. upto - 1
     wanted = F.explode(F.array(*[F.lit(p) for p in levels])).alias("p")
     target = F.col("p") * (F.col("total") - 1)
@@ -84,11 +97,18 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
     return held.groupBy(*by, "name", "p").agg((low + (high - low) * share).alias("value"))
 
 
+def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
+              by: Sequence[str] = (), small_bytes: int = SMALL_HISTOGRAM_BYTES) -> DataFrame:
+    """Exact quantiles of several columns from one histogram."""
+    return quantiles_of(histogram_of_values(df, columns, by), probabilities, by, small_bytes)
+
+
 def quantile_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    small_bytes: int = SMALL_HISTOGRAM_BYTES) -> dict[str, dict[float, float]]:
+                    histogram: DataFrame | None = None) -> dict[str, dict[float, float]]:
     """The same as numbers on the driver: len(columns) x len(probabilities) of them."""
+    histogram = histogram_of_values(df, columns) if histogram is None else histogram
     found: dict[str, dict[float, float]] = {column: {} for column in columns}
-    for row in quantiles(df, columns, probabilities, small_bytes=small_bytes).collect():
+    for row in quantiles_of(histogram, probabilities).collect():
         found[row["name"]][row["p"]] = row["value"]
     return found
 
@@ -100,16 +120,18 @@ def _lookup(rows: DataFrame, column: str, table: DataFrame, broadcast_bytes: int
 
 
 def percentile_rank(df: DataFrame, columns: Sequence[str], suffix: str = "_percentile",
-                    broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                    histogram: DataFrame | None = None, broadcast_bytes: int = BROADCAST_BYTES,
+                    small_bytes: int = SMALL_HISTOGRAM_BYTES) -> DataFrame:
     """Average rank of ties divided by the number of non-null values, per column.
 
     All columns share one histogram and one set of running totals. Each is then
     looked up by value: broadcast while it is small, salted join beyond.
     """
-    histogram = materialize(histogram_of_values(df, columns), "histogram")
-    totals = running_totals(histogram, ["name"], "value", "n")
+    histogram = histogram_of_values(df, columns) if histogram is None else histogram
+    totals = running_totals(histogram, ["name"], "value", "n", small_bytes)
     share = (F.col("upto") - F.col("n") + (F.col("n") + 1) / 2) / F.col("total")
-    ranks = materialize(totals.select("name", "value", "n", share.alias("_rank")), "ranks")
+    # One folder per column: each lookup reads only its own.
+    ranks = materialize(totals.select("name", "value", "n", share.alias("_rank")), "ranks", "name")
     result = df
     for column in columns:
         one = (ranks.where(F.col("name") == column)

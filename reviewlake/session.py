@@ -60,15 +60,16 @@ def release_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, *folders: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage with a table that outlives lost executors, and gives the
-    planner exact sizes. Columns are still pruned on the way back.
+    planner exact sizes. Columns, and with `folders` also partitions, are still
+    pruned on the way back.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(*folders) if folders else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

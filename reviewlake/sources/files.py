@@ -263,7 +263,7 @@ def split_lines(lines: DataFrame, delimiter: str, sample: Sequence[str], min_fil
 
 
 def validate_files(spark: SparkSession, path: str, file_format: str, ddl: str) -> DataFrame:
-    """(file, rows, bad_rows, cells, columns, size_mb, status) per file of a folder."""
+    """(file, rows, bad_rows, columns, size_mb, status) per file of a folder."""
     schema = StructType.fromDDL(ddl)
     corrupt = "_corrupt_record"
     full = StructType([*schema.fields, StructField(corrupt, StringType())])
@@ -275,9 +275,9 @@ def validate_files(spark: SparkSession, path: str, file_format: str, ddl: str) -
     filled = F.size(F.array_compact(F.array(*[F.col(name).cast("string") for name in schema.names])))
     per_file = df.select(corrupt, filled.alias("filled"), F.col("_metadata.file_name").alias("file"),
                          F.col("_metadata.file_size").alias("size")).groupBy("file").agg(
-        F.count("*").alias("rows"), F.count(corrupt).alias("bad_rows"), F.sum("filled").alias("cells"),
-        F.max("size").alias("size"))
-    return per_file.select("file", "rows", "bad_rows", "cells", F.lit(len(schema.fields)).alias("columns"),
+        F.count("*").alias("rows"),
+        F.count_if(F.col(corrupt).isNotNull() & (F.col("filled") >= 0)).alias("bad_rows"), F.max("size").alias("size"))
+    return per_file.select("file", "rows", "bad_rows", F.lit(len(schema.fields)).alias("columns"),
                            (F.col("size") / (1024 * 1024)).alias("size_mb"),
                            F.when(F.col("bad_rows") > 0, "error").otherwise("valid").alias("status"))
 
