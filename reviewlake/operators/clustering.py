@@ -69,6 +69,27 @@ def _kmeans(matrix: DataFrame, k: int, seed: int, n_init: int) -> tuple[DataFram
     return best[0].transform(matrix).withColumnRenamed("prediction", "cluster"), best[1]
 
 
+def _mixture(matrix: DataFrame, k: int, seed: int, n_init: int) -> tuple[DataFrame, float]:
+    """Best of `n_init` starts by likelihood, given per row."""
+    best = None
+    for start in range(n_init):
+        model = GaussianMixture(k=k, seed=seed + start).fit(matrix)
+        likelihood = model.summary.logLikelihood
+        if best is None or likelihood > best[1]:
+            best = (model, likelihood)
+    rows = best[0].transform(matrix).withColumnRenamed("prediction", "cluster").drop("probability")
+    return rows, best[1] / matrix.count()
+
+
+def _bisecting(matrix: DataFrame, k: int, seed: int) -> DataFrame:
+    """Hierarchical splits. Centered data is moved off the origin first: a split starts from a
+    disturbance proportional to the length of the center, which would be nothing there.
+    """
+    moved = matrix.withColumn("_moved", array_to_vector(F.transform(vector_to_array("features"), lambda x: x + 1)))
+    model = BisectingKMeans(k=k, seed=seed, maxIter=50, featuresCol="_moved").fit(moved)
+    return model.transform(moved).withColumnRenamed("prediction", "cluster").drop("_moved")
+
+
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None, :], 0.0)
 
@@ -143,12 +164,9 @@ def perform_clustering(df: DataFrame, method: str = "kmeans", n_clusters: int =
     if method == "kmeans":
         rows, measures["inertia"] = _kmeans(matrix, n_clusters, seed, n_init)
     elif method == "gmm":
-        model = GaussianMixture(k=n_clusters, seed=seed).fit(matrix)
-        rows = model.transform(matrix).withColumnRenamed("prediction", "cluster").drop("probability")
-        measures["log_likelihood"] = model.summary.logLikelihood / matrix.count()
+        rows, measures["log_likelihood"] = _mixture(matrix, n_clusters, seed, n_init)
     elif method == "agglomerative":
-        model = BisectingKMeans(k=n_clusters, seed=seed).fit(matrix)
-        rows = model.transform(matrix).withColumnRenamed("prediction", "cluster")
+        rows = _bisecting(matrix, n_clusters, seed)
     elif method == "spectral":
         rows = _spectral(matrix, n_clusters, seed)
     else:
@@ -200,15 +218,13 @@ def find_optimal_clusters(df: DataFrame, max_clusters: int = 12, method: str = "
     """Try 2..max (at most 12) clusters; best silhouette, else best Calinski-Harabasz, else 3."""
     columns = list(columns or feature_columns(df))
     matrix = materialize(scaled_matrix(df, columns), "matrix")
-    rows_total = matrix.count()
     tried: list[dict] = []
     for k in range(2, min(max_clusters, 12) + 1):
         if method == "kmeans":
             rows, inertia = _kmeans(matrix, k, seed, n_init)
         elif method == "gmm":
-            model = GaussianMixture(k=k, seed=seed).fit(matrix)
-            rows = model.transform(matrix).withColumnRenamed("prediction", "cluster")
-            inertia = -model.summary.logLikelihood / rows_total
+            rows, likelihood = _mixture(matrix, k, seed, n_init)
+            inertia = -likelihood
         else:
             raise ValueError(f"cannot search with {method!r}")
         tried.append({"k": k, "inertia": float(inertia), **cluster_metrics(rows)})

@@ -217,7 +217,9 @@ def load_uploaded_data(spark: SparkSession, path: str, min_filled: float = 0.1)
         raise ValueError(f"unsupported file format: {path}")
     head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 8192).alias("head"))
     encoding = sniff_encoding(bytes(head.orderBy("head").first()["head"]))
+    wide = encoding.startswith(("UTF-16", "UTF-32"))  # line ends are not single bytes: read file by file
     lines = (spark.read.option("encoding", encoding).option("sep", "\x01").option("quote", "\x02")
+             .option("multiLine", wide)
              .schema("line string").csv(path)
              .select(F.trim(F.regexp_replace("line", "﻿", "")).alias("line")).where(F.col("line") != ""))
     sample = [row["line"] for row in lines.limit(5).collect()]
@@ -285,7 +287,7 @@ def validate_files(spark: SparkSession, path: str, file_format: str, ddl: str) -
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """`ts [LEVEL] Component - message | user_id=... request_id=...` lines as a table."""
     line = F.col("value")
-    pattern = r"^(\S+ \S+) \[(\w+)\] ([^-]+?) - (.*?)(?: \| (.*))?$"
+    pattern = r"^(\S+ \S+) \[(\w+)\] (.+?) - (.*?)(?: \| (.*))?$"
 
     def part(at: int) -> Column:
         return F.nullif(F.regexp_extract(line, pattern, at), F.lit(""))
