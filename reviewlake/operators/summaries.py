@@ -235,30 +235,30 @@ def rating_metrics(df: DataFrame) -> DataFrame:
                   _share(rating >= 4).alias("high_rating_ratio"), _share(rating <= 2).alias("low_rating_ratio"))
 
 
-def analytics_summary(reviews: DataFrame, products: DataFrame, users: DataFrame) -> DataFrame:
+def analytics_summary(reviews: DataFrame, products: DataFrame, users: DataFrame, digits: int = 2) -> DataFrame:
     """Review figures with the number of products and users."""
     rating = F.col("rating")
     return reviews.agg(
-        F.count("*").alias("total_reviews"), F.round(F.avg(rating), 2).alias("average_rating"),
+        F.count("*").alias("total_reviews"), F.bround(F.avg(rating), digits).alias("average_rating"),
         *[F.count_if(rating == k).alias(f"rating_{k}") for k in range(1, 6)]).select(
         "*", products.agg(F.count("*")).scalar().alias("total_products"),
         users.agg(F.count("*")).scalar().alias("total_users"))
 
 
-def review_batch(df: DataFrame, group: str | None = None) -> DataFrame:
+def review_batch(df: DataFrame, group: str | None = None, digits: int = 2) -> DataFrame:
     """Review figures of a batch of events, in total or per device / location."""
     rating = F.col("rating")
     grouped = df.groupBy(group) if group else df.groupBy()
-    return grouped.agg(F.count("*").alias("total_reviews"), F.round(F.avg(rating), 2).alias("average_rating"),
+    return grouped.agg(F.count("*").alias("total_reviews"), F.bround(F.avg(rating), digits).alias("average_rating"),
                        *[F.count_if(rating == k).alias(f"rating_{k}") for k in range(1, 6)])
 
 
-def purchase_batch(df: DataFrame, group: str | None = None) -> DataFrame:
+def purchase_batch(df: DataFrame, group: str | None = None, digits: int = 2) -> DataFrame:
     """Orders, revenue and mean order value of a batch of purchases, in total or per payment method."""
     amount = F.coalesce(F.col("total_amount"), F.col("amount")) if "total_amount" in df.columns else F.col("amount")
     grouped = df.groupBy(group) if group else df.groupBy()
-    return grouped.agg(F.count("*").alias("total_orders"), F.round(F.sum(amount), 2).alias("total_revenue"),
-                       F.round(F.avg(amount), 2).alias("average_order_value"))
+    return grouped.agg(F.count("*").alias("total_orders"), F.bround(F.sum(amount), digits).alias("total_revenue"),
+                       F.bround(F.avg(amount), digits).alias("average_order_value"))
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:

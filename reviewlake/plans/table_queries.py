@@ -518,33 +518,33 @@ def a23(spark, base):
 
 
 @query("a25_analytics_summary", with_sql("product_ratings") + f"""
-SELECT count(*) AS total_reviews, round(avg(rating), 2) AS average_rating, {_RATING_COUNTS},
+SELECT count(*) AS total_reviews, round(avg(rating), 8) AS average_rating, {_RATING_COUNTS},
        (SELECT count(*) FROM part) AS total_products, (SELECT count(*) FROM customer) AS total_users
 FROM product_ratings""")
 def a25(spark, base):
-    return summaries.analytics_summary(lens.product_ratings(spark, base), _products(spark, base), _users(spark, base))
+    return summaries.analytics_summary(lens.product_ratings(spark, base), _products(spark, base), _users(spark, base), 8)
 
 
 @query("a26_review_batch", with_sql("product_ratings") + f"""
-SELECT device_type, count(*) AS total_reviews, round(avg(rating), 2) AS average_rating, {_RATING_COUNTS}
+SELECT device_type, count(*) AS total_reviews, round(avg(rating), 8) AS average_rating, {_RATING_COUNTS}
 FROM product_ratings GROUP BY 1""")
 def a26(spark, base):
-    return summaries.review_batch(lens.product_ratings(spark, base), "device_type")
+    return summaries.review_batch(lens.product_ratings(spark, base), "device_type", 8)
 
 
 @query("a26_review_batch_location", with_sql("product_ratings") + f"""
-SELECT location, count(*) AS total_reviews, round(avg(rating), 2) AS average_rating, {_RATING_COUNTS}
+SELECT location, count(*) AS total_reviews, round(avg(rating), 8) AS average_rating, {_RATING_COUNTS}
 FROM product_ratings GROUP BY 1""")
 def a26_location(spark, base):
-    return summaries.review_batch(lens.product_ratings(spark, base), "location")
+    return summaries.review_batch(lens.product_ratings(spark, base), "location", 8)
 
 
 @query("a27_purchase_batch", with_sql("stream_events") + """
-SELECT payment_method, count(*) AS total_orders, round(sum(amount), 2) AS total_revenue,
-       round(avg(amount), 2) AS average_order_value FROM stream_events WHERE event_type = 'purchase' GROUP BY 1""")
+SELECT payment_method, count(*) AS total_orders, round(sum(amount), 8) AS total_revenue,
+       round(avg(amount), 8) AS average_order_value FROM stream_events WHERE event_type = 'purchase' GROUP BY 1""")
 def a27(spark, base):
     purchases = lens.stream_events(spark, base).where("event_type = 'purchase'")
-    return summaries.purchase_batch(purchases, "payment_method")
+    return summaries.purchase_batch(purchases, "payment_method", 8)
 
 
 @query("a28_histogram", """
