@@ -115,26 +115,27 @@ def segmentation_features(df: DataFrame) -> DataFrame:
     return df.withColumns(extra)
 
 
-def _group_means(df: DataFrame, key: str, score: str, extra: tuple[str, ...]) -> DataFrame:
+def _group_means(df: DataFrame, key: str, score: str, extra: tuple[str, ...], digits: int) -> DataFrame:
     def mean(name: str, alias: str) -> Column:
         value = F.avg(name) if name in df.columns else F.lit(0.0)
-        return F.bround(value, 3).alias(alias)
+        return F.bround(value, digits).alias(alias)
 
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.bround(F.avg(score), 3).alias("avg_score"), F.bround(F.stddev_samp(score), 3).alias("score_std"),
+        F.bround(F.avg(score), digits).alias("avg_score"), F.bround(F.stddev_samp(score), digits).alias("score_std"),
         F.count(score).alias("review_count"), mean("review_length", "avg_review_length"),
         mean("helpfulness_ratio", "avg_helpfulness"), mean("sentiment_score", "avg_sentiment"),
         *[mean(name, "positive_ratio") for name in extra])
 
 
-def user_segment_features(df: DataFrame, user: str = "user_id", score: str = "rating") -> DataFrame:
+def user_segment_features(df: DataFrame, user: str = "user_id", score: str = "rating", digits: int = 3) -> DataFrame:
     """Means per user with at least two reviews."""
-    return _group_means(df, user, score, ()).where(F.col("review_count") >= 2)
+    return _group_means(df, user, score, (), digits).where(F.col("review_count") >= 2)
 
 
-def product_segment_features(df: DataFrame, product: str = "product_id", score: str = "rating") -> DataFrame:
+def product_segment_features(df: DataFrame, product: str = "product_id", score: str = "rating",
+                             digits: int = 3) -> DataFrame:
     """Means per product with at least three reviews."""
-    return _group_means(df, product, score, ("is_positive",)).where(F.col("review_count") >= 3)
+    return _group_means(df, product, score, ("is_positive",), digits).where(F.col("review_count") >= 3)
 
 
 def review_segment_features(df: DataFrame, score: str = "rating") -> DataFrame:

@@ -367,9 +367,9 @@ def g01(spark, base):
 
 
 def _segment_sql(key: str, minimum: int, extra: str = "") -> str:
-    return f"""SELECT {key}, round_even(avg(rating), 3) AS avg_score, round_even(stddev_samp(rating), 3) AS score_std,
-      count(rating) AS review_count, round_even(avg({WORDS}), 3) AS avg_review_length, round_even(avg({HELPFUL}), 3) AS avg_helpfulness,
-      round_even(avg(sentiment_score), 3) AS avg_sentiment{extra} FROM texts GROUP BY 1 HAVING count(rating) >= {minimum}"""
+    return f"""SELECT {key}, round(avg(rating), 8) AS avg_score, round(stddev_samp(rating), 8) AS score_std,
+      count(rating) AS review_count, round(avg({WORDS}), 8) AS avg_review_length, round(avg({HELPFUL}), 8) AS avg_helpfulness,
+      round(avg(sentiment_score), 8) AS avg_sentiment{extra} FROM texts GROUP BY 1 HAVING count(rating) >= {minimum}"""
 
 
 def _segment_rows(spark, base):
@@ -378,13 +378,13 @@ def _segment_rows(spark, base):
 
 @query("g02_user_segment_features", with_sql("texts") + _segment_sql("user_id", 2))
 def g02(spark, base):
-    return segments.user_segment_features(_segment_rows(spark, base))
+    return segments.user_segment_features(_segment_rows(spark, base), digits=8)
 
 
 @query("g03_product_segment_features", with_sql("texts") + _segment_sql(
-    "product_id", 3, ", round_even(avg(CAST(rating >= 4 AS INTEGER)), 3) AS positive_ratio"))
+    "product_id", 3, ", round(avg(CAST(rating >= 4 AS INTEGER)), 8) AS positive_ratio"))
 def g03(spark, base):
-    return segments.product_segment_features(_segment_rows(spark, base))
+    return segments.product_segment_features(_segment_rows(spark, base), digits=8)
 
 
 def _segmented(rows, columns, per_segment):
