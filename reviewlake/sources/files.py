@@ -191,6 +191,21 @@ def sniff_encoding(head: bytes) -> str:
     return "ISO-8859-1"
 
 
+def file_head(spark: SparkSession, path: str, size: int = 8192) -> bytes:
+    """First bytes of a file, or of the first file with content in a folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = [status for status in system.listStatus(target)
+              if status.isFile() and status.getLen() > 0 and not status.getPath().getName().startswith(("_", "."))]
+    if not listed:
+        raise ValueError(f"no content in {path}")
+    stream = system.open(min((status.getPath() for status in listed), key=lambda one: one.getName()))
+    try:
+        return bytes(stream.readNBytes(size))
+    finally:
+        stream.close()
+
+
 def score_delimiters(lines: Sequence[str], delimiters: Sequence[str] = DELIMITERS) -> dict[str, float]:
     """Largest count per line times its consistency over the lines."""
     scores = {}
@@ -215,8 +230,7 @@ def load_uploaded_data(spark: SparkSession, path: str, min_filled: float = 0.1)
     lower = path.rstrip("/").lower()
     if not lower.endswith(EXTENSIONS) and "." in lower.rsplit("/", 1)[-1]:
         raise ValueError(f"unsupported file format: {path}")
-    head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 8192).alias("head"))
-    encoding = sniff_encoding(bytes(head.orderBy("head").first()["head"]))
+    encoding = sniff_encoding(file_head(spark, path))
     wide = encoding.startswith(("UTF-16", "UTF-32"))  # line ends are not single bytes: read file by file
     lines = (spark.read.option("encoding", encoding).option("sep", "\x01").option("quote", "\x02")
              .option("multiLine", wide)

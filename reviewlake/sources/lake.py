@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from reviewlake.operators.profile import null_free_share
 from reviewlake.operators.relational import read_with, union_all
+from reviewlake.session import size_in_bytes
 
 LAYERS = ("raw", "processed", "curated", "archive")
 FORMATS = ("parquet", "json", "csv")
@@ -130,26 +131,34 @@ class Lake:
         partitions = list(partition_columns or [])
         df = with_date_parts(data, partitions)
         path = f"{self.root}/{layer}/{name}/v={uuid.uuid4().hex}"
-        write_files(df, path, file_format, partitions, compression)
         try:
             old = self._entry(name, layer)
         except KeyError:
             old = None
-        if old and not overwrite and old["format"] != file_format:
-            raise ValueError(f"{name} is stored as {old['format']}")
-        paths = [path] if overwrite or old is None else [*old["paths"], path]
-        schema = df.schema.json()
-        stored = self._read_paths(paths, file_format, schema)
-        quality = null_free_share(stored).first()
-        files = stored.select("_metadata.file_path", "_metadata.file_size") if len(paths) == 1 else union_all(
-            [self._read_paths([one], file_format, schema).select("_metadata.file_path", "_metadata.file_size")
-             for one in paths])
-        sizes = files.groupBy("file_path").agg(F.max("file_size").alias("size")).agg(
-            F.count("*").alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+        kept = {} if overwrite or old is None else old
+        merged = df.schema
+        if kept:
+            before = StructType.fromJson(json.loads(kept["schema"]))
+            if kept["format"] != file_format:
+                raise ValueError(f"{name} is stored as {kept['format']}")
+            if file_format == "csv" and before.names != merged.names:
+                raise ValueError(f"{name} has the columns {before.names}")
+            # New columns are null in the rows that are there already, and the other way round.
+            merged = StructType([*before.fields, *[one for one in merged.fields if one.name not in before.names]])
+        write_files(df, path, file_format, partitions, compression)
+        paths = [*kept.get("paths", []), path]
+        schema = merged.json()
+        # Only the new folder is looked at; the figures of the kept ones are in the catalog.
+        part = self._read_paths([path], file_format, df.schema.json())
+        found = null_free_share(part).first()
+        rows = found["row_count"] + kept.get("row_count", 0)
+        quality = found["data_quality_score"] if not kept or not rows else (
+            found["data_quality_score"] * found["row_count"] + kept["quality_score"] * kept["row_count"]) / rows
         now = self.spark.range(1).select(F.current_timestamp()).first()[0]
         self._record(dataset=name, layer=layer, format=file_format, compression=compression, partitions=partitions,
-                     schema=schema, paths=paths, total_files=sizes["files"], total_bytes=sizes["bytes"],
-                     row_count=quality["row_count"], quality_score=quality["data_quality_score"],
+                     schema=schema, paths=paths, total_files=len(part.inputFiles()) + kept.get("total_files", 0),
+                     total_bytes=size_in_bytes(part) + kept.get("total_bytes", 0), row_count=rows,
+                     quality_score=quality,
                      tags=list(tags or [layer]), created_at=old["created_at"] if old else now, updated_at=now)
         return path
 

@@ -142,6 +142,12 @@ def test_append_replace_and_refusals(spark, lake):
         lake.read_dataset("missing")
 
 
+def test_appended_columns_are_merged(spark, lake):
+    lake.write_dataset(spark.createDataFrame([(1, "a")], "k int, v string"), "d")
+    lake.write_dataset(spark.createDataFrame([(2, 5)], "k int, n int"), "d")
+    assert sorted(map(tuple, lake.read_dataset("d").collect())) == [(1, "a", None), (2, None, 5)]
+
+
 def test_columns_unknown_to_the_dataset(spark, lake):
     lake.write_dataset(spark.range(1), "p")
     lake.write_dataset(spark.range(1), "j", file_format="json")
