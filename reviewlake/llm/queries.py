@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import bpe, chat, contamination, urls
+from reviewlake.llm import bpe, chat, contamination, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,3 +94,9 @@ def op10_byte_bpe(spark, base):
     vocabulary = bpe.Vocabulary(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     coded = bpe.round_trip(table(spark, base, "documents"), vocabulary, keep=["doc_id"])
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op7_simhash_near_dedup")
+def op7_simhash_near_dedup(spark, base):
+    found = simhash.near_duplicates(table(spark, base, "documents").select("doc_id", "text"), shingle=4, radius=4)
+    return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
