@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import bpe, chat, contamination, simhash, urls
+from reviewlake.llm import bpe, chat, contamination, simhash, suffixes, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -100,3 +100,23 @@ def op10_byte_bpe(spark, base):
 def op7_simhash_near_dedup(spark, base):
     found = simhash.near_duplicates(table(spark, base, "documents").select("doc_id", "text"), shingle=4, radius=4)
     return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query("op2_suffix_dedup", """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, p, substring(h, 2 * p + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS p FROM d WHERE len(h) >= 200)),
+again AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS nth FROM windows) WHERE nth > 1),
+islands AS (SELECT doc_id, p, sum(CASE WHEN p > before + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS island
+            FROM (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM again)),
+runs AS (SELECT doc_id, min(p) AS s, max(p) + 100 AS e FROM islands GROUP BY doc_id, island),
+gaps AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS prev FROM runs),
+kept AS (SELECT doc_id, string_agg(substring(h, 2 * prev + 1, 2 * (s - prev)), '' ORDER BY s) || substring(any_value(h), 2 * max(e) + 1) AS k,
+                sum(e - s) AS removed, count(*) AS spans FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""")
+def op2_suffix_dedup(spark, base):
+    documents = table(spark, base, "documents").select("doc_id", "text")
+    found = suffixes.remove_repeats(documents, length=100, keep=["doc_id"])
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
