@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 from hashlib import sha256
 from itertools import chain
 
@@ -12,32 +13,63 @@ from pyspark.sql import functions as F
 
 from reviewlake.llm.batches import add_columns
 
-#: Pieces whose ids one Python worker remembers, and the longest such piece in bytes.
-REMEMBERED, REMEMBERED_BYTES = 400_000, 64
+#: Pieces whose ids one Python worker remembers beside those of its last batch, and the longest such piece.
+REMEMBERED, REMEMBERED_LENGTH = 400_000, 64
 
 #: A rank is `group` (high bits) and a bit of the group's 256-bit word.
 GROUP_BITS, GROUP_MASK = 8, 255
 
-#: A pair of ids is one integer: left << PAIR_BITS | right.
+#: A pair of ids is one integer: left << PAIR_BITS | right. BARRIER is no id and pairs with none.
 PAIR_BITS = 20
+BARRIER = (1 << PAIR_BITS) - 1
 
+#: Bytes of new pieces that are merged together.
+TOGETHER = 4_000
 
-class Coder(dict):
-    """Ids of pieces by piece; a missing one is merged. Holds the ranks and the tables made from them.
 
-    Positions of a piece form a linked list. Every mergeable pair stands in the bucket of its rank, and two
-    levels of bitmaps say which buckets hold anything, so that find-first-set gives the least rank. Entries
-    whose pair has changed since are skipped. A piece of n bytes takes n log n time at most, however long.
+class Pieces(dict):
+    """Ids by piece. A new piece gets an empty list, and stands in `empty` until that is filled.
+
+    `age` sets what is known aside; a piece that is asked for again comes back from there, the rest goes next time.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self):
         super().__init__()
-        if len(ranks) >= 1 << PAIR_BITS:
+        self.empty: dict[str, list[int]] = {}
+        self.aside: dict[str, list[int]] = {}
+
+    def __missing__(self, piece: str) -> list[int]:
+        ids = self.aside.get(piece)
+        if ids is None:
+            ids = self.empty[piece] = []
+        self[piece] = ids
+        return ids
+
+    def age(self) -> None:
+        self.aside = dict(self)
+        self.clear()
+
+
+class Coder:
+    """Ids of texts and bytes of ids, by the ranks and the tables made from them.
+
+    Pieces that are not remembered are merged together. Their positions form linked lists with a barrier between
+    pieces. Every mergeable pair stands in the bucket of its rank, and two levels of bitmaps say which buckets hold
+    anything, so that find-first-set gives the least rank. Entries whose pair has changed since are skipped. Since no
+    pair crosses a barrier, each piece sees its own pairs in the order of their ranks, as if it were alone. A piece of
+    n bytes takes n log n time at most, however long.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        if len(ranks) >= BARRIER:
             raise ValueError("too many ranks")
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.decimal = {rank: str(rank) for rank in ranks.values()}
+        self.own = {rank: rank for rank in ranks.values()}  # one object for each rank, so that ids share few of them
         self.single = [ranks[bytes([value])] for value in range(256)]
+        self.remembered = Pieces()
         self.pairs: dict[int, int] = {}
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -45,87 +77,106 @@ class Coder(dict):
                 if left is not None and right is not None:
                     self.pairs[left << PAIR_BITS | right] = rank
 
-    def __missing__(self, piece: str) -> list[int]:
-        data = piece.encode()
-        whole = self.ranks.get(data)
-        ids = [whole] if whole is not None else self.merge(data)
-        if len(data) <= REMEMBERED_BYTES:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    def merge(self, data: bytes) -> list[int]:
+    def merge(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of each piece (of one byte at least)."""
         single, pair = self.single, self.pairs.get
-        ids = [single[value] for value in data]
+        ids = [BARRIER]
+        for piece in pieces:
+            ids.extend([single[value] for value in piece])
+            ids.append(BARRIER)
         size = len(ids)
-        after, before = list(range(1, size + 1)), list(range(-1, size))
-        rank_at = [-1] * (size + 1)
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        rank_at = [pair(left << PAIR_BITS | right, -1) for left, right in zip(ids, ids[1:])]
+        rank_at.append(-1)
         buckets: dict[int, list[int]] = {}
-        groups, words = 0, {}
-        left = ids[0] if ids else 0
-        for at in range(size - 1):
-            right = ids[at + 1]
-            rank = pair(left << PAIR_BITS | right, -1)
-            left = right
+        for at, rank in enumerate(rank_at):
             if rank >= 0:
-                rank_at[at] = rank
                 if rank in buckets:
                     buckets[rank].append(at)
                 else:
                     buckets[rank] = [at]
-                    group = rank >> GROUP_BITS
-                    words[group] = words.get(group, 0) | 1 << (rank & GROUP_MASK)
-                    groups |= 1 << group
+        words: dict[int, int] = {}
+        for rank in buckets:
+            words[rank >> GROUP_BITS] = words.get(rank >> GROUP_BITS, 0) | 1 << (rank & GROUP_MASK)
+        groups = sum(1 << group for group in words)
         while groups:
             group = (groups & -groups).bit_length() - 1
             word = words[group]
-            rank = group << GROUP_BITS | (word & -word).bit_length() - 1
-            word &= word - 1
-            if word:
-                words[group] = word
-            else:
-                del words[group]
+            rank = self.own[group << GROUP_BITS | (word & -word).bit_length() - 1]
+            words[group] = word = word & word - 1
+            if not word:
                 groups &= groups - 1
             bucket = buckets.pop(rank)
-            if len(bucket) > 1:
-                bucket.sort()
+            bucket.sort()
+            fresh = []  # ranks whose buckets are new
             for done, at in enumerate(bucket, 1):
                 if rank_at[at] != rank:
                     continue
                 gone = after[at]
-                follower = after[gone]
-                ids[at], rank_at[gone], after[at], before[follower] = rank, -1, follower, at
-                lower = False
-                for place, key in ((before[at], None), (at, follower)):
-                    if place < 0:
-                        continue
-                    other = ids[after[place]] if after[place] < size else -1
-                    fresh = pair(ids[place] << PAIR_BITS | other, -1) if other >= 0 else -1
-                    rank_at[place] = fresh
-                    if fresh >= 0:
-                        lower |= fresh < rank
-                        if fresh in buckets:
-                            buckets[fresh].append(place)
-                        else:
-                            buckets[fresh] = [place]
-                            group = fresh >> GROUP_BITS
-                            words[group] = words.get(group, 0) | 1 << (fresh & GROUP_MASK)
-                            groups |= 1 << group
-                if lower and done < len(bucket):  # a smaller rank goes first; the rest waits in its bucket
-                    buckets[rank] = bucket[done:]
-                    group = rank >> GROUP_BITS
-                    words[group] = words.get(group, 0) | 1 << (rank & GROUP_MASK)
-                    groups |= 1 << group
+                right = after[gone]
+                left = before[at]
+                ids[at], after[at], before[right], rank_at[gone] = rank, right, at, -1
+                rank_at[at] = new = pair(rank << PAIR_BITS | ids[right], -1)
+                if new >= 0:
+                    if new in buckets:
+                        buckets[new].append(at)
+                    else:
+                        buckets[new] = [at]
+                        fresh.append(new)
+                rank_at[left] = other = pair(ids[left] << PAIR_BITS | rank, -1)
+                if other >= 0:
+                    if other in buckets:
+                        buckets[other].append(left)
+                    else:
+                        buckets[other] = [left]
+                        fresh.append(other)
+                if 0 <= new < rank or 0 <= other < rank:  # a smaller rank goes first; the rest waits in its bucket
+                    if done < len(bucket):
+                        buckets[rank] = bucket[done:]
+                        fresh.append(rank)
                     break
-        out, at = [], 0
-        while at < size:
-            out.append(ids[at])
-            at = after[at]
+            for rank in fresh:
+                group = rank >> GROUP_BITS
+                words[group] = words.get(group, 0) | 1 << (rank & GROUP_MASK)
+                groups |= 1 << group
+        out, at = [], 1
+        for _ in pieces:
+            found = []
+            while ids[at] != BARRIER:
+                found.append(ids[at])
+                at = after[at]
+            out.append(found)
+            at += 1
         return out
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, self.split(text))))
+    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text; pieces that several texts share are merged once."""
+        known = self.remembered
+        if len(known) > REMEMBERED:
+            known.age()
+        cut = [list(map(known.__getitem__, self.split(text))) for text in texts]  # lists of ids, new ones still empty
+        together, size = [], 0
+        for piece, ids in known.empty.items():
+            data = piece.encode()
+            if data in self.ranks:
+                ids.append(self.ranks[data])
+                continue
+            together.append((data, ids))
+            size += len(data)
+            if size >= TOGETHER:
+                self._fill(together)
+                together, size = [], 0
+        self._fill(together)
+        for piece in known.empty:
+            if len(piece) > REMEMBERED_LENGTH:
+                del known[piece]
+        known.empty.clear()
+        for pieces in cut:
+            yield list(chain.from_iterable(pieces))
+
+    def _fill(self, together: list[tuple[bytes, list[int]]]) -> None:
+        for (_, ids), found in zip(together, self.merge([data for data, _ in together])):
+            ids.extend(found)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -165,7 +216,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: list
     """
     def start():
         coder = vocabulary.coder()
-        return lambda texts: ([coder.encode(value or "") for value in texts],)
+        return lambda texts: (list(coder.encode([value or "" for value in texts])),)
     return add_columns(df, [text], "ids array<int>", start, keep)
 
 
@@ -187,12 +238,11 @@ def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text", keep:
 
         def rows(texts):
             counts, of_ids, of_bytes, same = [], [], [], []
-            for value in texts:
-                value = value or ""
-                ids = coder.encode(value)
+            texts = [value or "" for value in texts]
+            for value, ids in zip(texts, coder.encode(texts)):
                 back = coder.decode(ids)
                 counts.append(len(ids))
-                of_ids.append(sha256(",".join(map(str, ids)).encode()).hexdigest())
+                of_ids.append(sha256(",".join(map(coder.decimal.__getitem__, ids)).encode()).hexdigest())
                 of_bytes.append(sha256(back).hexdigest())
                 same.append(back == value.encode())
             return counts, of_ids, of_bytes, same

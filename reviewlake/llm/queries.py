@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import bpe, chat, contamination, simhash, suffixes, urls
+from reviewlake.llm import bpe, chat, contamination, languages, pages, rules, simhash, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -120,3 +120,53 @@ def op2_suffix_dedup(spark, base):
     documents = table(spark, base, "documents").select("doc_id", "text")
     found = suffixes.remove_repeats(documents, length=100, keep=["doc_id"])
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_quality_rules", """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[ \\x09-\\x0D]+'), lambda x: x <> '') AS w FROM d),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM base WHERE len(w) >= 8)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM windows) WHERE n > 1),
+repeated AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS k FROM again) GROUP BY doc_id),
+lines AS (SELECT doc_id, line, count(*) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^ \\x09-\\x0D]') GROUP BY doc_id, line),
+dups AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_lines, CAST(sum(n - 1) AS BIGINT) AS n_dup FROM lines GROUP BY doc_id),
+facts AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                 CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_lines, 0) AS n_lines, coalesce(n_dup, 0) AS n_dup_lines,
+                 coalesce(n, 0) AS n_repeat_words, len(regexp_extract_all(t, '[A-Z]')) AS n_upper, len(regexp_extract_all(t, '[a-z]')) AS n_lower,
+                 len(regexp_extract_all(t, '[A-Za-z]|[^\\x00-\\x7F]')) AS n_letters
+          FROM base LEFT JOIN dups USING (doc_id) LEFT JOIN repeated USING (doc_id)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM facts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 100 * n_symbols > 3 * word_chars OR 100 * n_dup_lines > 30 * n_lines OR 100 * n_upper > 60 * (n_upper + n_lower)
+            OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 2 * n_letters < word_chars) AS kept
+FROM judged
+""")
+def op3_quality_rules(spark, base):
+    measured = rules.measure(table(spark, base, "documents"), keep=["doc_id"])
+    judged = rules.apply_policies(rules.ledger(measured), rules.BASE, rules.STANDARD)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         (~F.col("kept_base_v1")).alias("base_failed"), F.col("kept_standard_v1").alias("kept"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark, base):
+    documents = table(spark, base, "documents").select("doc_id", "text")
+    held = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.train(documents, table(spark, base, "labels"), ~held)
+    scored = toxicity.score_texts(documents, model, keep=["doc_id"])
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op5_html_extraction")
+def op5_html_extraction(spark, base):
+    found = table(spark, base, "pages")
+    return pages.extract(found, pages.train(found), keep=["page_id", "url"]).select("page_id", "url", "text", "n_chars")
+
+
+@query("op8_language_id")
+def op8_language_id(spark, base):
+    documents = table(spark, base, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(languages.remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = languages.train(documents.where(~held))
+    found = languages.identify(documents.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")

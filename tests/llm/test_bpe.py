@@ -16,10 +16,14 @@ REFERENCE = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, s
 CODER = bpe.Coder(RANKS, P.PATTERN)
 
 
+def encode(text):
+    return next(CODER.encode([text]))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=200))
 def test_any_text(text):
-    ids = CODER.encode(text)
+    ids = encode(text)
     assert ids == REFERENCE.encode_ordinary(text)
     assert CODER.decode(ids) == text.encode()
 
@@ -29,20 +33,26 @@ def test_long_pieces(letters):
     random.seed(len(letters))
     for size in (1, 2, 3, 17, 400, 20_000):
         text = "".join(random.choice(letters) for _ in range(size))
-        assert CODER.encode(text) == REFERENCE.encode_ordinary(text)
+        assert encode(text) == REFERENCE.encode_ordinary(text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="ab th\u00e9\n", max_size=80), max_size=20))
+def test_texts_together(texts):
+    assert list(bpe.Coder.encode(CODER, texts)) == [REFERENCE.encode_ordinary(text) for text in texts]
 
 
 def test_one_very_long_pre_token():
     random.seed(1)
     text = "".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300_000))
-    ids = CODER.encode(text)
+    ids = encode(text)
     assert CODER.decode(ids) == text.encode()
     assert ids[:20_000] == REFERENCE.encode_ordinary(text[:100_000])[:20_000]
 
 
 @pytest.mark.parametrize("special", ["<|endoftext|>", "'s 'T don't", "", "\x1c\x85\u180e", "a  b   \n\n c "])
 def test_special_strings_are_text(special):
-    assert CODER.encode(special) == REFERENCE.encode_ordinary(special)
+    assert encode(special) == REFERENCE.encode_ordinary(special)
 
 
 def test_frames(spark):
