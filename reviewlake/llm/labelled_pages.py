@@ -41,7 +41,7 @@ LAYOUTS = [
     <div class="side column"><ul><li>{s}</li></ul><p>{m}</p></div></div><div class="foot"><p>{s}</p></div></body></html>""",
     """<html><body><header><nav><ul><li><a href="/">{s}</a></li></ul></nav></header><main main><article><h1>{s}</h1><div>{m}</div><div><div>{l}</div></div>
     <p>{l}</p><section><h2>{s}</h2><p>{l}</p><div>{s}</div></section><div not class="notice"><p>{m}</p></div><nav not><ul><li><a href="/">{s}</a></li></ul></nav>
-    <section not class="comments"><h2>{s}</h2><article><p>{l}</p></article><article><p>{m}</p></article></section><footer not><p>{m}</p></footer></article>
+    <section not class="comments"><h2>{s}</h2><div><p>{l}</p></div><div><p>{m}</p></div></section><footer not><p>{m}</p></footer></article>
     <section not id="comments"><h3>{s}</h3><div class="comment"><p>{l}</p><p>{m}</p></div></section><div not class="comment-list"><p>{l}</p></div></main>
     <div class="ad"><p>{m}</p></div><aside><div><p>{m}</p></div></aside><form><p>{s}</p><fieldset><legend>{s}</legend><p>{m}</p></fieldset></form></body></html>""",
 ]

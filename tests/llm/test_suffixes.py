@@ -103,10 +103,10 @@ def test_equal_ids_and_no_ids(spark):
 
 
 def test_cut_characters(spark):
-    passage = "ab" * 50
-    rows = spark.createDataFrame([(1, "é" + passage), (2, "©" + passage + "z")], "doc_id long, text string")
-    got = {row.doc_id: row.kept_text for row in suffixes.remove_repeats(rows).collect()}
-    assert got[2] == "©z"
+    passage = "ab" * 50  # the last byte of é is that of ©
+    rows = spark.createDataFrame([(1, "é" + passage), (2, "©" + passage + "z"), (3, "ä" + passage + "z")], "doc_id long, text string")
+    got = {row.doc_id: (row.kept_text, bytes(row.kept)) for row in suffixes.remove_repeats(rows).collect()}
+    assert got[2] == ("z", b"\xc2z") and got[3] == ("ä", "ä".encode())
     rows = spark.createDataFrame([(1, "é" * 80), (2, "É" + "é" * 80)], "doc_id long, text string")
     got = {row.doc_id: (row.kept_text, bytes(row.kept)) for row in suffixes.remove_repeats(rows).collect()}
     assert got[2][0] == "É" and got[2][1].startswith("É".encode())
