@@ -6,14 +6,33 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewlake.llm import bpe, contamination
+from reviewlake.llm import bpe, contamination, languages, simhash, suffixes
 from reviewlake.llm.queries import RANKS, table
 from reviewlake.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter go, and those in which no language has three tenths of the letters."""
+    held = F.coalesce(languages.remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    return languages.keep_identified(docs, languages.train(docs.where(~held)), least=0.3)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked fingerprints the document with the smallest id stays."""
+    return simhash.keep_first(docs, shingle=4, radius=4)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose what 100-byte strings that also start earlier cover; n_chars is that of the rest."""
+    found = suffixes.remove_repeats(docs, length=100, keep=[name for name in docs.columns if name != "text"])
+    kept = found.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)})
+    return kept.select(*docs.columns)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark windows cover a word in twenty or more go; the others stay as they are."""
     return contamination.remove_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -26,7 +45,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-STAGES: list[tuple[str, Stage]] = [("decontamination", decontaminate), ("bpe", encode)]
+STAGES: list[tuple[str, Stage]] = [("language", identify), ("near_copies", drop_near_copies), ("repeats", drop_repeats),
+                                   ("decontamination", decontaminate), ("bpe", encode)]
 
 #: Learned languages, fingerprints and byte-level merges have no SQL form; tests hold the stages against plain loops.
 ORACLE_SQL = None

@@ -83,3 +83,27 @@ def share_file(spark: SparkSession, data: bytes, label: str) -> str:
         out.close()
     spark.sparkContext.addFile(place)
     return place.rpartition("/")[2]
+
+
+class Scratch:
+    """Tables in the shared folder that outlive lost executors, until `drop` deletes them.
+
+    Dropping also lets Spark delete the shuffle files of the jobs that are over, so that an operator's disk use is
+    that of its largest step.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def store(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(stored)] = path
+        return stored
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table)))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_shuffles(self.spark)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from reviewlake.llm.batches import add_columns, drop_shuffles, make_rows, others
+from reviewlake.llm.batches import Scratch, add_columns, make_rows, others
 from reviewlake.session import materialize
 
 #: Bytes of a string that counts as repeated, of an anchor's piece, and strings that the second round ranks together.
@@ -79,20 +79,25 @@ def place(first, count, before):
     return first << 16 | count << 8 | before
 
 
-def blocks(data: bytes, length: int, core: int) -> tuple[list[int], list[int], list[int]]:
-    """For each block of a text: the core's hash, the digest of all its strings together, its place."""
+NONE = np.empty(0, np.int64)
+
+
+def blocks(data: bytes, length: int, core: int, whole: bool = True) -> tuple[np.ndarray, ...]:
+    """For each block of a text: the core's hash and, if `whole`, the digest of all its strings and its place."""
     if len(data) < length:
-        return [], [], []
+        return NONE, NONE, NONE
     hashes = core_hashes(np.frombuffer(data, np.uint8), core)
     anchor = anchors(hashes, length - core + 1)
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    cores = hashes[anchor[first]].view(np.int64)
+    if not whole:
+        return cores, NONE, NONE
     count = np.diff(np.concatenate([first, [len(anchor)]]))
     before = anchor[first] - first
     digest = xxhash.xxh64_intdigest
-    whole = [digest(data[start:end], ahead) for start, end, ahead in
-             zip(first.tolist(), (first + count + (length - 1)).tolist(), before.tolist())]
-    return (hashes[anchor[first]].view(np.int64).tolist(), np.array(whole, np.uint64).view(np.int64).tolist(),
-            place(first, count, before).tolist())
+    wholes = [digest(data[start:end], ahead) for start, end, ahead in
+              zip(first.tolist(), (first + count + (length - 1)).tolist(), before.tolist())]
+    return cores, np.array(wholes, np.uint64).view(np.int64), place(first, count, before)
 
 
 def parts(data: bytes, start: int, count: int, before: int, length: int, size: int):
@@ -126,44 +131,45 @@ def order_rows(df: DataFrame, id: str, text: str) -> DataFrame:
     return materialize(told.drop("_digest", "_row"), "ordered")
 
 
-def settle(rows: DataFrame, keys: list[str], rest: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows (keys, _ord, place) whose keys occur earlier, and the first row of each keys with its `rest`."""
-    first = rows.groupBy(*keys).agg(F.min(F.struct("_ord", "place", *rest)).alias("first"), F.count(F.lit(1)).alias("n"))
-    again = rows.join(first.where("n > 1").select(*keys, "first"), keys).where(
-        F.struct("_ord", "place") > F.struct("first._ord", "first.place")).select("_ord", "place")
-    return again, first.select(*keys, "first.*")
+def settle(scratch: Scratch, rows: DataFrame, rest: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Stored rows (_ord, place) whose pair (core, whole) occurs earlier; and the contested ones, with `rest`.
 
-
-def contested(first: DataFrame) -> DataFrame:
-    """Of the first rows of all pairs (core, whole) those whose core stands in several pairs."""
+    Contested are the first rows of those pairs whose core stands in several pairs.
+    """
+    first = scratch.store(rows.groupBy("core", "whole").agg(F.min(F.struct("_ord", "place", *rest)).alias("first"),
+                                                            F.count(F.lit(1)).alias("n")), "first")
+    scratch.drop()
+    again = scratch.store(rows.join(first.where("n > 1").select("core", "whole", "first"), ["core", "whole"]).where(
+        F.struct("_ord", "place") > F.struct("first._ord", "first.place")).select("_ord", "place"), "repeated")
     several = first.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
-    return first.join(several, "core", "left_semi")
+    contested = scratch.store(first.select("core", "first.*").join(several, "core", "left_semi").drop("core"), "contested")
+    scratch.drop(first)
+    return again, contested
 
 
 def repeated_places(docs: DataFrame, text: str, length: int = LENGTH, core: int = CORE, part: int = PART) -> DataFrame:
     """_ord and place of all strings that also start earlier; `docs` has _ord, unique, and the text."""
-    spark = docs.sparkSession
+    scratch = Scratch(docs.sparkSession)
     docs = docs.select("_ord", F.coalesce(text, F.lit("")).alias("text"))
 
+    def cores_only():
+        return lambda texts: (np.concatenate([NONE, *[blocks(value.encode(), length, core, False)[0] for value in texts]]),)
+
     def first_round():
         def rows(ids, texts):
-            out = [], [], [], []
-            for id, value in zip(ids, texts):
-                found = blocks(value.encode(), length, core)
-                for column, values in zip(out, ([id] * len(found[0]), *found)):
-                    column.extend(values)
-            return out
+            found = [blocks(value.encode(), length, core) for value in texts]
+            sizes = [len(cores) for cores, _, _ in found]
+            return (np.repeat(np.array(ids, np.int64), sizes),
+                    *[np.concatenate([NONE, *[each[column] for each in found]]) for column in range(3)])
         return rows
 
+    cores = make_rows(docs, ["text"], "core bigint", cores_only)
+    several = cores.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
     every = make_rows(docs, ["_ord", "text"], "_ord bigint, core bigint, whole bigint, place bigint", first_round)
-    several = every.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
-    ranked = materialize(every.join(several, "core", "left_semi"), "blocks")
-    drop_shuffles(spark)
-
-    again, first = settle(ranked, ["core", "whole"], [])
-    again = materialize(again, "repeated")
-    wanted = contested(first).groupBy("_ord").agg(F.collect_list("place").alias("places"))
-    wanted = docs.join(wanted.hint("shuffle_hash"), "_ord")
+    ranked = scratch.store(every.join(several.hint("shuffle_hash"), "core", "left_semi"), "blocks")
+    scratch.drop()
+    again, contested = settle(scratch, ranked, [])
+    scratch.drop(ranked)
 
     def cut_out():
         def rows(ids, texts, wanted):
@@ -178,9 +184,10 @@ def repeated_places(docs: DataFrame, text: str, length: int = LENGTH, core: int
             return out
         return rows
 
-    strings = materialize(make_rows(wanted, ["_ord", "text", "places"], "_ord bigint, home bigint, data binary", cut_out),
-                          "strings")
-    drop_shuffles(spark)
+    wanted = contested.groupBy("_ord").agg(F.collect_list("place").alias("places"))
+    strings = scratch.store(make_rows(docs.join(wanted.hint("shuffle_hash"), "_ord"), ["_ord", "text", "places"],
+                                      "_ord bigint, home bigint, data binary", cut_out), "strings")
+    scratch.drop(contested)
 
     def second_round():
         def rows(ids, homes, strings):
@@ -192,11 +199,10 @@ def repeated_places(docs: DataFrame, text: str, length: int = LENGTH, core: int
             return out
         return rows
 
-    ranked = make_rows(strings, ["_ord", "home", "data"],
-                       "_ord bigint, home bigint, core bigint, whole bigint, place bigint", second_round)
-    again_parts, first = settle(ranked, ["core", "whole"], ["home"])
-    again_parts = materialize(again_parts, "repeated")
-    wanted = contested(first).groupBy("_ord", "home").agg(F.collect_list("place").alias("places"))
+    ranked = scratch.store(make_rows(strings, ["_ord", "home", "data"],
+                                     "_ord bigint, home bigint, core bigint, whole bigint, place bigint", second_round), "parts")
+    again_parts, contested = settle(scratch, ranked, ["home"])
+    scratch.drop(ranked)
 
     def third_round():
         def rows(ids, homes, strings, wanted):
@@ -214,11 +220,12 @@ def repeated_places(docs: DataFrame, text: str, length: int = LENGTH, core: int
             return out
         return rows
 
-    ranked = make_rows(strings.join(wanted, ["_ord", "home"]), ["_ord", "home", "data", "places"],
-                       "_ord bigint, core bigint, whole bigint, place bigint", third_round)
-    again_strings, _ = settle(ranked, ["core", "whole"], [])
-    again_strings = materialize(again_strings, "repeated")
-    drop_shuffles(spark)
+    wanted = contested.groupBy("_ord", "home").agg(F.collect_list("place").alias("places"))
+    ranked = scratch.store(make_rows(strings.join(wanted, ["_ord", "home"]), ["_ord", "home", "data", "places"],
+                                     "_ord bigint, core bigint, whole bigint, place bigint", third_round), "single")
+    scratch.drop(contested, strings)
+    again_strings, contested = settle(scratch, ranked, [])
+    scratch.drop(ranked, contested)
     return again.unionAll(again_parts).unionAll(again_strings)
 
 
