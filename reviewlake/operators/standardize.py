@@ -86,15 +86,18 @@ def validate_data(df: DataFrame, data_type: str = "general", min_rows: int = 10,
         bad = F.count_if(~F.coalesce(F.col("rating").between(1, 5), F.lit(False)))
     counted = df.agg(F.count("*").alias("total_rows"), bad.alias("bad_ratings"))
     rows = F.col("total_rows")
-    message = F.when(rows == 0, "Data is empty")
-    message = message.when(rows < min_rows, F.concat(F.lit("Insufficient data: only "), rows.cast("string"),
-                                                     F.lit(" rows")))
+    verdict = F.when(rows == 0, "no_rows").when(rows < min_rows, "few_rows")
     if missing:
-        message = message.when(F.lit(True), f"Missing required columns: {missing}")
-    message = message.when(F.col("bad_ratings") > rows * max_bad_share,
-                           F.concat(F.lit("Too many invalid ratings: "), F.col("bad_ratings").cast("string")))
-    return (counted.withColumn("message", message.otherwise("Data validation passed"))
-            .withColumn("is_valid", F.col("message") == "Data validation passed"))
+        verdict = verdict.when(F.lit(True), "no_column")
+    verdict = verdict.when(F.col("bad_ratings") > rows * max_bad_share, "bad_ratings").otherwise("enough")
+    told = {"no_rows": F.lit("the table has no row"), "few_rows": F.format_string("%d rows, fewer than the least number", rows),
+            "no_column": F.lit("not there: " + ", ".join(missing)),
+            "bad_ratings": F.format_string("%d ratings are not from 1 to 5", "bad_ratings"), "enough": F.lit("enough good rows")}
+    message = F.lit(None).cast("string")
+    for code, text in told.items():
+        message = F.when(F.col("verdict") == code, text).otherwise(message)
+    return counted.withColumn("verdict", verdict).withColumn("message", message).withColumn(
+        "is_valid", F.col("verdict") == "enough").drop("verdict")
 
 
 def _kind(dtype: str) -> str:
@@ -123,26 +126,26 @@ def validate_dataframe(df: DataFrame, rules: Mapping[str, Any]) -> DataFrame:
 
     for name in rules.get("required_columns", []):
         if name not in types:
-            add("required", name, F.lit(1), F.lit(f"Missing required columns: {name}"))
+            add("required", name, F.lit(1), F.lit(f"{name} is not there"))
     for name in rules.get("non_null_columns", []):
         if name in types:
             count = F.count_if(F.col(name).isNull())
             add("non_null", name, count,
-                F.concat(F.lit(f"Column '{name}' has "), count.cast("string"), F.lit(" null values")))
+                F.format_string(f"{name.replace('%', '%%')}: %d rows without a value", count))
     for name, expected in rules.get("column_types", {}).items():
         if name in types and expected != _kind(types[name]):
-            add("type", name, F.lit(1), F.lit(f"Column '{name}' should be {expected}"))
+            add("type", name, F.lit(1), F.lit(f"{name} holds no {expected} values"))
     for name, bounds in rules.get("value_ranges", {}).items():
         if name not in types:
             continue
         if bounds.get("min") is not None:
             add("minimum", name, F.count_if(F.col(name) < bounds["min"]),
-                F.lit(f"Column '{name}' has values below minimum {bounds['min']}"))
+                F.lit(f"{name} falls below {bounds['min']}"))
         if bounds.get("max") is not None:
             add("maximum", name, F.count_if(F.col(name) > bounds["max"]),
-                F.lit(f"Column '{name}' has values above maximum {bounds['max']}"))
+                F.lit(f"{name} rises above {bounds['max']}"))
     empty = F.when(F.count("*") == 0, 1).otherwise(0)
-    add("empty", "", empty, F.lit("DataFrame is empty"))
+    add("empty", "", empty, F.lit("the table has no row"))
     wide = df.agg(F.array(*[F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"),
                                      found.alias("found"), message.alias("message"))
                             for check, column, found, message in checks]).alias("_checks"))
@@ -152,7 +155,7 @@ def validate_dataframe(df: DataFrame, rules: Mapping[str, Any]) -> DataFrame:
                   .agg(F.coalesce(F.sum("_extra"), F.lit(0)).cast("bigint").alias("found")))
         result = result.unionByName(copies.select(
             F.lit("duplicates").alias("check"), F.lit("").alias("column"), "found",
-            F.concat(F.lit("Found "), F.col("found").cast("string"), F.lit(" duplicate records")).alias("message")))
+            F.format_string("%d rows are copies of another", "found").alias("message")))
     return result.where(F.col("found") > 0)
 
 

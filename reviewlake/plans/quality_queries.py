@@ -243,13 +243,13 @@ def q15_classes(spark, base):
 
 @query("q16_validity_issues", with_sql("dirty") + f"""
 SELECT * FROM (
-  SELECT 'Invalid Scores' AS issue, 'rating' AS "column", count(*) FILTER (NOT coalesce(rating BETWEEN 1 AND 5, false)) AS count FROM dirty
-  UNION ALL SELECT 'Invalid Helpfulness', 'helpful_votes/total_votes', count(*) FILTER (helpful_votes > total_votes) FROM dirty
-  UNION ALL SELECT 'Future Dates', 'created_at', count(*) FILTER (created_at > {AS_OF}) FROM dirty
-  UNION ALL SELECT 'Extremely Long Text', 'review_text', count(*) FILTER (length(review_text) > 10000) FROM dirty)
+  SELECT 'rating_out_of_range' AS issue, 'rating' AS "column", count(*) FILTER (NOT coalesce(rating BETWEEN 1 AND 5, false)) AS count FROM dirty
+  UNION ALL SELECT 'more_helpful_than_votes', 'helpful_votes/total_votes', count(*) FILTER (helpful_votes > total_votes) FROM dirty
+  UNION ALL SELECT 'after_today', 'created_at', count(*) FILTER (created_at > {AS_OF}) FROM dirty
+  UNION ALL SELECT 'very_long_text', 'review_text', count(*) FILTER (length(review_text) > 10000) FROM dirty)
 WHERE count > 0""")
 def q16(spark, base):
-    return profile.validity_issues(_dirty(spark, base), _as_of()).drop("description")
+    return profile.validity_issues(_dirty(spark, base), _as_of()).drop("meaning")
 
 
 @query("q17_uniqueness", """
@@ -263,17 +263,17 @@ def q17(spark, base):
 
 @query("q18_issues", """
 WITH r AS (SELECT l_quantity, l_extendedprice, l_discount, CASE WHEN l_linenumber > 4 THEN l_tax END AS tax, 1 AS one FROM lineitem)
-SELECT 'High missing values in some columns' AS issue FROM r HAVING count(*) FILTER (tax IS NULL) * 100.0 / count(*) > 20
-UNION ALL SELECT 'Zero variance in one' UNION ALL SELECT 'Duplicate rows detected' FROM r
+SELECT 'mostly_missing' AS issue, '' AS "column" FROM r HAVING count(*) FILTER (tax IS NULL) * 100.0 / count(*) > 20
+UNION ALL SELECT 'constant', 'one' UNION ALL SELECT 'repeated_rows', '' FROM r
 HAVING count(*) > (SELECT count(*) FROM (SELECT DISTINCT * FROM r))
-""" + "".join(f"""UNION ALL SELECT 'High number of outliers in {name}' FROM r, (SELECT quantile_cont({name}, 0.25) AS a,
+""" + "".join(f"""UNION ALL SELECT 'far_values', '{name}' FROM r, (SELECT quantile_cont({name}, 0.25) AS a,
 quantile_cont({name}, 0.75) AS b FROM r) HAVING count(*) FILTER ({name} < a - 1.5 * (b - a) OR {name} > b + 1.5 * (b - a)) > count(*) * 0.05
 """ for name in ("l_quantity", "l_extendedprice", "l_discount", "tax", "one")))
 def q18(spark, base):
     rows = lens.table(spark, base, "lineitem").select(
         "l_quantity", "l_extendedprice", "l_discount",
         F.when(F.col("l_linenumber") > 4, F.col("l_tax")).alias("tax"), F.lit(1).alias("one"))
-    return profile.quality_issues(rows).select("issue")
+    return profile.quality_issues(rows).select("issue", "column")
 
 
 @query("q19_lake_quality", with_sql("dirty") + f"""

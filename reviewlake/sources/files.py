@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import codecs
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from reviewlake.operators import relational
+from reviewlake.session import scratch_path
+
 Outcome = tuple[DataFrame | None, list[str]]
 
 
@@ -39,39 +41,65 @@ def ingest_parquet(spark: SparkSession, path: str, schema: StructType | None = N
     return attempt(lambda: reader.parquet(path), f"Parquet file {path}")
 
 
-def _array_keys(spark: SparkSession, path: str, names: Sequence[str], glob: str | None = None) -> list[str]:
-    """Names of the fields that are arrays with content in any document, in document order."""
-    reader = spark.read.option("wholetext", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    keys = reader.text(path).select(F.posexplode(F.json_object_keys("value")).alias("at", "key"), "value")
-    order = keys.groupBy("key").agg(F.min("at").alias("at")).orderBy("at", "key")
-    found = [row["key"] for row in order.collect()]  # top-level keys of the documents
-    return [key for key in found if key in names]
+def _documents(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """JSON documents (`value`, with the folders' columns); `is_row` marks the lines of a JSON lines file.
+
+    A file with several lines of which each is JSON is a file of lines, which Spark splits; any other file is one
+    document.
+    """
+    def reader():
+        return spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    file = F.col("_metadata.file_path").alias("_file")
+    lines = reader().text(path).select("*", file).where(F.trim("value") != "")
+    judged = lines.groupBy("_file").agg((F.count_if(F.try_parse_json("value").isNull()) == 0).alias("parse"),
+                                        F.count("*").alias("lines"))
+    of_lines = judged.where(F.col("parse") & (F.col("lines") > 1)).select("_file")
+    whole = reader().text(path, wholetext=True).select("*", file).where(F.trim("value") != "")
+    return (lines.join(of_lines, "_file", "left_semi").withColumn("is_row", F.lit(True)).unionByName(
+        whole.join(of_lines, "_file", "left_anti").withColumn("is_row", F.lit(False))).drop("_file"))
+
+
+def _records(documents: DataFrame, choose: Callable[[Column, Column], Column]) -> DataFrame:
+    """Adds `records` (array of variants): a list's elements, the list `choose` finds in an object, else the document.
+
+    choose: the object's keys in their order and its map of variants -> a list or null.
+    """
+    document = F.try_parse_json("value")
+    listed = F.try_variant_get(document, "$", "array<variant>")
+    fields = F.try_variant_get(document, "$", "map<string,variant>")
+    chosen = F.when(~F.col("is_row"), F.coalesce(listed, choose(F.json_object_keys("value"), fields)))
+    return documents.withColumn("records", F.coalesce(chosen, F.array(document)))
+
 
+def _list_of(fields: Column, key: Column) -> Column:
+    """The list under a key; null when it is none."""
+    return F.try_variant_get(F.element_at(fields, key), "$", "array<variant>")
+
+
+def _read_records(records: DataFrame, schema: StructType | str | None = None, *kept: str) -> DataFrame:
+    """Records as rows, by Spark's JSON reader over one record a line; a record that is no object has a column `value`.
+
+    Documents that are no JSON come back in `_corrupt_record`.
+    """
+    spark = records.sparkSession
+    record = F.col("record")
+    is_object = F.startswith(F.schema_of_variant(record), F.lit("OBJECT"))
+    line = F.when(record.isNull(), F.col("value")).when(is_object, F.to_json(record)).otherwise(
+        F.to_json(F.struct(record.alias("value"))))
+    path = scratch_path(spark, "records")
+    records.select(F.explode("records").alias("record"), "value", *kept).select(
+        F.regexp_replace(line, "[\r\n]+", " ").alias("value"), *kept).write.text(path)
+    return (spark.read.schema(schema) if schema is not None else spark.read).json(path)
 
-def _inline(df: DataFrame, name: str) -> DataFrame:
-    """Elements of an array column as rows."""
-    element = df.schema[name].dataType.elementType
-    if isinstance(element, StructType):
-        return df.select(F.inline(name))
-    return df.select(F.explode(name).alias("value"))
+
+def _first_filled(keys: Column, fields: Column) -> Column:
+    return F.get(F.filter(F.transform(keys, lambda key: _list_of(fields, key)), lambda found: F.size(found) > 0), F.lit(0))
 
 
 def ingest_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> Outcome:
-    """A top-level array gives its elements, an object the first non-empty list in it, anything else one row."""
-    def read() -> DataFrame:
-        reader = spark.read.option("multiLine", True)
-        df = (reader.schema(schema) if schema is not None else reader).json(path)
-        arrays = [field.name for field in df.schema.fields if isinstance(field.dataType, ArrayType)]
-        if not arrays:
-            return df
-        filled = df.agg(*[F.max(F.size(name)).alias(name) for name in arrays]).first().asDict()
-        for name in _array_keys(spark, path, arrays):
-            if (filled[name] or 0) > 0:
-                return _inline(df, name)
-        return df
-    return attempt(read, f"JSON file {path}")
+    """Each document for itself: a top-level list gives its elements, an object its first non-empty list, anything
+    else one row. The lines of a JSON lines file are rows."""
+    return attempt(lambda: _read_records(_records(_documents(spark, path), _first_filled), schema), f"JSON file {path}")
 
 
 def ingest_json_lines(spark: SparkSession, path: str, schema: StructType | str | None = None) -> Outcome:
@@ -102,37 +130,37 @@ def ingest_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType
 RECORD_KEYS = ("data", "results", "items", "records")
 
 
+def _known_list(names: Sequence[str]) -> Callable[[Column, Column], Column]:
+    return lambda keys, fields: F.coalesce(*[_list_of(fields, F.lit(name)) for name in names])
+
+
 def ingest_api_responses(spark: SparkSession, path: str, keys: Sequence[str] = RECORD_KEYS,
                          glob: str | None = None) -> Outcome:
-    """Landed API responses: lists as they are, else the first known key holding a list, else one row each."""
-    def read() -> DataFrame:
-        reader = spark.read.option("multiLine", True)
-        if glob:
-            reader = reader.option("pathGlobFilter", glob)
-        df = reader.json(path)
-        for key in keys:
-            if key in df.columns and isinstance(df.schema[key].dataType, ArrayType):
-                return _inline(df, key)
-        return df
-    return attempt(read, f"API responses {path}")
-
-
-def ingest_paginated_api(spark: SparkSession, path: str, page_param: str = "page", max_pages: int = 10,
+    """Landed API responses, each for itself: a list as it is, else the first known key holding a list, else one row."""
+    return attempt(lambda: _read_records(_records(_documents(spark, path, glob), _known_list(keys))), f"API responses {path}")
+
+
+def ingest_paginated_api(spark: SparkSession, path: str, page_param: str = "page", max_pages: int | None = None,
                          keys: Sequence[str] = RECORD_KEYS) -> Outcome:
-    """Landed pages in folders `<page_param>=N`: pages 1..max_pages before the first empty or missing one."""
+    """Landed pages in folders `<page_param>=N`: pages 1, 2, ... before the first empty or missing one.
+
+    `max_pages` ends the reading earlier; a message then says how many pages were left.
+    """
+    told: list[str] = []
+
     def read() -> DataFrame:
-        df = spark.read.option("multiLine", True).json(path)
-        key = next((name for name in keys if name in df.columns), None)
-        page = F.col(page_param).cast("int")
-        sized = df.where(page.between(1, max_pages)).groupBy(page.alias("page")).agg(
-            F.sum(F.size(key) if key else F.lit(1)).alias("records"))
-        present = {row["page"] for row in sized.where(F.col("records") > 0).collect()}  # at most max_pages
-        last = 0
-        while last + 1 in present:
-            last += 1
-        kept = df.where(page.between(1, last))
-        return _inline(kept, key) if key else kept.drop(page_param)
-    return attempt(read, f"pages {path}")
+        records = _records(_documents(spark, path), _known_list(keys)).withColumn("_page", F.col(page_param).cast("int"))
+        filled = records.groupBy("_page").agg(F.sum(F.size("records")).alias("n")).where("n > 0 AND _page > 0")
+        # the first page that does not follow its predecessor ends them; one row for each page
+        order = Window.orderBy("_page")
+        last = filled.select("_page", F.row_number().over(order).alias("nth")).where("_page = nth").agg(
+            F.max("_page")).first()[0] or 0
+        kept = min(last, max_pages) if max_pages is not None else last
+        if kept < last:
+            told.append(f"{last - kept} of {last} pages were not read")
+        return _read_records(records.where(F.col("_page").between(1, kept)))
+    frame, errors = attempt(read, f"pages {path}")
+    return frame, errors + told
 
 
 def ingest_database(spark: SparkSession, url: str, tables: Sequence[str] | None = None, catalog: str | None = None,
@@ -166,54 +194,44 @@ def ingest_database(spark: SparkSession, url: str, tables: Sequence[str] | None
 
 # Messy uploads ------------------------------------------------------------------------------------
 
-# Separators and encodings tried on an upload.
+# Separators tried on an upload, in the order that decides between equal ones.
 DELIMITERS = (",", "\t", ";", "|", ":", " ")
-ENCODINGS = ("utf-8", "utf-8-sig", "latin-1", "cp1252", "iso-8859-1", "utf-16", "utf-16le", "utf-16be", "cp850",
-             "cp437", "ascii", "utf-32", "windows-1252", "iso-8859-15")
 EXTENSIONS = (".csv", ".tsv", ".txt")
 
 
-def sniff_encoding(head: bytes) -> str:
-    """Java name of the encoding of a file head: by byte order mark, else the first that decodes it."""
-    for mark, name in ((codecs.BOM_UTF8, "UTF-8"), (codecs.BOM_UTF16_LE, "UTF-16"), (codecs.BOM_UTF16_BE, "UTF-16")):
-        if head.startswith(mark):
-            return name
-    if head[1:4:2] == b"\0\0":
-        return "UTF-16LE"
-    if head[:4:2] == b"\0\0":
-        return "UTF-16BE"
-    for name in ENCODINGS:
-        try:
-            codecs.getincrementaldecoder(name)().decode(head)
-        except (UnicodeDecodeError, UnicodeError):
-            continue
-        return {"latin-1": "ISO-8859-1", "cp1252": "windows-1252"}.get(name, name.upper())
-    return "ISO-8859-1"
-
-
-def file_head(spark: SparkSession, path: str, size: int = 8192) -> bytes:
-    """First bytes of a file, or of the first file with content in a folder."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    listed = [status for status in system.listStatus(target)
-              if status.isFile() and status.getLen() > 0 and not status.getPath().getName().startswith(("_", "."))]
-    if not listed:
-        raise ValueError(f"no content in {path}")
-    stream = system.open(min((status.getPath() for status in listed), key=lambda one: one.getName()))
-    try:
-        return bytes(stream.readNBytes(size))
-    finally:
-        stream.close()
-
+def file_facts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, encoding, first): judged over all bytes of each file, in one distributed pass.
 
-def score_delimiters(lines: Sequence[str], delimiters: Sequence[str] = DELIMITERS) -> dict[str, float]:
-    """Largest count per line times its consistency over the lines."""
-    scores = {}
-    for delimiter in delimiters:
-        counts = [line.count(delimiter) for line in lines]
-        if counts and max(counts) > 0:
-            scores[delimiter] = max(counts) * (1 - (max(counts) - min(counts)) / max(counts))
-    return scores
+    A byte order mark or zero bytes tell UTF-16; a file of valid UTF-8 is that; any other is ISO-8859-1. first is the
+    first line with content, one character a byte.
+    """
+    raw = (spark.read.option("encoding", "ISO-8859-1").option("sep", "\x01").option("quote", "\x02").schema("line string")
+           .csv(path).select("line", F.col("_metadata.file_path").alias("file"),
+                             F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at")))
+    data = F.encode("line", "ISO-8859-1")
+    zero = F.lit("\0")
+    facts = raw.groupBy("file").agg(
+        F.bool_and(F.is_valid_utf8(data.cast("string"))).alias("utf8"),
+        F.bool_or(F.startswith("line", F.lit("\u00ff\u00fe")) | F.startswith("line", F.lit("\u00fe\u00ff"))).alias("marked"),
+        F.bool_or(F.contains("line", zero)).alias("zeros"),
+        F.sum(F.when(F.substring("line", 1, 1) == zero, 1).otherwise(0)).alias("zero_first"),
+        F.count(F.lit(1)).alias("lines"),
+        F.min_by("line", F.when((F.col("start") == 0) & (F.trim("line") != ""), F.col("at"))).alias("first"))
+    encoding = (F.when(F.col("marked"), "UTF-16").when(F.col("zeros") & (F.col("zero_first") * 2 > F.col("lines")), "UTF-16BE")
+                .when(F.col("zeros"), "UTF-16LE").when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1"))
+    return facts.select("file", encoding.alias("encoding"), "first").where(F.col("first").isNotNull())
+
+
+def best_delimiter(lines: DataFrame, delimiters: Sequence[str] = DELIMITERS) -> str | None:
+    """The separator whose usual number in a line, times the share of lines that have this number, is largest."""
+    tried = F.explode(F.array(*[F.struct(F.lit(at).alias("at"), F.regexp_count("line", F.lit(f"\\Q{one}\\E")).alias("uses"))
+                                for at, one in enumerate(delimiters)])).alias("t")
+    counts = lines.select(tried).groupBy("t.at", "t.uses").agg(F.count(F.lit(1)).alias("n"))
+    usual = counts.groupBy("at").agg(F.max_by("uses", F.struct("n", "uses")).alias("uses"), F.max("n").alias("n"),
+                                     F.sum("n").alias("all"))
+    best = usual.where("uses > 0").select("at", (F.col("uses") * F.col("n") / F.col("all")).alias("score")).orderBy(
+        F.desc("score"), "at").first()
+    return None if best is None else delimiters[best["at"]]
 
 
 def looks_like_header(cells: Sequence[str]) -> bool:
@@ -221,30 +239,49 @@ def looks_like_header(cells: Sequence[str]) -> bool:
     return all(not cell.replace(".", "").replace("-", "").isdigit() for cell in cells)
 
 
-def load_uploaded_data(spark: SparkSession, path: str, min_filled: float = 0.1) -> DataFrame:
-    """Delimited upload of unknown encoding and separator.
+def load_uploaded_data(spark: SparkSession, path: str, min_filled: float = 0.1, count_cells: bool = False) -> DataFrame:
+    """Delimited upload of unknown encoding and separator; rows and columns without content are dropped.
 
-    Both are judged on the head of the file; rows of any width are then split and
-    padded by Spark, and rows or columns without content are dropped.
+    Every file is judged by all of its bytes, the separator by all lines. The first line of a file is left out if it
+    looks like a header, and names the columns of that file; files with other headers are joined by name. Short rows
+    are padded. `count_cells` adds `_cells`, by which rows of an odd width can be told.
     """
     lower = path.rstrip("/").lower()
     if not lower.endswith(EXTENSIONS) and "." in lower.rsplit("/", 1)[-1]:
         raise ValueError(f"unsupported file format: {path}")
-    encoding = sniff_encoding(file_head(spark, path))
-    wide = encoding.startswith(("UTF-16", "UTF-32"))  # line ends are not single bytes: read file by file
-    lines = (spark.read.option("encoding", encoding).option("sep", "\x01").option("quote", "\x02")
-             .option("multiLine", wide)
-             .schema("line string").csv(path)
-             .select(F.trim(F.regexp_replace("line", "﻿", "")).alias("line")).where(F.col("line") != ""))
-    sample = [row["line"] for row in lines.limit(5).collect()]
-    if len(sample) < 2:
-        raise ValueError(f"too few lines in {path}")
+    facts = file_facts(spark, path).orderBy("file").collect()  # one row for each file, as in Spark's own listing
+    if not facts:
+        raise ValueError(f"no content in {path}")
     order = ("\t", ",", ";", "|") if lower.endswith(".tsv") else DELIMITERS
-    scores = score_delimiters(sample, order)
-    if not scores:
+    groups: dict[tuple[str, str | None], list[str]] = {}
+    delimiter = best_delimiter(relational.union_all([
+        _lines(spark, [fact["file"] for fact in facts if fact["encoding"] == encoding], encoding, False)
+        for encoding in sorted({fact["encoding"] for fact in facts})]), order)
+    if delimiter is None:
         raise ValueError(f"no separator found in {path}")
-    delimiter = max(scores, key=scores.get)
-    return split_lines(lines, delimiter, sample, min_filled)
+    for fact in facts:
+        first = _tidy(fact["first"].encode("latin-1", "replace").decode(fact["encoding"], "ignore"))
+        header = first if looks_like_header(_python_cells(spark, first, delimiter)) else None
+        groups.setdefault((fact["encoding"], header), []).append(fact["file"])
+    tables = [split_lines(_lines(spark, names, encoding, header is not None), delimiter,
+                          _python_cells(spark, header, delimiter) if header else [])
+              for (encoding, header), names in groups.items()]
+    table = tables[0]
+    for other in tables[1:]:
+        table = table.unionByName(other, allowMissingColumns=True)
+    return _filled(table, min_filled, count_cells)
+
+
+def _tidy(line: str) -> str:
+    return line.replace("\ufeff", "").strip(" \r\n\0")
+
+
+def _lines(spark: SparkSession, names: Sequence[str], encoding: str, header: bool) -> DataFrame:
+    """Lines with content of files of one encoding, without the first one of each if that is a header."""
+    wide = encoding.startswith("UTF-16")  # line ends are not single bytes: read file by file
+    return (spark.read.option("encoding", encoding).option("sep", "\x01").option("quote", "\x02").option("multiLine", wide)
+            .option("header", header).option("enforceSchema", True).schema("line string").csv(list(names))
+            .select(F.trim(F.regexp_replace("line", "[\ufeff\r]", "")).alias("line")).where(F.col("line") != ""))
 
 
 def _cells(line: Column, delimiter: str) -> Column:
@@ -254,25 +291,33 @@ def _cells(line: Column, delimiter: str) -> Column:
     return F.transform(F.split(line, quoted_at_end), lambda cell: F.trim(F.trim(cell), F.lit("\"' ")))
 
 
-def split_lines(lines: DataFrame, delimiter: str, sample: Sequence[str], min_filled: float = 0.1) -> DataFrame:
-    """Lines to columns; the first sampled line names them when it looks like a header."""
-    split = lines.where(F.contains(F.col("line"), F.lit(delimiter))).select("line", _cells(F.col("line"), delimiter)
-                                                                             .alias("cells"))
-    first = lines.sparkSession.createDataFrame([(sample[0],)], "line string").select(
-        _cells(F.col("line"), delimiter).alias("cells")).first()["cells"]
-    header = looks_like_header(first)
-    widest = split.agg(F.max(F.size("cells"))).first()[0] or 0
-    names = [name if header and name else f"Column_{at + 1}" for at, name in
-             enumerate([*first, *[""] * (widest - len(first))])]
-    body = split.where(F.col("line") != sample[0]) if header else split
-    table = body.select(*[F.nullif(F.get("cells", F.lit(at)), F.lit("")).alias(f"c{at}") for at in range(len(names))])
-    counts = table.agg(F.count("*").alias("_rows"), *[F.count(name).alias(name) for name in table.columns]).first()
-    kept = [at for at in range(len(names)) if counts[f"c{at}"] > 0]
-    filled = sum(counts[f"c{at}"] for at in kept)
-    if not kept or filled <= min_filled * counts["_rows"] * len(names):
+def _python_cells(spark: SparkSession, line: str, delimiter: str) -> list[str]:
+    return spark.createDataFrame([(line,)], "line string").select(_cells(F.col("line"), delimiter).alias("cells")).first()["cells"]
+
+
+def split_lines(lines: DataFrame, delimiter: str, header: Sequence[str]) -> DataFrame:
+    """Lines to columns named by the header, others by their place; `_cells` is the number of a row's cells."""
+    split = lines.select(_cells(F.col("line"), delimiter).alias("cells"))
+    widest = max(len(header), split.agg(F.max(F.size("cells"))).first()[0] or 0)
+    names, seen = [], set()
+    for at in range(widest):
+        name = header[at] if at < len(header) and header[at] else f"Column_{at + 1}"
+        names.append(name if name.lower() not in seen else f"{name}_{at + 1}")
+        seen.add(names[-1].lower())
+    return split.select(F.size("cells").alias("_cells"), *[F.nullif(F.get("cells", F.lit(at)), F.lit("")).alias(name)
+                                                           for at, name in enumerate(names)])
+
+
+def _filled(table: DataFrame, min_filled: float, count_cells: bool) -> DataFrame:
+    """Without columns and rows that have no content."""
+    names = [name for name in table.columns if name != "_cells"]
+    quoted = {name: F.col("`" + name.replace("`", "``") + "`") for name in names}
+    counts = table.agg(F.count("*").alias("rows"), *[F.count(quoted[name]).alias(f"n{at}") for at, name in enumerate(names)]).first()
+    kept = [name for at, name in enumerate(names) if counts[f"n{at}"] > 0]
+    if not kept or sum(counts[f"n{at}"] for at in range(len(names))) <= min_filled * counts["rows"] * len(names):
         raise ValueError("hardly any cell has content")
-    chosen = table.select(*[F.col(f"c{at}").alias(names[at]) for at in kept])
-    return chosen.dropna(how="all")
+    some = F.coalesce(*[quoted[name] for name in kept]).isNotNull()
+    return table.where(some).select(*[quoted[name] for name in kept], *(["_cells"] if count_cells else []))
 
 
 # Validation summaries and logs --------------------------------------------------------------------
