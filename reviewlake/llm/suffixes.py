@@ -141,12 +141,18 @@ def settle(scratch: Scratch, rows: DataFrame, rest: list[str]) -> tuple[DataFram
     scratch.drop()
     again = scratch.store(rows.join(first.where("n > 1").select("core", "whole", "first"), ["core", "whole"]).where(
         F.struct("_ord", "place") > F.struct("first._ord", "first.place")).select("_ord", "place"), "repeated")
-    several = first.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+    several = repeated_cores(scratch, first)
     contested = scratch.store(first.select("core", "first.*").join(several, "core", "left_semi").drop("core"), "contested")
-    scratch.drop(first)
+    scratch.drop(first, several)
     return again, contested
 
 
+def repeated_cores(scratch: Scratch, rows: DataFrame) -> DataFrame:
+    """The cores of several rows. Stored, so that a join with them starts at its own shuffle, which Spark splits by
+    size: a third of all rows may have one core."""
+    return scratch.store(rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"), "cores")
+
+
 def repeated_places(docs: DataFrame, text: str, length: int = LENGTH, core: int = CORE, part: int = PART) -> DataFrame:
     """_ord and place of all strings that also start earlier; `docs` has _ord, unique, and the text."""
     scratch = Scratch(docs.sparkSession)
@@ -164,10 +170,11 @@ def repeated_places(docs: DataFrame, text: str, length: int = LENGTH, core: int
         return rows
 
     cores = make_rows(docs, ["text"], "core bigint", cores_only)
-    several = cores.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+    several = repeated_cores(scratch, cores)
+    scratch.drop()
     every = make_rows(docs, ["_ord", "text"], "_ord bigint, core bigint, whole bigint, place bigint", first_round)
     ranked = scratch.store(every.join(several.hint("shuffle_hash"), "core", "left_semi"), "blocks")
-    scratch.drop()
+    scratch.drop(several)
     again, contested = settle(scratch, ranked, [])
     scratch.drop(ranked)
 
