@@ -157,33 +157,34 @@ def best_path(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarr
     padded[:size] = scores
     cost = np.zeros(chunks * length)
     cost[:size] = np.where(first, 0.0, penalty)
-    steps, cost = padded.reshape(chunks, length, labels), cost.reshape(chunks, length)
-    reach = np.broadcast_to(np.where(np.eye(labels, dtype=bool), 0.0, -1e15), (chunks, labels, labels))
+    steps = np.ascontiguousarray(padded.reshape(chunks, length, labels).transpose(1, 2, 0))  # step, label, chunk
+    cost = np.ascontiguousarray(cost.reshape(chunks, length).T)
+    reach = np.repeat(np.where(np.eye(labels, dtype=bool), 0.0, -1e15)[:, :, None], chunks, axis=2)  # label, entry, chunk
     for at in range(length):
-        switched = reach.max(axis=2, keepdims=True) - cost[:, at, None, None]
-        reach = np.maximum(reach, switched) + steps[:, at, None, :]
-    entry, value = np.zeros((chunks, labels)), np.zeros(labels)
+        switched = reach.max(axis=0) - cost[at]
+        reach = np.maximum(reach, switched) + steps[at][:, None, :]
+    entry, value = np.zeros((labels, chunks)), np.zeros(labels)
     for chunk in range(chunks):
-        entry[chunk] = value
-        value = (value[:, None] + reach[chunk]).max(axis=0)
+        entry[:, chunk] = value
+        value = (reach[:, :, chunk] + value).max(axis=1)
         value -= value.max()
-    back = np.empty((length, chunks, labels), np.int16)
-    here = np.arange(labels)
+    back = np.empty((length, labels, chunks), np.int64)
+    here = np.arange(labels)[:, None]
     for at in range(length):
-        switched = entry.max(axis=1, keepdims=True) - cost[:, at, None]
-        back[at] = np.where(entry >= switched, here, entry.argmax(axis=1)[:, None])
-        entry = np.maximum(entry, switched) + steps[:, at]
-    state = np.broadcast_to(here, (chunks, labels)).astype(np.int16)
-    ways = np.empty((length, chunks, labels), np.int16)
+        switched = entry.max(axis=0) - cost[at]
+        back[at] = np.where(entry >= switched, here, entry.argmax(axis=0))
+        entry = np.maximum(entry, switched) + steps[at]
+    state = np.repeat(here, chunks, axis=1)
+    ways = np.empty((length, labels, chunks), np.int64)
     for at in range(length - 1, -1, -1):
         ways[at] = state
-        state = np.take_along_axis(back[at], state.astype(np.int64), axis=1)
+        state = np.take_along_axis(back[at], state, axis=0)
     ends = np.empty(chunks, np.int64)
-    end = int(entry[-1].argmax())
+    end = int(entry[:, -1].argmax())
     for chunk in range(chunks - 1, -1, -1):
         ends[chunk] = end
-        end = int(state[chunk, end])
-    return ways[:, np.arange(chunks), ends].T.reshape(-1)[:size].astype(np.int64)
+        end = int(state[end, chunk])
+    return ways[:, ends, np.arange(chunks)].T.reshape(-1)[:size]
 
 
 class Words(dict):
