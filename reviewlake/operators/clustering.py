@@ -215,11 +215,11 @@ def cluster_metrics(rows: DataFrame) -> dict[str, float]:
 
 def find_optimal_clusters(df: DataFrame, max_clusters: int = 12, method: str = "kmeans",
                           columns: Sequence[str] | None = None, seed: int = 42, n_init: int = 1) -> dict:
-    """Try 2..max (at most 12) clusters; best silhouette, else best Calinski-Harabasz, else 3."""
+    """Try 2..max_clusters clusters; best silhouette, else best Calinski-Harabasz, else 3."""
     columns = list(columns or feature_columns(df))
     matrix = materialize(scaled_matrix(df, columns), "matrix")
     tried: list[dict] = []
-    for k in range(2, min(max_clusters, 12) + 1):
+    for k in range(2, max_clusters + 1):
         if method == "kmeans":
             rows, inertia = _kmeans(matrix, k, seed, n_init)
         elif method == "gmm":
@@ -267,9 +267,9 @@ def analyze_clusters(rows: DataFrame, columns: Sequence[str], top: int = 5) -> D
 
 
 def project_clusters(rows: DataFrame, key: str, sample: int = 5000) -> tuple[DataFrame, list[float]]:
-    """2-D principal components of at most `sample` rows for a plot, with the explained variance."""
+    """2-D principal components, fitted on all rows, and their explained variance; `sample` points to draw."""
+    model = PCA(k=2, inputCol="features", outputCol="_pca").fit(rows)
     chosen = sample_rows(rows.select(key, "features", "cluster"), F.col(key), sample)
-    model = PCA(k=2, inputCol="features", outputCol="_pca").fit(chosen)
     points = vector_to_array(F.col("_pca"))
     placed = model.transform(chosen).select(key, points[0].alias("x"), points[1].alias("y"), "cluster")
     return placed, [float(value) for value in model.explainedVariance]

@@ -13,7 +13,7 @@ from reviewlake.functions.expr import cut, flag, pearson, pick, smoothed_ratio,
 from reviewlake.operators.cleaning import numeric_columns
 from reviewlake.operators.ranks import (dense_rank_of_counts, histogram_of_values, percentile_rank, quantile_values,
                                         rolling_rows)
-from reviewlake.session import attach
+from reviewlake.session import attach, materialize
 
 INF = float("inf")
 
@@ -23,8 +23,8 @@ class FeatureConfig:
     """Switches of `engineer_features`."""
 
     enable_text_features: bool = True
-    enable_tfidf_features: bool = False
-    enable_topic_modeling: bool = False
+    enable_tfidf_features: bool = True
+    enable_topic_modeling: bool = True
     max_tfidf_features: int = 1000
     num_topics: int = 10
     enable_temporal_features: bool = True
@@ -205,6 +205,8 @@ def engineer_features(df: DataFrame, text_column: str = "review_text", user_colu
                 result = text_models.extract_tfidf_features(result, text_column, config.max_tfidf_features)[0]
             if config.enable_topic_modeling:
                 result = text_models.extract_topic_features(result, text_column, config.num_topics)
+        # Written once: medians, moments and ranks of the later groups read the text measures several times.
+        result = materialize(result, "text-features")
     if date and config.enable_temporal_features:
         result = extract_temporal_features(result, date)
     if user_column in have and config.enable_user_features:

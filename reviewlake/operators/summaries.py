@@ -286,11 +286,11 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return moments.join(quarter, "name", "left")
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, limit: int = 50) -> DataFrame:
-    """(feature_a, feature_b, correlation) of the first `limit` plain numeric columns, in one pass."""
+def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(feature_a, feature_b, correlation) of the given or all plain numeric columns, in one pass."""
     hidden = ("tfidf", "feature_", "cluster_", "pca_")
     if columns is None:
-        columns = [name for name in numeric_columns(df) if not any(part in name.lower() for part in hidden)][:limit]
+        columns = [name for name in numeric_columns(df) if not any(part in name.lower() for part in hidden)]
     pairs = [(a, b) for at, a in enumerate(columns) for b in columns[at + 1:]]
     wide = df.agg(F.array(*[F.struct(
         F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),

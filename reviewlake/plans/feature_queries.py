@@ -65,12 +65,9 @@ FRACTIONS = ["word_count_rating_ratio", "user_product_rating_diff", "recent_revi
 
 @query("e05_interaction_features", INTERACTION)
 def e05(spark, base):
-    config = features.FeatureConfig(enable_statistical_features=False)
-    # Written once: the median of the word counts reads it before the features do.
-    rows = features.extract_basic_text_features(_texts(spark, base).select(
-        "review_id", "review_text", "user_id", "product_id", "rating", "created_at"))
-    stored = materialize(rows.drop("review_text"), "text-features")
-    found = features.engineer_features(stored, config=config)
+    config = features.FeatureConfig(enable_statistical_features=False, enable_tfidf_features=False, enable_topic_modeling=False)
+    rows = _texts(spark, base).select("review_id", "review_text", "user_id", "product_id", "rating", "created_at")
+    found = features.engineer_features(rows, config=config)
     return rounded(found.select("review_id", *INTERACTIONS), *FRACTIONS)
 
 
@@ -159,8 +156,7 @@ SELECT t.review_id, CAST(w.words AS INTEGER) AS word_count, CAST(year(created_at
 FROM texts t JOIN w ON t.review_id = w.review_id JOIN u ON t.user_id = u.user_id JOIN p ON t.product_id = p.product_id""")
 def e13(spark, base):
     rows = _texts(spark, base).select("review_id", "review_text", "user_id", "product_id", "rating", "created_at")
-    text = materialize(features.extract_basic_text_features(rows).drop("review_text"), "text-features")
-    found = features.engineer_features(text, order=["created_at", "review_id"],
+    found = features.engineer_features(rows, order=["created_at", "review_id"],
                                        statistics=["word_count", "user_review_count", "capital_ratio"])
     return rounded(found.select("review_id", "word_count", "year", "user_review_count", "product_review_count",
                                 "word_count_zscore", "word_count_percentile", "rating_rolling_mean_7"),
