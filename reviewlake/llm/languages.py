@@ -36,8 +36,9 @@ ORDERS, SLOTS = 4, 1 << 16
 #: Weight of all languages' counts in one language's; evidence against a word's language outside its scripts.
 SMOOTHING, FOREIGN = 100.0, 30.0
 
-#: Words that a worker remembers; words of one Viterbi run, unless one text is longer.
-REMEMBERED, TOGETHER = 400_000, 200_000
+#: Words that a worker remembers; words of one Viterbi run, unless one text is longer; words that training counts
+#: before it turns them to n-grams; distinct words whose n-grams are made at once.
+REMEMBERED, TOGETHER, COUNTED, SCORED = 300_000, 200_000, 2_000_000, 20_000
 
 BREAK = 10  # a line feed stands before and after each word
 
@@ -86,21 +87,28 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text") -> "Model
         words: dict[str, Counter] = {}
         sums: dict[str, np.ndarray] = {}
 
+        seen = 0
+
         def count():
             for name, counted in words.items():
-                slots, owners = ngram_slots(list(counted))
-                times = np.fromiter(counted.values(), np.int64, len(counted))
                 own = sums.setdefault(name, np.zeros(ORDERS * SLOTS + len(NAMES)))
-                own += np.bincount(slots, times[owners], len(own))
-                own += np.bincount(ORDERS * SLOTS + scripts_of(list(counted)), times, len(own))
+                known = list(counted)
+                for at in range(0, len(known), SCORED):
+                    some = known[at:at + SCORED]
+                    slots, owners = ngram_slots(some)
+                    times = np.fromiter((counted[word] for word in some), np.int64, len(some))
+                    own += np.bincount(slots, times[owners], len(own))
+                    own += np.bincount(ORDERS * SLOTS + scripts_of(some), times, len(own))
             words.clear()
         for part in parts:
             for name, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 found = find(value.lower())
                 if found:
                     words.setdefault(name, Counter()).update(found)
-            if sum(map(len, words.values())) > REMEMBERED:
-                count()
+                    seen += len(found)
+                    if seen > COUNTED:
+                        count()
+                        seen = 0
         count()
         for name, own in sums.items():
             place = np.flatnonzero(own)
@@ -232,7 +240,7 @@ class Labeller:
         flat = [word for words in texts for word in words]
         numbers = np.fromiter(map(self.words.__getitem__, flat), np.int64, len(flat))
         if self.words.new:
-            fresh = [self.model.scores(self.words.new[at:at + 50_000]) for at in range(0, len(self.words.new), 50_000)]
+            fresh = [self.model.scores(self.words.new[at:at + SCORED]) for at in range(0, len(self.words.new), SCORED)]
             self.known = np.concatenate([self.known, *fresh])
             self.words.new = []
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
