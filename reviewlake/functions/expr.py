@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+import json
+import zlib
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +17,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def lookup(entries: Mapping[str, Mapping[str, float | bool | None]], fields: str) -> Callable[[Column], Column]:
+    """A function from a word to its entry, a struct of `fields` (DDL), or null.
+
+    The entries are one literal: buckets by checksum, of which a word reads its own. Plans stay small, and a word costs
+    the same whatever the number of entries.
+    """
+    size = max(1, len(entries))
+    buckets: list[list[dict]] = [[] for _ in range(size)]
+    for word, entry in entries.items():
+        buckets[zlib.crc32(word.encode()) % size].append({"_word": word, **entry})
+    table = F.from_json(F.lit(json.dumps(buckets)), f"array<array<struct<_word:string,{fields}>>>")
+
+    def find(word: Column) -> Column:
+        place = F.pmod(F.crc32(word.cast("binary")), F.lit(size)).cast("int")
+        return F.get(F.filter(F.get(table, place), lambda entry: entry["_word"] == word), F.lit(0))
+    return find
+
+
 def all_of(conditions: Iterable[Column]) -> Column:
     """Conjunction; true for no conditions."""
     result = F.lit(True)

@@ -6,14 +6,13 @@ text, as one expression per row: no shuffle and no Python in the tasks.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as T
-from reviewlake.functions.expr import let
+from reviewlake.functions.expr import let, lookup
 
 # Own small lexicon, word -> valence from -4 to 4.
 LEXICON = {word: valence for valence, listed in {
@@ -50,6 +49,9 @@ DAMPING = (1.0, 0.95, 0.9)
 NEGATION_FACTOR = -0.74
 NORMALIZER = 15
 
+#: Least absolute valence of a strong opinion.
+STRONG = 2
+
 
 @dataclass(frozen=True)
 class Lexicon:
@@ -61,15 +63,17 @@ class Lexicon:
     weaker: tuple[str, ...] = tuple(WEAKER)
 
     @staticmethod
-    def read(path: str) -> Lexicon:
-        """Lines of `word <tab> valence ...`; only single words are used."""
-        valence = {}
-        with open(path, encoding="utf-8") as lines:
-            for line in lines:
-                parts = line.rstrip("\n").split("\t")
-                if len(parts) >= 2 and " " not in parts[0]:
-                    valence[parts[0].lower()] = float(parts[1])
-        return Lexicon(valence=valence)
+    def read(spark: SparkSession, path: str, limit: int = 100_000) -> Lexicon:
+        """Lines of `word <tab> valence ...` in any folder that Spark reads; only single words are used.
+
+        A lexicon of more than `limit` words is refused, since it becomes part of the plan.
+        """
+        parts = F.split("value", "\t")
+        lines = spark.read.text(path).select(F.lower(parts[0]).alias("word"), F.get(parts, F.lit(1)).try_cast("double").alias("valence"))
+        rows = lines.where(~F.contains("word", F.lit(" ")) & F.col("valence").isNotNull()).limit(limit + 1).collect()
+        if len(rows) > limit:
+            raise ValueError(f"more than {limit} words in {path}")
+        return Lexicon(valence={row["word"]: row["valence"] for row in rows})
 
 
 def sentiment_tokens(cleaned: Column) -> Column:
@@ -77,39 +81,37 @@ def sentiment_tokens(cleaned: Column) -> Column:
     return F.array_remove(F.split(F.trim(cleaned, F.lit(" .!?,;:")), "[.!?,;:]* [.!?,;:]*"), "")
 
 
-def _levels(lexicon: Lexicon) -> dict[float, list[str]]:
-    """Words by valence; intensity words carry none themselves."""
-    levels: dict[float, list[str]] = defaultdict(list)
-    for word, value in sorted(lexicon.valence.items()):
-        if value and word not in lexicon.stronger and word not in lexicon.weaker:
-            levels[float(value)].append(word)
-    return dict(sorted(levels.items()))
-
+def token_facts(tokens: Column, lexicon: Lexicon) -> Column:
+    """What the lexicon says of each token: its valence, whether it has one, how it strengthens, how it turns; or null.
 
-def token_valence(tokens: Column, token: Column, at: Column, lexicon: Lexicon) -> Column:
-    """Valence of one token after intensity words and negations among the three tokens before it.
-
-    A token outside the lexicon costs one hash lookup.
+    Intensity words carry no valence of their own.
     """
-    known = sorted(lexicon.valence)
-    levels = _levels(lexicon)
-    base = F.coalesce(*[F.when(token.isin(words), value) for value, words in levels.items()])
-
+    entries: dict[str, dict] = {}
+    for word, value in lexicon.valence.items():
+        intense = word in lexicon.stronger or word in lexicon.weaker
+        entries[word] = {"valence": float(value) if value and not intense else None, "known": True,
+                         "strong": abs(value) >= STRONG}
+    for words, name, value in ((lexicon.weaker, "boost", -BOOST), (lexicon.stronger, "boost", BOOST),
+                               (lexicon.negations, "turn", NEGATION_FACTOR)):
+        for word in words:
+            entries.setdefault(word, {})[name] = value
+    return F.transform(tokens, lookup(entries, "valence:double,known:boolean,strong:boolean,boost:double,turn:double"))
+
+
+def token_valence(facts: Column, fact: Column, at: Column) -> Column:
+    """Valence of one token after intensity words and negations among the three tokens before it."""
     def adjusted(valence: Column, before: Column, damping: float) -> Column:
-        boost = (F.when(before.isin(list(lexicon.stronger)), BOOST * damping)
-                 .when(before.isin(list(lexicon.weaker)), -BOOST * damping).otherwise(0.0))
-        turn = F.when(before.isin(list(lexicon.negations)), NEGATION_FACTOR).otherwise(1.0)
-        return (F.when(before.isNull() | before.isin(known), valence)
-                .otherwise((valence + F.signum(valence) * boost) * turn))
+        boost = F.coalesce(before["boost"] * damping, F.lit(0.0))
+        turned = (valence + F.signum(valence) * boost) * F.coalesce(before["turn"], F.lit(1.0))
+        return F.when(F.coalesce(before["known"], F.lit(False)), valence).otherwise(turned)
 
     def step(distance: int, valence: Column) -> Column:
         if distance > len(DAMPING):
             return valence
-        return let(adjusted(valence, F.get(tokens, at - distance), DAMPING[distance - 1]),
+        return let(adjusted(valence, F.get(facts, at - distance), DAMPING[distance - 1]),
                    lambda value: step(distance + 1, value))
 
-    inside = sorted(word for words in levels.values() for word in words)
-    return F.when(token.isin(inside), let(base, lambda value: step(1, value))).otherwise(0.0)
+    return F.when(fact["valence"].isNotNull(), step(1, fact["valence"])).otherwise(0.0)
 
 
 def compound(cleaned: Column, lexicon: Lexicon | None = None) -> Column:
@@ -124,8 +126,10 @@ def compound(cleaned: Column, lexicon: Lexicon | None = None) -> Column:
             return (F.when((contrast > 0) & (at + 1 < contrast), 0.5)
                     .when((contrast > 0) & (at + 1 > contrast), 1.5).otherwise(1.0))
 
-        valences = F.transform(tokens, lambda token, at: token_valence(tokens, token, at, lexicon) * weight(at))
-        return F.aggregate(valences, F.lit(0.0), lambda a, b: a + b)
+        def added(facts: Column) -> Column:
+            valences = F.transform(facts, lambda fact, at: token_valence(facts, fact, at) * weight(at))
+            return F.aggregate(valences, F.lit(0.0), lambda a, b: a + b)
+        return let(token_facts(tokens, lexicon), added)
 
     calls, asks = T.occurrences(cleaned, "!"), T.occurrences(cleaned, r"\?")
     emphasis = F.least(calls, F.lit(4)) * 0.292 + F.when(asks > 3, 0.96).when(asks > 1, asks * 0.18).otherwise(0.0)
@@ -140,15 +144,13 @@ def compound(cleaned: Column, lexicon: Lexicon | None = None) -> Column:
 def subjectivity(cleaned: Column, lexicon: Lexicon | None = None) -> Column:
     """Share of the lexicon words found that are strong opinions (an approximation)."""
     lexicon = lexicon or Lexicon()
-    strong = [word for word, value in lexicon.valence.items() if abs(value) >= 2]
 
-    def share(tokens: Column) -> Column:
-        hits = F.filter(tokens, lambda token: token.isin(sorted(lexicon.valence)))
+    def share(facts: Column) -> Column:
+        hits = F.filter(facts, lambda fact: F.coalesce(fact["known"], F.lit(False)))
         return let(hits, lambda found: F.when(
-            F.size(found) > 0,
-            F.size(F.filter(found, lambda token: token.isin(strong))) / F.size(found)).otherwise(0.0))
+            F.size(found) > 0, F.size(F.filter(found, lambda fact: fact["strong"])) / F.size(found)).otherwise(0.0))
 
-    return let(sentiment_tokens(cleaned), share)
+    return let(token_facts(sentiment_tokens(cleaned), lexicon), share)
 
 
 def sentiment_label(score: Column, threshold: float = 0.05) -> Column:

@@ -220,10 +220,19 @@ def f25(spark, base):
 
 def _levels_sql(word: str, lexicon: sentiment.Lexicon) -> str:
     cases = " ".join(f"WHEN {word} IN {in_sql(listed)} THEN CAST({value} AS DOUBLE)"
-                     for value, listed in sentiment._levels(lexicon).items())
+                     for value, listed in _levels(lexicon).items())
     return f"CASE {cases} ELSE 0.0 END"
 
 
+def _levels(lexicon: sentiment.Lexicon) -> dict[float, list[str]]:
+    """Words by valence; intensity words carry none themselves."""
+    levels: dict[float, list[str]] = {}
+    for word, value in sorted(lexicon.valence.items()):
+        if value and word not in lexicon.stronger and word not in lexicon.weaker:
+            levels.setdefault(float(value), []).append(word)
+    return dict(sorted(levels.items()))
+
+
 def compound_sql(lexicon: sentiment.Lexicon) -> str:
     """Steps from the cleaned text `c` of `cleaned` to `scored` (id, c, score)."""
     steps = [f"""tokens AS (SELECT id, c, list_filter(list_transform(string_split(c, ' '), lambda w: trim(w, '.!?,;:')),
@@ -280,12 +289,17 @@ def t02_rules(spark, base):
     return _scored(spark, base, FREQUENT)
 
 
-@query("t03_stream_sentiment", CLEANED + compound_sql(FREQUENT) + f"""
-SELECT id AS review_id, score AS polarity, CASE WHEN score > 0.1 THEN 'positive' WHEN score < -0.1 THEN 'negative'
-       ELSE 'neutral' END AS label FROM scored""")
+@query("t03_stream_sentiment", CLEANED + compound_sql(FREQUENT) + f""",
+found AS (SELECT id, list_filter(ws, lambda w: w IN {in_sql(sorted(FREQUENT.valence))}) AS hits FROM tokens)
+SELECT s.id AS review_id, score AS polarity, CASE WHEN score > 0.1 THEN 'positive' WHEN score < -0.1 THEN 'negative'
+       ELSE 'neutral' END AS label, round(CASE WHEN len(hits) > 0 THEN len(list_filter(hits, lambda w: w IN
+       {in_sql(sorted(w for w, v in FREQUENT.valence.items() if abs(v) >= sentiment.STRONG))})) / len(hits) ELSE 0 END, 8) AS subjectivity
+FROM scored s JOIN found f ON s.id = f.id""")
 def t03(spark, base):
-    return _scored(spark, base, FREQUENT).select(
-        "review_id", F.col("score").alias("polarity"), lens.label_of(F.col("score"), 0.1).alias("label"))
+    cleaned = _documents(spark, base).select("review_id", T.clean_text(F.col("review_text")).alias("c"))
+    score = sentiment.compound(F.col("c"), FREQUENT)
+    return cleaned.select("review_id", score.alias("polarity"), r8(sentiment.subjectivity(F.col("c"), FREQUENT)).alias("subjectivity")
+                          ).withColumn("label", lens.label_of(F.col("polarity"), 0.1))
 
 
 def _emotion_sql(emotion: str) -> str:

@@ -137,7 +137,7 @@ def test_rules(spark):
 def test_lexicon_file(spark, tmp_path):
     path = tmp_path / "lexicon.txt"
     path.write_text("splendid\t3.1\t0.5\t[3]\nodd one\t1\t1\nmeh\t-0.4\t1\n")
-    lexicon = sentiment.Lexicon.read(str(path))
+    lexicon = sentiment.Lexicon.read(spark, str(path))
     df = spark.createDataFrame([("splendid",), ("good",)], "t string")
     assert [row[0] for row in df.select(sentiment.compound(F.col("t"), lexicon)).collect()] == [norm(3.1), 0.0]
 
@@ -153,3 +153,18 @@ def test_short_text_is_neutral(spark):
 def test_subjectivity(spark):
     df = spark.createDataFrame([("good cheap table",), ("table",)], "t string")
     assert [row[0] for row in df.select(sentiment.subjectivity(F.col("t"))).collect()] == [0.5, 0.0]
+
+
+def test_a_full_size_lexicon_makes_a_small_plan(spark):
+    import time
+    words = {f"word{at}": (at % 9 - 4) or 1.5 for at in range(7500)}
+    lexicon = sentiment.Lexicon(valence=words)
+    started = time.monotonic()
+    df = spark.createDataFrame([("word4 not word8 unknown",), ("very word3",)], "c string").select(
+        sentiment.compound(F.col("c"), lexicon).alias("score"), sentiment.subjectivity(F.col("c"), lexicon).alias("share"))
+    assert time.monotonic() - started < 1
+    first, second = df.collect()
+    total = 1.5 + sentiment.NEGATION_FACTOR * words["word8"]
+    assert first["score"] == pytest.approx(total / (total * total + 15) ** 0.5, abs=1e-4) and first["share"] == 0.5
+    total = words["word3"] - sentiment.BOOST
+    assert second["score"] == pytest.approx(total / (total * total + 15) ** 0.5, abs=1e-4)
