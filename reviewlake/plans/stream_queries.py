@@ -23,9 +23,8 @@ def _events(spark, base):
     return lens.stream_events(spark, base)
 
 
-def _land(spark, base, broken: bool = False) -> str:
-    """The stored events as JSON message files; every 100th message is cut short when `broken`."""
-    path = scratch_path(spark, "messages")
+def _messages(spark, base, broken: bool = False):
+    """The stored events as JSON messages (value, timestamp); every 100th message is cut short when `broken`."""
     rows = _events(spark, base)
     payload = F.struct("user_id", "product_id", "rating", "page_views", "time_spent", "view_duration", "amount", "quantity",
                        "payment_method")
@@ -33,7 +32,13 @@ def _land(spark, base, broken: bool = False) -> str:
         "timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"), "source", payload.alias("data")))
     if broken:
         message = F.when(F.col("event_id").cast("bigint") % 100 == 17, F.substring(message, 1, 20)).otherwise(message)
-    rows.select(message.alias("value")).repartition(4).write.text(path)
+    return rows.select(message.alias("value"), "timestamp")
+
+
+def _land(spark, base, broken: bool = False) -> str:
+    """The messages as files, one for each core of the session."""
+    path = scratch_path(spark, "messages")
+    _messages(spark, base, broken).select("value").repartition(spark.sparkContext.defaultParallelism).write.text(path)
     return path
 
 
@@ -214,6 +219,38 @@ def x12(spark, base):
     return _plain_windows(stream.windows().unionByName(stream.flush_open_windows()))
 
 
+PLACED_SQL = f"SELECT CAST(sum(event_count) AS BIGINT) AS placements FROM ({WINDOWS_SQL})"
+
+
+@query("x12_several_batches", PLACED_SQL)
+def x12_several(spark, base):
+    """Finished and open windows and late rows together hold every placement, whatever the batches."""
+    stream = _stream(spark)
+    stream.store_windows(message_source(spark, _land(spark, base), 1)).awaitTermination()
+    windows = stream.windows().unionByName(stream.flush_open_windows())
+    placed = windows.agg(F.sum("event_count").alias("n")).unionByName(stream.late_rows().agg(F.count("*").alias("n")))
+    return placed.agg(F.sum("n").alias("placements"))
+
+
+@query("x12_late_rows", with_sql("stream_events") + """
+, limits AS (SELECT epoch_us(max("timestamp")) / 1000000.0 - 86400 AS closed FROM stream_events),
+placed AS (SELECT *, epoch_us("timestamp") / 1000000.0 AS moment, unnest([floor(epoch_us("timestamp") / 30000000.0) * 30,
+           floor(epoch_us("timestamp") / 30000000.0) * 30 - 30]) AS start FROM stream_events)
+SELECT count(*) AS late, count(*) FILTER (event_type = 'purchase') AS late_purchases FROM placed, limits
+WHERE moment < closed AND start + 60 <= closed""")
+def x12_late(spark, base):
+    """The newest day comes first; older events are then late for the windows that were finished before it."""
+    events = _messages(spark, base)
+    newest = events.agg(F.max("timestamp")).scalar()
+    stream, source = EventStream(spark, scratch_path(spark, "stream"), watermark="1 day"), scratch_path(spark, "messages")
+    old = F.col("timestamp") < newest - F.expr("INTERVAL 1 DAY")
+    for part in (~old, old):
+        events.where(part).select("value").write.mode("append").text(source)
+        stream.store_windows(message_source(spark, source)).awaitTermination()
+    late = stream.late_rows()
+    return late.agg(F.count("*").alias("late"), F.count_if(F.col("event_type") == "purchase").alias("late_purchases"))
+
+
 @query("x14_drain_and_flush", f"SELECT CAST(sum(event_count) AS BIGINT) AS events_in_windows FROM ({WINDOWS_SQL})")
 def x14(spark, base):
     stream = _stream(spark)

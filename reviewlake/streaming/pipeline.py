@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from reviewlake.operators import summaries
 from reviewlake.sources.lake import latest_versions
 from reviewlake.streaming.events import decode, enrich, malformed_messages, parse_messages
-from reviewlake.streaming.windows import window_aggregates
+from reviewlake.streaming.windows import merge_windows, window_parts
 
 
 def message_source(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
@@ -74,20 +75,83 @@ class EventStream:
         return latest_versions(self.spark.read.parquet(self.path("processed")), ["event_id"], "batch")
 
     def store_windows(self, messages: DataFrame, available_now: bool = True) -> StreamingQuery:
-        """Finished windows, appended once the watermark has passed their end."""
-        windows = window_aggregates(decode(parse_messages(messages)), self.size, self.slide, self.watermark)
-        writer = windows.writeStream.outputMode("append").format("parquet").option("path", self.path("windows"))
-        return self._start(writer, "windows", available_now)
+        """What each micro-batch adds to its windows, and the rows that come too late for theirs.
+
+        A window is finished when an earlier batch holds an event `watermark` after its end. Rows of finished windows
+        only go to the folder `late`; rows of open ones count there, and their finished windows are named in `late` too.
+        Each micro-batch owns one folder of each kind, so a repeated batch changes nothing.
+        """
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            before = self._newest(batch_id)
+            start = F.window("timestamp", self.size, self.slide)
+            closed = F.lit(False) if before is None else F.col("window.end") <= F.lit(before) - F.expr(f"INTERVAL {self.watermark}")
+            placed = batch.withColumn("window", start)
+            placed.where(closed).withColumn("window_end", F.col("window.end")).drop("window").write.mode("overwrite").parquet(
+                f"{self.path('late')}/batch={batch_id}")
+            parts = window_parts(batch, self.size, self.slide)
+            still = F.lit(True) if before is None else F.col("end_time") > F.lit(before) - F.expr(f"INTERVAL {self.watermark}")
+            parts.where(still).write.mode("overwrite").parquet(f"{self.path('window_parts')}/batch={batch_id}")
+            batch.agg(F.max("timestamp").alias("newest")).write.mode("overwrite").parquet(f"{self.path('progress')}/batch={batch_id}")
+            batch.unpersist()
+        return self._each_batch(decode(parse_messages(messages)), "windows", handle, available_now)
+
+    def _newest(self, before_batch: int | None = None):
+        """The newest event time of all batches, or of those before one; one row a batch is read."""
+        try:
+            progress = self.spark.read.parquet(self.path("progress"))
+        except AnalysisException:
+            return None
+        if before_batch is not None:
+            progress = progress.where(F.col("batch") < before_batch)
+        return progress.agg(F.max("newest")).first()[0]
+
+    def _windows(self, finished: bool) -> DataFrame:
+        newest = self._newest()
+        limit = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {self.watermark}")
+        parts = self.spark.read.parquet(self.path("window_parts"))
+        return merge_windows(parts.where(F.col("end_time") <= limit if finished else F.col("end_time") > limit))
 
     def windows(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("windows"))
+        """Finished windows."""
+        return self._windows(True)
 
     def flush_open_windows(self) -> DataFrame:
-        """Windows the watermark has not closed yet, computed from the landed events."""
-        raw = self.spark.read.schema("event_id string, event_type string, timestamp timestamp, source string, "
-                                     "data string").json(self.path("raw"))
-        every = window_aggregates(decode(raw), self.size, self.slide)
-        return every.join(self.windows().select("window_id"), "window_id", "left_anti")
+        """Windows that are not finished, as far as they are; only their own parts are read."""
+        return self._windows(False)
+
+    def late_rows(self) -> DataFrame:
+        """Placements of events into windows that were finished before they came."""
+        return self.spark.read.parquet(self.path("late"))
+
+    def compact(self, up_to_batch: int) -> None:
+        """Merge what batches up to one wrote for windows and processed events into one folder each.
+
+        The batches' folders are replaced by a folder of the last of them, written aside first and then renamed.
+        """
+        processed = latest_versions(self.spark.read.parquet(self.path("processed")).where(F.col("batch") <= up_to_batch),
+                                    ["event_id"], "batch").drop("batch")
+        parts = self.spark.read.parquet(self.path("window_parts")).where(F.col("batch") <= up_to_batch)
+        sums = [name for name in parts.columns if name.endswith("_events") or name in (
+            "event_count", "rating_sum", "ratings", "total_revenue", "orders")]
+        merged = parts.groupBy("start_time", "end_time").agg(
+            *[F.sum(name).cast(parts.schema[name].dataType).alias(name) for name in sums],
+            *[F.min(name).alias(name) for name in ("min_rating", "min_order")],
+            *[F.max(name).alias(name) for name in ("max_rating", "max_order")])
+        for name, table in (("processed", processed), ("window_parts", merged)):
+            aside = self.path(f"_compacted/{name}")
+            table.write.mode("overwrite").parquet(aside)
+            self._replace(name, aside, up_to_batch)
+
+    def _replace(self, name: str, aside: str, up_to_batch: int) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(self.path(name))
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in system.listStatus(folder):
+            label = status.getPath().getName()
+            if label.startswith("batch=") and int(label[6:]) <= up_to_batch:
+                system.delete(status.getPath(), True)
+        system.rename(hadoop.Path(aside), hadoop.Path(folder, f"batch={up_to_batch}"))
 
     def store_batch_figures(self, messages: DataFrame, available_now: bool = True) -> StreamingQuery:
         """Per micro-batch: the events by type, and review and purchase figures."""

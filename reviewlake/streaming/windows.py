@@ -10,30 +10,40 @@ from reviewlake.streaming.events import canonical_type, order_amount
 TYPES = ("review", "user_activity", "product_view", "purchase")
 
 
-def window_aggregates(events: DataFrame, size: str = "60 seconds", slide: str = "30 seconds",
-                      watermark: str | None = None) -> DataFrame:
-    """One row per window: events in total and by type, rating and order figures.
+def window_parts(events: DataFrame, size: str = "60 seconds", slide: str = "30 seconds") -> DataFrame:
+    """Sums, counts and extremes per window, which add up over batches: see `merge_windows`.
 
-    Partial sums per window are built before the shuffle, so a busy window costs one
-    row per task. `watermark` is the lateness a streaming input allows; later rows
-    are dropped. An event belongs to every window with start <= time < end.
+    They are built before the shuffle, so a busy window costs one row per task. An event belongs to every window with
+    start <= time < end.
     """
-    if watermark:
-        events = events.withWatermark("timestamp", watermark)
     kind = canonical_type(F.col("event_type"))
     rating = F.when(kind == "review", F.col("rating"))
     amount = F.when(kind == "purchase", order_amount(events))
-    window = F.window("timestamp", size, slide)
-    grouped = events.groupBy(window).agg(
+    grouped = events.groupBy(F.window("timestamp", size, slide)).agg(
         F.count("*").alias("event_count"),
         *[F.count_if(kind == name).alias(f"{name}_events") for name in TYPES],
         F.count_if(~kind.isin(*TYPES)).alias("other_events"),
-        F.avg(rating).alias("avg_rating"), F.min(rating).alias("min_rating"), F.max(rating).alias("max_rating"),
-        F.sum(amount).alias("total_revenue"), F.avg(amount).alias("avg_order_value"),
+        F.sum(rating).alias("rating_sum"), F.count(rating).alias("ratings"), F.min(rating).alias("min_rating"),
+        F.max(rating).alias("max_rating"), F.sum(amount).alias("total_revenue"), F.count(amount).alias("orders"),
         F.min(amount).alias("min_order"), F.max(amount).alias("max_order"))
-    start, end = F.col("window.start"), F.col("window.end")
-    return grouped.select(F.concat(F.lit("window_"), F.date_format(start, "yyyyMMdd_HHmmss")).alias("window_id"),
-                          start.alias("start_time"), end.alias("end_time"), *grouped.columns[1:])
+    return grouped.select(F.col("window.start").alias("start_time"), F.col("window.end").alias("end_time"), *grouped.columns[1:])
+
+
+def merge_windows(parts: DataFrame) -> DataFrame:
+    """One row per window: events in total and by type, rating and order figures."""
+    counts = ["event_count", *[f"{name}_events" for name in TYPES], "other_events"]
+    merged = parts.groupBy("start_time", "end_time").agg(
+        *[F.sum(name).alias(name) for name in counts], F.try_divide(F.sum("rating_sum"), F.sum("ratings")).alias("avg_rating"),
+        F.min("min_rating").alias("min_rating"), F.max("max_rating").alias("max_rating"),
+        F.sum("total_revenue").alias("total_revenue"),
+        F.try_divide(F.sum("total_revenue"), F.sum("orders")).alias("avg_order_value"),
+        F.min("min_order").alias("min_order"), F.max("max_order").alias("max_order"))
+    return merged.select(F.concat(F.lit("window_"), F.date_format("start_time", "yyyyMMdd_HHmmss")).alias("window_id"), "*")
+
+
+def window_aggregates(events: DataFrame, size: str = "60 seconds", slide: str = "30 seconds") -> DataFrame:
+    """The windows of a table of events."""
+    return merge_windows(window_parts(events, size, slide))
 
 
 def event_throughput(processed: DataFrame, every: str = "1 minute") -> DataFrame:
