@@ -297,6 +297,16 @@ def k06(spark, base):
     return _upserted(spark, base).latest("orders", ["o_orderkey"])
 
 
+@query("k06_same_batch", """
+SELECT o_custkey AS k, max(o_orderkey) AS last_order FROM orders GROUP BY 1""")
+def k06_same_batch(spark, base):
+    """Several rows of a key in one batch: the last one stays."""
+    lake = _lake(spark)
+    rows = lens.table(spark, base, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("last_order"))
+    lake.upsert(rows.orderBy("last_order"), "customers", ["k"], batch=1)
+    return lake.latest("customers", ["k"])
+
+
 @query("k08_dataset_save", "SELECT lang, count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS letters FROM documents GROUP BY 1")
 def k08(spark, base):
     path = scratch_path(spark, "saved")
@@ -366,7 +376,7 @@ def l02(spark, base):
 def l04(spark, base):
     lake = _upserted(spark, base)
     lake.optimize_dataset("orders", "processed", ["o_orderkey"])
-    return lake.read_dataset("orders", "processed").drop("_batch")
+    return lake.read_dataset("orders", "processed").drop("_batch", "_row")
 
 
 @query("l07_retention", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY")

@@ -1,7 +1,8 @@
 """Layered lake on plain files: versioned writes, catalog, upserts, compaction, retention, copies.
 
-A dataset folder holds one folder per write, `v=<number>`; a manifest row in the
-catalog says which of them are current. Nothing that is being read is rewritten.
+A dataset folder holds one folder per write, `v=<number>`, and the catalog one row per write. A dataset is what was
+appended since its last replacement; that is derived when the catalog is read, so writers at the same time lose
+nothing. Nothing that is being read is rewritten.
 """
 
 from __future__ import annotations
@@ -13,12 +14,11 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reviewlake.operators.profile import null_free_share
-from reviewlake.operators.relational import read_with, union_all
+from reviewlake.operators.relational import read_with
 from reviewlake.session import size_in_bytes
 
 LAYERS = ("raw", "processed", "curated", "archive")
@@ -26,10 +26,11 @@ FORMATS = ("parquet", "json", "csv")
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
-CATALOG = (
-    "dataset string, layer string, format string, compression string, partitions array<string>, schema string, "
-    "paths array<string>, total_files bigint, total_bytes bigint, row_count bigint, quality_score double, "
-    "tags array<string>, created_at timestamp, updated_at timestamp, dropped boolean, seq bigint")
+#: One write: kind is 'append', 'replace' or 'drop'.
+WRITES = (
+    "dataset string, layer string, kind string, seq bigint, path string, format string, compression string, "
+    "partitions array<string>, schema string, files bigint, bytes bigint, row_count bigint, nulls bigint, cells bigint, "
+    "tags array<string>, written_at timestamp")
 
 
 def with_date_parts(df: DataFrame, names: Sequence[str], source: str = "created_at") -> DataFrame:
@@ -40,8 +41,9 @@ def with_date_parts(df: DataFrame, names: Sequence[str], source: str = "created_
 
 
 def write_files(df: DataFrame, path: str, file_format: str = "parquet", partition_columns: Sequence[str] = (),
-                compression: str = "snappy", mode: str = "overwrite") -> None:
-    """One dataset folder with hive-style partition folders.
+                compression: str = "snappy", mode: str = "overwrite", target_bytes: int | None = None,
+                rows_per_file: int = 0) -> None:
+    """One dataset folder with hive-style partition folders, and with files of about `target_bytes` if that is given.
 
     Before a partitioned write the rows are rebalanced by the partition columns:
     small values share a task, a large one is split over several, so there are
@@ -50,16 +52,23 @@ def write_files(df: DataFrame, path: str, file_format: str = "parquet", partitio
     if file_format not in FORMATS:
         raise ValueError(f"unsupported file format: {file_format}")
     chosen = compression if file_format == "parquet" or compression != "snappy" else "none"
-    if partition_columns:
+    if partition_columns or target_bytes:
         df = df.hint("rebalance", *[F.col(name) for name in partition_columns])
-    writer = df.write.mode(mode).option("compression", chosen).option("timestampFormat", TIMESTAMP_FORMAT)
+    writer = df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).option("compression", chosen).option("timestampFormat", TIMESTAMP_FORMAT)
     if file_format == "parquet":
         writer = writer.option("parquet.page.size", 1024 * 1024).option("parquet.enable.dictionary", True)
     if file_format == "csv":
         writer = writer.option("header", True).option("escape", '"').option("quoteAll", False)
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)
-    writer.format(file_format).save(path)
+    conf, advised = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = conf.get(advised)
+    try:
+        if target_bytes:
+            conf.set(advised, str(target_bytes))  # what a task of the rebalanced write holds
+        writer.format(file_format).save(path)
+    finally:
+        conf.set(advised, before)
 
 
 @dataclass
@@ -80,18 +89,38 @@ class Lake:
         return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
 
     def catalog(self) -> DataFrame:
-        """Latest entry per dataset and layer, without dropped ones."""
-        if not self._exists(self._catalog_path):
-            return self.spark.createDataFrame([], CATALOG)
-        rows = self.spark.read.schema(CATALOG).parquet(self._catalog_path)
-        latest = rows.groupBy("dataset", "layer").agg(F.max_by(F.struct(*rows.columns), F.col("seq")).alias("_row"))
-        return latest.select("_row.*").where(~F.col("dropped"))
+        """One row for each dataset and layer: what was written since the last replacement, if it was not dropped."""
+        if self._exists(self._catalog_path):
+            rows = self.spark.read.schema(WRITES).parquet(self._catalog_path)
+        else:
+            rows = self.spark.createDataFrame([], WRITES)
+        by = ["dataset", "layer"]
+        ends = rows.groupBy(*by).agg(F.max(F.when(F.col("kind") != "append", F.col("seq"))).alias("since"),
+                                     F.min("written_at").alias("created_at"))
+        current = rows.join(ends, by).where((F.col("seq") >= F.coalesce("since", F.lit(0))) & (F.col("kind") != "drop"))
+        newest = {name: F.max_by(name, "seq").alias(name) for name in ("format", "compression", "partitions", "tags")}
+        return current.groupBy(*by).agg(
+            *newest.values(), F.sort_array(F.collect_list(F.struct("seq", "path", "schema"))).alias("writes"),
+            F.sum("files").alias("total_files"), F.sum("bytes").alias("total_bytes"), F.sum("row_count").alias("row_count"),
+            F.greatest(F.lit(0.0), 1 - F.coalesce(F.try_divide(F.sum("nulls"), F.sum("cells")), F.lit(0.0))).alias("quality_score"),
+            F.min("created_at").alias("created_at"), F.max("written_at").alias("updated_at"))
 
     def _record(self, **entry: Any) -> None:
-        entry = {"dropped": False, "seq": time.time_ns(), **entry}
-        schema = StructType.fromDDL(CATALOG)
+        entry = {"seq": time.time_ns(), **entry}
+        schema = StructType.fromDDL(WRITES)
         row = [tuple(entry.get(name) for name in schema.names)]
-        self.spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(self._catalog_path)
+        (self.spark.createDataFrame(row, schema).withColumn("written_at", F.current_timestamp()).coalesce(1)
+         .write.mode("append").parquet(self._catalog_path))
+
+    def compact_catalog(self) -> None:
+        """Rewrite the catalog's rows as one file; to be run while nobody writes."""
+        rows = self.spark.read.schema(WRITES).parquet(self._catalog_path)
+        aside = f"{self.root}/_catalog_{uuid.uuid4().hex}"
+        rows.coalesce(1).write.parquet(aside)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        system = hadoop(aside).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        system.delete(hadoop(self._catalog_path), True)
+        system.rename(hadoop(aside), hadoop(self._catalog_path))
 
     def _entry(self, name: str, layer: str | None = None) -> dict[str, Any]:
         found = self.catalog().where(F.col("dataset") == name)
@@ -101,7 +130,12 @@ class Lake:
         row = found.orderBy(order).first()
         if row is None:
             raise KeyError(f"no dataset {name!r}" + (f" in layer {layer!r}" if layer else ""))
-        return row.asDict()
+        entry = row.asDict()
+        merged: dict[str, Any] = {}
+        for write in entry["writes"]:  # columns that came later are null in the rows before, and the other way round
+            for field in StructType.fromJson(json.loads(write["schema"])).fields:
+                merged.setdefault(field.name, field)
+        return {**entry, "schema": StructType(list(merged.values())), "paths": [write["path"] for write in entry["writes"]]}
 
     def list_datasets(self, layer: str | None = None) -> DataFrame:
         entries = self.catalog()
@@ -112,54 +146,44 @@ class Lake:
 
     # Writing and reading -----------------------------------------------------------------------
 
-    def _read_paths(self, paths: Sequence[str], file_format: str, schema: str) -> DataFrame:
-        frames = []
-        for path in paths:
-            reader = self.spark.read.schema(StructType.fromJson(json.loads(schema))).option(
-                "timestampFormat", TIMESTAMP_FORMAT)
-            if file_format == "csv":
-                reader = reader.option("header", True).option("escape", '"')
-            frames.append(reader.format(file_format).load(path))
-        return union_all(frames)
+    def _read_paths(self, paths: Sequence[str], file_format: str, schema: StructType) -> DataFrame:
+        """All folders in one scan."""
+        reader = self.spark.read.schema(schema).option("timestampFormat", TIMESTAMP_FORMAT)
+        if file_format == "csv":
+            reader = reader.option("header", True).option("escape", '"')
+        return reader.format(file_format).load(list(paths))
 
     def write_dataset(self, data: DataFrame, name: str, layer: str = "raw",
                       partition_columns: Sequence[str] | None = None, file_format: str = "parquet",
-                      compression: str = "snappy", overwrite: bool = False, tags: Sequence[str] | None = None) -> str:
-        """Append to a dataset, or replace it; the catalog then names the current folders."""
+                      compression: str = "snappy", overwrite: bool = False, tags: Sequence[str] | None = None,
+                      target_bytes: int | None = None, rows_per_file: int = 0) -> str:
+        """Append to a dataset, or replace it. The figures of the catalog are observed while the rows are written."""
         if layer not in LAYERS:
             raise ValueError(f"layer must be one of {LAYERS}")
         partitions = list(partition_columns or [])
         df = with_date_parts(data, partitions)
-        path = f"{self.root}/{layer}/{name}/v={uuid.uuid4().hex}"
         try:
             old = self._entry(name, layer)
         except KeyError:
             old = None
-        kept = {} if overwrite or old is None else old
-        merged = df.schema
-        if kept:
-            before = StructType.fromJson(json.loads(kept["schema"]))
-            if kept["format"] != file_format:
-                raise ValueError(f"{name} is stored as {kept['format']}")
-            if file_format == "csv" and before.names != merged.names:
-                raise ValueError(f"{name} has the columns {before.names}")
-            # New columns are null in the rows that are there already, and the other way round.
-            merged = StructType([*before.fields, *[one for one in merged.fields if one.name not in before.names]])
-        write_files(df, path, file_format, partitions, compression)
-        paths = [*kept.get("paths", []), path]
-        schema = merged.json()
-        # Only the new folder is looked at; the figures of the kept ones are in the catalog.
-        part = self._read_paths([path], file_format, df.schema.json())
-        found = null_free_share(part).first()
-        rows = found["row_count"] + kept.get("row_count", 0)
-        quality = found["data_quality_score"] if not kept or not rows else (
-            found["data_quality_score"] * found["row_count"] + kept["quality_score"] * kept["row_count"]) / rows
-        now = self.spark.range(1).select(F.current_timestamp()).first()[0]
-        self._record(dataset=name, layer=layer, format=file_format, compression=compression, partitions=partitions,
-                     schema=schema, paths=paths, total_files=len(part.inputFiles()) + kept.get("total_files", 0),
-                     total_bytes=size_in_bytes(part) + kept.get("total_bytes", 0), row_count=rows,
-                     quality_score=quality,
-                     tags=list(tags or [layer]), created_at=old["created_at"] if old else now, updated_at=now)
+        if old and not overwrite:
+            if old["format"] != file_format:
+                raise ValueError(f"{name} is stored as {old['format']}")
+            if file_format == "csv" and old["schema"].names != df.columns:
+                raise ValueError(f"{name} has the columns {old['schema'].names}")
+        path = f"{self.root}/{layer}/{name}/v={uuid.uuid4().hex}"
+        seen = Observation()
+        nulls = [F.when(F.col(f"`{column}`").isNull(), 1).otherwise(0) for column in df.columns]
+        watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(sum(nulls[1:], nulls[0])).alias("nulls"))
+        write_files(watched, path, file_format, partitions, compression, target_bytes=target_bytes,
+                    rows_per_file=rows_per_file)
+        found = seen.get
+        part = self._read_paths([path], file_format, df.schema)
+        rows = found["rows"] or 0
+        self._record(dataset=name, layer=layer, kind="replace" if overwrite else "append", path=path, format=file_format,
+                     compression=compression, partitions=partitions, schema=df.schema.json(), files=len(part.inputFiles()),
+                     bytes=size_in_bytes(part), row_count=rows, nulls=found["nulls"] or 0, cells=rows * len(df.columns),
+                     tags=list(tags or [layer]))
         return path
 
     def read_dataset(self, name: str, layer: str | None = None, columns: Sequence[str] | None = None,
@@ -182,8 +206,9 @@ class Lake:
     def upsert(self, data: DataFrame, name: str, key: Sequence[str], layer: str = "processed",
                batch: int | None = None) -> str:
         """Append new versions of rows; `latest` picks the newest per key. No stored row is rewritten."""
-        numbered = encode_maps(data).withColumn("_batch", F.lit(batch if batch is not None else time.time_ns())
-                                                .cast("bigint"))
+        numbered = encode_maps(data).withColumns({
+            "_batch": F.lit(batch if batch is not None else time.time_ns()).cast("bigint"),
+            "_row": F.monotonically_increasing_id()})
         return self.write_dataset(numbered, name, layer)
 
     def latest(self, name: str, key: Sequence[str], layer: str = "processed") -> DataFrame:
@@ -198,17 +223,16 @@ class Lake:
         df = self.read_dataset(name, layer)
         if key:
             df = latest_versions(df, key, keep_batch=True)
-        files = max(1, round((entry["total_bytes"] or 0) / target_bytes))
-        partitions = entry["partitions"]
-        spread = df.repartition(files, *partitions, F.pmod(F.xxhash64(*df.columns), F.lit(files))) \
-            if partitions else df.repartition(files)
-        return self.write_dataset(spread, name, layer, partitions, "parquet", entry["compression"]
-                                  if entry["format"] == "parquet" else "snappy", overwrite=True)
+        # tasks hold about the target; the number of rows splits what one task has of a single partition value
+        rows = -(-entry["row_count"] * target_bytes // max(1, entry["total_bytes"]))
+        return self.write_dataset(df, name, layer, entry["partitions"], "parquet", entry["compression"]
+                                  if entry["format"] == "parquet" else "snappy", overwrite=True, target_bytes=target_bytes,
+                                  rows_per_file=rows)
 
     def drop_dataset(self, name: str, layer: str) -> None:
         """Take a dataset out of the catalog."""
-        entry = self._entry(name, layer)
-        self._record(**{**entry, "dropped": True, "seq": time.time_ns()})
+        self._entry(name, layer)
+        self._record(dataset=name, layer=layer, kind="drop")
 
     def copy_dataset(self, name: str, source: str, target: str, target_name: str | None = None,
                      compression: str = "snappy") -> str:
@@ -244,11 +268,15 @@ def encode_maps(df: DataFrame) -> DataFrame:
 
 
 def latest_versions(df: DataFrame, key: Sequence[str], version: str = "_batch", keep_batch: bool = False) -> DataFrame:
-    """Newest row per key. An aggregate, so many versions of one key are reduced before the shuffle."""
+    """Newest row per key: of the last batch, and in it the last row by `_row` where that is known.
+
+    An aggregate, so many versions of one key are reduced before the shuffle.
+    """
     row = F.struct(*df.columns)
+    order = F.struct(version, "_row") if "_row" in df.columns else F.col(version)
     newest = (df.groupBy(*[F.col(name).alias(f"_k_{name}") for name in key])
-              .agg(F.max_by(row, F.col(version)).alias("_row")).select("_row.*"))
-    return newest if keep_batch else newest.drop(version)
+              .agg(F.max_by(row, order).alias("_newest")).select("_newest.*"))
+    return newest if keep_batch else newest.drop(version, "_row")
 
 
 def retained(df: DataFrame, ts: str, days: int, as_of: Column) -> DataFrame:

@@ -67,7 +67,8 @@ class EventStream:
         after a failure changes nothing.
         """
         def handle(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(f"{self.path('processed')}/batch={batch_id}")
+            batch.withColumn("_row", F.monotonically_increasing_id()).write.mode("overwrite").parquet(
+                f"{self.path('processed')}/batch={batch_id}")
         return self._each_batch(enrich(decode(parse_messages(messages))), "processed", handle, available_now)
 
     def processed(self) -> DataFrame:
@@ -130,7 +131,7 @@ class EventStream:
         The batches' folders are replaced by a folder of the last of them, written aside first and then renamed.
         """
         processed = latest_versions(self.spark.read.parquet(self.path("processed")).where(F.col("batch") <= up_to_batch),
-                                    ["event_id"], "batch").drop("batch")
+                                    ["event_id"], "batch", keep_batch=True).drop("batch")
         parts = self.spark.read.parquet(self.path("window_parts")).where(F.col("batch") <= up_to_batch)
         sums = [name for name in parts.columns if name.endswith("_events") or name in (
             "event_count", "rating_sum", "ratings", "total_revenue", "orders")]

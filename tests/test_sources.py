@@ -189,6 +189,40 @@ def test_append_replace_and_refusals(spark, lake):
         lake.read_dataset("missing")
 
 
+def test_two_writers_lose_nothing(spark, lake):
+    other = Lake(spark, lake.root)
+    lake.write_dataset(spark.range(2), "d")
+    entry = other._entry
+    first = entry("d")
+    other._entry = lambda name, layer=None: first  # the other writer looked before the next append
+    lake.write_dataset(spark.range(3), "d")
+    other.write_dataset(spark.range(4), "d")
+    assert lake.read_dataset("d").count() == 9 and lake.get_dataset_metadata("d")["row_count"] == 9
+    lake.compact_catalog()
+    assert lake.read_dataset("d").count() == 9
+
+
+def test_a_thousand_appends_are_one_scan(spark, lake):
+    lake.write_dataset(spark.range(1), "d")
+    entry = lake._entry("d")
+    for at in range(1000):
+        lake._record(dataset="e", layer="raw", kind="append", path=entry["paths"][0], format="parquet", compression="snappy",
+                     partitions=[], schema=entry["schema"].json(), files=1, bytes=1, row_count=1, nulls=0, cells=1) if at < 3 else None
+    paths = entry["paths"] * 1000
+    df = lake._read_paths(paths, "parquet", entry["schema"])
+    assert df._jdf.queryExecution().analyzed().toString().count("Relation") == 1
+    assert lake.read_dataset("e").count() == 3
+
+
+def test_target_size(spark, lake):
+    df = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t"), (F.col("id") % 2).alias("part"))
+    lake.write_dataset(df, "d", "processed", ["part"])
+    lake.optimize_dataset("d", "processed", target_bytes=1 << 20)
+    many = lake.get_dataset_metadata("d")["total_files"]
+    lake.optimize_dataset("d", "processed", target_bytes=1 << 30)
+    assert lake.get_dataset_metadata("d")["total_files"] == 2 and many > 8
+
+
 def test_appended_columns_are_merged(spark, lake):
     lake.write_dataset(spark.createDataFrame([(1, "a")], "k int, v string"), "d")
     lake.write_dataset(spark.createDataFrame([(2, 5)], "k int, n int"), "d")
