@@ -88,6 +88,82 @@ def s02(spark, base):
     return rows.groupBy("id").agg(F.count("*").alias("words"), F.sum("n").alias("letters"))
 
 
+def _entries():
+    return F.transform(words(F.col("text")), lambda w: F.struct(
+        F.col("item_id").alias("id"), w.alias("w"), F.length(w).cast("bigint").alias("n")))
+
+
+def _mixed(spark, base, *keys: str) -> str:
+    """One landed document an item, whose list stands under a key by turns; under no key where that is empty."""
+    place = F.pmod(F.col("item_id"), F.lit(len(keys)))
+    body = F.coalesce(*[F.when(place == at, F.to_json(F.struct(F.lit("x").alias("a"), F.col("e").alias(key))) if key
+                               else F.to_json(F.col("e"))) for at, key in enumerate(keys)])
+    path = scratch_path(spark, "landed")
+    (lens.table(spark, base, "benchmark").withColumn("e", _entries()).select(body.alias("value"))
+     .write.option("maxRecordsPerFile", 1).text(path))
+    return path
+
+
+COUNTED = f"SELECT id, count(*) AS words, CAST(sum(n) AS BIGINT) AS letters FROM ({WORD_ROWS}) GROUP BY 1"
+
+
+def _counted(rows):
+    return rows.groupBy("id").agg(F.count("*").alias("words"), F.sum("n").alias("letters"))
+
+
+@query("s02_mixed_documents", COUNTED)
+def s02_mixed(spark, base):
+    return _counted(_ok(files.ingest_json(spark, _mixed(spark, base, "activities", "entries", ""))))
+
+
+@query("s02_json_lines", COUNTED)
+def s02_lines(spark, base):
+    path = scratch_path(spark, "lines")
+    rows = lens.table(spark, base, "benchmark").select(F.explode(_entries()).alias("e"))
+    rows.select(F.to_json("e").alias("value")).write.text(path)
+    return _counted(_ok(files.ingest_json(spark, path)))
+
+
+@query("s07_mixed_keys", COUNTED)
+def s07_mixed(spark, base):
+    return _counted(_ok(files.ingest_api_responses(spark, _mixed(spark, base, "results", "items", "data", "records", ""))))
+
+
+@query("s08_many_pages", COUNTED)
+def s08_many(spark, base):
+    path = scratch_path(spark, "pages")
+    page = (F.col("item_id") % 16 + 1).cast("int").alias("page")
+    (lens.table(spark, base, "benchmark").select(F.to_json(F.struct(_entries().alias("results"))).alias("value"), page)
+     .write.option("maxRecordsPerFile", 1).partitionBy("page").text(path))
+    return _counted(_ok(files.ingest_paginated_api(spark, path)))
+
+
+@query("s09_late_accents", """
+SELECT CAST(c_custkey AS VARCHAR) AS "Customer", c_name || CASE WHEN c_custkey = (SELECT max(c_custkey) FROM customer) THEN ' é' ELSE '' END AS "Comment"
+FROM customer""")
+def s09_accents(spark, base):
+    customers = lens.table(spark, base, "customer")
+    last = customers.agg(F.max("c_custkey")).scalar()
+    path = scratch_path(spark, "upload")
+    (customers.orderBy("c_custkey").select(F.col("c_custkey").alias("Customer"), F.concat("c_name", F.when(
+        F.col("c_custkey") == last, " é").otherwise("")).alias("Comment"))
+     .write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path))
+    return files.load_uploaded_data(spark, path)
+
+
+@query("s09_short_rows", """
+SELECT CAST(c_custkey AS VARCHAR) AS "Customer", CAST(1 + c_custkey % 5 AS VARCHAR) AS "Stars",
+       CASE WHEN c_custkey % 10 <> 0 THEN c_mktsegment END AS "Comment" FROM customer""")
+def s09_short(spark, base):
+    key = F.col("c_custkey")
+    line = F.concat_ws(";", key.cast("string"), (key % 5 + 1).cast("string"), F.when(key % 10 != 0, F.col("c_mktsegment")))
+    path = scratch_path(spark, "upload")
+    head = spark.createDataFrame([("Customer;Stars;Comment",)], "value string")
+    head.write.text(path)
+    lens.table(spark, base, "customer").select(line.alias("value")).write.mode("append").text(path)
+    return files.load_uploaded_data(spark, path)
+
+
 @query("s03_parquet_scan", "SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_acctbal > 0")
 def s03(spark, base):
     rows = _ok(files.ingest_parquet(spark, f"{base}/supplier.parquet"))

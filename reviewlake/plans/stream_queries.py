@@ -77,6 +77,21 @@ def x03(spark, base):
     return rounded(found.select("event_id", "rating", "processing_latency_ms"), "processing_latency_ms", digits=3)
 
 
+@query("x03_review_sentiment", """
+WITH r AS (SELECT CAST(event_id AS VARCHAR) AS event_id, event_id % 4 AS way FROM events)
+SELECT event_id, CAST(CASE way WHEN 0 THEN 0.6124 WHEN 1 THEN -0.4588 WHEN 2 THEN 0.0 END AS DOUBLE) AS sentiment_polarity,
+       CASE way WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' WHEN 2 THEN 'neutral' END AS sentiment_label,
+       CAST(CASE way WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 0 END AS DOUBLE) AS sentiment_subjectivity FROM r""")
+def x03_sentiment(spark, base):
+    """Reviews of four kinds by turns: good, bad, plain, without text."""
+    way = F.col("event_id") % 4
+    text = F.when(way == 0, "an amazing thing").when(way == 1, "a bad thing it is").when(way == 2, "a thing")
+    raw = lens.table(spark, base, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), F.lit("review_submitted").alias("event_type"),
+        F.col("ts").alias("timestamp"), F.lit("stream").alias("source"), text.alias("review_text"))
+    return E.enrich(raw, _now()).select("event_id", "sentiment_polarity", "sentiment_label", "sentiment_subjectivity")
+
+
 @query("x04_enrich_activity", with_sql("stream_events") + """
 SELECT event_id, round(least(1 + 0.1 * page_views + 0.2 * least(time_spent / 60, 5), 10), 8) AS activity_score, 0.0::DOUBLE AS session_duration
 FROM stream_events WHERE event_type = 'user_activity'""")

@@ -243,8 +243,8 @@ def load_uploaded_data(spark: SparkSession, path: str, min_filled: float = 0.1,
     """Delimited upload of unknown encoding and separator; rows and columns without content are dropped.
 
     Every file is judged by all of its bytes, the separator by all lines. The first line of a file is left out if it
-    looks like a header, and names the columns of that file; files with other headers are joined by name. Short rows
-    are padded. `count_cells` adds `_cells`, by which rows of an odd width can be told.
+    looks like a header, and names the columns of that file; files with other headers are joined by name, and those
+    without one take the names of the only header there is. Short rows are padded. `count_cells` adds `_cells`, by which rows of an odd width can be told.
     """
     lower = path.rstrip("/").lower()
     if not lower.endswith(EXTENSIONS) and "." in lower.rsplit("/", 1)[-1]:
@@ -263,8 +263,10 @@ def load_uploaded_data(spark: SparkSession, path: str, min_filled: float = 0.1,
         first = _tidy(fact["first"].encode("latin-1", "replace").decode(fact["encoding"], "ignore"))
         header = first if looks_like_header(_python_cells(spark, first, delimiter)) else None
         groups.setdefault((fact["encoding"], header), []).append(fact["file"])
+    headers = {header for _, header in groups if header is not None}
+    usual = headers.pop() if len(headers) == 1 else None  # names the columns of files without a header, too
     tables = [split_lines(_lines(spark, names, encoding, header is not None), delimiter,
-                          _python_cells(spark, header, delimiter) if header else [])
+                          _python_cells(spark, header or usual, delimiter) if header or usual else [])
               for (encoding, header), names in groups.items()]
     table = tables[0]
     for other in tables[1:]:

@@ -93,7 +93,7 @@ def enrich(df: DataFrame, processed_at: Column | None = None) -> DataFrame:
     staged = staged.withColumn("sentiment_polarity", sentiment.compound(F.col("_clean")))
     polarity = F.col("sentiment_polarity")
     return staged.withColumns({
-        "sentiment_subjectivity": sentiment.subjectivity(F.col("_clean")),
+        "sentiment_subjectivity": F.when(polarity.isNotNull(), sentiment.subjectivity(F.col("_clean"))),
         "sentiment_label": F.when(polarity.isNotNull(), label_of(polarity, 0.1)),
         "processing_latency_ms": F.when(
             is_review, (F.unix_micros(now) - F.unix_micros("timestamp")) / 1000),
