@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -206,7 +208,14 @@ def keyword_tokens(cleaned: Column) -> Column:
     return F.filter(tokens, lambda token: (F.length(token) > 3) & ~token.isin(STOP_WORDS))
 
 
-def extract_keywords(cleaned: Column, top_k: int = 10, lemma=None) -> Column:
+def noun_base(token: Column) -> Column:
+    """The singular of an English noun by its ending; other words mostly stay as they are."""
+    return (F.when(token.rlike("(ss|us|is)$"), token).when(token.rlike("ies$"), F.regexp_replace(token, "ies$", "y"))
+            .when(token.rlike("(ch|sh|x|z|ss)es$"), F.regexp_replace(token, "es$", ""))
+            .otherwise(F.regexp_replace(token, "s$", "")))
+
+
+def extract_keywords(cleaned: Column, top_k: int = 10, lemma: Callable[[Column], Column] | None = noun_base) -> Column:
     """Most frequent keywords, ties by first appearance. `lemma` maps a token column to its base form."""
     tokens = keyword_tokens(cleaned)
     if lemma is not None:

@@ -319,8 +319,10 @@ def t04(spark, base):
     return found.select("review_id", *[r8(f"e.{name}").alias(name) for name in T.EMOTIONS])
 
 
-KEYWORDS = f"""tokens AS (SELECT id, list_filter(regexp_split_to_array(c, '[ .!?,;:]+'), lambda w: length(w) > 3
-    AND w NOT IN {in_sql(T.STOP_WORDS)}) AS ws FROM cleaned),
+KEYWORDS = f"""tokens AS (SELECT id, list_transform(list_filter(regexp_split_to_array(c, '[ .!?,;:]+'), lambda w: length(w) > 3
+    AND w NOT IN {in_sql(T.STOP_WORDS)}), lambda w: CASE WHEN regexp_matches(w, '(ss|us|is)$') THEN w
+    WHEN regexp_matches(w, 'ies$') THEN regexp_replace(w, 'ies$', 'y') WHEN regexp_matches(w, '(ch|sh|x|z|ss)es$')
+    THEN regexp_replace(w, 'es$', '') ELSE regexp_replace(w, 's$', '') END) AS ws FROM cleaned),
 placed AS (SELECT id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM tokens),
 ranked AS (SELECT id, w, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, min(i)) AS n FROM placed GROUP BY 1, 2)"""
 

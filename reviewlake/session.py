@@ -15,6 +15,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEY_ROWS = 2_000_000
 
 
+#: The folder of a local run that names none.
+_own: tempfile.TemporaryDirectory | None = None
+
+
 def build_session(app: str = "reviewlake", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings this library is written for."""
     builder = SparkSession.builder.appName(app)
@@ -36,13 +40,16 @@ def build_session(app: str = "reviewlake", master: str | None = None, **conf) ->
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only for local runs."""
+    """The shared folder of the cluster; for local runs without one a temporary folder that goes with the process."""
+    global _own
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if base is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="reviewlake-")
+        if _own is None:
+            _own = tempfile.TemporaryDirectory(prefix="reviewlake-", ignore_cleanup_errors=True)
+        base = _own.name
         context.setCheckpointDir(base)
     return base.rstrip("/")
 
