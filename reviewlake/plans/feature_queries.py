@@ -256,6 +256,25 @@ def m02(spark, base):
     return result
 
 
+_SCALED = ("l_quantity", "l_extendedprice", "l_discount")
+
+
+@query("m02_scaled_columns", "SELECT * FROM (" + " UNION ALL ".join(f"""
+SELECT {at} AS at, method, round(avg((x - shift) / scale), 6) AS mean, round(min((x - shift) / scale), 6) AS low, round(max((x - shift) / scale), 6) AS high
+FROM (SELECT CAST({name} AS DOUBLE) AS x FROM lineitem), (SELECT 'standard' AS method, avg({name}) AS shift, stddev_samp({name}) AS scale FROM lineitem
+      UNION ALL SELECT 'minmax', CAST(min({name}) AS DOUBLE), CAST(max({name}) - min({name}) AS DOUBLE) FROM lineitem) GROUP BY method"""
+                                                                    for at, name in enumerate(_SCALED)) + ")")
+def m02_columns(spark, base):
+    rows = lens.table(spark, base, "lineitem").select(*_SCALED)
+    result = None
+    for method in ("standard", "minmax"):
+        values = clustering.scaled_matrix(rows, _SCALED, method).select(F.posexplode(vector_to_array("features")).alias("at", "value"))
+        part = values.groupBy("at").agg(F.round(F.avg("value"), 6).alias("mean"), F.round(F.min("value"), 6).alias("low"),
+                                        F.round(F.max("value"), 6).alias("high")).withColumn("method", F.lit(method))
+        result = part if result is None else result.unionByName(part)
+    return rounded(result.withColumn("mean", F.col("mean") + 0.0), "mean", digits=6)
+
+
 def _clustered(spark, base, method, k=5, n_init=3):
     users = materialize(_customers(spark, base).select("user_id", *NUMBERS), "customers")
     return clustering.perform_clustering(users, method, k, "standard", NUMBERS, n_init=n_init)
@@ -300,6 +319,22 @@ def m07(spark, base):
         "*", *[F.lit(float(value)).alias(name) for name, value in measures.items()])
 
 
+@query("m07_given_labels", """
+WITH v AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d FROM embeddings),
+g AS (SELECT d, avg(x) AS m FROM v GROUP BY d), c AS (SELECT label, d, avg(x) AS m, count(*) AS n FROM v GROUP BY 1, 2),
+dist AS (SELECT v.label, vec_id, sum((x - m) * (x - m)) AS q FROM v JOIN c ON v.label = c.label AND v.d = c.d GROUP BY 1, 2),
+spread AS (SELECT label, avg(sqrt(q)) AS s, sum(q) AS w, count(*) AS n FROM dist GROUP BY 1),
+gaps AS (SELECT a.label AS i, b.label AS j, sqrt(sum((a.m - b.m) * (a.m - b.m))) AS gap FROM c a JOIN c b ON a.d = b.d AND a.label <> b.label GROUP BY 1, 2),
+worst AS (SELECT i, max((p.s + q.s) / gap) AS r FROM gaps JOIN spread p ON p.label = i JOIN spread q ON q.label = j GROUP BY i)
+SELECT round((SELECT sum(n * (c.m - g.m) * (c.m - g.m)) FROM c JOIN g ON c.d = g.d) * (sum(n) - count(*)) / (sum(w) * (count(*) - 1)), 6) AS calinski_harabasz_score,
+       round((SELECT avg(r) FROM worst), 6) AS davies_bouldin_score, CAST(sum(n) AS BIGINT) AS vectors FROM spread""")
+def m07_given(spark, base):
+    rows = _vectors(spark, base).withColumnRenamed("label", "cluster")
+    measures = clustering.cluster_metrics(rows)
+    return rows.agg(F.count("*").alias("vectors"), *[F.round(F.lit(float(measures[name])), 6).alias(name)
+                                                     for name in ("calinski_harabasz_score", "davies_bouldin_score")])
+
+
 @query("m08_optimal_clusters")
 def m08(spark, base):
     users = materialize(_customers(spark, base).select("user_id", *NUMBERS), "customers")

@@ -516,6 +516,14 @@ def d04(spark, base):
     return rounded(documents.collection_stats(lens.table(spark, base, "events")), "average_document_size", digits=4)
 
 
+@query("d04_customer_stats", """
+SELECT count(*) AS document_count, CAST(sum(size) AS BIGINT) AS size_bytes, round(avg(size), 4) AS average_document_size
+FROM (SELECT strlen(CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_mktsegment': c_mktsegment}) AS VARCHAR)) AS size FROM customer)""")
+def d04_customers(spark, base):
+    rows = lens.table(spark, base, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return rounded(documents.collection_stats(rows), "average_document_size", digits=4)
+
+
 @query("d05_unique_violations", "SELECT user_id, event_type, count(*) AS documents FROM events GROUP BY 1, 2 HAVING count(*) > 1")
 def d05(spark, base):
     return documents.unique_violations(lens.table(spark, base, "events"), ["user_id", "event_type"])
@@ -713,7 +721,8 @@ def z02(spark, base):
                        F.count_if(F.col("user_email") == F.lower("user_email")).alias("lower_emails"))
 
 
-@query("z03_many_datasets")
+@query("z03_many_datasets", with_sql("dirty") + """
+SELECT count(*) AS "rows", true AS first_succeeded, false AS second_succeeded FROM dirty""")
 def z03(spark, base):
     config = _config()
     config.enable_sentiment_analysis = config.enable_feature_engineering = False

@@ -55,7 +55,9 @@ def p05(spark, base):
     return standardize.standardize_names(upload)
 
 
-@query("p06_required_columns")
+@query("p06_required_columns", """
+SELECT count(*) AS "rows", 'review_text' AS missing, 'document_text' AS candidates FROM documents
+UNION ALL SELECT count(*), 'rating', '' FROM documents""")
 def p06(spark, base):
     upload = lens.table(spark, base, "documents").withColumnRenamed("text", "document_text")
     missing = standardize.missing_columns(upload)
