@@ -21,7 +21,8 @@ HEADLINE = [
     "o07_stratified_split", "u02_keep_first", "q09_quality_rules", "q13_column_profile", "c06_clean_dataset",
     "t02_lexicon_sentiment", "t05_keywords", "t07_analyze_table", "e01_text_features", "e07_product_features",
     "e07_product_features_on_rows", "e08_statistical_features", "a07_customer_features", "g02_user_segment_features",
-    "k02_lake_parquet", "k06_upsert", "x11_window_aggregates", "n09_change_capture",
+    "k02_lake_parquet", "k06_upsert", "x11_window_aggregates", "n09_change_capture", "z01_transform_dataset",
+    "t08_train_classifier", "x12_finished_windows", "s02_json_document", "m03_kmeans", "l04_compaction",
 ]
 
 
