@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from reviewlake.llm.batches import add_columns
 
 #: Pieces whose ids one Python worker remembers beside those of its last batch, and the longest such piece.
-REMEMBERED, REMEMBERED_LENGTH = 250_000, 64
+REMEMBERED, REMEMBERED_LENGTH = 450_000, 64
 
 #: A rank is `group` (high bits) and a bit of the group's 256-bit word.
 GROUP_BITS, GROUP_MASK = 8, 255
