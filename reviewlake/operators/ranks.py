@@ -227,11 +227,11 @@ def keep_first(df: DataFrame, subset: Sequence[str], order: Sequence[str]) -> Da
 
 
 def hash_rank_split(df: DataFrame, label: str, key: Column, share: float = 0.8,
-                    buckets: int = 4096, flag: str = "is_train") -> DataFrame:
+                    buckets: int = 1 << 20, flag: str = "is_train") -> DataFrame:
     """Mark the first ceil(share * n) rows of every label in md5 order of `key`.
 
     Counts per (label, leading hash digits) find the one bucket per label that is
-    cut; only its rows are ranked, a 1/4096 of the label.
+    cut; only its rows are ranked, a millionth of the label.
     """
     digits = 1
     while 16 ** digits < buckets:
