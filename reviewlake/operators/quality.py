@@ -115,6 +115,7 @@ def date_range(df: DataFrame, rule: Rule, context: Context) -> dict[str, Column]
 CONSISTENT_TYPES = "consistent types"
 UNIQUE = "unique"
 
+# Names, kinds, severities and thresholds of the rules.
 DEFAULT_RULES = (
     Rule("no_null_values", "completeness", "high", not_null, 0.95),
     Rule("no_empty_strings", "completeness", "medium", not_blank, 0.98),

@@ -162,6 +162,7 @@ def name_user_segments(clustered: DataFrame) -> DataFrame:
     means = clustered.groupBy("cluster").agg(
         F.count("*").alias("users"), F.avg("avg_score").alias("avg_score"), F.avg("review_count").alias("avg_reviews"))
     score, reviews = F.col("avg_score"), F.col("avg_reviews")
+    # Names of the segments and their limits.
     name = (F.when((score >= 4.5) & (reviews >= 10), "Super Fans").when(score >= 4.5, "Happy Customers")
             .when(score <= 2.5, "Harsh Critics").when(reviews >= 15, "Prolific Reviewers")
             .otherwise("Moderate Users"))
@@ -174,6 +175,7 @@ def name_product_segments(clustered: DataFrame) -> DataFrame:
         F.count("*").alias("products"), F.avg("avg_score").alias("avg_score"),
         F.avg("review_count").alias("avg_reviews"), F.avg("score_std").alias("score_std"))
     score, reviews, std = F.col("avg_score"), F.col("avg_reviews"), F.col("score_std")
+    # Names of the segments and their limits.
     name = (F.when((score >= 4.5) & (std <= 0.5), "Universally Loved").when(score <= 2.5, "Poorly Received")
             .when(std >= 1.5, "Controversial").when(reviews >= 50, "Popular Products")
             .otherwise("Average Products"))
@@ -186,6 +188,7 @@ def name_review_segments(clustered: DataFrame, score: str = "score") -> DataFram
         F.count("*").alias("reviews"), F.avg(score).alias("avg_score"),
         F.avg("review_length").alias("avg_length"), F.avg("sentiment_score").alias("avg_sentiment"))
     length, tone = F.col("avg_length"), F.abs("avg_sentiment")
+    # Names of the segments and their limits.
     name = (F.when((length >= 100) & (tone >= 0.3), "Detailed & Emotional").when(length <= 20, "Brief Reviews")
             .when(tone >= 0.5, "Emotional Reviews").when(F.col("avg_score") >= 4.5, "Enthusiastic Reviews")
             .otherwise("Balanced Reviews"))
