@@ -23,9 +23,10 @@ def _events(spark, base):
     return lens.stream_events(spark, base)
 
 
-def _messages(spark, base, broken: bool = False):
-    """The stored events as JSON messages (value, timestamp); every 100th message is cut short when `broken`."""
-    rows = _events(spark, base)
+def _messages(spark, base, broken: bool = False, added: float = 0.0):
+    """The stored events as JSON messages (value, timestamp); every 100th message is cut short when `broken`, and
+    amounts are larger by `added`."""
+    rows = _events(spark, base).withColumn("amount", F.col("amount") + added)
     payload = F.struct("user_id", "product_id", "rating", "page_views", "time_spent", "view_duration", "amount", "quantity",
                        "payment_method")
     message = F.to_json(F.struct("event_id", "event_type", F.date_format(
@@ -214,6 +215,20 @@ def x09(spark, base):
                                                         F.round(F.sum("revenue_impact"), 2).alias("revenue"))
 
 
+@query("x09_repeated_ids", with_sql("stream_events") + """
+SELECT event_type, count(*) AS events, round(sum(amount + 1), 2) AS revenue FROM stream_events GROUP BY 1""")
+def x09_repeated(spark, base):
+    """Every event comes again in a later batch, with another amount: the later one stays, also after compaction."""
+    stream, source = _stream(spark), scratch_path(spark, "messages")
+    for added in (0.0, 1.0):
+        _messages(spark, base, added=added).select("value").write.mode("append").text(source)
+        for start in (stream.store_processed, stream.store_windows):
+            start(message_source(spark, source)).awaitTermination()
+    stream.compact(1)
+    return stream.processed().groupBy("event_type").agg(F.count("*").alias("events"),
+                                                        F.round(F.sum("revenue_impact"), 2).alias("revenue"))
+
+
 @query("x02_growing_source", COUNTS.replace(f"WHERE {KEPT} ", ""))
 def x02(spark, base):
     stream, source = _stream(spark), scratch_path(spark, "messages")
