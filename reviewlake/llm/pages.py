@@ -302,7 +302,7 @@ def train(pages: DataFrame, html: str = "html", sample: int = 20_000, words: int
                                          ["kind", "name", "above", "label", "n"])
     hashed = pages.where(F.col(html).isNotNull()).select(F.xxhash64(html).alias("h"))
     bound = hashed.orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    some = pages.where(F.xxhash64(html) <= F.lit(bound if bound is not None else 0)).select(html)
+    some = pages.where(F.col(html).isNotNull() & (F.xxhash64(html) <= F.lit(bound if bound is not None else 0))).select(html)
     found = (some.mapInArrow(run, "kind string, name string, above string, label int, n bigint")
              .groupBy("kind", "name", "above", "label").agg(F.sum("n").alias("n"))
              .orderBy(F.desc("n"), "kind", "name", "above", "label").limit(2 * words).collect())

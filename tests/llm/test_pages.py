@@ -75,3 +75,10 @@ def test_frames(spark, model):
     assert [row.n_chars for row in got] == [0, 0, 0, 599_999]
     empty = spark.createDataFrame([], "page_id long, html string")
     assert pages.extract(empty, pages.train(empty)).count() == 0
+
+
+def test_training_passes_over_null_pages(spark):
+    rows = [(at, f"<body><article><p>Story {at} is told here.</p></article><footer>All rights reserved.</footer></body>") for at in range(40)]
+    table = spark.createDataFrame([*rows, (40, None), (41, None)], "page_id long, html string")
+    got = {row.page_id: row.text for row in pages.extract(table, pages.train(table)).collect()}
+    assert got == {**{at: f"Story {at} is told here." for at in range(40)}, 40: "", 41: ""}
