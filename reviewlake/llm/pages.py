@@ -30,7 +30,13 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 
 #: Elements whose content is no text of the page; up to their end tag nothing is markup.
 RAW = set("script style noscript template title textarea iframe noembed noframes xmp".split())
-HIDDEN = set("head select button svg math object audio video canvas datalist".split())
+HIDDEN = set("head select button svg object audio video canvas datalist".split())
+
+#: Start tags that leave <head> open; any other one, and text, ends it.
+IN_HEAD = set("base link meta title noscript noframes style script template head".split())
+
+#: Blocks that a list of choices holds.
+CHOICES = set("option optgroup hr".split())
 
 BLOCKS = set("address article aside blockquote body center caption dd details dialog dir div dl dt fieldset figcaption figure footer form "
              "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section "
@@ -66,10 +72,33 @@ class Node:
     stop: bool = False
 
 
+def raw_end(source: str, name: str, at: int) -> int:
+    """Where the content of a raw element, which starts at `at`, and its end tag are over."""
+    end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
+    return end.end() if end else len(source)
+
+
+def unclosed(source: str, at: int) -> set[int]:
+    """Ends of those start tags of hidden elements, from `at` on, that have no end tag."""
+    opened: dict[str, list[int]] = {name: [] for name in HIDDEN}
+    while found := MARKUP.search(source, at):
+        at = found.end()
+        closing, name = found.group(1), (found.group(2) or "").lower()
+        if name in RAW and not closing:
+            at = raw_end(source, name, at)
+        elif name in HIDDEN:
+            if not closing and not found.group(3).endswith("/"):
+                opened[name].append(at)
+            elif closing and opened[name]:
+                opened[name].pop()
+    return {end for ends in opened.values() for end in ends}
+
+
 def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """The blocks of a page, parents first, and its texts in page order with the numbers of their blocks.
 
-    Character references are decoded and white space is one space. Missing end tags are implied as browsers do.
+    Character references are decoded and white space is one space. Missing end tags are implied as browsers do; a
+    hidden element without an end tag hides what comes up to the next block, or its next namesake, only.
     """
     nodes = [Node(-1, "html")]
     texts: list[tuple[int, str]] = []
@@ -77,6 +106,8 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
     run: list[tuple[str, bool]] = []
     links = hidden = 0
     at = 0
+    open_ended: set[int] | None = None  # found when the first hidden element starts
+    loose: list[int] = []  # places in the stack of hidden elements without an end tag
 
     def end_run():
         if run:
@@ -98,10 +129,18 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
         stack.pop()
         links -= tag == "a"
         hidden -= tag in HIDDEN
+        if loose and loose[-1] == len(stack):
+            loose.pop()
+
+    def pop_to(size: int):
+        while len(stack) > size:
+            pop()
 
     while at < len(source):
         found = MARKUP.search(source, at)
         start = found.start() if found else len(source)
+        if hidden and stack[-1][0] == "head" and source[at:start].strip(" \t\n\f\r"):
+            pop()
         if start > at and not hidden:
             run.append((entities.unescape(source[at:start]), links > 0))
         if not found:
@@ -124,10 +163,15 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if name in BLOCKS:
                 end_run()
             continue
+        if hidden and stack[-1][0] == "head" and name not in IN_HEAD:
+            pop()
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
-            at = end.end() if end else len(source)
+            at = raw_end(source, name, at)
             continue
+        if name == "head" and any(tag != "html" for tag, _ in stack):
+            continue
+        if loose and name in BLOCKS and not (name in CHOICES and stack[loose[0]][0] in ("select", "datalist")):
+            pop_to(loose[0])
         if name in BLOCKS:
             if name in CLOSES:
                 names, bound = CLOSES[name]
@@ -161,6 +205,15 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if name == "br":
                 run.append((" ", False))
         elif not attributes.endswith("/"):
+            if name in HIDDEN and name != "head":
+                for place in loose:
+                    if stack[place][0] == name:
+                        pop_to(place)
+                        break
+                if open_ended is None:
+                    open_ended = unclosed(source, found.start())
+                if at in open_ended:
+                    loose.append(len(stack))
             stack.append((name, stack[-1][1]))
             links += name == "a"
             hidden += name in HIDDEN

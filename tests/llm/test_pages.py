@@ -82,3 +82,23 @@ def test_training_passes_over_null_pages(spark):
     table = spark.createDataFrame([*rows, (40, None), (41, None)], "page_id long, html string")
     got = {row.page_id: row.text for row in pages.extract(table, pages.train(table)).collect()}
     assert got == {**{at: f"Story {at} is told here." for at in range(40)}, 40: "", 41: ""}
+
+
+def test_omitted_end_tags_hide_no_text():
+    parse = lambda source: [text for _, text in pages.parse(source)[1]]
+    assert parse("<html><head><title>t</title><meta name=a><link rel=b><body><p>one<p>two") == ["one", "two"]
+    assert parse("<head><title>t</title><style>x</style><article><p>one</article>") == ["one"]
+    assert parse("<head> <title>t</title> plain <b>text</b>") == ["plain text"] and parse("<head><meta name=a></head><p>a<head>b") == ["ab"]
+    assert parse("<p>a <button>go<p>b</p><article>c</article>") == ["a", "b", "c"]
+    assert parse("<div><svg><path d=x><p>a</p>b</div><svg><text>x</text></svg>c") == ["a", "b", "c"]
+    assert parse("<div><select><option>x<option>y<p>a</div>b") == ["a", "b"] and parse("a<button>x<div>y</div></button>b") == ["a", "b"]
+    assert parse("<button>x <button>y</button> a <video><p>b <!-- </video> --><script>'</video>'</script>") == ["a", "b"]
+    assert parse("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds") == ["so x=1 holds"]
+
+
+def test_articles_of_pages_without_head_end(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").where("html is not null")
+    model = pages.train(table)
+    for row in table.collect():
+        want = pages.main_text(row.html, model)[0]
+        assert want and pages.main_text(row.html.replace("</head>", "<meta name=a>"), model)[0] == want
