@@ -78,3 +78,20 @@ def test_no_labels(spark):
     model = toxicity.train(documents, labels, F.lit(True))
     assert toxicity.score_texts(documents, model).first().score < 0.5
     assert toxicity.score_texts(documents.limit(0), model).count() == 0
+
+
+def test_held_out_of_few_labels(spark):
+    base = "/root/testdata/sf0.01"
+    documents, labels = (spark.read.parquet(f"{base}/{name}.parquet") for name in ("documents", "labels"))
+    held = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.train(documents, labels, ~held)
+    rows = toxicity.score_texts(documents, model, keep=["doc_id"]).join(labels, "doc_id").where(held).collect()
+    toxic = [row for row in rows if row.toxic]
+    predicted = [row for row in rows if row.score >= 0.7]
+    assert sum(row.score >= 0.7 for row in toxic) >= 0.6 * len(toxic)
+    assert sum(row.toxic for row in predicted) >= 0.9 * len(predicted)
+
+
+def test_weights_shrink_with_few_texts():
+    few, many = (toxicity.log_odds(np.array([n]), np.array([0.0]), 1000.0, 9000.0, 3.0, np.log, np.sqrt) for n in (2.0, 40.0))
+    assert 0 < few[0][0] < many[0][0] and few[1][0] < many[1][0]
