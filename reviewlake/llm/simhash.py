@@ -171,23 +171,26 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
 def keep_first(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
     """One row of each component, with all its columns: the one with the smallest id.
 
-    Of several rows with that id, or of rows without an id in a component that has no other, the smallest row stays.
+    Of several rows with that id in a component, or of rows without an id in a component that has no other, the
+    smallest row stays. Rows that share an id but are not linked are rows of different components.
     """
     found = materialize(near_duplicates(df, id, text, shingle, radius), "components")
-    firsts = found.where(F.col(id) == F.col("component_id")).groupBy(id).agg(F.count(F.lit(1)).alias("n"))
-    once, often = firsts.where("n = 1").select(id), firsts.where("n > 1").select(id)
+    first = F.col(id) == F.col("component_id")
+    ids = found.where(F.col(id).isNotNull()).groupBy(id).agg(F.count(F.lit(1)).alias("n"), F.count_if(first).alias("firsts"))
+    once, often = ids.where("n = 1 AND firsts = 1").select(id), ids.where("n > 1 AND firsts > 0").select(id)
     kept = df.join(once, id, "left_semi").select(*df.columns)
-    repeated, nameless = df.join(often, id, "left_semi").select(*df.columns), df.where(F.col(id).isNull())
+
+    def one_each(rows: DataFrame, members: DataFrame) -> DataFrame:
+        """The smallest of `rows` for each root of `members`, which have the rows' ids and fingerprints."""
+        roots = members.select(F.col(id).alias("_member"), F.col("fingerprint").alias("_print"), F.col("root").alias("_root")).distinct()
+        prints = fingerprints(rows.select(F.struct(*df.columns).alias("_row"), F.col(id).alias("_id"), F.col(text).alias("_text")),
+                              "_text", shingle)
+        met = prints.join(roots, (F.col("fingerprint") == F.col("_print")) & F.col("_id").eqNullSafe(F.col("_member")))
+        return met.groupBy("_root").agg(F.min("_row").alias("_row")).select("_row.*")
+    nameless = df.where(F.col(id).isNull())
     if not often.isEmpty():
-        kept = kept.unionAll(smallest(repeated, [F.col(id)]))
+        kept = kept.unionAll(one_each(df.join(often, id, "left_semi").select(*df.columns),
+                                      found.where(first).join(often, id, "left_semi")))
     if not nameless.isEmpty():
-        roots = found.where(F.col("component_id").isNull()).select("fingerprint", F.col("root").alias("_root")).distinct()
-        alone = fingerprints(nameless.select(F.struct(*df.columns).alias("_row"), F.col(text).alias("_text")), "_text")
-        alone = alone.join(roots, "fingerprint").select("_row", "_root")
-        kept = kept.unionAll(alone.groupBy("_root").agg(F.min("_row").alias("_row")).select("_row.*"))
+        kept = kept.unionAll(one_each(nameless, found.where(F.col(id).isNull() & F.col("component_id").isNull())))
     return kept
-
-
-def smallest(df: DataFrame, by: list[Column]) -> DataFrame:
-    return df.groupBy(*[column.alias(f"_{at}") for at, column in enumerate(by)]).agg(
-        F.min(F.struct(*df.columns)).alias("_row")).select("_row.*")

@@ -143,3 +143,10 @@ def test_near_duplicates(spark):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_first(empty).count() == 0
+
+
+def test_rows_that_share_an_id_but_no_text(spark):
+    texts = {name: " ".join(f"{name}{at}" for at in range(60)) for name in "abcd"}
+    rows = [(1, texts["a"]), (1, texts["b"]), (1, texts["b"]), (2, texts["c"]), (2, texts["a"]), (3, texts["b"]), (4, texts["d"]), (None, texts["d"])]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((row.doc_id, row.text[0]) for row in kept) == [(1, "a"), (1, "b"), (2, "c"), (4, "d")]
