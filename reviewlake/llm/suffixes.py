@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by distributed prefix doubling.
+"""Removal of repeated byte strings by content-chosen anchors with digest ranks, instead of sort-based prefix doubling.
 
 A suffix array of all positions would sort every byte of the corpus again and again. Here Spark ranks only positions
 that can still matter. Every string of `length` bytes has an anchor: the start of its least-hashed `CORE`-byte piece,
