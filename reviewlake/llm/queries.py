@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import bpe, chat, contamination, languages, pages, rules, simhash, suffixes, toxicity, urls
+from reviewlake.llm import bpe, chat, contamination, languages, pages, resampling, rules, simhash, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -170,3 +170,36 @@ def op8_language_id(spark, base):
     model = languages.train(documents.where(~held))
     found = languages.identify(documents.select("doc_id", "text"), model, keep=["doc_id"])
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+#: SQL of the reflected CRC-32: its table by the rule of the polynomial 0xEDB88320, and the CRC of a text's UTF-8 bytes.
+CRC_TABLE = """SELECT list(c ORDER BY n) AS crcs FROM (SELECT n, list_reduce(list_prepend(n, range(8)),
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c FROM range(256) AS t(n))"""
+CRC_OF = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode({0}))),
+    lambda i: CAST('0x' || substring(hex(encode({0})), 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])))"""
+
+
+def _features_sql(table: str) -> str:
+    return f"""SELECT *, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM (
+    SELECT *, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM {table})"""
+
+
+@query("op13_importance_resampling", f"""
+WITH crc AS ({CRC_TABLE}), d AS ({_features_sql("documents")}), b AS ({_features_sql("benchmark")}),
+source AS (SELECT f, count(*) AS n FROM (SELECT unnest(f) AS f FROM d) GROUP BY f), target AS (SELECT f, count(*) AS n FROM (SELECT unnest(f) AS f FROM b) GROUP BY f),
+hashed AS (SELECT f, {CRC_OF.format("f")} % 10000 AS bucket FROM (SELECT f FROM source UNION SELECT f FROM target), crc),
+s AS (SELECT bucket, sum(n) AS s FROM source JOIN hashed USING (f) GROUP BY bucket), t AS (SELECT bucket, sum(n) AS t FROM target JOIN hashed USING (f) GROUP BY bucket),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST((SELECT sum(s) FROM s) + 10000 AS DOUBLE))
+                 / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * CAST((SELECT sum(t) FROM t) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+          FROM (SELECT DISTINCT bucket FROM hashed) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+weights AS (SELECT doc_id, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM (SELECT doc_id, unnest(f) AS f FROM d) JOIN hashed USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (SELECT doc_id, CAST(len(f) AS BIGINT) AS n_features, len(w) AS n_words, coalesce(weight, 0) AS weight,
+                  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substring(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+           FROM d LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM ranked
+""")
+def op13_importance_resampling(spark, base):
+    drawn = resampling.resample(table(spark, base, "documents"), table(spark, base, "benchmark"), keep=["doc_id"])
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
