@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import bpe, chat, contamination, languages, pages, resampling, rules, simhash, suffixes, toxicity, urls
+from reviewlake.llm import bpe, chat, contamination, languages, manifest, pages, resampling, rules, simhash, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -179,6 +179,55 @@ CRC_OF = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
     lambda i: CAST('0x' || substring(hex(encode({0})), 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])))"""
 
 
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || {value}, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(one) for one in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+@query("op11_merkle_manifest", f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}),
+leaves AS (SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf,
+                  CASE WHEN {CRC_OF.format("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf_sql("n_chars + 1")} ELSE {_leaf_sql("n_chars")} END AS altered
+           FROM documents, crc),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+tree AS (SELECT lang, 0 AS level, place, leaf AS node, n FROM placed
+         UNION ALL SELECT lang, level + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)), (n + 1) // 2 FROM tree WHERE n > 1 GROUP BY lang, level, place // 2, n),
+subroots AS (SELECT lang, node AS subroot, level AS height, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM tree WHERE n = 1),
+crown AS (SELECT 0 AS level, place, subroot AS node, n FROM subroots
+          UNION ALL SELECT level + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)), (n + 1) // 2 FROM crown WHERE n > 1 GROUP BY level, place // 2, n),
+below AS (SELECT p.doc_id, t.level, t.place, xor(p.place >> t.level, 1) AS other, t.lang FROM placed p JOIN tree t
+          ON t.lang IS NOT DISTINCT FROM p.lang AND t.place = p.place >> t.level AND t.n > 1),
+above AS (SELECT p.doc_id, s.height + c.level AS level, c.place, xor(s.place >> c.level, 1) AS other, c.level AS own FROM placed p
+          JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN crown c ON c.place = s.place >> c.level AND c.n > 1),
+steps AS (SELECT doc_id, b.level, b.place % 2 = 1 AS is_right, coalesce(t.node, '') AS sibling FROM below b
+          LEFT JOIN tree t ON t.lang IS NOT DISTINCT FROM b.lang AND t.level = b.level AND t.place = b.other
+          UNION ALL SELECT doc_id, a.level, a.place % 2 = 1, coalesce(c.node, '') FROM above a LEFT JOIN crown c ON c.level = a.own AND c.place = a.other),
+paths AS (SELECT doc_id, list(struct_pack(is_right := is_right, sibling := sibling) ORDER BY level) AS path FROM steps GROUP BY doc_id),
+folds AS (SELECT doc_id, altered AS node, coalesce(path, []) AS path, 1 AS k FROM leaves LEFT JOIN paths USING (doc_id)
+          UNION ALL SELECT doc_id, sha256(CASE WHEN path[k].is_right THEN path[k].sibling || node ELSE node || path[k].sibling END), path, k + 1
+          FROM folds WHERE k <= len(path)),
+root AS (SELECT node AS root FROM crown WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda x: x.sibling), '')) AS proof_sha256, f.node AS folded_root,
+       f.node = root AS verified
+FROM placed p JOIN folds f USING (doc_id) JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang, root WHERE k = len(path) + 1
+""")
+def op11_merkle_manifest(spark, base):
+    documents = table(spark, base, "documents")
+    named = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars", "text")]
+    # beyond the largest bigint, one more is still the next number
+    altered = [*named[:3], F.col("n_chars").cast("decimal(38,0)") + 1, named[4]]
+    leaf = manifest.leaf_digest(*named)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, manifest.leaf_digest(*altered)).otherwise(leaf)
+    made = manifest.build_manifest(documents, leaf, F.col("doc_id"), F.col("lang"), {"doc_id": F.col("doc_id"), "tampered": tampered})
+    proofs = manifest.prove_leaves(made).withColumn("folded_root", manifest.fold(F.col("carried.tampered"), F.col("path")))
+    return proofs.select("carried.doc_id", "leaf", "subroot", "root", manifest.path_digest(F.col("path")).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def _features_sql(table: str) -> str:
     return f"""SELECT *, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM (
     SELECT *, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
