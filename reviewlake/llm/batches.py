@@ -5,7 +5,9 @@ from __future__ import annotations
 import gc
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -26,6 +28,11 @@ def others(df: DataFrame, taken: list[str], keep: list[str] | None = None) -> li
     return [name for name in (df.columns if keep is None else keep) if name.lower() not in names]
 
 
+def free_name(df: DataFrame) -> str:
+    """A name that no column has."""
+    return "_" * (max(map(len, df.columns)) + 1)
+
+
 def add_columns(df: DataFrame, inputs: list[str], outputs: str, start: Callable[[], Rows],
                 keep: list[str] | None = None) -> DataFrame:
     """One row for each row: the `keep` columns (default: all) and those that `start()` gives a task."""
@@ -47,6 +54,40 @@ def add_columns(df: DataFrame, inputs: list[str], outputs: str, start: Callable[
     return source.mapInArrow(run, schema)
 
 
+def portions(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Rows (start, end) that hold about `size` bytes of text together; a longer text stands alone."""
+    upto = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())))
+    start = 0
+    while start < len(upto):
+        end = int(np.searchsorted(upto, (upto[start - 1] if start else 0) + size, "right"))
+        yield start, max(end, start + 1)
+        start = max(end, start + 1)
+
+
+def add_to_texts(df: DataFrame, text: str, outputs: str, rows: Rows, keep: list[str] | None = None,
+                 size: int = 4 * 2 ** 20) -> DataFrame:
+    """One row for each row: the `keep` columns (default: all) and those that `rows` makes of a list of texts.
+
+    Python holds about `size` bytes of texts at a time, or one longer text, however many rows a batch has.
+    """
+    new = fields(outputs)
+    kept = others(df, new.names, keep)
+    source = df.select(*[df[name] for name in kept], df[text].cast("string").alias(free_name(df)))
+    schema = StructType(source.schema.fields[:len(kept)] + new.fields)
+    arrow = to_arrow_schema(schema)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for start, end in portions(part.columns[-1], size):
+                some = part.slice(start, end - start)
+                columns = [column.cast(field.type) for column, field in zip(some.columns[:len(kept)], arrow)]
+                made = rows(some.columns[-1].to_pylist())
+                columns += [pa.array(values, field.type) for values, field in zip(made, list(arrow)[len(kept):])]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return source.mapInArrow(run, schema)
+
+
 def make_rows(df: DataFrame, inputs: list[str], outputs: str, start: Callable[[], Rows]) -> DataFrame:
     """Any number of rows for each batch; `start()` gives a task its function of lists to columns."""
     schema = fields(outputs)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import bpe, chat, contamination, languages, manifest, pages, resampling, rules, simhash, suffixes, toxicity, urls
+from reviewlake.llm import bpe, chat, contamination, languages, manifest, pages, resampling, rules, secret_scan, simhash, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -228,6 +228,22 @@ def op11_merkle_manifest(spark, base):
                          "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+
+@query("op12_secret_scan")
+def op12_secret_scan(spark, base):
+    found = secret_scan.scan(table(spark, base, "documents"), keep=["doc_id"])
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def number(kind):
+        return F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base_spans = F.filter("secrets", lambda x: x["kind"].isin(*secret_scan.BASE))
+    return found.select("doc_id", *[number(kind) for kind in secret_scan.BASE], F.sha2(written(base_spans), 256).alias("base_sha256"),
+                        written(F.col("secrets")).alias("spans"))
+
+
 def _features_sql(table: str) -> str:
     return f"""SELECT *, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM (
     SELECT *, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from reviewlake.llm.batches import fields, others
+from reviewlake.llm.batches import fields, free_name, others, portions
 from reviewlake.llm.places import number_rows
 from reviewlake.session import materialize
 
@@ -38,16 +38,6 @@ class Settings:
     portion: int = 4 * 2 ** 20  # bytes of text whose words are encoded together
 
 
-def portions(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
-    """Rows (start, end) that hold about `size` bytes of text together; a longer text stands alone."""
-    upto = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())))
-    start = 0
-    while start < len(upto):
-        end = int(np.searchsorted(upto, (upto[start - 1] if start else 0) + size, "right"))
-        yield start, max(end, start + 1)
-        start = max(end, start + 1)
-
-
 def hashed_features(texts: pa.Array, settings: Settings) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """Number of words of each text, and for each n-gram length the buckets of all n-grams and their texts' places."""
     split = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts, "")), pattern=BETWEEN)
@@ -124,8 +114,8 @@ def weigh(df: DataFrame, gains: np.ndarray, text: str = "text", keep: list[str]
     """
     new = fields("n_words bigint, n_features bigint, weight bigint")
     kept = others(df, new.names, keep)
-    source = df.select(*[df[name] for name in kept], df[text].cast("string").alias("_text"))
-    schema = StructType([source.schema[name] for name in kept] + new.fields)
+    source = df.select(*[df[name] for name in kept], df[text].cast("string").alias(free_name(df)))
+    schema = StructType(source.schema.fields[:len(kept)] + new.fields)
     arrow = to_arrow_schema(schema)
     gain = pa.array(gains)
 

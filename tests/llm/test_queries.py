@@ -11,7 +11,8 @@ BASE = "/root/testdata/sf0.001"
 COLUMNS = {"op4_toxicity": ["doc_id", "held_out", "score", "predicted"], "op5_html_extraction": ["page_id", "url", "text", "n_chars"],
            "op7_simhash_near_dedup": ["doc_id", "fingerprint", "component_id"],
            "op8_language_id": ["doc_id", "held_out", "lang_pred", "score"],
-           "op10_byte_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]}
+           "op10_byte_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+           "op12_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]}
 TABLES = {"op5_html_extraction": "pages"}
 
 
@@ -29,4 +30,4 @@ def test_one_row_for_each_row(spark, name):
 
 def test_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
