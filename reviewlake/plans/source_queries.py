@@ -6,6 +6,8 @@ folder, so that the work grows with the tables.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from reviewlake import lens
@@ -19,8 +21,8 @@ from reviewlake.plans.quality_queries import _dirty
 from reviewlake.plans.registry import day, query, rounded, second
 from reviewlake.plans.text_queries import FREQUENT, LABELS, WS, compound_sql, words_sql
 from reviewlake.schemas import TABLES
-from reviewlake.session import scratch_path
-from reviewlake.sources import files
+from reviewlake.session import materialize, scratch_path
+from reviewlake.sources import files, ranges
 from reviewlake.sources.lake import (Lake, append_job_log, export, extract_tables, query_data, retained, write_files)
 
 
@@ -164,6 +166,93 @@ def s09_short(spark, base):
     return files.load_uploaded_data(spark, path)
 
 
+@contextmanager
+def _small_splits(spark, ranges: int, path: str):
+    """Files below `path` are read in about so many ranges, as large ones are at the usual size."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", max(1024, size // ranges))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def _customers():
+    return F.struct(F.col("c_custkey").alias("id"), F.concat(F.lit('"['), F.col("c_name"), F.lit(',{"}\\')).alias("name"),
+                    F.array(F.struct(F.col("c_acctbal").alias("v"))).alias("tags"))
+
+
+CUSTOMERS_SQL = """SELECT CAST(c_custkey AS BIGINT) AS id, '"[' || c_name || ',{"}' || chr(92) AS name, c_acctbal AS v FROM customer"""
+
+
+def _read_customers(rows):
+    return rows.select(F.col("id").cast("bigint").alias("id"), "name", F.col("tags")[0]["v"].cast("double").alias("v"))
+
+
+@query("s02_split_array", CUSTOMERS_SQL)
+def s02_split_array(spark, base):
+    """One array a nation, plain or below a key, on one line or on many, each read in several ranges."""
+    path = scratch_path(spark, "arrays")
+    kind = F.col("c_nationkey") % 4
+    items = F.collect_list(_customers())
+    lists = lens.table(spark, base, "customer").groupBy("c_nationkey").agg(items.alias("items")).select(
+        F.when(kind == 0, F.to_json("items")).when(kind == 1, F.to_json("items", {"pretty": "true"}))
+        .when(kind == 2, F.to_json(F.struct(F.lit("a, [b]").alias("note"), F.col("items"), F.array(F.lit(1)).alias("z"))))
+        .otherwise(F.to_json(F.struct(F.expr("array()").alias("none"), F.col("items")), {"pretty": "true"})).alias("value"))
+    lists.write.option("maxRecordsPerFile", 1).text(path)
+    with _small_splits(spark, 75, path):
+        return _read_customers(_ok(files.ingest_json(spark, path)))
+
+
+@query("s02_bad_lines", """
+SELECT CASE WHEN c_custkey % 10 <> 0 THEN CAST(c_custkey AS BIGINT) END AS id, CASE WHEN c_custkey % 10 = 0 THEN '{"id": ' || c_custkey || ', "name": "cut' END AS bad
+FROM customer""")
+def s02_bad_lines(spark, base):
+    path = scratch_path(spark, "lines")
+    key = F.col("c_custkey")
+    lens.table(spark, base, "customer").select(F.when(key % 10 != 0, F.to_json(_customers())).otherwise(
+        F.concat(F.lit('{"id": '), key.cast("string"), F.lit(', "name": "cut'))).alias("value")).write.text(path)
+    with _small_splits(spark, 40, path):
+        rows = _ok(files.ingest_json(spark, path))
+    # bad lines may be told from good ones once the rows are stored
+    return materialize(rows, "rows").select(F.col("id").cast("bigint").alias("id"), F.col("_corrupt_record").alias("bad"))
+
+
+@query("s09_quoted_breaks", """
+SELECT CAST(c_custkey AS VARCHAR) AS "Customer", CASE WHEN c_custkey % 3 = 0 THEN c_name || ';' || chr(10) || chr(10) || 'said "no"' || chr(10) || c_mktsegment ELSE c_name || ' 5" wide' END AS "Comment",
+       c_mktsegment AS "Segment" FROM customer""")
+def s09_quoted_breaks(spark, base):
+    """Cells that hold separators, line ends, blank lines and doubled quotes, or a quote that opens nothing."""
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    broken = F.concat(F.lit('"'), name, F.lit(';\n\nsaid ""no""\n'), F.col("c_mktsegment"), F.lit('"'))
+    line = F.concat_ws(";", key, F.when(F.col("c_custkey") % 3 == 0, broken).otherwise(F.concat(name, F.lit(' 5" wide'))), "c_mktsegment")
+    path = scratch_path(spark, "upload")
+    spark.createDataFrame([("Customer;Comment;Segment",)], "value string").write.text(path)
+    lens.table(spark, base, "customer").select(line.alias("value")).write.mode("append").text(path)
+    with _small_splits(spark, 60, path):
+        return files.load_uploaded_data(spark, path)
+
+
+@query("s09_many_quotes", """
+SELECT l_orderkey // 1500 AS line, count(*) AS cells, CAST(sum(l_orderkey) AS BIGINT) AS keys, CAST(sum(l_quantity) AS DOUBLE) AS quantity
+FROM lineitem GROUP BY 1""")
+def s09_many_quotes(spark, base):
+    """Lines of some thousand quoted cells, each with a separator in it."""
+    cell = F.concat(F.lit('"'), F.col("l_orderkey").cast("string"), F.lit(";"), F.col("l_quantity").cast("string"), F.lit('"'))
+    lines = lens.table(spark, base, "lineitem").groupBy(F.floor(F.col("l_orderkey") / 1500).alias("line")).agg(F.collect_list(cell).alias("cells"))
+    path = scratch_path(spark, "upload")
+    lines.select(F.concat_ws(";", F.col("line").cast("string"), "cells").alias("value")).write.text(path)
+    found = ranges.delimited_cells(spark, [path], ";", "UTF-8", False)
+    pair = F.transform(F.slice("cells", F.lit(2), F.size("cells")), lambda x: F.split(x, ";"))
+
+    def total(at, kind):
+        return F.aggregate(pair, F.lit(0).cast(kind), lambda sum_, x: sum_ + x[at].cast(kind))
+    return found.select(F.col("cells")[0].cast("bigint").alias("line"), (F.size("cells") - 1).cast("bigint").alias("cells"),
+                        total(0, "bigint").alias("keys"), total(1, "double").alias("quantity"))
+
+
 @query("s03_parquet_scan", "SELECT s_suppkey, s_name, s_acctbal FROM supplier WHERE s_acctbal > 0")
 def s03(spark, base):
     rows = _ok(files.ingest_parquet(spark, f"{base}/supplier.parquet"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from reviewlake.operators import relational
-from reviewlake.session import scratch_path
+from reviewlake.session import materialize, scratch_path
+from reviewlake.sources import ranges
 
 Outcome = tuple[DataFrame | None, list[str]]
 
@@ -41,65 +42,67 @@ def ingest_parquet(spark: SparkSession, path: str, schema: StructType | None = N
     return attempt(lambda: reader.parquet(path), f"Parquet file {path}")
 
 
-def _documents(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """JSON documents (`value`, with the folders' columns); `is_row` marks the lines of a JSON lines file.
+def _base(spark: SparkSession, path: str) -> str | None:
+    """The folder that columns of folder names are counted from; none for a single file."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return path if system.exists(place) and system.getFileStatus(place).isDirectory() else None
 
-    A file with several lines of which each is JSON is a file of lines, which Spark splits; any other file is one
-    document.
-    """
-    def reader():
-        return spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    file = F.col("_metadata.file_path").alias("_file")
-    lines = reader().text(path).select("*", file).where(F.trim("value") != "")
-    judged = lines.groupBy("_file").agg((F.count_if(F.try_parse_json("value").isNull()) == 0).alias("parse"),
-                                        F.count("*").alias("lines"))
-    of_lines = judged.where(F.col("parse") & (F.col("lines") > 1)).select("_file")
-    whole = reader().text(path, wholetext=True).select("*", file).where(F.trim("value") != "")
-    return (lines.join(of_lines, "_file", "left_semi").withColumn("is_row", F.lit(True)).unionByName(
-        whole.join(of_lines, "_file", "left_anti").withColumn("is_row", F.lit(False))).drop("_file"))
-
-
-def _records(documents: DataFrame, choose: Callable[[Column, Column], Column]) -> DataFrame:
-    """Adds `records` (array of variants): a list's elements, the list `choose` finds in an object, else the document.
-
-    choose: the object's keys in their order and its map of variants -> a list or null.
-    """
-    document = F.try_parse_json("value")
-    listed = F.try_variant_get(document, "$", "array<variant>")
-    fields = F.try_variant_get(document, "$", "map<string,variant>")
-    chosen = F.when(~F.col("is_row"), F.coalesce(listed, choose(F.json_object_keys("value"), fields)))
-    return documents.withColumn("records", F.coalesce(chosen, F.array(document)))
 
+def _text(spark: SparkSession, names: Sequence[str], base: str | None, whole: bool) -> DataFrame:
+    """(value, file, folder) of the lines of files, or of whole files."""
+    reader = spark.read if base is None else spark.read.option("basePath", base)
+    text = reader.text([ranges.path_of(name) for name in names], wholetext=whole)
+    return text.select(F.trim("value", F.lit(" \t\r\n\ufeff")).alias("value"), F.col("_metadata.file_path").alias("file"),
+                       ranges.folder_of(text).alias("folder")).where("value <> ''")
 
-def _list_of(fields: Column, key: Column) -> Column:
-    """The list under a key; null when it is none."""
-    return F.try_variant_get(F.element_at(fields, key), "$", "array<variant>")
 
+def _records(spark: SparkSession, path: str, choose: Callable[[DataFrame, DataFrame], DataFrame], glob: str | None = None) -> DataFrame:
+    """(value, folder): the text of each record.
 
-def _read_records(records: DataFrame, schema: StructType | str | None = None, *kept: str) -> DataFrame:
+    Files of lines give their lines. Any other file is one document: a top-level list gives its elements, an object
+    those of the list that `choose` finds, from (file, nth) of all elements and (file, text) outside of lists, as
+    (file, nth); a document without one is a record as a whole. Lists are cut range by range (see `ranges`), whatever
+    the size of the file. What is broken outside of a list is one more record, which no reader takes for JSON.
+    """
+    found, base = ranges.json_files(spark, path, glob), _base(spark, path)
+    parts = [_text(spark, found.lines, base, False).select("value", "folder")] if found.lines else []
+    if found.documents:
+        elements, outside = ranges.json_elements(spark, found, base)
+        lists = outside.where(F.startswith("text", F.lit("["))).select("file", F.lit(1).cast("bigint").alias("nth"))
+        chosen = materialize(lists.unionAll(choose(elements, outside.where(~F.startswith("text", F.lit("["))))), "chosen")
+        parts.append(elements.join(chosen, ["file", "nth"]).select(F.col("text").alias("value"), "folder"))
+        broken = outside.join(chosen, "file", "left_semi").where(F.try_parse_json("text").isNull())
+        folders = elements.select("folder").limit(0)
+        parts.append(broken.select(F.col("text").alias("value"), F.lit(None).cast(folders.schema["folder"].dataType).alias("folder")))
+        whole = [row["file"] for row in outside.join(chosen, "file", "left_anti").select("file").collect()]
+        if whole:
+            parts.append(_text(spark, whole, base, True).select("value", "folder"))
+    return relational.union_all(parts) if parts else spark.createDataFrame([], "value string, folder struct<_none:int>")
+
+
+def _read_records(records: DataFrame, schema: StructType | str | None = None) -> DataFrame:
     """Records as rows, by Spark's JSON reader over one record a line; a record that is no object has a column `value`.
 
-    Documents that are no JSON come back in `_corrupt_record`.
+    Records that are no JSON come back in `_corrupt_record`.
     """
-    spark = records.sparkSession
-    record = F.col("record")
-    is_object = F.startswith(F.schema_of_variant(record), F.lit("OBJECT"))
-    line = F.when(record.isNull(), F.col("value")).when(is_object, F.to_json(record)).otherwise(
-        F.to_json(F.struct(record.alias("value"))))
+    spark, value = records.sparkSession, F.col("value")
+    line = (F.when(F.startswith("value", F.lit("{")) | F.try_parse_json("value").isNull(), value)
+            .otherwise(F.concat(F.lit('{"value": '), value, F.lit("}"))))
     path = scratch_path(spark, "records")
-    records.select(F.explode("records").alias("record"), "value", *kept).select(
-        F.regexp_replace(line, "[\r\n]+", " ").alias("value"), *kept).write.text(path)
+    records.select(F.translate(line, "\r\n", "  ").alias("value")).write.text(path)
     return (spark.read.schema(schema) if schema is not None else spark.read).json(path)
 
 
-def _first_filled(keys: Column, fields: Column) -> Column:
-    return F.get(F.filter(F.transform(keys, lambda key: _list_of(fields, key)), lambda found: F.size(found) > 0), F.lit(0))
+def _first_filled(elements: DataFrame, outside: DataFrame) -> DataFrame:
+    """The first list with an element."""
+    return elements.join(outside, "file", "left_semi").groupBy("file").agg(F.min("nth").alias("nth"))
 
 
 def ingest_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> Outcome:
     """Each document for itself: a top-level list gives its elements, an object its first non-empty list, anything
-    else one row. The lines of a JSON lines file are rows."""
-    return attempt(lambda: _read_records(_records(_documents(spark, path), _first_filled), schema), f"JSON file {path}")
+    else one row. The lines of a JSON lines file are rows. Bad lines and elements stand in `_corrupt_record`."""
+    return attempt(lambda: _read_records(_records(spark, path, _first_filled), schema), f"JSON file {path}")
 
 
 def ingest_json_lines(spark: SparkSession, path: str, schema: StructType | str | None = None) -> Outcome:
@@ -130,14 +133,21 @@ def ingest_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType
 RECORD_KEYS = ("data", "results", "items", "records")
 
 
-def _known_list(names: Sequence[str]) -> Callable[[Column, Column], Column]:
-    return lambda keys, fields: F.coalesce(*[_list_of(fields, F.lit(name)) for name in names])
+def _known_list(names: Sequence[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """The list under the first of the names that holds one, an empty one too."""
+    def choose(elements: DataFrame, outside: DataFrame) -> DataFrame:
+        fields = F.try_variant_get(F.try_parse_json("text"), "$", "map<string,variant>")
+        # lists are empty here, and stand in the order that elements count them by
+        lists = F.filter(F.json_object_keys("text"), lambda key: F.startswith(F.schema_of_variant(F.element_at(fields, key)), F.lit("ARRAY")))
+        nth = F.coalesce(*[F.nullif(F.array_position(lists, name), F.lit(0)) for name in names])
+        return outside.select("file", nth.cast("bigint").alias("nth")).where("nth IS NOT NULL")
+    return choose
 
 
 def ingest_api_responses(spark: SparkSession, path: str, keys: Sequence[str] = RECORD_KEYS,
                          glob: str | None = None) -> Outcome:
     """Landed API responses, each for itself: a list as it is, else the first known key holding a list, else one row."""
-    return attempt(lambda: _read_records(_records(_documents(spark, path, glob), _known_list(keys))), f"API responses {path}")
+    return attempt(lambda: _read_records(_records(spark, path, _known_list(keys), glob)), f"API responses {path}")
 
 
 def ingest_paginated_api(spark: SparkSession, path: str, page_param: str = "page", max_pages: int | None = None,
@@ -149,8 +159,9 @@ def ingest_paginated_api(spark: SparkSession, path: str, page_param: str = "page
     told: list[str] = []
 
     def read() -> DataFrame:
-        records = _records(_documents(spark, path), _known_list(keys)).withColumn("_page", F.col(page_param).cast("int"))
-        filled = records.groupBy("_page").agg(F.sum(F.size("records")).alias("n")).where("n > 0 AND _page > 0")
+        records = _records(spark, path, _known_list(keys))
+        records = records.select("value", F.col("folder").getField(page_param).cast("int").alias("_page"))
+        filled = records.where("_page > 0").select("_page").distinct()
         # the first page that does not follow its predecessor ends them; one row for each page
         order = Window.orderBy("_page")
         last = filled.select("_page", F.row_number().over(order).alias("nth")).where("_page = nth").agg(
@@ -244,7 +255,8 @@ def load_uploaded_data(spark: SparkSession, path: str, min_filled: float = 0.1,
 
     Every file is judged by all of its bytes, the separator by all lines. The first line of a file is left out if it
     looks like a header, and names the columns of that file; files with other headers are joined by name, and those
-    without one take the names of the only header there is. Short rows are padded. `count_cells` adds `_cells`, by which rows of an odd width can be told.
+    without one take the names of the only header there is. A quoted cell may hold separators and line ends. Short rows
+    are padded. `count_cells` adds `_cells`, by which rows of an odd width can be told.
     """
     lower = path.rstrip("/").lower()
     if not lower.endswith(EXTENSIONS) and "." in lower.rsplit("/", 1)[-1]:
@@ -255,18 +267,18 @@ def load_uploaded_data(spark: SparkSession, path: str, min_filled: float = 0.1,
     order = ("\t", ",", ";", "|") if lower.endswith(".tsv") else DELIMITERS
     groups: dict[tuple[str, str | None], list[str]] = {}
     delimiter = best_delimiter(relational.union_all([
-        _lines(spark, [fact["file"] for fact in facts if fact["encoding"] == encoding], encoding, False)
+        _lines(spark, [fact["file"] for fact in facts if fact["encoding"] == encoding], encoding)
         for encoding in sorted({fact["encoding"] for fact in facts})]), order)
     if delimiter is None:
         raise ValueError(f"no separator found in {path}")
     for fact in facts:
         first = _tidy(fact["first"].encode("latin-1", "replace").decode(fact["encoding"], "ignore"))
-        header = first if looks_like_header(_python_cells(spark, first, delimiter)) else None
+        header = first if looks_like_header(ranges.cut_cells(first, delimiter)) else None
         groups.setdefault((fact["encoding"], header), []).append(fact["file"])
     headers = {header for _, header in groups if header is not None}
     usual = headers.pop() if len(headers) == 1 else None  # names the columns of files without a header, too
-    tables = [split_lines(_lines(spark, names, encoding, header is not None), delimiter,
-                          _python_cells(spark, header or usual, delimiter) if header or usual else [])
+    tables = [split_cells(ranges.delimited_cells(spark, names, delimiter, encoding, header is not None),
+                          ranges.cut_cells(header or usual, delimiter) if header or usual else [])
               for (encoding, header), names in groups.items()]
     table = tables[0]
     for other in tables[1:]:
@@ -278,36 +290,25 @@ def _tidy(line: str) -> str:
     return line.replace("\ufeff", "").strip(" \r\n\0")
 
 
-def _lines(spark: SparkSession, names: Sequence[str], encoding: str, header: bool) -> DataFrame:
-    """Lines with content of files of one encoding, without the first one of each if that is a header."""
+def _lines(spark: SparkSession, names: Sequence[str], encoding: str) -> DataFrame:
+    """Lines with content of files of one encoding."""
     wide = encoding.startswith("UTF-16")  # line ends are not single bytes: read file by file
     return (spark.read.option("encoding", encoding).option("sep", "\x01").option("quote", "\x02").option("multiLine", wide)
-            .option("header", header).option("enforceSchema", True).schema("line string").csv(list(names))
+            .schema("line string").csv([ranges.path_of(name) for name in names])
             .select(F.trim(F.regexp_replace("line", "[\ufeff\r]", "")).alias("line")).where(F.col("line") != ""))
 
 
-def _cells(line: Column, delimiter: str) -> Column:
-    """Cells of a line: quoted cells may hold the separator; spaces and quotes around a cell are cut."""
-    quoted_at_end = F.lit(f'{delimiter}(?=(?:[^"]*"[^"]*")*[^"]*$)' if delimiter not in "|" else
-                          '\\|(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    return F.transform(F.split(line, quoted_at_end), lambda cell: F.trim(F.trim(cell), F.lit("\"' ")))
-
-
-def _python_cells(spark: SparkSession, line: str, delimiter: str) -> list[str]:
-    return spark.createDataFrame([(line,)], "line string").select(_cells(F.col("line"), delimiter).alias("cells")).first()["cells"]
-
-
-def split_lines(lines: DataFrame, delimiter: str, header: Sequence[str]) -> DataFrame:
-    """Lines to columns named by the header, others by their place; `_cells` is the number of a row's cells."""
-    split = lines.select(_cells(F.col("line"), delimiter).alias("cells"))
-    widest = max(len(header), split.agg(F.max(F.size("cells"))).first()[0] or 0)
+def split_cells(found: DataFrame, header: Sequence[str]) -> DataFrame:
+    """Cells to columns named by the header, others by their place; `_cells` is the number of a row's cells."""
+    stored = materialize(found, "cells")
+    widest = max(len(header), stored.agg(F.max(F.size("cells"))).first()[0] or 0)
     names, seen = [], set()
     for at in range(widest):
         name = header[at] if at < len(header) and header[at] else f"Column_{at + 1}"
         names.append(name if name.lower() not in seen else f"{name}_{at + 1}")
         seen.add(names[-1].lower())
-    return split.select(F.size("cells").alias("_cells"), *[F.nullif(F.get("cells", F.lit(at)), F.lit("")).alias(name)
-                                                           for at, name in enumerate(names)])
+    return stored.select(F.size("cells").alias("_cells"), *[F.nullif(F.get("cells", F.lit(at)), F.lit("")).alias(name)
+                                                            for at, name in enumerate(names)])
 
 
 def _filled(table: DataFrame, min_filled: float, count_cells: bool) -> DataFrame:
