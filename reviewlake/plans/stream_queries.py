@@ -222,8 +222,7 @@ def x09_repeated(spark, base):
     stream, source = _stream(spark), scratch_path(spark, "messages")
     for added in (0.0, 1.0):
         _messages(spark, base, added=added).select("value").write.mode("append").text(source)
-        for start in (stream.store_processed, stream.store_windows):
-            start(message_source(spark, source)).awaitTermination()
+        stream.store_processed(message_source(spark, source)).awaitTermination()
     stream.compact(1)
     return stream.processed().groupBy("event_type").agg(F.count("*").alias("events"),
                                                         F.round(F.sum("revenue_impact"), 2).alias("revenue"))
@@ -246,6 +245,7 @@ def x12(spark, base):
     messages = message_source(spark, _land(spark, base), 100)
     for query_ in (stream.land_raw(messages), stream.store_windows(messages)):
         query_.awaitTermination()
+    stream.close_windows().awaitTermination()
     return _plain_windows(stream.windows().unionByName(stream.flush_open_windows()))
 
 
@@ -257,6 +257,7 @@ def x12_several(spark, base):
     """Finished and open windows and late rows together hold every placement, whatever the batches."""
     stream = _stream(spark)
     stream.store_windows(message_source(spark, _land(spark, base), 1)).awaitTermination()
+    stream.close_windows().awaitTermination()
     windows = stream.windows().unionByName(stream.flush_open_windows())
     placed = windows.agg(F.sum("event_count").alias("n")).unionByName(stream.late_rows().agg(F.count("*").alias("n")))
     return placed.agg(F.sum("n").alias("placements"))

@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -90,10 +91,7 @@ class Lake:
 
     def catalog(self) -> DataFrame:
         """One row for each dataset and layer: what was written since the last replacement, if it was not dropped."""
-        if self._exists(self._catalog_path):
-            rows = self.spark.read.schema(WRITES).parquet(self._catalog_path)
-        else:
-            rows = self.spark.createDataFrame([], WRITES)
+        rows = self._writes()
         by = ["dataset", "layer"]
         ends = rows.groupBy(*by).agg(F.max(F.when(F.col("kind") != "append", F.col("seq"))).alias("since"),
                                      F.min("written_at").alias("created_at"))
@@ -112,15 +110,48 @@ class Lake:
         (self.spark.createDataFrame(row, schema).withColumn("written_at", F.current_timestamp()).coalesce(1)
          .write.mode("append").parquet(self._catalog_path))
 
+    def _compacted(self) -> int | None:
+        """The `seq` that the newest whole compaction of the catalog reaches up to."""
+        folder = f"{self.root}/_catalog_until"
+        if not self._exists(folder):
+            return None
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        system = hadoop.Path(folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [status.getPath() for status in system.listStatus(hadoop.Path(folder))]
+        return max((int(path.getName()) for path in found if system.exists(hadoop.Path(path, "_SUCCESS"))), default=None)
+
+    def _writes(self) -> DataFrame:
+        """The catalog's rows: those of the newest compaction and what was recorded after it."""
+        if not self._exists(self._catalog_path):
+            return self.spark.createDataFrame([], WRITES)
+        rows, base = self.spark.read.schema(WRITES).parquet(self._catalog_path), self._compacted()
+        if base is None:
+            return rows
+        return rows.where(F.col("seq") > base).unionByName(self.spark.read.schema(WRITES).parquet(f"{self.root}/_catalog_until/{base}"))
+
     def compact_catalog(self) -> None:
-        """Rewrite the catalog's rows as one file; to be run while nobody writes."""
+        """Rewrite the catalog's rows as one file; to be run while nobody writes.
+
+        The file stands in a folder of its own, which counts once it is whole; only then what it replaces is deleted.
+        A crash at any point leaves a catalog that reads right.
+        """
+        last = self._writes().agg(F.max("seq")).first()[0]
+        if last is not None and last != self._compacted():
+            self._writes().coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_catalog_until/{last}")
+        if last is not None:
+            self._forget(last)
+
+    def _forget(self, base: int) -> None:
+        """Delete the records that the compaction up to `base` holds, and earlier compactions."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        system = hadoop.Path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
         rows = self.spark.read.schema(WRITES).parquet(self._catalog_path)
-        aside = f"{self.root}/_catalog_{uuid.uuid4().hex}"
-        rows.coalesce(1).write.parquet(aside)
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        system = hadoop(aside).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        system.delete(hadoop(self._catalog_path), True)
-        system.rename(hadoop(aside), hadoop(self._catalog_path))
+        files = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max("seq").alias("last"))
+        for row in files.where(F.col("last") <= base).collect():  # a file for each write since the last compaction
+            system.delete(hadoop.Path(unquote(row["file"])), False)
+        for status in system.listStatus(hadoop.Path(f"{self.root}/_catalog_until")):
+            if int(status.getPath().getName()) < base:
+                system.delete(status.getPath(), True)
 
     def _entry(self, name: str, layer: str | None = None) -> dict[str, Any]:
         found = self.catalog().where(F.col("dataset") == name)

@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from reviewlake.operators import summaries
 from reviewlake.sources.lake import latest_versions
 from reviewlake.streaming.events import decode, enrich, malformed_messages, parse_messages
-from reviewlake.streaming.windows import merge_windows, window_parts
+from reviewlake.streaming.windows import add_parts, merge_windows, window_parts
 
 
 def message_source(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
@@ -72,87 +72,101 @@ class EventStream:
         return self._each_batch(enrich(decode(parse_messages(messages))), "processed", handle, available_now)
 
     def processed(self) -> DataFrame:
-        """Newest version of every processed event."""
-        return latest_versions(self.spark.read.parquet(self.path("processed")), ["event_id"], "batch")
+        """Newest version of every processed event: of the newest compaction and the batches after it."""
+        base, batches = self._compacted(), self.spark.read.parquet(self.path("processed"))
+        if base is not None:
+            compacted = self.spark.read.parquet(self.path(f"processed_until/{base}"))
+            batches = batches.where(F.col("batch") > base).unionByName(compacted)
+        return latest_versions(batches, ["event_id"], "batch")
 
     def store_windows(self, messages: DataFrame, available_now: bool = True) -> StreamingQuery:
         """What each micro-batch adds to its windows, and the rows that come too late for theirs.
 
-        A window is finished when an earlier batch holds an event `watermark` after its end. Rows of finished windows
-        only go to the folder `late`; rows of open ones count there, and their finished windows are named in `late` too.
-        Each micro-batch owns one folder of each kind, so a repeated batch changes nothing.
+        A window takes no more rows once the query's watermark has passed its end; rows that come later go to the
+        folder `late`, once for each such window. Each micro-batch owns one folder of each kind and its watermark is
+        that of Spark's offset log, so a repeated batch changes nothing. See `close_windows` for the windows.
         """
         def handle(batch: DataFrame, batch_id: int) -> None:
             batch = batch.persist()
-            before = self._newest(batch_id)
-            start = F.window("timestamp", self.size, self.slide)
-            closed = F.lit(False) if before is None else F.col("window.end") <= F.lit(before) - F.expr(f"INTERVAL {self.watermark}")
-            placed = batch.withColumn("window", start)
-            placed.where(closed).withColumn("window_end", F.col("window.end")).drop("window").write.mode("overwrite").parquet(
-                f"{self.path('late')}/batch={batch_id}")
-            parts = window_parts(batch, self.size, self.slide)
-            still = F.lit(True) if before is None else F.col("end_time") > F.lit(before) - F.expr(f"INTERVAL {self.watermark}")
-            parts.where(still).write.mode("overwrite").parquet(f"{self.path('window_parts')}/batch={batch_id}")
-            batch.agg(F.max("timestamp").alias("newest")).write.mode("overwrite").parquet(f"{self.path('progress')}/batch={batch_id}")
+            passed = F.timestamp_millis(F.lit(self._watermark("windows", batch_id)))
+            placed = batch.withColumn("window", F.window("timestamp", self.size, self.slide))
+            placed.where(F.col("window.end") <= passed).withColumn("window_end", F.col("window.end")).drop("window").write.mode(
+                "overwrite").parquet(f"{self.path('late')}/batch={batch_id}")
+            parts = window_parts(batch, self.size, self.slide).where(F.col("end_time") > passed)
+            # one file a batch, of one row a window: whoever reads on takes a batch as a whole
+            parts.coalesce(1).write.mode("overwrite").parquet(f"{self.path('window_parts')}/batch={batch_id}")
             batch.unpersist()
-        return self._each_batch(decode(parse_messages(messages)), "windows", handle, available_now)
-
-    def _newest(self, before_batch: int | None = None):
-        """The newest event time of all batches, or of those before one; one row a batch is read."""
-        try:
-            progress = self.spark.read.parquet(self.path("progress"))
-        except AnalysisException:
-            return None
-        if before_batch is not None:
-            progress = progress.where(F.col("batch") < before_batch)
-        return progress.agg(F.max("newest")).first()[0]
-
-    def _windows(self, finished: bool) -> DataFrame:
-        newest = self._newest()
-        limit = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {self.watermark}")
-        parts = self.spark.read.parquet(self.path("window_parts"))
-        return merge_windows(parts.where(F.col("end_time") <= limit if finished else F.col("end_time") > limit))
+        events = decode(parse_messages(messages)).withWatermark("timestamp", self.watermark)
+        return self._each_batch(events, "windows", handle, available_now)
+
+    def _watermark(self, name: str, batch_id: int) -> int:
+        """The watermark (milliseconds) that Spark gave a batch when it planned it."""
+        log = self.spark.read.text(f"{self.path('_checkpoint')}/{name}/offsets/{batch_id}")
+        return log.select(F.get_json_object("value", "$.batchWatermarkMs").cast("bigint").alias("ms")).where("ms IS NOT NULL").first()[0]
+
+    def close_windows(self, available_now: bool = True) -> StreamingQuery:
+        """Sum up the parts of each window in Spark's state store and append a window when the watermark has passed it.
+
+        A part that comes again from a repeated batch is dropped. Parts lag behind events by a window's length at most,
+        which the watermark adds, so no part that `store_windows` took comes too late here.
+        """
+        schema = window_parts(decode(parse_messages(self.spark.createDataFrame([], "value string"))), self.size, self.slide).schema
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path("window_parts"))
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
+        parts = self.spark.readStream.schema(schema.add("batch", "long")).parquet(self.path("window_parts"))
+        once = parts.withWatermark("end_time", f"{self.watermark} {self.size}").dropDuplicates(["batch", "start_time", "end_time"])
+        writer = add_parts(once.drop("batch")).writeStream.format("parquet").option("path", self.path("windows")).outputMode("append")
+        return self._start(writer, "closed", available_now)
 
     def windows(self) -> DataFrame:
         """Finished windows."""
-        return self._windows(True)
+        return merge_windows(self.spark.read.parquet(self.path("windows")))
 
     def flush_open_windows(self) -> DataFrame:
-        """Windows that are not finished, as far as they are; only their own parts are read."""
-        return self._windows(False)
+        """Windows that are not finished, as far as they are: what the state store holds."""
+        state = self.spark.read.format("statestore").load(f"{self.path('_checkpoint')}/closed")
+        parts = self.spark.read.parquet(self.path("window_parts")).drop("batch")
+        sums = StructType([field for field in parts.schema if field.name not in ("start_time", "end_time")])
+        held = state.select("key.start_time", "key.end_time", F.col("value").cast(sums).alias("parts"))
+        return merge_windows(held.select("start_time", "end_time", "parts.*"))
 
     def late_rows(self) -> DataFrame:
         """Placements of events into windows that were finished before they came."""
         return self.spark.read.parquet(self.path("late"))
 
+    def _compacted(self) -> int | None:
+        """The batch that the newest whole compaction reaches up to."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(self.path("processed_until"))
+        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [status.getPath() for status in system.listStatus(folder)] if system.exists(folder) else []
+        return max((int(path.getName()) for path in found if system.exists(hadoop.Path(path, "_SUCCESS"))), default=None)
+
     def compact(self, up_to_batch: int) -> None:
-        """Merge what batches up to one wrote for windows and processed events into one folder each.
+        """Merge the processed events of the batches up to one, which must be over, into one folder.
 
-        The batches' folders are replaced by a folder of the last of them, written aside first and then renamed.
+        The folder has a name of its own and counts once it is whole; only then what it replaces is deleted. A crash at
+        any point leaves a state that `processed` reads right and from which `compact` can be called again.
         """
-        processed = latest_versions(self.spark.read.parquet(self.path("processed")).where(F.col("batch") <= up_to_batch),
-                                    ["event_id"], "batch", keep_batch=True).drop("batch")
-        parts = self.spark.read.parquet(self.path("window_parts")).where(F.col("batch") <= up_to_batch)
-        sums = [name for name in parts.columns if name.endswith("_events") or name in (
-            "event_count", "rating_sum", "ratings", "total_revenue", "orders")]
-        merged = parts.groupBy("start_time", "end_time").agg(
-            *[F.sum(name).cast(parts.schema[name].dataType).alias(name) for name in sums],
-            *[F.min(name).alias(name) for name in ("min_rating", "min_order")],
-            *[F.max(name).alias(name) for name in ("max_rating", "max_order")])
-        for name, table in (("processed", processed), ("window_parts", merged)):
-            aside = self.path(f"_compacted/{name}")
-            table.write.mode("overwrite").parquet(aside)
-            self._replace(name, aside, up_to_batch)
-
-    def _replace(self, name: str, aside: str, up_to_batch: int) -> None:
+        base = self._compacted()
+        if base is None or base < up_to_batch:
+            batches = self.spark.read.parquet(self.path("processed")).where(F.col("batch") <= up_to_batch)
+            if base is not None:
+                batches = batches.where(F.col("batch") > base).unionByName(self.spark.read.parquet(self.path(f"processed_until/{base}")))
+            latest_versions(batches, ["event_id"], "batch", keep_batch=True).write.mode("overwrite").parquet(
+                self.path(f"processed_until/{up_to_batch}"))
+        self._forget(self._compacted())
+
+    def _forget(self, base: int) -> None:
+        """Delete what the compaction up to `base` holds; one batch folder stays, as the schema of the batches."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
-        folder = hadoop.Path(self.path(name))
-        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        for status in system.listStatus(folder):
-            label = status.getPath().getName()
-            if label.startswith("batch=") and int(label[6:]) <= up_to_batch:
-                system.delete(status.getPath(), True)
-        system.rename(hadoop.Path(aside), hadoop.Path(folder, f"batch={up_to_batch}"))
+        for name, label in (("processed", "batch="), ("processed_until", "")):
+            folder = hadoop.Path(self.path(name))
+            system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            for status in system.listStatus(folder):
+                number = status.getPath().getName().removeprefix(label)
+                if number.isdigit() and int(number) < base:
+                    system.delete(status.getPath(), True)
 
     def store_batch_figures(self, messages: DataFrame, available_now: bool = True) -> StreamingQuery:
         """Per micro-batch: the events by type, and review and purchase figures."""
@@ -174,10 +188,12 @@ class EventStream:
     def start(self, source: str, available_now: bool = True) -> list[StreamingQuery]:
         """All queries over one source folder."""
         messages = message_source(self.spark, source)
-        return [start(messages, available_now) for start in (
+        started = [start(messages, available_now) for start in (
             self.land_raw, self.quarantine, self.store_processed, self.store_windows)]
+        return started if available_now else [*started, self.close_windows(False)]
 
     def run(self, source: str) -> None:
         """Read what there is, then stop."""
         for query in self.start(source, True):
             query.awaitTermination()
+        self.close_windows().awaitTermination()

@@ -29,6 +29,14 @@ def window_parts(events: DataFrame, size: str = "60 seconds", slide: str = "30 s
     return grouped.select(F.col("window.start").alias("start_time"), F.col("window.end").alias("end_time"), *grouped.columns[1:])
 
 
+def add_parts(parts: DataFrame) -> DataFrame:
+    """Parts of the same window added up: parts again, with each column an aggregate of itself."""
+    def added(name: str) -> Column:
+        return F.min(name) if name.startswith("min_") else F.max(name) if name.startswith("max_") else F.sum(name)
+    figures = [name for name in parts.columns if name not in ("start_time", "end_time")]
+    return parts.groupBy("start_time", "end_time").agg(*[added(name).alias(name) for name in figures])
+
+
 def merge_windows(parts: DataFrame) -> DataFrame:
     """One row per window: events in total and by type, rating and order figures."""
     counts = ["event_count", *[f"{name}_events" for name in TYPES], "other_events"]

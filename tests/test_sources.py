@@ -282,3 +282,20 @@ def test_jobs_record_problems(spark, tmp_path):
                            log_path=str(tmp_path / "log"))
     assert sorted(row["status"] for row in log.collect()) == ["completed", "failed", "failed"]
     assert spark.read.parquet(str(tmp_path / "log")).count() == 3
+
+
+def test_catalog_compaction_survives_a_crash(spark, lake, monkeypatch):
+    lake.write_dataset(spark.range(2), "d")
+    lake.write_dataset(spark.range(3), "e")
+    with monkeypatch.context() as patch:
+        patch.setattr(Lake, "_forget", lambda self, base: (_ for _ in ()).throw(OSError("crash")))
+        with pytest.raises(OSError):
+            lake.compact_catalog()
+    assert lake.read_dataset("d").count() == 2 and lake.read_dataset("e").count() == 3
+    lake.write_dataset(spark.range(4), "d")
+    assert lake.read_dataset("d").count() == 6
+    lake.compact_catalog()
+    lake.compact_catalog()
+    assert lake.read_dataset("d").count() == 6 and lake.read_dataset("e").count() == 3
+    lake.drop_dataset("e", "raw")
+    assert [row["dataset"] for row in lake.catalog().collect()] == ["d"]

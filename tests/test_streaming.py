@@ -90,3 +90,80 @@ def test_figures_by_batch(spark, source, tmp_path):
     stream.store_batch_figures(message_source(spark, source)).awaitTermination()
     assert spark.read.parquet(f"{stream.path('figures')}/purchases").agg(F.sum("total_orders")).first()[0] == 2
     assert spark.read.parquet(stream.path("by_type")).where("event_type = 'review'").count() == 2
+
+
+def placements(stream):
+    windows = stream.windows().unionByName(stream.flush_open_windows())
+    return windows.agg(F.sum("event_count")).first()[0] + stream.late_rows().count()
+
+
+def test_windows_close_by_the_watermark_over_restarts(spark, tmp_path):
+    """Batch by batch in new queries: a window is closed once, late rows are kept apart, nothing is lost or doubled."""
+    folder = tmp_path / "m"
+    folder.mkdir()
+    sent = 0
+    for at, seconds in enumerate(([5, 20], [100, 400], [10, 390, 410], [1000, 405], [15, 2000])):
+        (folder / f"{at}.txt").write_text("".join(message(at * 10 + n, "view", second) + "\n" for n, second in enumerate(seconds)))
+        sent += 2 * len(seconds)
+        stream = EventStream(spark, str(tmp_path / "out"), watermark="2 minutes")
+        stream.store_windows(message_source(spark, str(folder))).awaitTermination()
+        if at != 2:  # the closing query may lag behind
+            stream.close_windows().awaitTermination()
+            assert placements(stream) == sent
+    finished = [row["window_id"] for row in stream.windows().collect()]
+    assert len(finished) == len(set(finished))
+    # 10 came after 400 - 120, and 15 after 1000 - 120; 405 came after 410, which is no 120 before it
+    assert sorted(F_second(row) for row in stream.late_rows().collect()) == [10, 10, 15, 15]
+
+
+def F_second(row):
+    return row["timestamp"].minute * 60 + row["timestamp"].second
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path):
+    folder = tmp_path / "m"
+    folder.mkdir()
+    stream = EventStream(spark, str(tmp_path / "out"))
+    (folder / "0.txt").write_text(message(1, "view", 5) + "\n" + message(2, "view", 50) + "\n")
+    stream.store_windows(message_source(spark, str(folder))).awaitTermination()
+    stream.close_windows().awaitTermination()
+    # the batch's commit is lost after the closing query has read its parts
+    for name in ("0", ".0.crc"):
+        (tmp_path / "out" / "_checkpoint" / "windows" / "commits" / name).unlink(missing_ok=True)
+    stream.store_windows(message_source(spark, str(folder))).awaitTermination()
+    stream.close_windows().awaitTermination()
+    assert placements(stream) == 4
+
+
+def test_compaction_survives_a_crash_at_any_point(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "m"
+    folder.mkdir()
+    stream = EventStream(spark, str(tmp_path / "out"))
+
+    def send(at, amount):
+        (folder / f"{at}.txt").write_text(message(at % 2, "purchase", at, amount=amount) + "\n")
+        stream.store_processed(message_source(spark, str(folder))).awaitTermination()
+
+    def amounts():
+        return sorted((row["event_id"], row["amount"]) for row in stream.processed().collect())
+
+    for at in range(4):
+        send(at, float(at))
+    want = [("e0", 2.0), ("e1", 3.0)]
+    # before anything is whole: a folder without its mark
+    (tmp_path / "out" / "processed_until" / "2").mkdir(parents=True)
+    assert amounts() == want
+    with monkeypatch.context() as patch:  # after the compaction is whole, before anything is deleted
+        patch.setattr(EventStream, "_forget", lambda self, base: (_ for _ in ()).throw(OSError("crash")))
+        with pytest.raises(OSError):
+            stream.compact(2)
+    assert amounts() == want
+    stream.compact(2)
+    assert amounts() == want
+    send(4, 9.0)
+    want = [("e0", 9.0), ("e1", 3.0)]
+    assert amounts() == want
+    stream.compact(4)
+    assert amounts() == want
+    assert [path.name for path in (tmp_path / "out" / "processed_until").iterdir()] == ["4"]
+    assert sorted(path.name for path in (tmp_path / "out" / "processed").iterdir() if path.is_dir()) == ["batch=4"]
