@@ -834,3 +834,16 @@ def z04(spark, base):
             transform.Job("file", source, f"{target}/orders", "excel")]
     log = transform.execute_all_jobs(spark, jobs, {"check_duplicates": True}, f"{target}/log")
     return log.select("format_type", "status", "records_processed")
+
+
+@query("z04_side_by_side", """
+SELECT CAST(c_nationkey % 6 AS INTEGER) AS part, 'completed' AS status, count(*) AS records FROM customer GROUP BY 1
+UNION ALL SELECT -1, 'failed', 0""")
+def z04_side_by_side(spark, base):
+    """Six jobs and one without a source, three at a time; each part is read back from what its job wrote."""
+    source, target = scratch_path(spark, "customers"), scratch_path(spark, "ingested")
+    lens.table(spark, base, "customer").withColumn("part", (F.col("c_nationkey") % 6).cast("int")).write.partitionBy("part").parquet(source)
+    jobs = [transform.Job("file", f"{source}/part={part}", f"{target}/{part}", "parquet", job_id=str(part)) for part in range(6)]
+    jobs.append(transform.Job("file", f"{source}/none", f"{target}/none", "parquet", job_id="-1"))
+    log = transform.execute_all_jobs(spark, jobs, workers=3)
+    return log.select(F.col("job_id").cast("int").alias("part"), "status", F.col("records_processed").cast("bigint").alias("records"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ HOT_KEY_ROWS = 2_000_000
 
 #: The folder of a local run that names none.
 _own: tempfile.TemporaryDirectory | None = None
+_own_lock = threading.Lock()
 
 
 def build_session(app: str = "reviewlake", master: str | None = None, **conf) -> SparkSession:
@@ -32,6 +34,7 @@ def build_session(app: str = "reviewlake", master: str | None = None, **conf) ->
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.scheduler.mode": "FAIR",
         **{key.replace("__", "."): str(value) for key, value in conf.items()},
     }
     for key, value in settings.items():
@@ -47,8 +50,8 @@ def scratch_root(spark: SparkSession) -> str:
     if base is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        if _own is None:
-            _own = tempfile.TemporaryDirectory(prefix="reviewlake-", ignore_cleanup_errors=True)
+        with _own_lock:  # parts of a run may ask side by side
+            _own = _own or tempfile.TemporaryDirectory(prefix="reviewlake-", ignore_cleanup_errors=True)
         base = _own.name
         context.setCheckpointDir(base)
     return base.rstrip("/")
