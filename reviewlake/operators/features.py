@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from reviewlake.functions import dates, text as T
 from reviewlake.functions.expr import cut, flag, pearson, pick, smoothed_ratio, to_time, whole_days
 from reviewlake.operators.cleaning import numeric_columns
-from reviewlake.operators.ranks import (dense_rank_of_counts, histogram_of_values, percentile_rank, quantile_values,
+from reviewlake.operators.ranks import (dense_rank_of_counts, percentile_rank, quantile_values,
                                         rolling_rows)
-from reviewlake.session import attach, materialize
+from reviewlake.session import materialize
 
 INF = float("inf")
 
@@ -93,7 +93,7 @@ def user_features(df: DataFrame, user: str = "user_id", rating: str | None = "ra
 def extract_user_features(df: DataFrame, user: str = "user_id", rating: str | None = "rating",
                           date: str | None = "created_at") -> DataFrame:
     """User features on every row (null where the user is unknown)."""
-    return attach(df, user_features(df, user, rating, date), user, "user_review_count")
+    return df.join(user_features(df, user, rating, date), user, "left")
 
 
 def product_features(df: DataFrame, product: str = "product_id", rating: str | None = "rating",
@@ -121,7 +121,7 @@ def product_features(df: DataFrame, product: str = "product_id", rating: str | N
 def extract_product_features(df: DataFrame, product: str = "product_id", rating: str | None = "rating",
                              date: str | None = "created_at") -> DataFrame:
     """Product features on every row (null where the product is unknown)."""
-    return attach(df, product_features(df, product, rating, date), product, "product_review_count")
+    return df.join(product_features(df, product, rating, date), product, "left")
 
 
 def extract_interaction_features(df: DataFrame) -> DataFrame:
@@ -146,11 +146,11 @@ def extract_interaction_features(df: DataFrame) -> DataFrame:
     return df.withColumns(extra)
 
 
-def zscores_and_outliers(df: DataFrame, columns: Sequence[str], histogram: DataFrame | None = None) -> DataFrame:
+def zscores_and_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """z-score (null for a constant column) and 1.5 IQR flag per column; all statistics are read once."""
     moments = df.agg(*[aggregate for name in columns for aggregate in (
         F.avg(name).alias(f"{name}_m"), F.stddev_samp(name).alias(f"{name}_s"))]).first()
-    quartiles = quantile_values(df, columns, [0.25, 0.75], histogram)
+    quartiles = quantile_values(df, columns, [0.25, 0.75])
     extra: dict[str, Column] = {}
     for name in columns:
         mean, std = moments[f"{name}_m"], moments[f"{name}_s"]
@@ -174,9 +174,7 @@ def extract_statistical_features(df: DataFrame, columns: Sequence[str] | None =
         columns = [name for name in numeric_columns(df) if not name.endswith("_id") and name != "rating"]
     result = df
     if columns:
-        histogram = histogram_of_values(df, columns)
-        result = zscores_and_outliers(df, columns, histogram)
-        result = percentile_rank(result, columns, histogram=histogram)
+        result = percentile_rank(zscores_and_outliers(df, columns), columns)
     if {"created_at", "rating"} <= set(df.columns):
         result = rolling_rows(result, "rating", order or ["created_at"], 7)
     return result

@@ -1,143 +1,264 @@
 """Exact order statistics without a single-task window: quantiles, ranks, rolling rows.
 
-Everything that needs a global order works on a histogram (one row per distinct
-value) or on range partitions whose offsets are summed up from a table with one
-row per partition. The range-partitioned step is written to the shared folder,
-so offsets and rows always come from the same evaluation.
+Quantiles are selected: a sketch brackets each one, a count says how many values lie below the bracket, and only the
+few values inside are ever ordered. Ranks and rolling rows work on range partitions whose offsets are summed up from a
+table with one row per partition. The range-partitioned step is written to the shared folder, so offsets and rows
+always come from the same evaluation.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.session import BROADCAST_BYTES, attach, materialize, shuffle_partitions, size_in_bytes, spread
+from reviewlake.session import materialize, shuffle_partitions
 
-#: Histograms up to this size are summed up by one `percentile` aggregate per column.
-SMALL_HISTOGRAM_BYTES = 16 * 1024 * 1024
+#: Cells that a sketch cuts the values between two bounds into, and the accuracy of its ranks (one part in so many).
+CELLS, ACCURACY = 256, 10_000
 
+#: Values between the bounds of a quantile that are ordered at once; more of them are sketched and counted again.
+INSIDE = 1_000_000
 
-def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., name, value) with one row per number; nulls and NaN are left out."""
-    pairs = F.array(*[F.struct(F.lit(column).alias("name"), F.col(column).cast("double").alias("value"))
-                      for column in columns])
-    exploded = df.select(*by, F.explode(pairs).alias("_pair")).select(*by, "_pair.name", "_pair.value")
-    return exploded.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
+def _number(column: str) -> Column:
+    """As a double; NaN is null."""
+    value = F.col(f"`{column}`").cast("double")
+    return F.when(~F.isnan(value), value)
 
-def histogram_of_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., name, value, n): how often each distinct value occurs, pre-aggregated before the shuffle.
 
-    Written out, because its size decides how the work goes on.
-    """
-    rows = long_form(spread(df.select(*dict.fromkeys([*by, *columns]))), columns, by)
-    return materialize(rows.groupBy(*by, "name", "value").agg(F.count("*").alias("n")), "histogram")
+def _cells(values: Column, accuracy: int) -> Column:
+    levels = F.expr(f"array({', '.join(f'{at / CELLS!r}D' for at in range(CELLS + 1))})")
+    return F.percentile_approx(values, levels, F.lit(accuracy))
 
 
-def _small(histogram: DataFrame, limit: int) -> bool:
-    return size_in_bytes(histogram) <= limit
+def _bounds(cuts: Column, skipped: Column, counted: Column) -> tuple[Column, Column]:
+    """Bounds from a sketch of `counted` values, which stand at the places from `skipped` on: the cells that the places
+    `first` and `last` fall into, and one more on either side."""
+    def cell(place: str) -> Column:
+        return F.floor((F.col(place) - skipped) / counted * CELLS)
+    return (F.get(cuts, F.greatest(F.lit(0), cell("first") - 1).cast("int")),
+            F.get(cuts, F.least(F.lit(CELLS), cell("last") + 2).cast("int")))
 
 
-def running_totals(histogram: DataFrame, by: Sequence[str], order: str, weight: str,
-                   small_bytes: int = SMALL_HISTOGRAM_BYTES) -> DataFrame:
-    """Add `upto` (sum of `weight` up to and including the row in its group) and `total`.
+class _Brackets:
+    """Bounds of each wanted quantile as expressions over the rows: literals, or columns joined by the groups."""
 
-    A stored histogram below `small_bytes` needs one window per group. Beyond that,
-    range partitions cut across the groups, so that one group of any size is summed
-    up by many tasks.
-    """
-    if _small(histogram, small_bytes):
-        group = Window.partitionBy(*by)
-        upto = group.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return histogram.withColumns({"upto": F.sum(weight).over(upto), "total": F.sum(weight).over(group)})
-    ranged = (histogram.repartitionByRange(shuffle_partitions(histogram), *by, order)
-              .withColumn("_part", F.spark_partition_id()))
-    stored = materialize(ranged, "ranged")
-    parts = stored.groupBy(*by, "_part").agg(F.sum(weight).alias("_sum"))
-    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select(*by, "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"),
-                           F.sum("_sum").over(Window.partitionBy(*by)).alias("total"))
-    within = (Window.partitionBy(*by, "_part").orderBy(order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    summed = stored.withColumn("_within", F.sum(weight).over(within))
-    return (summed.join(offsets, [*by, "_part"])
-            .withColumn("upto", F.col("_before") + F.col("_within"))
-            .drop("_part", "_before", "_within"))
-
-
-def quantiles_of(histogram: DataFrame, probabilities: Sequence[float], by: Sequence[str] = (),
-                 small_bytes: int = SMALL_HISTOGRAM_BYTES) -> DataFrame:
-    """Exact quantiles with linear interpolation from a stored histogram: (by..., name, p, value).
-
-    A small histogram is finished by `percentile` with frequencies, a large one by
-    running totals over range partitions.
+    def __init__(self, rows: DataFrame, by: Sequence[str], state: DataFrame, wanted: int):
+        if by:
+            wide = state.groupBy(*[F.col(name).alias(f"_of_{name}") for name in by]).agg(
+                F.map_from_entries(F.collect_list(F.struct("k", F.struct("low", "high")))).alias("_bounds"))
+            same = F.lit(True)
+            for name in by:
+                same = same & rows[name].eqNullSafe(wide[f"_of_{name}"])
+            self.rows = rows.join(wide, same)
+            self.bounds = [(F.col("_bounds")[k]["low"], F.col("_bounds")[k]["high"]) for k in range(wanted)]
+        else:  # one row for each wanted quantile
+            found = {row["k"]: (row["low"], row["high"]) for row in state.select("k", "low", "high").collect()}
+            self.rows = rows
+            self.bounds = [tuple(F.lit(bound).cast("double") for bound in found.get(k, (None, None))) for k in range(wanted)]
+
+    def inside(self, k: int, value: Column) -> Column:
+        low, high = self.bounds[k]
+        return (value >= low) & (value <= high)
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = (),
+              inside: int = INSIDE, accuracy: int = ACCURACY) -> DataFrame:
+    """Exact quantiles with linear interpolation: (by..., name, p, value). Nulls and NaN are left out.
+
+    Every round is one aggregate over the rows: a sketch of all columns first, then the counts below and up to the
+    bounds it gave. A sketch that missed is noticed by the counts, and more than `inside` values between the bounds
+    are sketched again, so the result does not rest on the sketch. Only what then lies between the bounds is shuffled
+    and ordered. Nothing is written but one row for each quantile.
     """
     levels = [float(p) for p in probabilities]
-    if _small(histogram, small_bytes):
-        array = F.array(*[F.lit(p) for p in levels])
-        summed = histogram.groupBy(*by, "name").agg(F.percentile("value", array, F.col("n")).alias("_q"))
-        return (summed.select(*by, "name", F.posexplode("_q").alias("_i", "value"))
-                .select(*by, "name", F.get(array, F.col("_i")).alias("p"), "value"))
-    totals = running_totals(histogram, [*by, "name"], "value", "n", small_bytes)
-    # 0-based positions held by a value: upto - n .. upto - 1
-    wanted = F.explode(F.array(*[F.lit(p) for p in levels])).alias("p")
-    target = F.col("p") * (F.col("total") - 1)
-    held = (totals.select("*", wanted)
-            .withColumn("_low", F.floor(target)).withColumn("_high", F.ceil(target))
-            .withColumn("_share", target - F.floor(target)))
-
-    def at(position: str) -> Column:
-        inside = (F.col(position) >= F.col("upto") - F.col("n")) & (F.col(position) < F.col("upto"))
-        return F.max(F.when(inside, F.col("value")))
-
-    low, high = at("_low"), at("_high")
-    share = F.max("_share")
-    return held.groupBy(*by, "name", "p").agg((low + (high - low) * share).alias("value"))
-
-
-def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-              by: Sequence[str] = (), small_bytes: int = SMALL_HISTOGRAM_BYTES) -> DataFrame:
-    """Exact quantiles of several columns from one histogram."""
-    return quantiles_of(histogram_of_values(df, columns, by), probabilities, by, small_bytes)
-
-
-def quantile_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    histogram: DataFrame | None = None) -> dict[str, dict[float, float]]:
+    wanted = len(columns) * len(levels)
+    rows = df.select(*by, *[_number(column).alias(f"_v{at}") for at, column in enumerate(columns)])
+    value = [F.col(f"_v{k // len(levels)}") for k in range(wanted)]
+    sketch = rows.groupBy(*by).agg(*[F.struct(F.count(f"_v{at}").alias("n"), _cells(F.col(f"_v{at}"), accuracy).alias("cuts")).alias(f"_s{at}")
+                                     for at in range(len(columns))])
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(levels[k % len(levels)]).alias("p"), F.col(f"_s{k // len(levels)}").alias("s"))
+                               for k in range(wanted)])).alias("x")
+    place = F.col("p") * (F.col("n") - 1)
+    state = (sketch.select(*by, each).select(*by, "x.k", "x.p", "x.s.n", "x.s.cuts").where("n > 0")
+             .withColumns({"first": F.floor(place), "last": F.ceil(place), "share": place - F.floor(place)}))
+    low, high = _bounds(F.col("cuts"), F.lit(0), F.col("n"))
+    state = materialize(state.withColumns({"low": low, "high": high}).drop("cuts"), "brackets")
+    before = math.inf
+    while True:
+        brackets = _Brackets(rows, by, state, wanted)
+        counts = brackets.rows.groupBy(*by).agg(*[F.struct(
+            F.lit(k).alias("k"), F.count_if(value[k] < brackets.bounds[k][0]).alias("below"),
+            F.count_if(value[k] <= brackets.bounds[k][1]).alias("upto")).alias(f"_c{k}") for k in range(wanted)])
+        counts = counts.select(*by, F.explode(F.array(*[f"_c{k}" for k in range(wanted)])).alias("x")).select(*by, "x.*")
+        state = materialize(_by_group(state, counts, [*by, "k"]), "brackets")
+        held = (F.col("below") <= F.col("first")) & (F.col("last") < F.col("upto"))
+        many = (F.col("upto") - F.col("below") > inside) & (F.col("low") < F.col("high"))
+        missed, crowded = state.agg(F.count_if(~held), F.sum(F.when(many, F.col("upto") - F.col("below")))).first()
+        # what is crowded by few values, which no more cuts part, is added up before it is shuffled
+        if not missed and (not crowded or crowded >= before):
+            break
+        before = math.inf if missed else crowded
+        accuracy = min(10 * accuracy, 1_000_000)  # a miss widens to all values; what is crowded is cut again
+        wide = state.withColumns({"low": F.when(held, F.col("low")).otherwise(F.lit(-math.inf)),
+                                  "high": F.when(held, F.col("high")).otherwise(F.lit(math.inf)),
+                                  "below": F.when(held, F.col("below")).otherwise(F.lit(0)),
+                                  "upto": F.when(held, F.col("upto")).otherwise(F.col("n"))})
+        brackets = _Brackets(rows, by, wide, wanted)
+        again = brackets.rows.groupBy(*by).agg(*[F.struct(
+            F.lit(k).alias("k"), _cells(F.when(brackets.inside(k, value[k]), value[k]), accuracy).alias("cuts")).alias(f"_c{k}")
+            for k in range(wanted)])
+        again = again.select(*by, F.explode(F.array(*[f"_c{k}" for k in range(wanted)])).alias("x")).select(*by, "x.*")
+        low, high = _bounds(F.col("cuts"), F.col("below"), F.col("upto") - F.col("below"))
+        state = materialize(_by_group(wide, again, [*by, "k"]).withColumns({
+            "low": F.when(many | ~held, low).otherwise(F.col("low")), "high": F.when(many | ~held, high).otherwise(F.col("high"))})
+            .drop("cuts", "below", "upto"), "brackets")
+    found = _between(brackets, by, value).join(state.select(
+        *[F.col(name).alias(f"_of_{name}") for name in by], F.col("k").alias("_k"), "below", "first", "last"),
+        _same([*by, "k"], [*[f"_of_{name}" for name in by], "_k"]))
+    order = Window.partitionBy(*by, "k").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = found.withColumn("_upto", F.col("below") + F.sum("n").over(order))
+
+    def at(wanted_place: str) -> Column:
+        holds = (F.col(wanted_place) >= F.col("_upto") - F.col("n")) & (F.col(wanted_place) < F.col("_upto"))
+        return F.max(F.when(holds, F.col("value")))
+    picked = upto.groupBy(*by, "k").agg(at("first").alias("_a"), at("last").alias("_b"))
+    names = F.array(*[F.lit(column) for column in columns])
+    a, b = F.coalesce("_a", "low"), F.coalesce("_b", "low")  # a bracket of one value is that value
+    return _by_group(state, picked, [*by, "k"], "left").select(
+        *by, F.get(names, F.floor(F.col("k") / len(levels)).cast("int")).alias("name"), "p", (a + (b - a) * F.col("share")).alias("value"))
+
+
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for one, other in zip(left, right):
+        same = same & F.col(one).eqNullSafe(F.col(other))
+    return same
+
+
+def _by_group(state: DataFrame, found: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be null."""
+    found = found.select(*[F.col(key).alias(f"_key_{key}") for key in keys], *[name for name in found.columns if name not in keys])
+    kept = [name for name in state.columns if name not in found.columns]
+    joined = state.select(*kept).join(found, _same(keys, [f"_key_{key}" for key in keys]), how)
+    return joined.drop(*[f"_key_{key}" for key in keys])
+
+
+def _between(brackets: _Brackets, by: Sequence[str], value: Sequence[Column]) -> DataFrame:
+    """(by..., k, value, n): how often each value between the bounds occurs, for brackets of more than one value."""
+    def open_(k: int) -> Column:
+        return brackets.inside(k, value[k]) & (brackets.bounds[k][0] < brackets.bounds[k][1])
+    any_ = F.lit(False)
+    for k in range(len(value)):
+        any_ = any_ | F.coalesce(open_(k), F.lit(False))
+    pairs = F.array(*[F.when(open_(k), F.struct(F.lit(k).alias("k"), value[k].alias("value"))) for k in range(len(value))])
+    kept = brackets.rows.where(any_).select(*by, F.explode(F.array_compact(pairs)).alias("x"))
+    return kept.groupBy(*by, "x.k", "x.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def quantile_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, dict[float, float]]:
     """The same as numbers on the driver: len(columns) x len(probabilities) of them."""
-    histogram = histogram_of_values(df, columns) if histogram is None else histogram
     found: dict[str, dict[float, float]] = {column: {} for column in columns}
-    for row in quantiles_of(histogram, probabilities).collect():
+    for row in quantiles(df, columns, probabilities).collect():
         found[row["name"]][row["p"]] = row["value"]
     return found
 
 
-def _lookup(rows: DataFrame, column: str, table: DataFrame, broadcast_bytes: int) -> DataFrame:
-    """Left join a per-value table (`value`, `n`, ...) to the rows holding the value."""
-    keyed = rows.withColumn("value", F.col(column).cast("double"))
-    return attach(keyed, table, "value", "n", broadcast_bytes=broadcast_bytes, stored=True).drop("value", "n")
+def _ranked_runs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(at, name, value) in order -> (at, name, value, less, ties, edge) within the partition.
 
-
-def percentile_rank(df: DataFrame, columns: Sequence[str], suffix: str = "_percentile",
-                    histogram: DataFrame | None = None, broadcast_bytes: int = BROADCAST_BYTES,
-                    small_bytes: int = SMALL_HISTOGRAM_BYTES) -> DataFrame:
+    less: smaller values of the name here; ties: rows of the same value here; edge: the value is the first or last of
+    its name here, so that its neighbours may hold it, too. Rows of one value wait until it is over.
+    """
+    schema = pa.schema([("at", pa.int64()), ("name", pa.int32()), ("value", pa.float64()), ("less", pa.int64()),
+                        ("ties", pa.int64()), ("edge", pa.bool_())])
+    waiting: list[np.ndarray] = []
+    current, less, first = None, 0, True
+
+    def close(edge: bool) -> pa.RecordBatch:
+        ats = np.concatenate(waiting)
+        size = len(ats)
+        return pa.RecordBatch.from_arrays([pa.array(ats), pa.array(np.full(size, current[0], np.int32)), pa.array(np.full(size, current[1])),
+                                           pa.array(np.full(size, less, np.int64)), pa.array(np.full(size, size, np.int64)),
+                                           pa.array(np.full(size, edge))], schema=schema)
+
+    for part in parts:
+        ats, names, values = (part.column(at).to_numpy() for at in range(3))
+        cuts = np.flatnonzero((np.diff(names) != 0) | (np.diff(values) != 0)) + 1
+        bounds = [0, *cuts.tolist(), len(ats)]
+        if len(bounds) > 2:
+            # runs that begin and end in this batch are written at once, without the first and the last one
+            inner = np.array(bounds[1:-1])
+        for start, end in zip(bounds[:2], bounds[1:2]):  # the first run may go on from before
+            key = (int(names[start]), float(values[start])) if end > start else current
+            if end > start and key != current:
+                if current is not None:
+                    yield close(first or key[0] != current[0])
+                    first, less = (True, 0) if key[0] != current[0] else (False, less + sum(map(len, waiting)))
+                waiting, current = [], key
+            if end > start:
+                waiting.append(ats[start:end])
+        if len(bounds) <= 2:
+            continue
+        starts = inner[:-1]
+        # close the run that was open; the next one begins in this batch
+        key = (int(names[inner[0]]), float(values[inner[0]]))
+        yield close(first or key[0] != current[0])
+        first, less = (True, 0) if key[0] != current[0] else (False, less + sum(map(len, waiting)))
+        if len(starts):
+            sizes, run_names = np.diff(inner), names[starts]
+            change = np.concatenate([[first], run_names[1:] != run_names[:-1]])  # the first run of a name
+            upto = np.cumsum(sizes) - sizes
+            base = np.where(change, upto, 0)
+            np.maximum.accumulate(base, out=base)
+            run_less = upto - base + (less if not first else 0) * (np.cumsum(change) == 0)
+            following = np.concatenate([run_names[1:], [names[inner[-1]]]])
+            edges = change | (following != run_names)
+            span = slice(int(starts[0]), int(inner[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(ats[span]), pa.array(names[span].astype(np.int32)), pa.array(values[span]),
+                                              pa.array(np.repeat(run_less, sizes)), pa.array(np.repeat(sizes, sizes)),
+                                              pa.array(np.repeat(edges, sizes))], schema=schema)
+            if following[-1] != run_names[-1]:
+                first, less = True, 0
+            else:
+                first, less = False, int(run_less[-1] + sizes[-1])
+        waiting, current = [ats[inner[-1]:]], (int(names[inner[-1]]), float(values[inner[-1]]))
+    if current is not None:
+        yield close(True)
+
+
+def percentile_rank(df: DataFrame, columns: Sequence[str], suffix: str = "_percentile") -> DataFrame:
     """Average rank of ties divided by the number of non-null values, per column.
 
-    All columns share one histogram and one set of running totals. Each is then
-    looked up by value: broadcast while it is small, salted join beyond.
+    All columns go through one long table, (row, column, value), which is dealt out by ranges once; the ranks come back
+    to their rows in one join. The number of shuffles does not depend on the number of columns, and a frequent value is
+    cut into ranges like any other.
     """
-    histogram = histogram_of_values(df, columns) if histogram is None else histogram
-    totals = running_totals(histogram, ["name"], "value", "n", small_bytes)
-    share = (F.col("upto") - F.col("n") + (F.col("n") + 1) / 2) / F.col("total")
-    # One folder per column: each lookup reads only its own.
-    ranks = materialize(totals.select("name", "value", "n", share.alias("_rank")), "ranks", "name")
-    result = df
-    for column in columns:
-        one = (ranks.where(F.col("name") == column)
-               .select("value", "n", F.col("_rank").alias(f"{column}{suffix}")))
-        result = _lookup(result, column, one, broadcast_bytes)
-    return result
+    rows = materialize(df.withColumn("_at", F.monotonically_increasing_id()), "rows")
+    pairs = F.array(*[F.struct(F.lit(at).alias("name"), _number(column).alias("value")) for at, column in enumerate(columns)])
+    long = rows.select(F.col("_at").alias("at"), F.explode(pairs).alias("x")).select("at", "x.name", "x.value").where("value IS NOT NULL")
+    dealt = long.repartitionByRange(shuffle_partitions(df), "name", "value", "at").sortWithinPartitions("name", "value")
+    ranged = materialize(dealt.mapInArrow(_ranked_runs, "at long, name int, value double, less long, ties long, edge boolean")
+                         .withColumn("_part", F.spark_partition_id()), "ranged")
+    # one row for each range and column that meet, and one for each value at the edge of a range
+    parts = ranged.groupBy("name", "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy("name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(parts.select("name", "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+                                       F.sum("_rows").over(Window.partitionBy("name")).alias("_total")), "offsets")
+    runs = ranged.where("edge").groupBy("name", "value", "_part").agg(F.first("less").alias("less"), F.first("ties").alias("ties"))
+    edges = (runs.join(F.broadcast(offsets), ["name", "_part"]).groupBy("name", "value")
+             .agg(F.min(F.col("_before") + F.col("less")).alias("_less"), F.sum("ties").alias("_ties")))
+    placed = (ranged.join(F.broadcast(offsets), ["name", "_part"])
+              .join(F.broadcast(edges.withColumn("edge", F.lit(True))), ["name", "value", "edge"], "left"))
+    less, ties = F.coalesce("_less", F.col("_before") + F.col("less")), F.coalesce("_ties", "ties")
+    ranks = placed.groupBy("at").agg(*[F.max(F.when(F.col("name") == at, (less + (ties + 1) / 2) / F.col("_total"))).alias(f"{column}{suffix}")
+                                       for at, column in enumerate(columns)])
+    return rows.join(ranks, rows["_at"] == ranks["at"], "left").drop("_at", "at")
 
 
 def dense_rank_of_counts(stats: DataFrame, count: str, rank: str) -> DataFrame:

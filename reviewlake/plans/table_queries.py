@@ -11,7 +11,6 @@ from reviewlake.operators.cleaning import remove_duplicates
 from reviewlake.functions.text import truncate
 from reviewlake.operators.segments import frequency_consistency, segmentation_features
 from reviewlake.plans.registry import day, query, r8, rounded, second
-from reviewlake.session import attach
 
 # Projection, predicates, limits -------------------------------------------------------------------
 
@@ -246,7 +245,7 @@ SELECT r.user_id, r.n AS reviews, c_name AS username, c_mktsegment AS location,
 FROM (SELECT user_id, count(*) AS n FROM ratings GROUP BY 1) r LEFT JOIN customer ON c_custkey = r.user_id""")
 def j06(spark, base):
     stats = lens.ratings(spark, base).groupBy("user_id").agg(F.count("*").alias("reviews"))
-    return attach(stats, _users(spark, base).withColumn("_one", F.lit(1)), "user_id", "_one").drop("_one")
+    return stats.join(_users(spark, base), "user_id", "left")
 
 
 @query("j07_orphan_keys", """

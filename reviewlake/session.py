@@ -1,4 +1,4 @@
-"""Session factory, shared scratch space and the size checks behind broadcasts."""
+"""Session factory and shared scratch space."""
 
 from __future__ import annotations
 
@@ -9,13 +9,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Largest table (bytes as estimated by Spark) that is ever hinted for broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-#: Rows of one key that one task may hold before the key is split by `attach`.
-HOT_KEY_ROWS = 2_000_000
-
-
 #: The folder of a local run that names none.
 _own: tempfile.TemporaryDirectory | None = None
 _own_lock = threading.Lock()
@@ -102,33 +95,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *[F.col(key) for key in keys])
 
 
-def attach(rows: DataFrame, stats: DataFrame, key: str, weight: str,
-           hot_rows: int = HOT_KEY_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
-           stored: bool = False) -> DataFrame:
-    """Left join `stats` (unique on `key`, `weight` = rows per key) to `rows`.
-
-    `stats` is written out once, unless it is `stored` already. Below `broadcast_bytes` it is broadcast, so the
-    rows do not move. Beyond that both sides are shuffled and a key with more
-    than `hot_rows` rows is spread over several tasks: its single stats row is
-    repeated once per salt. There are at most rows / hot_rows hot keys (half a
-    million for 10^12 rows), which bounds the broadcast list of them.
-    """
-    stats = stats if stored else materialize(stats, "stats")
-    if size_in_bytes(stats) <= broadcast_bytes:
-        return rows.join(F.broadcast(stats), key, "left")
-    hot = (stats.where(F.col(weight) > hot_rows)
-           .select(key, F.ceil(F.col(weight) / hot_rows).cast("int").alias("_salts")))
-    salted_rows = (rows.join(F.broadcast(hot), key, "left")
-                   .withColumn("_salt", F.coalesce(
-                       F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("_salts")),
-                       F.lit(0).cast("bigint")))
-                   .drop("_salts"))
-    salts = F.greatest(F.lit(1), F.ceil(F.col(weight) / hot_rows).cast("int"))
-    salted_stats = stats.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), (salts - 1).cast("bigint"))))
-    return salted_rows.join(salted_stats, [key, "_salt"], "left").drop("_salt")
-
-
 def shuffle_partitions(df: DataFrame) -> int:
     """Partitions for an explicit range partitioning."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -1,4 +1,4 @@
-"""Order statistics against pandas, on the small and on the range-partitioned paths."""
+"""Order statistics against pandas, at several sizes of brackets and numbers of ranges."""
 
 import numpy as np
 import pandas as pd
@@ -6,9 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlake.operators import ranks
-from reviewlake.session import attach
-
-PATHS = [ranks.SMALL_HISTOGRAM_BYTES, 0]
 
 
 @pytest.fixture(scope="module")
@@ -22,32 +19,63 @@ def frame(spark):
     return pdf, spark.createDataFrame(pdf).withColumn("hot", F.nanvl("hot", F.lit(None))).cache()
 
 
-@pytest.mark.parametrize("small", PATHS)
-def test_quantiles(frame, small):
+#: values ordered at once, accuracy of the sketch: the last one misses and is cut again and again
+WAYS = [(ranks.INSIDE, ranks.ACCURACY), (40, 100), (40, 1)]
+
+
+@pytest.mark.parametrize(("inside", "accuracy"), WAYS)
+def test_quantiles(frame, inside, accuracy):
     pdf, df = frame
     found = {(row["name"], row["p"]): row["value"]
-             for row in ranks.quantiles(df, ["hot", "few"], [0, 0.25, 0.5, 0.99, 1], small_bytes=small).collect()}
+             for row in ranks.quantiles(df, ["hot", "few"], [0, 0.25, 0.5, 0.99, 1], inside=inside, accuracy=accuracy).collect()}
     for (name, p), value in found.items():
         assert value == pytest.approx(pdf[name].quantile(p))
     assert len(found) == 10
 
 
-@pytest.mark.parametrize("small", PATHS)
-def test_quantiles_by_group(frame, small):
+@pytest.mark.parametrize(("inside", "accuracy"), WAYS[:2])
+def test_quantiles_by_group(frame, inside, accuracy):
     pdf, df = frame
-    for row in ranks.quantiles(df, ["hot"], [0.1, 0.75], by=["group"], small_bytes=small).collect():
-        assert row["value"] == pytest.approx(pdf[pdf["group"] == row["group"]]["hot"].quantile(row["p"]))
+    df = df.withColumn("group", F.when(F.col("group") == "a", "a"))
+    rows = ranks.quantiles(df, ["hot", "few"], [0.1, 0.75], by=["group"], inside=inside, accuracy=accuracy).collect()
+    assert len(rows) == 8
+    for row in rows:
+        assert row["value"] == pytest.approx(pdf[pdf["group"] == (row["group"] or "b")][row["name"]].quantile(row["p"]))
+
 
+@pytest.mark.parametrize("values", [[], [None], [2.0], [1.0, 2.0], [3.0, None, float("nan"), 1.0, 2.0], [5.0] * 9, [1.0] * 5 + [2.0]])
+def test_quantiles_of_few_values(spark, values):
+    df = spark.createDataFrame([(value,) for value in values], "v double")
+    series = pd.Series(values, dtype=float).dropna()
+    found = {row["p"]: row["value"] for row in ranks.quantiles(df, ["v"], [0, 0.3, 0.5, 1]).collect()}
+    assert found == pytest.approx({p: series.quantile(p) for p in (0, 0.3, 0.5, 1)} if len(series) else {})
 
-@pytest.mark.parametrize(("small", "broadcast"), [(PATHS[0], 1 << 26), (0, 1 << 26), (0, -1)])
-def test_percentile_rank(frame, small, broadcast):
+
+@pytest.mark.parametrize("parts", [1, 4, 60])
+def test_percentile_rank(spark, frame, parts):
     pdf, df = frame
-    found = ranks.percentile_rank(df, ["hot", "few"], small_bytes=small, broadcast_bytes=broadcast).toPandas()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        found = ranks.percentile_rank(df, ["hot", "few"]).toPandas()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     found = found.sort_values("id").reset_index(drop=True)
+    assert len(found) == len(pdf)
     for name in ("hot", "few"):
         np.testing.assert_allclose(found[f"{name}_percentile"], pdf[name].rank(pct=True), equal_nan=True)
 
 
+def test_shuffles_do_not_grow_with_the_columns(spark, frame):
+    _, df = frame
+    wide = df.select("id", *[(F.col("few") + at).alias(f"c{at}") for at in range(12)])
+
+    def exchanges(columns):
+        plan = ranks.percentile_rank(wide, columns)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange")
+    assert exchanges([f"c{at}" for at in range(12)]) == exchanges(["c0"])
+
+
 @pytest.mark.parametrize("block", [7, 50, 100_000])
 def test_rolling_rows(frame, block):
     pdf, df = frame
@@ -92,21 +120,3 @@ def test_split_is_exact_per_label(frame):
     assert len(found) == len(pdf)
     for _, part in found.groupby("group"):
         assert part["is_train"].sum() == int(np.ceil(0.8 * len(part)))
-
-
-@pytest.mark.parametrize(("hot", "broadcast"), [(10, -1), (10_000, -1), (10, 1 << 26)])
-def test_attach_splits_hot_keys(frame, hot, broadcast):
-    pdf, df = frame
-    stats = df.where("hot IS NOT NULL").groupBy("hot").agg(F.count("*").alias("n"))
-    joined = attach(df, stats, "hot", "n", hot_rows=hot, broadcast_bytes=broadcast)
-    assert joined.columns == ["hot", "id", "few", "group", "n"]
-    found = joined.toPandas().sort_values("id").reset_index(drop=True)
-    np.testing.assert_array_equal(found["n"].fillna(-1), pdf["hot"].map(pdf["hot"].value_counts()).fillna(-1))
-
-
-def test_attach_uses_salts(frame):
-    _, df = frame
-    stats = df.where("hot IS NOT NULL").groupBy("hot").agg(F.count("*").alias("n"))
-    joined = attach(df, stats, "hot", "n", hot_rows=10, broadcast_bytes=-1)
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "explode" in plan
