@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from reviewlake.llm.batches import add_columns
 from reviewlake.llm.labelled_pages import FILLERS, LAYOUTS
 
-#: A comment, a declaration, or a tag with its name and attributes; a `<` that begins none of them is text.
-MARKUP = re.compile(r"<!--(?:.*?)(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
+#: A comment, a declaration, or a tag with its name and attributes; a `<` that begins none of them is text. Quotes count
+#: after `=` only, and what is never closed runs to the page's end, so that no start of a tag is tried in vain.
+MARKUP = re.compile(r"""<!--(?:.*?)(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)"""
+                    r"""((?:[^=>]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)*+)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -103,6 +105,8 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
     nodes = [Node(-1, "html")]
     texts: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = [("html", 0)]  # open elements and the block that their text belongs to
+    places: dict[str, list[int]] = {"html": [0]}  # of the open elements of each name in the stack
+    block_places = [-1]
     run: list[tuple[str, bool]] = []
     links = hidden = 0
     at = 0
@@ -127,6 +131,9 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in BLOCKS:
             end_run()
         stack.pop()
+        places[tag].pop()
+        if block_places[-1] == len(stack):
+            block_places.pop()
         links -= tag == "a"
         hidden -= tag in HIDDEN
         if loose and loose[-1] == len(stack):
@@ -136,6 +143,19 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
         while len(stack) > size:
             pop()
 
+    def push(tag: str, block: int):
+        nonlocal links, hidden
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BLOCKS:
+            block_places.append(len(stack))
+        stack.append((tag, block))
+        links += tag == "a"
+        hidden += tag in HIDDEN
+
+    def last(names) -> int:
+        """The place of the innermost open element of some names; 0, which is the page, without one."""
+        return max((places[name][-1] for name in names if places.get(name)), default=0)
+
     while at < len(source):
         found = MARKUP.search(source, at)
         start = found.start() if found else len(source)
@@ -152,14 +172,9 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if closing:
             if name == "br":
                 run.append((" ", False))
-            place = len(stack) - 1
-            while place > 0 and stack[place][0] != name:
-                if name not in BLOCKS and stack[place][0] in BLOCKS:
-                    place = 0  # the end of an inline element does not end blocks
-                    break
-                place -= 1
-            while place > 0 and len(stack) > place:
-                pop()
+            place = last((name,))
+            if place > 0 and (name in BLOCKS or block_places[-1] < place):  # the end of an inline element does not end blocks
+                pop_to(place)
             if name in BLOCKS:
                 end_run()
             continue
@@ -168,27 +183,17 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if name in RAW:
             at = raw_end(source, name, at)
             continue
-        if name == "head" and any(tag != "html" for tag, _ in stack):
+        if name == "head" and len(stack) > len(places["html"]):
             continue
         if loose and name in BLOCKS and not (name in CHOICES and stack[loose[0]][0] in ("select", "datalist")):
             pop_to(loose[0])
         if name in BLOCKS:
             if name in CLOSES:
                 names, bound = CLOSES[name]
-                for place in range(len(stack) - 1, 0, -1):
-                    if stack[place][0] in bound:
-                        break
-                    if stack[place][0] in names:
-                        while len(stack) > place:
-                            pop()
-                        break
-            for place in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                if stack[place][0] == "p":
-                    while len(stack) > place:
-                        pop()
-                    break
-                if stack[place][0] in ("table", "td", "button", "object"):
-                    break
+                if (place := last(names)) > last(bound):
+                    pop_to(place)
+            if places.get("p") and (place := places["p"][-1]) > last(("table", "td", "button", "object")):
+                pop_to(place)  # a block ends an open paragraph
             end_run()
             node = Node(stack[-1][1], name)
             if attributes:
@@ -200,7 +205,7 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if name in VOID:
                 continue
             nodes.append(node)
-            stack.append((name, len(nodes) - 1))
+            push(name, len(nodes) - 1)
         elif name in VOID:
             if name == "br":
                 run.append((" ", False))
@@ -214,9 +219,7 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
                     open_ended = unclosed(source, found.start())
                 if at in open_ended:
                     loose.append(len(stack))
-            stack.append((name, stack[-1][1]))
-            links += name == "a"
-            hidden += name in HIDDEN
+            push(name, stack[-1][1])
     while len(stack) > 1:
         pop()
     end_run()

@@ -3,6 +3,7 @@
 import html
 import math
 import re
+import time
 from itertools import product
 
 import pytest
@@ -102,3 +103,17 @@ def test_articles_of_pages_without_head_end(spark):
     for row in table.collect():
         want = pages.main_text(row.html, model)[0]
         assert want and pages.main_text(row.html.replace("</head>", "<meta name=a>"), model)[0] == want
+
+
+@pytest.mark.parametrize("part", ["<div>", "<a '", '<a x="', "<p>", "<li>", "<td>", "<span>", "<head>", "<svg>", "<div><span></b></i>", "<select><option>", "<a x ", "</p>"])
+def test_pages_of_many_odd_tags_take_linear_time(part):
+    began = time.monotonic()
+    pages.parse(part * 50_000 + '"')
+    assert time.monotonic() - began < 4
+
+
+def test_unclosed_tags_and_stray_quotes_are_no_text():
+    parse = lambda source: [text for _, text in pages.parse(source)[1]]
+    assert parse('<p>one<p title="a>two</p>') == ["one"]
+    assert parse("<p a='>'>x</p>") == ["x"] and parse('<p>a<b "c>d</b></p>') == ["ad"]
+    assert parse('<a href=x"y>z</a>') == ["z"] and parse("<p title='a' b'>x") == ["x"] and parse("<p x = 'a>b' y>c<p z=>d") == ["c", "d"]
