@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.llm.batches import add_columns, others, share_file
+from reviewlake.session import materialize
 
 #: Largest rule table in bytes that executors map as one file; it also passes through the driver.
 RULE_BYTES = 64 << 20
@@ -48,7 +49,7 @@ class RuleTable:
             self.map = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
         start = self.map.find(b"\n") + 1
         head = json.loads(self.map[:start])
-        size, self.lengths, self.verdicts = head["rules"], head["lengths"], head["verdicts"]
+        size, self.lengths, self.host_lengths, self.verdicts = (head[key] for key in ("rules", "lengths", "hosts", "verdicts"))
         self.digests = np.frombuffer(self.map, "<u8", size, start)
         self.places = np.frombuffer(self.map, "<i8", size + 1, start + 8 * size)
         self.verdict = np.frombuffer(self.map, "u1", size, start + 16 * size + 8)
@@ -59,22 +60,27 @@ class RuleTable:
         """rules: host, path, verdict. Equal rules are one, with the smallest of their verdicts."""
         verdicts = sorted({verdict for _, _, verdict in rules})
         chosen: dict[str, int] = {}
-        lengths = set()
+        lengths, hosts = set(), set()
         for host, path, verdict in sorted(rules, key=lambda rule: rule[2], reverse=True):
             chosen[host + path] = verdicts.index(verdict)
             lengths.add(len(path))
+            hosts.add(len(host))
         order = sorted(chosen, key=lambda rule: (key_of(rule), rule))
         strings = [rule.encode() for rule in order]
-        line = json.dumps({"rules": len(order), "verdicts": verdicts, "lengths": sorted(lengths)}).encode()
+        line = json.dumps({"rules": len(order), "verdicts": verdicts, "lengths": sorted(lengths),
+                           "hosts": sorted(hosts)}).encode()
         line += b" " * (-(len(line) + 1) % 8) + b"\n"
         return b"".join([line, np.array([key_of(rule) for rule in order], "<u8").tobytes(),
                          np.cumsum([0, *map(len, strings)], dtype="<i8").tobytes(),
                          np.array([chosen[rule] for rule in order], "u1").tobytes(), *strings])
 
     def candidates(self, host: str, path: str) -> list[str]:
-        """Every string that a fitting rule could be, longest first; of equal lengths the smaller string first."""
-        cut = host.split(".")
-        hosts = [".".join(cut[at:]) for at in range(len(cut))] + [""] * (host != "")
+        """Every string that a fitting rule could be, longest first; of equal lengths the smaller string first.
+
+        Only ends of the host that are as long as the host of some rule are tried, however many labels it has.
+        """
+        starts = [len(host) - size for size in self.host_lengths if size <= len(host)]
+        hosts = [host[start:] for start in starts if start in (0, len(host)) or host[start - 1] == "."]
         found = {name + path[:size] for name in hosts for size in self.lengths if size <= len(path)}
         return sorted(found, key=lambda rule: (-len(rule), rule))
 
@@ -118,7 +124,8 @@ def filter_urls(df: DataFrame, rules: DataFrame, url: str = "url", otherwise: st
     replaced.
 
     The rules' size is counted first. Up to `rule_bytes` they are one file that every executor maps. Beyond that they
-    are cut by digest into files of that size, which are probed one after the other.
+    are cut by digest into files of that size, which are probed one after the other, with the rows stored in between,
+    so that no more than one file is in use at a time.
     """
     spark = df.sparkSession
     # the path of a url is empty or begins with `/`, so that other rules fit nothing
@@ -136,6 +143,8 @@ def filter_urls(df: DataFrame, rules: DataFrame, url: str = "url", otherwise: st
         some = rules if blocks == 1 else rules.where(F.pmod(F.xxhash64("host", "path"), F.lit(blocks)) == block)
         name = share_file(spark, RuleTable.pack([tuple(row) for row in some.collect()]), "url-rules")
         found = add_columns(found, judged, OUT, _probe(name, otherwise), [*kept, "host", "path"])
+        if block < blocks - 1:
+            found = materialize(found, "judged")
     return found
 
 

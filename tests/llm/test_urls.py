@@ -52,3 +52,14 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "host string, path string, verdict string")
     assert [row.verdict for row in urls.filter_urls(pages, none).collect()] == ["allow", "allow"]
     assert urls.filter_urls(pages.limit(0), none).count() == 0
+
+
+def test_hosts_of_many_labels_take_constant_memory(spark):
+    table = urls.RuleTable.__new__(urls.RuleTable)
+    table.lengths, table.host_lengths = [1, 4], [0, 3, 11]
+    host = "a." * 100_000 + "example.net"
+    assert table.candidates(host, "/en/") == ["example.net/en/", "example.net/", "net/en/", "/en/", "net/", "/"]
+    assert table.candidates("anet", "/x") == ["/"] and table.candidates("", "/x") == ["/"]
+    rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, verdict string")
+    pages = spark.createDataFrame([(1, f"http://{host}/en/")], "page_id long, url string")
+    assert [row.rule for row in urls.filter_urls(pages, rules).collect()] == ["net/"]
