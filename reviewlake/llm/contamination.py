@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+import uuid
 from hashlib import sha256
 
 import numpy as np
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.llm.batches import add_columns, others
+from reviewlake.session import materialize
 
 #: Words of a window.
 WINDOW = 13
@@ -23,6 +24,9 @@ WORD_BYTES = bytes(value + 32 if 65 <= value <= 90 else value if 48 <= value <=
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
+#: The windows that this worker last built.
+_BUILT: dict[str, Windows] = {}
+
 HITS = "n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
 
 
@@ -31,19 +35,35 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Windows:
-    """The n-grams of some benchmark items: word numbers, sorted digests by length, and the n-grams to verify hits."""
+    """The n-grams of some benchmark items: all their words as numbers in one array, and for each length of n-grams
+    the sorted digests with the places in that array, by which hits are verified."""
 
     def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
         self.number: dict[bytes, int] = {}
-        self.owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
-        for item, text in items:
-            ids = [self.number.setdefault(word, len(self.number) + 1) for word in words_of(text)]
-            for at in range(max(1, len(ids) - window + 1)) if ids else ():
-                self.owners[tuple(ids[at:at + window])].add(item)
-        sizes = sorted({len(gram) for gram in self.owners})
-        self.digests = {size: np.unique(np.array([self.digest(np.array(gram, np.uint64)[:, None])[0]
-                                                  for gram in self.owners if len(gram) == size], np.uint64))
-                        for size in sizes}
+        numbers = [np.array([self.number.setdefault(word, len(self.number) + 1) for word in words_of(text)], np.uint64)
+                   for _, text in items]
+        self.names = [item for item, _ in items]
+        self.words = np.concatenate([np.zeros(0, np.uint64), *numbers])
+        sizes = np.array([len(each) for each in numbers], np.int64)
+        self.begins = np.cumsum(sizes) - sizes
+        self.digests: dict[int, np.ndarray] = {}
+        self.places: dict[int, np.ndarray] = {}
+        for size in sorted({min(each, window) for each in sizes.tolist()} - {0}):
+            some = np.flatnonzero(np.minimum(sizes, window) == size)
+            counts = sizes[some] - size + 1
+            firsts = np.repeat(self.begins[some] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            keys = self.digest([self.words[firsts + step] for step in range(size)])
+            order = np.argsort(keys, kind="stable")
+            self.digests[size], self.places[size] = keys[order], firsts[order]
+
+    def owners(self, size: int, place: int, gram: np.ndarray) -> set[str]:
+        """The items with an n-gram, among those whose digests begin at a place."""
+        found, digests = set(), self.digests[size]
+        end = int(np.searchsorted(digests, digests[place], "right"))
+        for at in self.places[size][place:end].tolist():
+            if np.array_equal(self.words[at:at + size], gram):
+                found.add(self.names[int(np.searchsorted(self.begins, at, "right")) - 1])
+        return found
 
     @staticmethod
     def digest(columns) -> np.ndarray:
@@ -64,8 +84,9 @@ class Windows:
                 continue
             keys = self.digest([ids[starts + step] for step in range(size)])
             place = np.minimum(np.searchsorted(digests, keys), len(digests) - 1)
-            for at in starts[digests[place] == keys].tolist():
-                owners = self.owners.get(tuple(ids[at:at + size].tolist()))
+            hit = digests[place] == keys
+            for at, first in zip(starts[hit].tolist(), place[hit].tolist()):
+                owners = self.owners(size, first, ids[at:at + size])
                 if owners:
                     found.append((at, at + size))
                     items |= owners
@@ -94,7 +115,8 @@ def find_benchmark(df: DataFrame, benchmark: DataFrame, text: str = "text", item
     named like new ones are replaced; empty tables give empty results.
 
     The benchmark's size is counted first. It is broadcast in blocks of at most about `block_bytes`, one pass of the
-    documents each, so that neither driver nor executors hold more than a block of any benchmark.
+    documents each, with the rows stored in between, so that neither driver nor executors hold more than a block of any
+    benchmark. A worker builds its table once: 16 bytes a window and 8 a word, beside the distinct words.
     """
     spark = df.sparkSession
     tests = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"),
@@ -109,12 +131,18 @@ def find_benchmark(df: DataFrame, benchmark: DataFrame, text: str = "text", item
         last = block == blocks - 1
         found = add_columns(found, [text] if block == 0 else [text, "spans", "items"], HITS, _scan(sent, window),
                             kept if last else list(dict.fromkeys([*kept, text])))
+        found = found if last else materialize(found, "scanned")
     return found
 
 
 def _scan(sent, window):
+    name = uuid.uuid4().hex
+
     def start():
-        windows = Windows(sent.value, window)
+        if name not in _BUILT:  # once in a worker, for all of its tasks
+            _BUILT.clear()
+            _BUILT[name] = Windows(sent.value, window)
+        windows = _BUILT[name]
 
         def rows(texts, spans=None, items=None):
             counts, places, names = [], [], []
@@ -140,24 +168,26 @@ def contamination(found: DataFrame, per_words: int = 20) -> DataFrame:
             .withColumn("contaminated", (F.col("n_hit") > 0) & (per_words * F.col("n_hit") >= F.col("n_words"))))
 
 
-def remove_documents(df: DataFrame, benchmark: DataFrame, per_words: int = 20, **names) -> DataFrame:
-    """The rows that are not contaminated, with their columns."""
-    kept = df.columns
-    found = contamination(find_benchmark(df, benchmark, **names), per_words)
-    return found.where(~F.col("contaminated")).select(*[found[name] for name in kept])
+def _held(df: DataFrame, text: str) -> DataFrame:
+    """Rows in one column, so that no column of theirs meets one of ours."""
+    return df.select(F.struct(*[df[name] for name in df.columns]).alias("row"), df[text].alias("text"))
+
+
+def remove_documents(df: DataFrame, benchmark: DataFrame, per_words: int = 20, text: str = "text", **names) -> DataFrame:
+    """The rows that are not contaminated, with their columns, whatever those are named."""
+    found = contamination(find_benchmark(_held(df, text), benchmark, "text", keep=["row"], **names), per_words)
+    return found.where(~F.col("contaminated")).select("row.*")
 
 
 def remove_spans(df: DataFrame, benchmark: DataFrame, text: str = "text", **names) -> DataFrame:
     """All rows, their texts without the words that benchmark windows cover and what stands between those words."""
-    kept = df.columns
-
     def start():
         def rows(texts, spans):
             return ([without_words(value, places) for value, places in zip(texts, spans)],)
         return rows
-    found = find_benchmark(df, benchmark, text, **names)
-    return add_columns(found, [text, "spans"], f"`{text}` string", start,
-                       [name for name in found.columns if name != text]).select(*kept)
+    found = find_benchmark(_held(df, text), benchmark, "text", keep=["row", "text"], **names)
+    clean = add_columns(found, ["text", "spans"], "text string", start, ["row"])
+    return clean.select(*[F.col("text" if name == text else f"row.`{name}`").alias(name) for name in df.columns])
 
 
 def without_words(text: str | None, spans: list[dict]) -> str | None:

@@ -2,7 +2,9 @@
 
 import random
 import re
+import time
 
+import numpy as np
 import pytest
 
 from reviewlake.llm import contamination
@@ -57,3 +59,37 @@ def test_removal(spark):
     assert sorted(row.doc_id for row in contamination.remove_documents(df, bench).collect()) == [2, 3]
     assert contamination.remove_documents(df, bench.limit(0)).count() == 3
     assert contamination.remove_documents(df.limit(0), bench).count() == 0
+
+
+NAMES = ["n_words", "spans", "items", "n_hit", "n_items", "items_sha256", "contaminated", "row", "item", "Text2", "window"]
+
+
+def test_removal_keeps_columns_of_any_name(spark):
+    bench = spark.createDataFrame([(1, " ".join(f"w{at}" for at in range(13)))], "item_id long, text string")
+    texts = [" ".join(f"w{at}" for at in range(13)), "clean", "clean", None, ""]
+    df = spark.createDataFrame([(at, text, *["mine"] * len(NAMES)) for at, text in enumerate(texts)],
+                               "doc_id long, text string, " + ", ".join(f"{name} string" for name in NAMES))
+    kept = contamination.remove_documents(df, bench)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect())) == sorted(tuple(row) for row in df.collect() if row.doc_id > 0)
+    cut = contamination.remove_spans(df, bench)
+    assert cut.columns == df.columns
+    assert all(set(row[2:]) == {"mine"} for row in cut.collect())
+
+
+def test_large_benchmark_is_built_in_seconds():
+    random.seed(3)
+    words = [f"w{at}" for at in range(50_000)]
+    items = [(str(at), " ".join(random.choices(words, k=2000))) for at in range(500)]
+    began = time.monotonic()
+    windows = contamination.Windows(items)
+    assert time.monotonic() - began < 10 and sum(map(len, windows.digests.values())) == 500 * 1988
+    spans, found = windows.scan(("x " + items[7][1] + " y").encode().split())
+    assert spans == [(1, 2001)] and found == {"7"}
+
+
+def test_equal_digests_are_verified(monkeypatch):
+    monkeypatch.setattr(contamination.Windows, "digest", staticmethod(lambda columns: np.zeros(len(columns[0]), np.uint64)))
+    windows = contamination.Windows([("a", "one two three"), ("b", "two three four"), ("c", "one two three")], 3)
+    assert windows.scan(b"zero one two three".split()) == ([(1, 4)], {"a", "c"})
+    assert windows.scan(b"three four two".split()) == ([], set())
