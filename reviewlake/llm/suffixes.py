@@ -253,8 +253,11 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", length
     """
     if not core < length <= 255 or not 0 < part <= length - core + 1:
         raise ValueError("core < length <= 255 and part <= length - core + 1 are needed")
-    ordered = order_rows(df, id, text)
-    gone = repeated_places(ordered, text, length, core, part)
+    kept = others(df, [name.split()[0] for name in FOUND.split(", ")], keep)
+    # the caller's columns travel in one struct, by place, so that their names cannot meet ours
+    row = F.struct(F.lit(0).alias("_"), *[df[name].alias(f"c{at}") for at, name in enumerate(kept)])
+    ordered = order_rows(df.select(row.alias("row"), df[id].alias("id"), df[text].alias("text")), "id", "text")
+    gone = repeated_places(ordered, "text", length, core, part)
     spans = gone.groupBy("_ord").agg(F.collect_list("place").alias("_places"))
 
     def start():
@@ -272,9 +275,9 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", length
                     column.append(made)
             return out
         return rows
-    kept = others(df, [name.split()[0] for name in FOUND.split(", ")], keep)
     joined = ordered.join(spans.hint("shuffle_hash"), "_ord", "left")
-    return add_columns(joined, [text, "_places"], FOUND, start, kept)
+    found = add_columns(joined, ["text", "_places"], FOUND, start, ["row"])
+    return found.select(*[F.col(f"row.c{at}").alias(name) for at, name in enumerate(kept)], *found.columns[1:])
 
 
 def merge(places: np.ndarray, length: int) -> list[tuple[int, int]]:

@@ -115,3 +115,15 @@ def test_cut_characters(spark):
 def test_wrong_settings(spark):
     with pytest.raises(ValueError):
         suffixes.remove_repeats(spark.createDataFrame([], "doc_id long, text string"), length=300)
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["_digest", "_row", "_places", "_ord", "row", "id", "place", "core", "whole", "first"]
+    rows = [(5, "x" * 150), (5, "x" * 150), (None, "y" * 120), (6, "y" * 130)]
+    df = spark.createDataFrame([(*row, *[f"mine {at}"] * len(names)) for at, row in enumerate(rows)],
+                               "doc_id long, text string, " + ", ".join(f"{name} string" for name in names))
+    found = suffixes.remove_repeats(df)
+    assert found.columns[:len(df.columns)] == df.columns
+    got = sorted(found.collect(), key=lambda row: row._digest)
+    assert [tuple(row[2:12]) for row in got] == [tuple([f"mine {at}"] * len(names)) for at in range(4)]
+    assert [(row.n_bytes, row.n_removed) for row in got] == [(150, 149), (150, 150), (120, 120), (130, 129)]
