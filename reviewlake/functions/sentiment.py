@@ -28,6 +28,14 @@ LEXICON = {word: valence for valence, listed in {
     -4: "worst",
 }.items() for word in listed.split()}
 
+# Fixed values of the published rules: phrases with a valence of their own.
+IDIOMS = {
+    "the bomb": 3, "bad ass": 1.5, "bus stop": 0.0, "yeah right": -2, "kiss of death": -1.5, "to die for": 3,
+    "beating heart": 3.1, "broken heart": -2.9, "cut the mustard": 2, "hand to mouth": -2, "back handed": -2,
+    "blow smoke": -2, "upper hand": 1, "break a leg": 2, "cooking with gas": 2, "in the black": 2, "in the red": -2,
+    "on the ball": 2, "under the weather": -2,
+}
+
 # Words that turn the valence of what follows around.
 NEGATIONS = """
 aint arent cannot cant couldnt darent didnt doesnt dont hadnt hasnt havent isnt mightnt mustnt neither neednt
@@ -48,6 +56,10 @@ BOOST = 0.293
 DAMPING = (1.0, 0.95, 0.9)
 NEGATION_FACTOR = -0.74
 NORMALIZER = 15
+EMPHASIS_FACTOR = 1.25
+
+#: Word lists whose words count together with a neighbour.
+ROLES = ("least", "softening", "never", "emphatic", "without", "doubt")
 
 #: Least absolute valence of a strong opinion.
 STRONG = 2
@@ -55,25 +67,39 @@ STRONG = 2
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Word lists of the scorer; `read` loads the published tab separated file format."""
+    """Word lists of the scorer; `read` loads the published tab separated file format.
 
-    valence: dict[str, float] = field(default_factory=lambda: dict(LEXICON))
+    Entries of `valence` may be phrases: words with one space between them. `least` turns what follows unless a word of
+    `softening` stands before it. A `never` followed by a word of `emphatic` stresses instead of turning, and `without`
+    followed by `doubt` does neither.
+    """
+
+    valence: dict[str, float] = field(default_factory=lambda: {**LEXICON, **IDIOMS})
     negations: tuple[str, ...] = tuple(NEGATIONS)
     stronger: tuple[str, ...] = tuple(STRONGER)
     weaker: tuple[str, ...] = tuple(WEAKER)
+    least: tuple[str, ...] = ("least",)
+    softening: tuple[str, ...] = ("at", "very")
+    never: tuple[str, ...] = ("never",)
+    emphatic: tuple[str, ...] = ("so", "this")
+    without: tuple[str, ...] = ("without",)
+    doubt: tuple[str, ...] = ("doubt",)
+
+    def phrases(self) -> list[str]:
+        return sorted(entry for entry in self.valence if " " in entry)
 
     @staticmethod
     def read(spark: SparkSession, path: str, limit: int = 100_000) -> Lexicon:
-        """Lines of `word <tab> valence ...` in any folder that Spark reads; only single words are used.
+        """Lines of `word or phrase <tab> valence ...` in any folder that Spark reads, beside the published idioms.
 
-        A lexicon of more than `limit` words is refused, since it becomes part of the plan.
+        A lexicon of more than `limit` entries is refused, since it becomes part of the plan.
         """
         parts = F.split("value", "\t")
-        lines = spark.read.text(path).select(F.lower(parts[0]).alias("word"), F.get(parts, F.lit(1)).try_cast("double").alias("valence"))
-        rows = lines.where(~F.contains("word", F.lit(" ")) & F.col("valence").isNotNull()).limit(limit + 1).collect()
+        lines = spark.read.text(path).select(F.regexp_replace(F.lower(F.trim(parts[0])), " +", " ").alias("word"), F.get(parts, F.lit(1)).try_cast("double").alias("valence"))
+        rows = lines.where(F.col("valence").isNotNull()).limit(limit + 1).collect()
         if len(rows) > limit:
             raise ValueError(f"more than {limit} words in {path}")
-        return Lexicon(valence={row["word"]: row["valence"] for row in rows})
+        return Lexicon(valence={**IDIOMS, **{row["word"]: row["valence"] for row in rows}})
 
 
 def sentiment_tokens(cleaned: Column) -> Column:
@@ -81,8 +107,60 @@ def sentiment_tokens(cleaned: Column) -> Column:
     return F.array_remove(F.split(F.trim(cleaned, F.lit(" .!?,;:")), "[.!?,;:]* [.!?,;:]*"), "")
 
 
+def join_phrases(tokens: Column, phrases: list[str]) -> Column:
+    """Tokens in which the words of each phrase are one token; leftmost and longest phrases go first.
+
+    A token that begins no phrase is looked up once. Places of phrases are gathered first, which are few, and the
+    tokens between them are taken as slices, so that the work grows with the text.
+    """
+    if not phrases:
+        return tokens
+    sizes = {phrase: len(phrase.split(" ")) for phrase in phrases}
+    longest: dict[str, int] = {}
+    for phrase, size in sizes.items():
+        first = phrase.split(" ")[0]
+        longest[first] = max(longest.get(first, 0), size)
+    begins = lookup({word: {"size": size} for word, size in longest.items()}, "size:int")
+    is_phrase = lookup({phrase: {"known": True} for phrase in phrases}, "known:boolean")
+
+    def words(at: Column, size: Column | int) -> Column:
+        return F.array_join(F.slice(tokens, at + 1, F.lit(size) if isinstance(size, int) else size), " ")
+
+    def size_at(at: Column) -> Column:
+        def tried(most: Column) -> Column:
+            found = [F.when((most >= size) & is_phrase(words(at, size)).isNotNull(), size) for size in sorted(set(sizes.values()), reverse=True)]
+            return F.when(most.isNotNull(), F.coalesce(*found))
+        return let(begins(F.get(tokens, at))["size"], tried)
+
+    places = F.when(F.size(tokens) > 1, F.sequence(F.lit(0), F.size(tokens) - 2)).otherwise(F.array().cast("array<int>"))
+    candidates = F.filter(F.transform(places, lambda at: F.struct(at.alias("at"), size_at(at).cast("int").alias("size"))),
+                          lambda found: found["size"].isNotNull())
+    nothing = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<at:int,size:int>>").alias("chosen"))
+
+    def choose(done: Column, found: Column) -> Column:
+        taken = F.struct((found["at"] + found["size"]).alias("end"), F.concat(done["chosen"], F.array(found)).alias("chosen"))
+        return F.when(found["at"] >= done["end"], taken).otherwise(done)
+
+    def joined(chosen: Column) -> Column:
+        def end(k: Column) -> Column:
+            before = F.get(chosen, k)
+            return F.coalesce(before["at"] + before["size"], F.lit(0))
+        parts = F.transform(chosen, lambda found, k: F.concat(
+            F.slice(tokens, end(k - 1) + 1, found["at"] - end(k - 1)), F.array(words(found["at"], found["size"]))))
+        rest = end(F.size(chosen) - 1)
+        return F.when(F.size(chosen) == 0, tokens).otherwise(
+            F.concat(F.flatten(parts), F.slice(tokens, rest + 1, F.size(tokens) - rest)))
+    return let(F.aggregate(candidates, nothing, choose)["chosen"], joined)
+
+
+def lexicon_tokens(cleaned: Column, lexicon: Lexicon) -> Column:
+    """Words and the lexicon's phrases of a cleaned text."""
+    return let(sentiment_tokens(cleaned), lambda tokens: join_phrases(tokens, lexicon.phrases()))
+
+
 def token_facts(tokens: Column, lexicon: Lexicon) -> Column:
-    """What the lexicon says of each token: its valence, whether it has one, how it strengthens, how it turns; or null.
+    """What the lexicon says of each token: its valence, whether it has one, how it strengthens, how it turns, and what
+    it is to its neighbours; or null.
 
     Intensity words carry no valence of their own.
     """
@@ -95,21 +173,41 @@ def token_facts(tokens: Column, lexicon: Lexicon) -> Column:
                                (lexicon.negations, "turn", NEGATION_FACTOR)):
         for word in words:
             entries.setdefault(word, {})[name] = value
-    return F.transform(tokens, lookup(entries, "valence:double,known:boolean,strong:boolean,boost:double,turn:double"))
+    for name in ROLES:
+        for word in getattr(lexicon, name):
+            entries.setdefault(word, {})[name] = True
+    return F.transform(tokens, lookup(entries, "valence:double,known:boolean,strong:boolean,boost:double,turn:double,"
+                                      + ",".join(f"{name}:boolean" for name in ROLES)))
 
 
 def token_valence(facts: Column, fact: Column, at: Column) -> Column:
     """Valence of one token after intensity words and negations among the three tokens before it."""
-    def adjusted(valence: Column, before: Column, damping: float) -> Column:
-        boost = F.coalesce(before["boost"] * damping, F.lit(0.0))
-        turned = (valence + F.signum(valence) * boost) * F.coalesce(before["turn"], F.lit(1.0))
-        return F.when(F.coalesce(before["known"], F.lit(False)), valence).otherwise(turned)
+    def before(distance: int) -> Column:
+        return F.get(facts, at - distance)
+
+    def role(distance: int, name: str) -> Column:
+        return F.coalesce(before(distance)[name], F.lit(False))
+
+    def turned(distance: int) -> Column:
+        """The factor of the token at a distance, with regard to those between."""
+        plain = F.coalesce(before(distance)["turn"], F.lit(1.0))
+        if distance == 1:
+            return plain
+        stressed, doubted = F.lit(False), F.lit(False)
+        for nearer in range(1, distance):
+            stressed, doubted = stressed | role(nearer, "emphatic"), doubted | role(nearer, "doubt")
+        return (F.when(role(distance, "never") & stressed, EMPHASIS_FACTOR)
+                .when(role(distance, "without") & doubted, 1.0).otherwise(plain))
+
+    def adjusted(valence: Column, distance: int) -> Column:
+        boost = F.coalesce(before(distance)["boost"] * DAMPING[distance - 1], F.lit(0.0))
+        return F.when(role(distance, "known"), valence).otherwise((valence + F.signum(valence) * boost) * turned(distance))
 
     def step(distance: int, valence: Column) -> Column:
         if distance > len(DAMPING):
-            return valence
-        return let(adjusted(valence, F.get(facts, at - distance), DAMPING[distance - 1]),
-                   lambda value: step(distance + 1, value))
+            is_least = role(1, "least") & ~role(1, "known") & ~role(2, "softening")
+            return valence * F.when(is_least, NEGATION_FACTOR).otherwise(1.0)
+        return let(adjusted(valence, distance), lambda value: step(distance + 1, value))
 
     return F.when(fact["valence"].isNotNull(), step(1, fact["valence"])).otherwise(0.0)
 
@@ -138,7 +236,7 @@ def compound(cleaned: Column, lexicon: Lexicon | None = None) -> Column:
         return let(base + F.signum(base) * emphasis,
                    lambda value: F.round(value / F.sqrt(value * value + NORMALIZER), 4))
 
-    return let(let(sentiment_tokens(cleaned), total), score)
+    return let(let(lexicon_tokens(cleaned, lexicon), total), score)
 
 
 def subjectivity(cleaned: Column, lexicon: Lexicon | None = None) -> Column:
@@ -150,7 +248,7 @@ def subjectivity(cleaned: Column, lexicon: Lexicon | None = None) -> Column:
         return let(hits, lambda found: F.when(
             F.size(found) > 0, F.size(F.filter(found, lambda fact: fact["strong"])) / F.size(found)).otherwise(0.0))
 
-    return let(token_facts(sentiment_tokens(cleaned), lexicon), share)
+    return let(token_facts(lexicon_tokens(cleaned, lexicon), lexicon), share)
 
 
 def sentiment_label(score: Column, threshold: float = 0.05) -> Column:

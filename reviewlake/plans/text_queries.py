@@ -233,23 +233,40 @@ def _levels(lexicon: sentiment.Lexicon) -> dict[float, list[str]]:
     return dict(sorted(levels.items()))
 
 
+def _phrases_sql(words: str, lexicon: sentiment.Lexicon) -> str:
+    """A list of words in which each phrase is one word: every word between two spaces, phrases written with ~."""
+    text = f"'  ' || array_to_string({words}, '  ') || '  '"
+    for phrase in sorted(lexicon.phrases(), key=lambda one: (-len(one.split()), one)):
+        text = f"replace({text}, ' {phrase.replace(' ', '  ')} ', ' {phrase.replace(' ', '~')} ')"
+    return f"list_transform(list_filter(string_split({text}, ' '), lambda w: w <> ''), lambda w: replace(w, '~', ' '))"
+
+
 def compound_sql(lexicon: sentiment.Lexicon) -> str:
     """Steps from the cleaned text `c` of `cleaned` to `scored` (id, c, score)."""
-    steps = [f"""tokens AS (SELECT id, c, list_filter(list_transform(string_split(c, ' '), lambda w: trim(w, '.!?,;:')),
-                 lambda w: w <> '') AS ws FROM cleaned)""",
+    steps = [f"""tokens AS (SELECT id, c, {_phrases_sql("ws", lexicon)} AS ws FROM (
+                 SELECT id, c, list_filter(list_transform(string_split(c, ' '), lambda w: trim(w, '.!?,;:')), lambda w: w <> '') AS ws FROM cleaned))""",
              f"v0 AS (SELECT *, list_transform(ws, lambda w: {_levels_sql('w', lexicon)}) AS v FROM tokens)"]
+
+    def among(distance: int, words) -> str:
+        return f"(i > {distance} AND ws[i - {distance}] IN {in_sql(words)})"
     for distance, damping in enumerate(sentiment.DAMPING, 1):
         before = f"ws[i - {distance}]"
         boost = (f"CASE WHEN {before} IN {in_sql(lexicon.stronger)} THEN {sentiment.BOOST * damping} "
                  f"WHEN {before} IN {in_sql(lexicon.weaker)} THEN {-sentiment.BOOST * damping} ELSE 0.0 END")
-        turn = f"CASE WHEN {before} IN {in_sql(lexicon.negations)} THEN {sentiment.NEGATION_FACTOR} ELSE 1.0 END"
+        nearer = range(1, distance)
+        special = "".join(f"WHEN {before} IN {in_sql(first)} AND ({' OR '.join(among(at, words) for at in nearer)}) THEN {factor} "
+                          for first, words, factor in ((lexicon.never, lexicon.emphatic, sentiment.EMPHASIS_FACTOR),
+                                                       (lexicon.without, lexicon.doubt, 1.0)) if nearer)
+        turn = f"CASE {special}WHEN {before} IN {in_sql(lexicon.negations)} THEN {sentiment.NEGATION_FACTOR} ELSE 1.0 END"
         steps.append(f"""v{distance} AS (SELECT id, c, ws, list_transform(v, lambda x, i:
             CASE WHEN x = 0 OR i <= {distance} THEN x WHEN {before} IN {in_sql(sorted(lexicon.valence))} THEN x
                  ELSE CAST((x + sign(x) * ({boost})) * ({turn}) AS DOUBLE) END) AS v FROM v{distance - 1})""")
+    steps.append(f"""v4 AS (SELECT id, c, ws, list_transform(v, lambda x, i: CASE WHEN {among(1, lexicon.least)}
+            AND NOT {among(1, sorted(lexicon.valence))} AND NOT {among(2, lexicon.softening)} THEN x * {sentiment.NEGATION_FACTOR} ELSE x END) AS v FROM v3)""")
     steps.append("""summed AS (SELECT id, c, coalesce(list_sum(list_transform(v, lambda x, i: x * CASE
             WHEN list_position(ws, 'but') > 0 AND i < list_position(ws, 'but') THEN 0.5
             WHEN list_position(ws, 'but') > 0 AND i > list_position(ws, 'but') THEN 1.5 ELSE 1.0 END)), 0) AS s,
-            length(c) - length(replace(c, '!', '')) AS calls, length(c) - length(replace(c, '?', '')) AS asks FROM v3)""")
+            length(c) - length(replace(c, '!', '')) AS calls, length(c) - length(replace(c, '?', '')) AS asks FROM v4)""")
     steps.append("""stressed AS (SELECT id, c, s + sign(s) * (least(calls, 4) * 0.292 + CASE WHEN asks > 3 THEN 0.96
             WHEN asks > 1 THEN asks * 0.18 ELSE 0 END) AS s FROM summed)""")
     steps.append("scored AS (SELECT id, c, round(s / sqrt(s * s + 15), 4) AS score FROM stressed)")
@@ -264,6 +281,12 @@ FREQUENT = sentiment.Lexicon(
     valence={"the": 1.5, "of": -0.5, "de": 2.0, "der": -1.5, "in": 0.5, "que": -2.5, "is": 3.0, "le": 1.0},
     negations=("and", "la", "die", "not", "no"), stronger=("to", "en", "und", "that"), weaker=("a", "ci", "ein", "it"))
 
+#: The same with phrases, and with frequent words for the rules of neighbours.
+FREQUENT_PHRASES = sentiment.Lexicon(
+    valence={**FREQUENT.valence, "to the": -2.0, "la de": 2.5, "a the and": 1.25, "a the": -3.0, "des les": 0.0},
+    negations=FREQUENT.negations, stronger=FREQUENT.stronger, weaker=FREQUENT.weaker, least=("er", "con", "for"), softening=("an", "re"),
+    never=("and", "la"), emphatic=("an", "er", "los"), without=("die", "no"), doubt=("er", "en", "se"))
+
 
 @query("t01_clean_text", f"SELECT doc_id AS review_id, {CLEAN} AS cleaned FROM documents")
 def t01(spark, base):
@@ -289,6 +312,12 @@ def t02_rules(spark, base):
     return _scored(spark, base, FREQUENT)
 
 
+@query("t02_phrases", CLEANED + compound_sql(FREQUENT_PHRASES)
+       + f"SELECT id AS review_id, {LABELS} AS label, score, abs(score) AS confidence FROM scored")
+def t02_phrases(spark, base):
+    return _scored(spark, base, FREQUENT_PHRASES)
+
+
 @query("t03_stream_sentiment", CLEANED + compound_sql(FREQUENT) + f""",
 found AS (SELECT id, list_filter(ws, lambda w: w IN {in_sql(sorted(FREQUENT.valence))}) AS hits FROM tokens)
 SELECT s.id AS review_id, score AS polarity, CASE WHEN score > 0.1 THEN 'positive' WHEN score < -0.1 THEN 'negative'

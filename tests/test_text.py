@@ -134,12 +134,39 @@ def test_rules(spark):
     assert contrast == norm(2 * 0.5 - 2 * 1.5)
 
 
+def test_phrases_and_neighbours(spark):
+    kiss, bomb, twice, stop, least, at_least, never_so, never_it_so, doubt, without = score(
+        spark, "a kiss of death", "not the bomb", "to die for to die for", "the bus stop is good", "least good", "at least good",
+        "never so good", "never was this good", "without doubt good", "without good")
+    assert kiss == norm(-1.5) and bomb == norm(3 * -0.74) and twice == norm(6) and stop == norm(2)
+    assert least == norm(2 * -0.74) and at_least == norm(2)
+    assert never_so == norm(2.293 * 1.25) and never_it_so == norm(2 * 1.25)
+    assert doubt == norm(2) and without == norm(2 * -0.74)
+
+
+def test_longest_phrases_from_the_left(spark):
+    phrases = ["a b", "a b c", "b c d", "c d", "d e"]
+    df = spark.createDataFrame([("a b c d e",), ("b c d e",), ("a b d e a",), ("x",), ("",), ("a a b a b c",)], "t string")
+    found = [row[0] for row in df.select(sentiment.join_phrases(F.filter(F.split("t", " "), lambda w: w != ""), phrases)).collect()]
+    assert found == [["a b c", "d e"], ["b c d", "e"], ["a b", "d e", "a"], ["x"], [], ["a", "a b", "a b c"]]
+
+
+def test_many_phrases_in_a_long_text(spark):
+    import time
+    lexicon = sentiment.Lexicon(valence={f"w{at} x{at % 50}": 1.0 for at in range(7500)})
+    df = spark.createDataFrame([(" ".join(f"w{at % 7500} x{at % 50}" for at in range(30_000)),)], "c string")
+    began = time.monotonic()
+    column = sentiment.compound(F.col("c"), lexicon)
+    assert time.monotonic() - began < 1
+    assert df.select(column).first()[0] == pytest.approx(1, abs=1e-3)
+
+
 def test_lexicon_file(spark, tmp_path):
     path = tmp_path / "lexicon.txt"
-    path.write_text("splendid\t3.1\t0.5\t[3]\nodd one\t1\t1\nmeh\t-0.4\t1\n")
+    path.write_text("splendid\t3.1\t0.5\t[3]\nOdd  one\t1\t1\nmeh\t-0.4\t1\nno number\tx\n")
     lexicon = sentiment.Lexicon.read(spark, str(path))
-    df = spark.createDataFrame([("splendid",), ("good",)], "t string")
-    assert [row[0] for row in df.select(sentiment.compound(F.col("t"), lexicon)).collect()] == [norm(3.1), 0.0]
+    df = spark.createDataFrame([("splendid",), ("good",), ("odd one",), ("odd",)], "t string")
+    assert [row[0] for row in df.select(sentiment.compound(F.col("t"), lexicon)).collect()] == [norm(3.1), 0.0, norm(1), 0.0]
 
 
 def test_short_text_is_neutral(spark):
