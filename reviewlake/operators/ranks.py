@@ -45,58 +45,33 @@ def _bounds(cuts: Column, skipped: Column, counted: Column) -> tuple[Column, Col
             F.get(cuts, F.least(F.lit(CELLS), cell("last") + 2).cast("int")))
 
 
-class _Brackets:
-    """Bounds of each wanted quantile as expressions over the rows: literals, or columns joined by the groups."""
-
-    def __init__(self, rows: DataFrame, by: Sequence[str], state: DataFrame, wanted: int):
-        if by:
-            wide = state.groupBy(*[F.col(name).alias(f"_of_{name}") for name in by]).agg(
-                F.map_from_entries(F.collect_list(F.struct("k", F.struct("low", "high")))).alias("_bounds"))
-            same = F.lit(True)
-            for name in by:
-                same = same & rows[name].eqNullSafe(wide[f"_of_{name}"])
-            self.rows = rows.join(wide, same)
-            self.bounds = [(F.col("_bounds")[k]["low"], F.col("_bounds")[k]["high"]) for k in range(wanted)]
-        else:  # one row for each wanted quantile
-            found = {row["k"]: (row["low"], row["high"]) for row in state.select("k", "low", "high").collect()}
-            self.rows = rows
-            self.bounds = [tuple(F.lit(bound).cast("double") for bound in found.get(k, (None, None))) for k in range(wanted)]
-
-    def inside(self, k: int, value: Column) -> Column:
-        low, high = self.bounds[k]
-        return (value >= low) & (value <= high)
-
-
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = (),
               inside: int = INSIDE, accuracy: int = ACCURACY) -> DataFrame:
     """Exact quantiles with linear interpolation: (by..., name, p, value). Nulls and NaN are left out.
 
-    Every round is one aggregate over the rows: a sketch of all columns first, then the counts below and up to the
-    bounds it gave. A sketch that missed is noticed by the counts, and more than `inside` values between the bounds
-    are sketched again, so the result does not rest on the sketch. Only what then lies between the bounds is shuffled
-    and ordered. Nothing is written but one row for each quantile.
+    Every round is one aggregate over (group, column, value), reduced before the shuffle: a sketch first, then the
+    counts below and up to the bounds it gave. A sketch that missed is noticed by the counts, and more than `inside`
+    values between the bounds are sketched again, so the result does not rest on the sketch. Only what then lies
+    between the bounds is shuffled and ordered. Nothing is written but one row for each quantile.
     """
     levels = [float(p) for p in probabilities]
-    wanted = len(columns) * len(levels)
-    rows = df.select(*by, *[_number(column).alias(f"_v{at}") for at, column in enumerate(columns)])
-    value = [F.col(f"_v{k // len(levels)}") for k in range(wanted)]
-    sketch = rows.groupBy(*by).agg(*[F.struct(F.count(f"_v{at}").alias("n"), _cells(F.col(f"_v{at}"), accuracy).alias("cuts")).alias(f"_s{at}")
-                                     for at in range(len(columns))])
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(levels[k % len(levels)]).alias("p"), F.col(f"_s{k // len(levels)}").alias("s"))
-                               for k in range(wanted)])).alias("x")
+    keys = [*by, "_c"]
+    pairs = F.array(*[F.struct(F.lit(at).alias("_c"), _number(column).alias("_v")) for at, column in enumerate(columns)])
+    rows = df.select(*by, F.explode(pairs).alias("x")).select(*by, "x.*").where("_v IS NOT NULL")
+    sketch = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), _cells(F.col("_v"), accuracy).alias("cuts"))
     place = F.col("p") * (F.col("n") - 1)
-    state = (sketch.select(*by, each).select(*by, "x.k", "x.p", "x.s.n", "x.s.cuts").where("n > 0")
-             .withColumns({"first": F.floor(place), "last": F.ceil(place), "share": place - F.floor(place)}))
     low, high = _bounds(F.col("cuts"), F.lit(0), F.col("n"))
-    state = materialize(state.withColumns({"low": low, "high": high}).drop("cuts"), "brackets")
-    before = math.inf
+    state = (sketch.select("*", F.posexplode(F.array(*[F.lit(p) for p in levels])).alias("k", "p"))
+             .withColumns({"first": F.floor(place), "last": F.ceil(place), "share": place - F.floor(place)})
+             .withColumns({"low": low, "high": high}).drop("cuts"))
+    state, before = materialize(state, "brackets"), math.inf
     while True:
-        brackets = _Brackets(rows, by, state, wanted)
-        counts = brackets.rows.groupBy(*by).agg(*[F.struct(
-            F.lit(k).alias("k"), F.count_if(value[k] < brackets.bounds[k][0]).alias("below"),
-            F.count_if(value[k] <= brackets.bounds[k][1]).alias("upto")).alias(f"_c{k}") for k in range(wanted)])
-        counts = counts.select(*by, F.explode(F.array(*[f"_c{k}" for k in range(wanted)])).alias("x")).select(*by, "x.*")
-        state = materialize(_by_group(state, counts, [*by, "k"]), "brackets")
+        near = _with_bounds(rows, state, by)
+        counts = near.groupBy(*keys).agg(F.array(*[F.struct(
+            F.lit(k).alias("k"), F.count_if(F.col("_v") < F.col("_b")[k]["low"]).alias("below"),
+            F.count_if(F.col("_v") <= F.col("_b")[k]["high"]).alias("upto")) for k in range(len(levels))]).alias("x"))
+        counts = counts.select(*keys, F.inline("x"))
+        state = materialize(_by_group(state.drop("below", "upto"), counts, [*keys, "k"]), "brackets")
         held = (F.col("below") <= F.col("first")) & (F.col("last") < F.col("upto"))
         many = (F.col("upto") - F.col("below") > inside) & (F.col("low") < F.col("high"))
         missed, crowded = state.agg(F.count_if(~held), F.sum(F.when(many, F.col("upto") - F.col("below")))).first()
@@ -108,57 +83,49 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
         wide = state.withColumns({"low": F.when(held, F.col("low")).otherwise(F.lit(-math.inf)),
                                   "high": F.when(held, F.col("high")).otherwise(F.lit(math.inf)),
                                   "below": F.when(held, F.col("below")).otherwise(F.lit(0)),
-                                  "upto": F.when(held, F.col("upto")).otherwise(F.col("n"))})
-        brackets = _Brackets(rows, by, wide, wanted)
-        again = brackets.rows.groupBy(*by).agg(*[F.struct(
-            F.lit(k).alias("k"), _cells(F.when(brackets.inside(k, value[k]), value[k]), accuracy).alias("cuts")).alias(f"_c{k}")
-            for k in range(wanted)])
-        again = again.select(*by, F.explode(F.array(*[f"_c{k}" for k in range(wanted)])).alias("x")).select(*by, "x.*")
+                                  "upto": F.when(held, F.col("upto")).otherwise(F.col("n")), "again": many | ~held})
+        again = _with_bounds(rows, wide, by).groupBy(*keys).agg(F.array(*[F.struct(
+            F.lit(k).alias("k"), _cells(F.when(_within(k), F.col("_v")), accuracy).alias("cuts")) for k in range(len(levels))]).alias("x"))
         low, high = _bounds(F.col("cuts"), F.col("below"), F.col("upto") - F.col("below"))
-        state = materialize(_by_group(wide, again, [*by, "k"]).withColumns({
-            "low": F.when(many | ~held, low).otherwise(F.col("low")), "high": F.when(many | ~held, high).otherwise(F.col("high"))})
-            .drop("cuts", "below", "upto"), "brackets")
-    found = _between(brackets, by, value).join(state.select(
-        *[F.col(name).alias(f"_of_{name}") for name in by], F.col("k").alias("_k"), "below", "first", "last"),
-        _same([*by, "k"], [*[f"_of_{name}" for name in by], "_k"]))
-    order = Window.partitionBy(*by, "k").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = found.withColumn("_upto", F.col("below") + F.sum("n").over(order))
-
-    def at(wanted_place: str) -> Column:
-        holds = (F.col(wanted_place) >= F.col("_upto") - F.col("n")) & (F.col(wanted_place) < F.col("_upto"))
-        return F.max(F.when(holds, F.col("value")))
-    picked = upto.groupBy(*by, "k").agg(at("first").alias("_a"), at("last").alias("_b"))
+        state = materialize(_by_group(wide, again.select(*keys, F.inline("x")), [*keys, "k"]).withColumns({
+            "low": F.when(F.col("again"), low).otherwise(F.col("low")),
+            "high": F.when(F.col("again"), high).otherwise(F.col("high"))}).drop("cuts", "again"), "brackets")
+    # how often each value between the bounds occurs, for brackets of more than one value
+    open_ = [F.when(_within(k) & (F.col("_b")[k]["low"] < F.col("_b")[k]["high"]), F.lit(k)) for k in range(len(levels))]
+    between = (near.where(F.coalesce(*open_).isNotNull()).select(*keys, "_v", F.explode(F.array_compact(F.array(*open_))).alias("k"))
+               .groupBy(*keys, "k", "_v").agg(F.count(F.lit(1)).alias("held")))
+    found = _by_group(between, state.select(*keys, "k", "below", "first", "last"), [*keys, "k"])
+    order = Window.partitionBy(*keys, "k").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = found.withColumn("_upto", F.col("below") + F.sum("held").over(order))
+
+    def at(wanted: str) -> Column:
+        holds = (F.col(wanted) >= F.col("_upto") - F.col("held")) & (F.col(wanted) < F.col("_upto"))
+        return F.max(F.when(holds, F.col("_v")))
+    picked = upto.groupBy(*keys, "k").agg(at("first").alias("_a"), at("last").alias("_z"))
     names = F.array(*[F.lit(column) for column in columns])
-    a, b = F.coalesce("_a", "low"), F.coalesce("_b", "low")  # a bracket of one value is that value
-    return _by_group(state, picked, [*by, "k"], "left").select(
-        *by, F.get(names, F.floor(F.col("k") / len(levels)).cast("int")).alias("name"), "p", (a + (b - a) * F.col("share")).alias("value"))
+    a, z = F.coalesce("_a", "low"), F.coalesce("_z", "low")  # a bracket of one value is that value
+    return _by_group(state, picked, [*keys, "k"], "left").select(
+        *by, F.get(names, F.col("_c")).alias("name"), "p", (a + (z - a) * F.col("share")).alias("value"))
 
 
-def _same(left: Sequence[str], right: Sequence[str]) -> Column:
-    same = F.lit(True)
-    for one, other in zip(left, right):
-        same = same & F.col(one).eqNullSafe(F.col(other))
-    return same
+def _within(k: int) -> Column:
+    return (F.col("_v") >= F.col("_b")[k]["low"]) & (F.col("_v") <= F.col("_b")[k]["high"])
 
 
-def _by_group(state: DataFrame, found: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def _with_bounds(rows: DataFrame, state: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows with `_b`, the bounds of the quantiles of their group and column."""
+    bounds = state.groupBy(*by, "_c").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "low", "high"))),
+                                                      lambda x: F.struct(x["low"].alias("low"), x["high"].alias("high"))).alias("_b"))
+    return _by_group(rows, bounds if by else F.broadcast(bounds), [*by, "_c"])  # without groups, one row for each column
+
+
+def _by_group(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on keys that may be null."""
-    found = found.select(*[F.col(key).alias(f"_key_{key}") for key in keys], *[name for name in found.columns if name not in keys])
-    kept = [name for name in state.columns if name not in found.columns]
-    joined = state.select(*kept).join(found, _same(keys, [f"_key_{key}" for key in keys]), how)
-    return joined.drop(*[f"_key_{key}" for key in keys])
-
-
-def _between(brackets: _Brackets, by: Sequence[str], value: Sequence[Column]) -> DataFrame:
-    """(by..., k, value, n): how often each value between the bounds occurs, for brackets of more than one value."""
-    def open_(k: int) -> Column:
-        return brackets.inside(k, value[k]) & (brackets.bounds[k][0] < brackets.bounds[k][1])
-    any_ = F.lit(False)
-    for k in range(len(value)):
-        any_ = any_ | F.coalesce(open_(k), F.lit(False))
-    pairs = F.array(*[F.when(open_(k), F.struct(F.lit(k).alias("k"), value[k].alias("value"))) for k in range(len(value))])
-    kept = brackets.rows.where(any_).select(*by, F.explode(F.array_compact(pairs)).alias("x"))
-    return kept.groupBy(*by, "x.k", "x.value").agg(F.count(F.lit(1)).alias("n"))
+    named = right.select(*[F.col(key).alias(f"_key_{key}") for key in keys], *[name for name in right.columns if name not in keys])
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
+    return left.join(named, same, how).drop(*[f"_key_{key}" for key in keys])
 
 
 def quantile_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, dict[float, float]]:

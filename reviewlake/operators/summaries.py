@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -287,16 +289,79 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(feature_a, feature_b, correlation) of the given or all plain numeric columns, in one pass."""
+    """(feature_a, feature_b, correlation) of the given or all plain numeric columns, over the rows that have both.
+
+    Each task multiplies its rows' matrix with itself, block after block of rows, with masks for what is missing, and
+    sends one row for each pair; the plan does not grow with the columns. Values are centred by the columns' means
+    first, so that the sums of squares keep their digits. Null where a column of the pair does not vary.
+    """
     hidden = ("tfidf", "feature_", "cluster_", "pca_")
     if columns is None:
         columns = [name for name in numeric_columns(df) if not any(part in name.lower() for part in hidden)]
-    pairs = [(a, b) for at, a in enumerate(columns) for b in columns[at + 1:]]
-    wide = df.agg(F.array(*[F.struct(
-        F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-        pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias("correlation"))
-        for a, b in pairs]).alias("_pairs"))
-    return wide.select(F.inline("_pairs"))
+    if len(columns) < 2:
+        return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, correlation double")
+    value = [F.col(f"`{name}`").cast("double") for name in columns]
+    values = df.select(F.array(*[F.when(~F.isnan(one), one) for one in value]).alias("v"))
+    means = (values.mapInArrow(_column_sums(len(columns)), "at int, n bigint, x double").groupBy("at")
+             .agg((F.sum("x") / F.nullif(F.sum("n"), F.lit(0))).alias("mean")))
+    centre = np.zeros(len(columns))
+    for row in means.where("mean IS NOT NULL").collect():  # one number for each column
+        centre[row["at"]] = row["mean"]
+    sums = values.mapInArrow(_pair_sums(centre), PAIR_SUMS).groupBy("a", "b").agg(
+        *[F.sum(name).alias(name) for name in ("n", "x", "y", "xx", "yy", "xy")])
+    n = F.nullif(F.col("n").cast("double"), F.lit(0.0))
+    x2, y2 = (F.col(f"{c}{c}") - F.col(c) * F.col(c) / n for c in "xy")
+    covered = F.col("xy") - F.col("x") * F.col("y") / n
+    # what is left of equal values is far below their squares
+    varied = (x2 > 1e-13 * F.col("xx")) & (y2 > 1e-13 * F.col("yy"))
+    correlation = F.when(varied, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), covered / (F.sqrt(x2) * F.sqrt(y2)))))
+    names = F.array(*[F.lit(name) for name in columns])
+    return sums.select(F.get(names, F.col("a")).alias("feature_a"), F.get(names, F.col("b")).alias("feature_b"),
+                       correlation.alias("correlation"))
+
+
+PAIR_SUMS = "a int, b int, n bigint, x double, y double, xx double, yy double, xy double"
+
+
+def _matrix(part: pa.RecordBatch, width: int) -> np.ndarray:
+    """The rows of a batch of arrays; NaN where a value is missing."""
+    return np.asarray(part.column(0).flatten().cast(pa.float64()).fill_null(np.nan)).reshape(-1, width)
+
+
+def _column_sums(width: int):
+    """For each column, the values that are known and their sum."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total = np.zeros(width, np.int64), np.zeros(width)
+        for part in parts:
+            matrix = _matrix(part, width)
+            known += (~np.isnan(matrix)).sum(axis=0)
+            total += np.nansum(matrix, axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width, dtype=np.int32)), pa.array(known), pa.array(total)], names=["at", "n", "x"])
+    return run
+
+
+def _pair_sums(centre: np.ndarray):
+    """For each pair of columns a < b: rows that have both, and sums of the values, squares and products over them."""
+    width = len(centre)
+    first, second = np.triu_indices(width, 1)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, width, width))
+        for part in parts:
+            matrix = _matrix(part, width)
+            for at in range(0, len(matrix), 4096):
+                block = matrix[at:at + 4096] - centre
+                known = ~np.isnan(block)
+                block, mask = np.where(known, block, 0.0), known.astype(np.float64)
+                total[0] += mask.T @ mask
+                total[1] += block.T @ mask          # [a, b]: the sum of a where b is known
+                total[2] += (block * block).T @ mask
+                total[3] += block.T @ block
+        columns = [first, second, total[0][first, second], total[1][first, second], total[1][second, first],
+                   total[2][first, second], total[2][second, first], total[3][first, second]]
+        yield pa.RecordBatch.from_arrays([pa.array(one.astype(kind)) for one, kind in zip(
+            columns, ("i4", "i4", "i8", "f8", "f8", "f8", "f8", "f8"))], names=["a", "b", "n", "x", "y", "xx", "yy", "xy"])
+    return run
 
 
 def rating_sentiment_correlation(df: DataFrame) -> DataFrame:

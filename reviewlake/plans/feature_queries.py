@@ -152,15 +152,31 @@ SELECT t.review_id, CAST(w.words AS INTEGER) AS word_count, CAST(year(created_at
        p.n AS product_review_count, round((w.words - avg(w.words) OVER ()) / stddev_samp(w.words) OVER (), 8) AS word_count_zscore,
        round((rank() OVER (ORDER BY w.words) + (count(*) OVER (PARTITION BY w.words) - 1) / 2.0) / count(*) OVER (), 8)
        AS word_count_percentile,
-       round(avg(rating) OVER (ORDER BY created_at, t.review_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 8) AS rating_rolling_mean_7
+       round((rank() OVER (ORDER BY u.n) + (count(*) OVER (PARTITION BY u.n) - 1) / 2.0) / count(*) OVER (), 8) AS user_review_count_percentile,
+       round((p.n - avg(p.n) OVER ()) / stddev_samp(p.n) OVER (), 8) AS product_review_count_zscore,
+       round(avg(rating) OVER (ORDER BY created_at, t.review_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 8) AS rating_rolling_mean_7,
+       true AS topics_add_up, true AS topic_is_heaviest, true AS terms_are_words, 0::BIGINT AS unranked
 FROM texts t JOIN w ON t.review_id = w.review_id JOIN u ON t.user_id = u.user_id JOIN p ON t.product_id = p.product_id""")
 def e13(spark, base):
     rows = _texts(spark, base).select("review_id", "review_text", "user_id", "product_id", "rating", "created_at")
-    found = features.engineer_features(rows, order=["created_at", "review_id"],
-                                       statistics=["word_count", "user_review_count", "capital_ratio"])
-    return rounded(found.select("review_id", "word_count", "year", "user_review_count", "product_review_count",
-                                "word_count_zscore", "word_count_percentile", "rating_rolling_mean_7"),
-                   "word_count_zscore", "word_count_percentile", "rating_rolling_mean_7")
+    # every group with all of its columns; those without a plain form are held against what must be true of them
+    found = features.engineer_features(rows, order=["created_at", "review_id"])
+    topics = [name for name in found.columns if name.startswith("topic_") and name.endswith("_weight")]
+    ranked = [name for name in found.columns if name.endswith("_percentile")]
+    total = sum((F.col(name) for name in topics), F.lit(0.0))
+    terms = F.size(F.filter(vector_to_array("tfidf"), lambda x: x > 0))
+    facts = found.select(
+        "review_id", "word_count", "year", "user_review_count", "product_review_count", "word_count_zscore", "word_count_percentile",
+        "user_review_count_percentile", "product_review_count_zscore", "rating_rolling_mean_7",
+        # a text without a term has no topic
+        ((F.abs(total - 1) < 1e-6) | ((total == 0) & (terms == 0))).alias("topics_add_up"),
+        (F.abs(F.greatest(*topics) - F.col("dominant_topic_weight")) < 1e-9).alias("topic_is_heaviest"),
+        # a word, or a pair of neighbouring ones, is a term
+        (terms <= 2 * F.col("word_count")).alias("terms_are_words"),
+        F.size(F.filter(F.array(*[F.struct(F.col(name.removesuffix("_percentile")).alias("v"), F.col(name).alias("r")) for name in ranked]),
+                        lambda x: x["v"].isNotNull() & x["r"].isNull())).cast("bigint").alias("unranked"))
+    return rounded(facts, "word_count_zscore", "word_count_percentile", "user_review_count_percentile",
+                   "product_review_count_zscore", "rating_rolling_mean_7")
 
 
 @query("e14_insight_features", with_sql("texts") + f"""

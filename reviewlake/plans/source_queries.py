@@ -788,7 +788,7 @@ FROM clean k JOIN scored s ON k.doc_id = s.id"""
 
 def _config():
     return transform.TransformConfig(
-        order=["row_key"], statistics=["word_count"], lexicon=FREQUENT, as_of=F.lit("2024-02-01").cast("timestamp"),
+        order=["row_key"], lexicon=FREQUENT, as_of=F.lit("2024-02-01").cast("timestamp"),
         features=FeatureConfig())
 
 
