@@ -28,9 +28,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose what 100-byte strings that also start earlier cover; n_chars is that of the rest."""
-    found = suffixes.remove_repeats(docs, length=100, keep=[name for name in docs.columns if name != "text"])
-    kept = found.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)})
-    return kept.select(*docs.columns)
+    # the columns travel in one struct, so that none of them meets a column of the operator
+    row = F.struct(*[docs[name] for name in docs.columns if name != "text"], F.lit(0).alias("_"))
+    held = docs.select(row.alias("row"), docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
+    found = suffixes.remove_repeats(held, length=100, keep=["row"])
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)}
+    return found.select(*[new.get(name, F.col(f"row.`{name}`")).alias(name) for name in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
