@@ -191,12 +191,9 @@ def cluster_metrics(rows: DataFrame) -> dict[str, float]:
     sizes = np.array([row["n"] for row in found], dtype=float)
     centers = np.array([row["center"].toArray() for row in found])
 
-    @F.pandas_udf("double")
-    def to_center(features: pd.Series, cluster: pd.Series) -> pd.Series:
-        own = centers[[ids[value] for value in cluster]]
-        return pd.Series(np.linalg.norm(np.stack(features.to_numpy()) - own, axis=1))
-
-    distance = to_center(vector_to_array("features"), F.col("cluster"))
+    own = F.coalesce(*[F.when(F.col("cluster") == cluster, F.lit(centers[at].tolist())) for cluster, at in ids.items()])
+    squares = F.zip_with(vector_to_array("features"), own, lambda x, y: (x - y) * (x - y))
+    distance = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
     spread = {row["cluster"]: row for row in rows.select("cluster", distance.alias("d")).groupBy("cluster").agg(
         F.avg("d").alias("mean"), F.sum(F.col("d") * F.col("d")).alias("squares")).collect()}
     within = sum(row["squares"] for row in spread.values())

@@ -1,6 +1,7 @@
 """The plans keep what the design promises."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from reviewlake import lens
 from reviewlake.operators import relational
@@ -48,8 +49,15 @@ def test_text_measures_need_no_shuffle(spark):
     assert "Exchange" not in text
 
 
-def test_top_k_is_not_a_full_sort(spark):
-    assert "TakeOrderedAndProject" in plan(QUERIES["o06_seeded_sample"](spark, BASE))
+def test_samples_and_top_k_are_no_full_sort(spark):
+    whole = plan(QUERIES["o06_seeded_sample"](spark, BASE))
+    assert "Sort [" not in whole and "rangepartitioning" not in whole
+    # only the bucket that is cut is ordered
+    same = spark.range(50).withColumn("k", F.floor(F.col("id") / 1000))
+    cut = relational.sample_rows(same, F.col("k"), 20)
+    assert "TakeOrderedAndProject" in plan(cut) and "rangepartitioning" not in plan(cut) and cut.count() == 20
+    assert relational.sample_rows(same, F.col("id"), 50).count() == 50 and relational.sample_rows(same, F.col("id"), 49).count() == 49
+    assert "TakeOrderedAndProject" in plan(QUERIES["o05_top_scored"](spark, BASE))
 
 
 def test_unknown_operator(spark):
