@@ -88,18 +88,24 @@ def add_to_texts(df: DataFrame, text: str, outputs: str, rows: Rows, keep: list[
     return source.mapInArrow(run, schema)
 
 
-def make_rows(df: DataFrame, inputs: list[str], outputs: str, start: Callable[[], Rows]) -> DataFrame:
-    """Any number of rows for each batch; `start()` gives a task its function of lists to columns."""
+def make_rows(df: DataFrame, inputs: list[str], outputs: str, start: Callable[[], Rows], size: int = 4 * 2 ** 20) -> DataFrame:
+    """Any number of rows for each batch; `start()` gives a task its function of lists to columns.
+
+    Python holds the rows of about `size` bytes of the first column of texts or bytes at a time.
+    """
     schema = fields(outputs)
     arrow = to_arrow_schema(schema)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = start()
         for part in parts:
-            made = rows(*[column.to_pylist() for column in part.columns])
-            made = [pa.array(values, field.type) for values, field in zip(made, arrow)]
-            if len(made[0]):
-                yield pa.RecordBatch.from_arrays(made, schema=arrow)
+            texts = [column for column in part.columns if pa.types.is_string(column.type) or pa.types.is_binary(column.type)
+                     or pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)]
+            for begin, end in portions(texts[0], size) if texts else [(0, part.num_rows)]:
+                made = rows(*[column.to_pylist() for column in part.slice(begin, end - begin).columns])
+                made = [pa.array(values, field.type) for values, field in zip(made, arrow)]
+                if len(made[0]):
+                    yield pa.RecordBatch.from_arrays(made, schema=arrow)
 
     return df.select(*inputs).mapInArrow(run, schema)
 
