@@ -195,3 +195,21 @@ def test_a_full_size_lexicon_makes_a_small_plan(spark):
     assert first["score"] == pytest.approx(total / (total * total + 15) ** 0.5, abs=1e-4) and first["share"] == 0.5
     total = words["word3"] - sentiment.BOOST
     assert second["score"] == pytest.approx(total / (total * total + 15) ** 0.5, abs=1e-4)
+
+
+def test_a_text_ends_in_the_beginning_of_a_longer_phrase(spark):
+    # "a b" is found when three words are asked for, as the text has no third
+    df = spark.createDataFrame([("x a b",), ("a b",), ("a b c",), ("a b x",)], "t string")
+    found = [row[0] for row in df.select(sentiment.join_phrases(F.split("t", " "), ["a b", "a b c"])).collect()]
+    assert found == [["x", "a b"], ["a b"], ["a b c"], ["a b", "x"]]
+
+
+def test_spread_reads_split_sizes_of_any_unit(spark):
+    from reviewlake.session import spread
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("16m", "134217728b", "134217728"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert spread(spark.range(10), "id").count() == 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
