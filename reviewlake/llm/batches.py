@@ -34,17 +34,28 @@ def free_name(df: DataFrame) -> str:
 
 
 def add_columns(df: DataFrame, inputs: list[str], outputs: str, start: Callable[[], Rows],
-                keep: list[str] | None = None) -> DataFrame:
-    """One row for each row: the `keep` columns (default: all) and those that `start()` gives a task."""
+                keep: list[str] | None = None, size: int | None = None) -> DataFrame:
+    """One row for each row: the `keep` columns (default: all) and those that `start()` gives a task.
+
+    With `size`, Python holds about so many bytes of the first input, texts, at a time, or one longer text.
+    """
     new = fields(outputs)
     kept = others(df, new.names, keep)
     source = df.select(*[df[name] for name in dict.fromkeys([*kept, *inputs])])
     schema = StructType([source.schema[name] for name in kept] + new.fields)
     arrow = to_arrow_schema(schema)
 
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            if size is None:
+                yield part
+                continue
+            for begin, end in portions(part.column(part.schema.get_field_index(inputs[0])), size):
+                yield part.slice(begin, end - begin)
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = start()
-        for part in parts:
+        for part in cut(parts):
             made = rows(*[part.column(part.schema.get_field_index(name)).to_pylist() for name in inputs])
             columns = [part.column(part.schema.get_field_index(name)) for name in kept]
             columns = [column.cast(field.type) for column, field in zip(columns, arrow)]

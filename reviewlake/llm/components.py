@@ -13,9 +13,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """node, root: the smallest node that each node with a link to another one reaches.
 
     A round shuffles the links twice by node and reduces each node's neighbours to their minimum before it joins them
-    back, so that no group of neighbours is ever collected. Nulls and links to oneself are no links. Rounds go
-    through tables in the shared folder and end when one changes nothing; their number grows with the logarithm of
-    the links' longest path.
+    back by merge joins, so that no group of neighbours is ever collected and no table goes through the driver. Nulls
+    and links to oneself are no links. Rounds go through tables in the shared folder and end when one changes nothing;
+    their number grows with the logarithm of the links' longest path.
     """
     spark = edges.sparkSession
     links = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -25,11 +25,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         # large star: every larger neighbour of a node goes to the node's smallest neighbour
         both = links.union(links.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.where(F.col("v") > F.col("u")).join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: every smaller neighbour, and the node itself, goes to the smallest one
         large = large.where(F.col("u") > F.col("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
+        small = large.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
         links = materialize(small.where(F.col("u") > F.col("v")).distinct(), "links")
         drop_shuffles(spark)
         before, seen = seen, _fingerprint(links)

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.batches import add_columns
+from reviewlake.llm.batches import add_columns, free_name, portions
 
 #: A word: a letter, then letters and marks. Longer ones, as of scripts without spaces, are cut.
 WORD = r"\p{L}[\p{L}\p{M}]{0,31}"
@@ -37,8 +37,8 @@ ORDERS, SLOTS = 4, 1 << 16
 SMOOTHING, FOREIGN = 100.0, 30.0
 
 #: Words that a worker remembers; words of one Viterbi run, unless one text is longer; words that training counts
-#: before it turns them to n-grams; distinct words whose n-grams are made at once.
-REMEMBERED, TOGETHER, COUNTED, SCORED = 300_000, 200_000, 2_000_000, 20_000
+#: before it turns them to n-grams; distinct words whose n-grams are made at once; bytes of texts in Python at a time.
+REMEMBERED, TOGETHER, COUNTED, SCORED, HELD = 300_000, 200_000, 500_000, 20_000, 4 * 2 ** 20
 
 BREAK = 10  # a line feed stands before and after each word
 
@@ -100,7 +100,7 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text") -> "Model
                     own += np.bincount(slots, times[owners], len(own))
                     own += np.bincount(ORDERS * SLOTS + scripts_of(some), times, len(own))
             words.clear()
-        for part in parts:
+        for part in (part.slice(begin, end - begin) for part in parts for begin, end in portions(part.column(1), HELD)):
             for name, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 found = find(value.lower())
                 if found:
@@ -284,7 +284,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", penalty: float = 4
         def rows(texts):
             return tuple(zip(*labeller.label([value or "" for value in texts]))) or ([], [], [])
         return rows
-    return add_columns(df, [text], OUT, start, keep)
+    return add_columns(df, [text], OUT, start, keep, HELD)
 
 
 def remainder(id: Column, modulus: int) -> Column:
@@ -294,9 +294,8 @@ def remainder(id: Column, modulus: int) -> Column:
 
 def keep_identified(df: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
     """The rows whose text has a language with at least the share `least` of its letters, with their columns."""
-    columns = df.columns
-    inner = df.select(F.struct(*columns).alias("_row"), F.col(text).alias("_text"))
-    found = identify(inner, model, "_text", keep=["_row"])
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("_row.*")
-
-
+    # the text is sent once; the other columns travel in one struct, so that none of them meets a new one
+    row = F.struct(*[df[name] for name in df.columns if name != text], F.lit(0).alias(free_name(df)))
+    inner = df.select(row.alias("_row"), F.col(text).alias("_text"))
+    found = identify(inner, model, "_text").where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return found.select(*[F.col("_text" if name == text else f"_row.`{name}`").alias(name) for name in df.columns])

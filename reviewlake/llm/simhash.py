@@ -52,7 +52,7 @@ def fingerprints(df: DataFrame, text: str = "text", shingle: int = 4, keep: list
     """
     def start():
         return lambda texts: ([fingerprint(shingle_hashes(value, shingle)) for value in texts],)
-    return add_columns(df, [text], "fingerprint bigint", start, keep)
+    return add_columns(df, [text], "fingerprint bigint", start, keep, 4 * 2 ** 20)
 
 
 def covering_masks(radius: int, bits: int = BITS) -> list[int]:
@@ -77,6 +77,9 @@ def near_links(prints: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFr
 
     Of every bucket come as many links as connect what all its close pairs connect, not the pairs themselves. A
     bucket with more than `block` fingerprints is cut into blocks, and each two of them meet in a task of their own.
+
+    Joins are merge joins: Spark takes a table of keys, which has 31 rows for each fingerprint, for as small as the
+    fingerprints are, and would send it through the driver.
     """
     masks = [mask - (1 << BITS) if mask >> BITS - 1 else mask for mask in covering_masks(radius)]
     keyed = prints.select("fingerprint", F.explode(F.array(*[
@@ -86,7 +89,7 @@ def near_links(prints: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFr
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.hash("fingerprint"), F.col("blocks"))
     met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    members = (keyed.join(shared, ["table", "key"]).withColumn("blocks", blocks).withColumn("own", own)
+    members = (keyed.join(shared.hint("merge"), ["table", "key"]).withColumn("blocks", blocks).withColumn("own", own)
                .withColumn("other", met).select("table", "key", F.least("own", "other").alias("i"),
                                                 F.greatest("own", "other").alias("j"), "fingerprint"))
     bucket = ["table", "key", "i", "j"]
@@ -161,11 +164,11 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
     distinct = materialize(prints.groupBy("fingerprint").agg(F.min(id).alias("first")), "distinct")
     components = connected_components(near_links(distinct, radius))
     drop_shuffles(spark)
-    named = distinct.join(components.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
+    named = distinct.join(components.withColumnRenamed("node", "fingerprint").hint("merge"), "fingerprint", "left").withColumn(
         "root", F.coalesce("root", "fingerprint"))
     linked = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = named.select("fingerprint", "root").join(linked, "root")
-    return prints.join(named, "fingerprint").select(id, "fingerprint", "component_id", "root")
+    named = named.select("fingerprint", "root").join(linked.hint("merge"), "root")
+    return prints.join(named.hint("merge"), "fingerprint").select(id, "fingerprint", "component_id", "root")
 
 
 def keep_first(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
@@ -178,19 +181,19 @@ def keep_first(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: i
     first = F.col(id) == F.col("component_id")
     ids = found.where(F.col(id).isNotNull()).groupBy(id).agg(F.count(F.lit(1)).alias("n"), F.count_if(first).alias("firsts"))
     once, often = ids.where("n = 1 AND firsts = 1").select(id), ids.where("n > 1 AND firsts > 0").select(id)
-    kept = df.join(once, id, "left_semi").select(*df.columns)
+    kept = df.join(once.hint("merge"), id, "left_semi").select(*df.columns)
 
     def one_each(rows: DataFrame, members: DataFrame) -> DataFrame:
         """The smallest of `rows` for each root of `members`, which have the rows' ids and fingerprints."""
         roots = members.select(F.col(id).alias("_member"), F.col("fingerprint").alias("_print"), F.col("root").alias("_root")).distinct()
         prints = fingerprints(rows.select(F.struct(*df.columns).alias("_row"), F.col(id).alias("_id"), F.col(text).alias("_text")),
                               "_text", shingle)
-        met = prints.join(roots, (F.col("fingerprint") == F.col("_print")) & F.col("_id").eqNullSafe(F.col("_member")))
+        met = prints.join(roots.hint("merge"), (F.col("fingerprint") == F.col("_print")) & F.col("_id").eqNullSafe(F.col("_member")))
         return met.groupBy("_root").agg(F.min("_row").alias("_row")).select("_row.*")
     nameless = df.where(F.col(id).isNull())
     if not often.isEmpty():
-        kept = kept.unionAll(one_each(df.join(often, id, "left_semi").select(*df.columns),
-                                      found.where(first).join(often, id, "left_semi")))
+        kept = kept.unionAll(one_each(df.join(often.hint("merge"), id, "left_semi").select(*df.columns),
+                                      found.where(first).join(often.hint("merge"), id, "left_semi")))
     if not nameless.isEmpty():
         kept = kept.unionAll(one_each(nameless, found.where(F.col(id).isNull() & F.col("component_id").isNull())))
     return kept

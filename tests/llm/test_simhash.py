@@ -150,3 +150,20 @@ def test_rows_that_share_an_id_but_no_text(spark):
     rows = [(1, texts["a"]), (1, texts["b"]), (1, texts["b"]), (2, texts["c"]), (2, texts["a"]), (3, texts["b"]), (4, texts["d"]), (None, texts["d"])]
     kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((row.doc_id, row.text[0]) for row in kept) == [(1, "a"), (1, "b"), (2, "c"), (4, "d")]
+
+
+def test_no_table_of_rows_goes_through_the_driver(spark):
+    import re
+
+    from pyspark.sql import functions as F
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words and number "), (F.col("id") % 900).cast("string")).alias("text"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        links = simhash.near_links(simhash.fingerprints(rows).select("fingerprint").distinct())
+        for df in (links, simhash.near_duplicates(rows), simhash.keep_first(rows)):
+            df.collect()
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in text and not re.search("BroadcastExchange", text)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
