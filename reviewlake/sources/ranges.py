@@ -21,6 +21,7 @@ from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -36,6 +37,9 @@ WHOLE, FROM_LEFT, TO_RIGHT, THROUGH = range(4)
 
 PIECES = "file string, start bigint"
 
+#: Bytes of pieces that a reader gets at a time, unless one piece is longer.
+HELD = 2 * 2 ** 20
+
 
 def pieces(spark: SparkSession, paths: str | Sequence[str], separator: str | None = None, glob: str | None = None,
            base: str | None = None) -> DataFrame:
@@ -71,11 +75,21 @@ def _runs(part: pa.RecordBatch) -> Iterator[tuple[Place, int, int]]:
             yield (files.dictionary[int(codes[first])].as_py(), int(starts[first])), first, end
 
 
+def _portions(values: pa.Array) -> Iterator[list[bytes]]:
+    """The values as lists of about HELD bytes."""
+    upto = np.cumsum(np.asarray(pc.binary_length(values), np.int64))
+    start = 0
+    while start < len(upto):
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + HELD, "right")))
+        yield values.slice(start, end - start).to_pylist()
+        start = end
+
+
 def over_ranges(found: DataFrame, outputs: str, begin: Callable[[Place], object]) -> DataFrame:
     """(file, start, folder, outputs): one reader for each range, which `begin` makes.
 
-    A reader has `read(values)`, which gives rows while it gets a range's pieces batch by batch, and `end()`, which
-    gives the last ones.
+    A reader has `read(values)`, which gives rows while it gets a range's pieces portion by portion, and `end()`, which
+    gives the last ones. Python holds the rows of one portion, however long the pieces of a batch are.
     """
     schema = StructType([*[found.schema[name] for name in ("file", "start", "folder")], *_parse_datatype_string(outputs).fields])
     arrow = to_arrow_schema(schema)
@@ -95,8 +109,9 @@ def over_ranges(found: DataFrame, outputs: str, begin: Callable[[Place], object]
                     if reader is not None and (rows := list(reader.end())):
                         yield batch(place, folder, rows)
                     place, folder, reader = at, part.column(3).slice(first, 1), begin(at)
-                if rows := list(reader.read(part.column(0).slice(first, end - first).to_pylist())):
-                    yield batch(place, folder, rows)
+                for values in _portions(part.column(0).slice(first, end - first)):
+                    if rows := list(reader.read(values)):
+                        yield batch(place, folder, rows)
         if reader is not None and (rows := list(reader.end())):
             yield batch(place, folder, rows)
 

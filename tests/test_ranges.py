@@ -148,3 +148,14 @@ def test_union_of_nothing(spark, tmp_path):
     (tmp_path / "blank.json").write_text("  \n ")
     assert files._records(spark, str(tmp_path), files._first_filled).count() == 0
     assert union_all([spark.range(1), spark.range(1)]).count() == 2
+
+
+def test_readers_get_long_pieces_in_portions(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(ranges, "HELD", 100)
+    sizes = [60, 30, 20, 500, 0, 40, 61, 1]
+    values = pa.array([b"x" * 7] + [bytes([at]) * size for at, size in enumerate(sizes)], pa.binary()).slice(1)
+    found = list(ranges._portions(values))
+    assert [[len(value) for value in some] for some in found] == [[60, 30], [20], [500], [0, 40], [61, 1]]
+    assert [value for some in found for value in some] == values.to_pylist()
+    assert list(ranges._portions(values.slice(0, 0))) == []
