@@ -123,3 +123,17 @@ def test_tfidf_weights(spark):
     length = math.sqrt(sum(value * value for value in weights.values()))
     for term, value in weights.items():
         assert vector[vocabulary.index(term)] == pytest.approx(value / length)
+
+
+def test_frequent_terms_are_those_of_all_words_and_pairs(spark):
+    import random
+    from collections import Counter
+    random.seed(3)
+    rows = [[random.choice("abcdefghij") * 2 for _ in range(random.randint(0, 12))] for _ in range(60)]
+    counted = Counter(word for row in rows for word in row)
+    counted.update(" ".join(pair) for row in rows for pair in zip(row, row[1:]))
+    expected = sorted(counted, key=lambda term: (-counted[term], term))
+    words = spark.createDataFrame([(row,) for row in rows], "_kept array<string>")
+    for limit in (1, 5, 10, 14, 60, 1000):
+        assert text_models.frequent_terms(words, limit) == expected[:limit]
+    assert text_models.frequent_terms(words, 4, bigrams=False) == [term for term in expected if " " not in term][:4]
