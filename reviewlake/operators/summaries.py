@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions.expr import flag, pearson
 from reviewlake.operators.cleaning import numeric_columns
 from reviewlake.operators.ranks import quantiles
+from reviewlake.session import materialize
 
 
 def _is(label: str, column: str = "sentiment_label") -> Column:
@@ -373,6 +374,8 @@ def rating_sentiment_correlation(df: DataFrame) -> DataFrame:
 
 def review_insights(df: DataFrame) -> DataFrame:
     """Score, helpfulness and length figures."""
+    # Written once: the median reads its input several times, which may be a join of texts.
+    df = materialize(df.select("rating", "helpfulness_ratio", "review_length"), "insights")
     length = quantiles(df, ["review_length"], [0.5]).select(F.max("value")).scalar()
     return df.agg(
         F.avg("rating").alias("average_score"), mode_of(F.col("rating")).alias("most_common_score"),

@@ -122,3 +122,17 @@ def test_profile_of_duplicates(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (1, None), (1, None), (2, "")], "user_id int, t string")
     assert profile.duplicate_rows(df).first()[0] == 2
     assert {row["what"]: row["duplicates"] for row in profile.uniqueness(df).collect()} == {"rows": 2, "user_id": 3}
+
+
+def test_insights_read_their_input_once(spark):
+    from reviewlake.operators import summaries
+    rows = spark.range(30).select((F.col("id") % 5 + 1).cast("int").alias("rating"), (F.col("id") / 30).alias("helpfulness_ratio"),
+                                  (F.col("id") * 7).alias("review_length"))
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(parts):
+        for part in parts:
+            read.add(part.num_rows)
+            yield part
+    found = summaries.review_insights(rows.mapInArrow(seen, rows.schema)).first()
+    assert (found["median_length"], found["long_reviews"], found["average_score"]) == (101.5, 15, 3.0) and read.value == 30
