@@ -148,3 +148,16 @@ def test_a_thousand_columns_plan_in_seconds(spark):
     began = time.monotonic()
     assert correlation_matrix(wide, wide.columns).count() == 499_500
     assert time.monotonic() - began < 60
+
+
+def test_ranks_of_many_columns_are_read_once(spark):
+    rows = spark.range(40).select("id", *[F.when(F.col("id") % (at + 2) > 0, (F.col("id") * (at + 3)) % 7).alias(f"c{at}") for at in range(12)])
+    columns = [f"c{at}" for at in range(12)]
+    ranked = ranks.percentile_rank(rows, columns)
+    assert ranked.columns == ["id", *columns, *[f"{name}_percentile" for name in columns]]
+    found, plain = ranked.toPandas(), rows.toPandas()
+    for name in columns:
+        expected = plain.set_index("id")[name].rank(pct=True)
+        np.testing.assert_allclose(found.set_index("id")[f"{name}_percentile"].sort_index(), expected)
+    # one value for each column and row, not a conditional maximum for each column
+    assert "CASE WHEN" not in ranked._jdf.queryExecution().optimizedPlan().toString().split("map_from_entries")[0]
