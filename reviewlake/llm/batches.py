@@ -17,6 +17,28 @@ from reviewlake.session import scratch_path
 #: values of the asked columns, as lists -> lists of values of the new columns
 Rows = Callable[..., tuple]
 
+#: What tasks leave in a worker for later tasks of their step, and what the task that begins has asked for.
+_kept: dict = {}
+_asked: set = set()
+
+
+def kept_in_worker(key, make: Callable):
+    """What `make()` gives, made once in a worker for all tasks of one step; what another step left goes first."""
+    _asked.add(key)
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def started(start: Callable[[], Rows]) -> Rows:
+    """A task's function; what earlier steps left in this worker is given up unless `start` asks for it again."""
+    _asked.clear()
+    rows = start()
+    for key in set(_kept) - _asked:
+        del _kept[key]
+    return rows
+
 
 def fields(ddl: str) -> StructType:
     return _parse_datatype_string(ddl)
@@ -54,7 +76,7 @@ def add_columns(df: DataFrame, inputs: list[str], outputs: str, start: Callable[
                 yield part.slice(begin, end - begin)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = start()
+        rows = started(start)
         for part in cut(parts):
             made = rows(*[part.column(part.schema.get_field_index(name)).to_pylist() for name in inputs])
             columns = [part.column(part.schema.get_field_index(name)) for name in kept]
@@ -88,6 +110,7 @@ def add_to_texts(df: DataFrame, text: str, outputs: str, rows: Rows, keep: list[
     arrow = to_arrow_schema(schema)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        started(lambda: rows)
         for part in parts:
             for start, end in portions(part.columns[-1], size):
                 some = part.slice(start, end - start)
@@ -108,7 +131,7 @@ def make_rows(df: DataFrame, inputs: list[str], outputs: str, start: Callable[[]
     arrow = to_arrow_schema(schema)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = start()
+        rows = started(start)
         for part in parts:
             texts = [column for column in part.columns if pa.types.is_string(column.type) or pa.types.is_binary(column.type)
                      or pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)]

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm.batches import add_columns
+from reviewlake.llm.batches import add_columns, kept_in_worker
 
 #: Pieces whose ids one Python worker remembers beside those of its last batch, and the longest such piece.
 REMEMBERED, REMEMBERED_LENGTH = 250_000, 64
@@ -182,9 +182,6 @@ class Coder:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-_coders: dict[int, Coder] = {}
-
-
 class Vocabulary:
     """Ranks that go to the tasks: the lines of a rank file (base64 token, rank) and the splitting pattern.
 
@@ -199,13 +196,11 @@ class Vocabulary:
         self.sent, self.pattern = spark.sparkContext.broadcast(data), pattern
 
     def coder(self) -> Coder:
-        """The worker's coder; it outlives tasks, and so do the pieces it remembers."""
-        key = hash((self.sent.value, self.pattern))
-        if key not in _coders:
+        """The worker's coder; it and the pieces it remembers outlive tasks, until a task of another step begins."""
+        def make():
             lines = map(bytes.split, self.sent.value.splitlines())
-            _coders.clear()
-            _coders[key] = Coder({base64.b64decode(token): int(rank) for token, rank in lines}, self.pattern)
-        return _coders[key]
+            return Coder({base64.b64decode(token): int(rank) for token, rank in lines}, self.pattern)
+        return kept_in_worker(("coder", hash((self.sent.value, self.pattern))), make)
 
 
 def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.batches import add_columns, others
+from reviewlake.llm.batches import add_columns, kept_in_worker, others
 from reviewlake.session import materialize
 
 #: Words of a window.
@@ -24,8 +24,8 @@ WORD_BYTES = bytes(value + 32 if 65 <= value <= 90 else value if 48 <= value <=
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
-#: The windows that this worker last built.
-_BUILT: dict[str, Windows] = {}
+#: Bytes of texts that a task has in Python at a time.
+HELD = 4 * 2 ** 20
 
 HITS = "n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
 
@@ -130,7 +130,7 @@ def find_benchmark(df: DataFrame, benchmark: DataFrame, text: str = "text", item
         sent = spark.sparkContext.broadcast([tuple(row) for row in some.collect()])
         last = block == blocks - 1
         found = add_columns(found, [text] if block == 0 else [text, "spans", "items"], HITS, _scan(sent, window),
-                            kept if last else list(dict.fromkeys([*kept, text])))
+                            kept if last else list(dict.fromkeys([*kept, text])), HELD)
         found = found if last else materialize(found, "scanned")
     return found
 
@@ -139,10 +139,7 @@ def _scan(sent, window):
     name = uuid.uuid4().hex
 
     def start():
-        if name not in _BUILT:  # once in a worker, for all of its tasks
-            _BUILT.clear()
-            _BUILT[name] = Windows(sent.value, window)
-        windows = _BUILT[name]
+        windows = kept_in_worker(("windows", name), lambda: Windows(sent.value, window))
 
         def rows(texts, spans=None, items=None):
             counts, places, names = [], [], []

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.batches import add_columns, free_name, portions
+from reviewlake.llm.batches import add_columns, free_name, portions, started
 
 #: A word: a letter, then letters and marks. Longer ones, as of scripts without spaces, are cut.
 WORD = r"\p{L}[\p{L}\p{M}]{0,31}"
@@ -83,7 +83,7 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text") -> "Model
     up their own rows first.
     """
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(WORD).findall
+        find = started(lambda: regex.compile(WORD).findall)
         words: dict[str, Counter] = {}
         sums: dict[str, np.ndarray] = {}
 
@@ -166,6 +166,7 @@ def best_path(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarr
     cost = np.zeros(chunks * length)
     cost[:size] = np.where(first, 0.0, penalty)
     steps = np.ascontiguousarray(padded.reshape(chunks, length, labels).transpose(1, 2, 0))  # step, label, chunk
+    del padded
     cost = np.ascontiguousarray(cost.reshape(chunks, length).T)
     reach = np.repeat(np.where(np.eye(labels, dtype=bool), 0.0, -1e15)[:, :, None], chunks, axis=2)  # label, entry, chunk
     for at in range(length):
@@ -176,14 +177,16 @@ def best_path(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarr
         entry[:, chunk] = value
         value = (reach[:, :, chunk] + value).max(axis=1)
         value -= value.max()
-    back = np.empty((length, labels, chunks), np.int64)
+    small = np.min_scalar_type(labels)
+    back = np.empty((length, labels, chunks), small)
     here = np.arange(labels)[:, None]
     for at in range(length):
         switched = entry.max(axis=0) - cost[at]
         back[at] = np.where(entry >= switched, here, entry.argmax(axis=0))
         entry = np.maximum(entry, switched) + steps[at]
     state = np.repeat(here, chunks, axis=1)
-    ways = np.empty((length, labels, chunks), np.int64)
+    del steps
+    ways = np.empty((length, labels, chunks), small)
     for at in range(length - 1, -1, -1):
         ways[at] = state
         state = np.take_along_axis(back[at], state, axis=0)
@@ -192,7 +195,7 @@ def best_path(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarr
     for chunk in range(chunks - 1, -1, -1):
         ends[chunk] = end
         end = int(state[end, chunk])
-    return ways[:, ends, np.arange(chunks)].T.reshape(-1)[:size]
+    return ways[:, ends, np.arange(chunks)].T.reshape(-1)[:size].astype(np.int64)
 
 
 class Words(dict):

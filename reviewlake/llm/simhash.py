@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.batches import add_columns, drop_shuffles
+from reviewlake.llm.batches import add_columns, drop_shuffles, started
 from reviewlake.llm.components import connected_components
 from reviewlake.session import materialize
 
@@ -96,7 +96,7 @@ def near_links(prints: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFr
     ordered = members.repartition(*bucket).sortWithinPartitions(*bucket)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.empty((0, 5), np.int64)
+        rest = started(lambda: np.empty((0, 5), np.int64))
         for part in parts:
             rows = np.column_stack([column.to_numpy(zero_copy_only=False).astype(np.int64) for column in part.columns])
             rows = np.concatenate([rest, rows])

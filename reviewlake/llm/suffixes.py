@@ -28,6 +28,9 @@ from reviewlake.session import materialize
 #: Bytes of a string that counts as repeated, of an anchor's piece, and strings that the second round ranks together.
 LENGTH, CORE, PART = 100, 24, 10
 
+#: Bytes of texts, and of strings of which every one may become a row for each byte, that a task has in Python at a time.
+HELD, HELD_STRINGS = 2 * 2 ** 20, 2 ** 19
+
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -193,7 +196,7 @@ def repeated_places(docs: DataFrame, text: str, length: int = LENGTH, core: int
 
     wanted = contested.groupBy("_ord").agg(F.collect_list("place").alias("places"))
     strings = scratch.store(make_rows(docs.join(wanted.hint("shuffle_hash"), "_ord"), ["_ord", "text", "places"],
-                                      "_ord bigint, home bigint, data binary", cut_out), "strings")
+                                      "_ord bigint, home bigint, data binary", cut_out, HELD), "strings")
     scratch.drop(contested)
 
     def second_round():
@@ -207,7 +210,7 @@ def repeated_places(docs: DataFrame, text: str, length: int = LENGTH, core: int
         return rows
 
     ranked = scratch.store(make_rows(strings, ["_ord", "home", "data"],
-                                     "_ord bigint, home bigint, core bigint, whole bigint, place bigint", second_round), "parts")
+                                     "_ord bigint, home bigint, core bigint, whole bigint, place bigint", second_round, HELD_STRINGS), "parts")
     again_parts, contested = settle(scratch, ranked, ["home"])
     scratch.drop(ranked)
 
@@ -229,7 +232,7 @@ def repeated_places(docs: DataFrame, text: str, length: int = LENGTH, core: int
 
     wanted = contested.groupBy("_ord", "home").agg(F.collect_list("place").alias("places"))
     ranked = scratch.store(make_rows(strings.join(wanted, ["_ord", "home"]), ["_ord", "home", "data", "places"],
-                                     "_ord bigint, core bigint, whole bigint, place bigint", third_round), "single")
+                                     "_ord bigint, core bigint, whole bigint, place bigint", third_round, HELD_STRINGS), "single")
     scratch.drop(contested, strings)
     again_strings, contested = settle(scratch, ranked, [])
     scratch.drop(ranked, contested)
@@ -276,7 +279,7 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", length
             return out
         return rows
     joined = ordered.join(spans.hint("shuffle_hash"), "_ord", "left")
-    found = add_columns(joined, ["text", "_places"], FOUND, start, ["row"])
+    found = add_columns(joined, ["text", "_places"], FOUND, start, ["row"], HELD)
     return found.select(*[F.col(f"row.c{at}").alias(name) for at, name in enumerate(kept)], *found.columns[1:])
 
 
