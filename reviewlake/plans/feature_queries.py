@@ -164,7 +164,8 @@ def e13(spark, base):
     topics = [name for name in found.columns if name.startswith("topic_") and name.endswith("_weight")]
     ranked = [name for name in found.columns if name.endswith("_percentile")]
     total = sum((F.col(name) for name in topics), F.lit(0.0))
-    terms = F.size(F.filter(vector_to_array("tfidf"), lambda x: x > 0))
+    # vectors are read as they are stored, without the terms that a text lacks
+    terms = F.size(F.filter(F.unwrap_udt("tfidf")["values"], lambda x: x > 0))
     facts = found.select(
         "review_id", "word_count", "year", "user_review_count", "product_review_count", "word_count_zscore", "word_count_percentile",
         "user_review_count_percentile", "product_review_count_zscore", "rating_rolling_mean_7",

@@ -136,3 +136,42 @@ def test_frequent_terms_are_those_of_all_words_and_pairs(spark):
     words = spark.createDataFrame([(row,) for row in rows], "_kept array<string>")
     for limit in (1, 5, 10, 14, 60, 1000):
         assert text_models.frequent_terms(words, limit) == expected[:limit]
+
+
+def test_features_read_each_text_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(text):
+        read.add(1)
+        return text
+    rows = spark.range(60).select(
+        F.col("id").alias("review_id"), (F.col("id") % 7).alias("user_id"), (F.col("id") % 5).alias("product_id"),
+        (1 + F.col("id") % 5).alias("rating"), F.timestamp_seconds(F.col("id") * 1000).alias("created_at"),
+        told(F.concat(F.lit("The red boat, a 2nd boat and CAFÉ "), F.col("id").cast("string"))).alias("review_text"))
+    found = features.engineer_features(rows, order=["created_at", "review_id"]).toPandas().sort_values("review_id")
+    assert len(found) == 60 and read.value == 60
+    assert list(found.columns[:6]) == ["product_id", "user_id", "review_id", "rating", "created_at", "review_text"]
+    assert found["word_count"].tolist() == [9] * 60 and found["rating_rolling_mean_7"].notna().all()
+    np.testing.assert_allclose(found["user_review_count_percentile"], found["user_review_count"].rank(pct=True))
+    assert found["tfidf"].map(lambda vector: len(vector.indices) > 3).all()
+
+
+def test_counts_of_plain_words_are_those_of_the_stages(spark):
+    """The words of `plain_words` are those of the tokenizer and the stop words; counts of terms are those of the counter."""
+    from pyspark.ml import PipelineModel
+    texts = ["The Boat and the boat tree", "", None, "É t\u00e9 3 d'or \u4e2d\u6587 boat_tree x\u0301y \U0001d400\U0001d401 a\u200db",
+             "I don't tree   boat\nboat\tCAR car car", "the of and", "\u0130stanbul \u03a3\u03a3 boat car"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "_at long, t string").repartition(3)
+    words = rows.select("_at", text_models.plain_words(F.col("t")).alias("_plain"))
+    cut = PipelineModel(text_models._words("_text")).transform(rows.withColumn("_text", text_models.plain_letters(F.col("t"))))
+    kept = cut.select("_kept")
+    vocabulary = text_models.frequent_terms(kept, 30)
+    assert text_models.frequent_terms(words.select("_plain"), 30) == vocabulary and any(" " in term for term in vocabulary)
+    expected = PipelineModel([*text_models._terms(), text_models._counter(vocabulary)]).transform(cut)
+    counted = text_models.count_terms(words, {"a": vocabulary, "b": vocabulary[:3]})
+    found = {row["_at"]: row for row in counted.collect()}
+    assert len(found) == len(texts)
+    for row in expected.collect():
+        np.testing.assert_array_equal(found[row["_at"]]["a"].toArray(), row["_counts"].toArray())
+        np.testing.assert_array_equal(found[row["_at"]]["b"].toArray(), row["_counts"].toArray()[:3])

@@ -161,3 +161,33 @@ def test_ranks_of_many_columns_are_read_once(spark):
         np.testing.assert_allclose(found.set_index("id")[f"{name}_percentile"].sort_index(), expected)
     # one value for each column and row, not a conditional maximum for each column
     assert "CASE WHEN" not in ranked._jdf.queryExecution().optimizedPlan().toString().split("map_from_entries")[0]
+
+
+def test_runs_in_small_chunks_and_cells(spark):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"id": np.arange(900), "many": rng.normal(size=900), "few": rng.integers(0, 4, 900).astype(float),
+                        "ends": rng.choice([-np.inf, -0.0, 0.0, 1.5, np.inf], 900), "none": np.nan})
+    pdf.loc[::7, ["many", "few"]] = np.nan
+    rows = ranks.numbered(spark.createDataFrame(pdf).repartition(5))
+    names = ["many", "few", "ends", "none"]
+    runs = ranks.Runs(rows, names, chunk=64, cell=40)
+    assert runs.cells.count() > 10  # the values of one column lie in several cells
+    found = ranks.by_number(rows, runs.ranks()).toPandas().sort_values("id")
+    for name in names:
+        np.testing.assert_allclose(found[f"{name}_percentile"], pdf[name].rank(pct=True), equal_nan=True)
+    quantiles = runs.quantiles([0, 0.25, 0.5, 0.99, 1])
+    assert quantiles["none"] == {}
+    for p, value in quantiles["many"].items():
+        assert value == pytest.approx(pdf["many"].quantile(p))
+    assert quantiles["few"] == {p: pdf["few"].quantile(p) for p in (0.0, 0.25, 0.5, 0.99, 1.0)}
+
+
+def test_only_what_is_needed_is_ordered(spark):
+    rows = spark.range(50).select("id", (F.col("id") % 5).alias("v"), F.repeat(F.lit("long text "), 50).alias("text"))
+    for found in (ranks.rolling_rows(rows, "v", ["id"]), ranks.percentile_rank(rows, ["v"])):
+        lines = found.select("id", "text")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert "text" in found.columns and not any("text" in line for line in lines if "Window" in line or "MapInArrow" in line)
+    # rows meet what was found for them by their number: texts stand in no window
+    plan = ranks.rolling_rows(rows, "v", ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window"):]
+    assert "text" not in window

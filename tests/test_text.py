@@ -213,3 +213,15 @@ def test_spread_reads_split_sizes_of_any_unit(spark):
             assert spread(spark.range(10), "id").count() == 10
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_cleaned_characters_and_noun_bases(spark):
+    """Ranges and endings stand for the negated class and the patterns."""
+    every = ["".join(map(chr, [*range(1, 0xd800), *range(0xe000, 0x11000)])), *random_texts()]
+    texts = spark.createDataFrame([(text,) for text in every], "t string")
+    low = F.lower(T.flatten(F.col("t")))
+    kept = F.regexp_replace(T._where(T._where(low, ["http", "www"], "(?:http|www)[^ ]+"), ["@"], "(?<![^ ])[^ ][^ @]*@[^ ]+"), "[^a-z0-9 .!?,;:]+", "")
+    assert texts.where(T.clean_text(F.col("t")) != F.trim(F.regexp_replace(kept, " {2,}", " "))).count() == 0
+    words = ["", "s", "ss", "is", "ties", "ies", "boxes", "boxes\n", "glasses\r\n", "glass", "bus\u2028", "churches", "as ", "cats", "cat\U0001f600s", "cats\n\n", None]
+    found = spark.createDataFrame([(word,) for word in words], "w string").select("w", T.noun_base(F.col("w")).alias("a"), T._noun_base_by_pattern(F.col("w")).alias("b")).collect()
+    assert all(row["a"] == row["b"] for row in found) and found[4]["a"] == "ty" and found[6]["a"] == "box" and found[13]["a"] == "cat"
