@@ -191,3 +191,12 @@ def test_only_what_is_needed_is_ordered(spark):
     plan = ranks.rolling_rows(rows, "v", ["id"])._jdf.queryExecution().optimizedPlan().toString()
     window = plan[plan.index("Window"):]
     assert "text" not in window
+
+
+def test_chunks_are_rows_that_are_stored_together(spark):
+    rows = ranks.numbered(spark.range(400).select("id", (F.col("id") % 9).cast("double").alias("v")))
+    mixed = ranks.materialize(rows.orderBy(F.xxhash64("id")).coalesce(1).withColumn("_place", F.monotonically_increasing_id()), "mixed")
+    runs = ranks.Runs(mixed, ["v"], chunk=100)
+    assert runs.numbers.select("chunk").distinct().count() == runs.pieces.count() <= 7  # one column: a piece for each chunk
+    found = ranks.by_number(mixed, runs.ranks()).toPandas()
+    np.testing.assert_allclose(found["v_percentile"], found["v"].rank(pct=True))
